@@ -8,13 +8,13 @@ any SQL engine can repeat it exactly.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 MASK = 0xFFFFFFFF
-MIX_STEPS = ((16, 0x21F0AAAD), (15, 0x735A2D97))  # shift, multiplier; products stay below 2^63
+# Shift and multiplier of each step; the products stay below 2^63.
+MIX_STEPS = ((16, 0x21F0AAAD), (15, 0x735A2D97))
 MIX_LAST = 15
 
 
@@ -23,26 +23,24 @@ def draw_key(seed: int, name: str) -> tuple[int, int]:
     return zlib.crc32(f"{seed}|{name}".encode()), (zlib.crc32(name.encode()) & 0x7FFFFFFF) | 1
 
 
-def _scramble(x: Column, step: tuple[int, int]) -> Column:
+def _scramble(x: str, step: tuple[int, int]) -> str:
     shift, factor = step
-    return (x.bitwiseXOR(F.shiftrightunsigned(x, shift)) * F.lit(factor)).bitwiseAND(F.lit(MASK))
+    return f"((({x} ^ shiftrightunsigned({x}, {shift})) * {factor}L) & {MASK}L)"
 
 
-def _unit(x: Column) -> Column:
-    x = x.bitwiseXOR(F.shiftrightunsigned(x, MIX_LAST))
-    return x.cast("double") / F.lit(4294967296.0)
+def _unit(x: str) -> str:
+    return f"(cast(({x} ^ shiftrightunsigned({x}, {MIX_LAST})) as double) / 4294967296D)"
 
 
-def _keyed(seed: int, row_id: Column, name: str) -> Column:
+def _keyed(seed: int, row_id: str, name: str) -> str:
     """The row id as 32 bits, mixed with the draw's key; the id's upper half takes part too."""
     key, factor = draw_key(seed, name)
-    row_id = row_id.cast("bigint")
-    low = row_id.bitwiseAND(F.lit(MASK))
-    high = F.shiftrightunsigned(row_id, 32).bitwiseAND(F.lit(0x7FFFFFFF))
-    return low.bitwiseXOR(F.lit(key)).bitwiseXOR((high * F.lit(factor)).bitwiseAND(F.lit(MASK)))
+    low = f"(cast({row_id} as bigint) & {MASK}L)"
+    high = f"(shiftrightunsigned(cast({row_id} as bigint), 32) & {0x7FFFFFFF}L)"
+    return f"(({low} ^ {key}L) ^ (({high} * {factor}L) & {MASK}L))"
 
 
-def draw(seed: int, row_id: Column, name: str) -> Column:
+def draw(seed: int, row_id: str, name: str) -> str:
     """Uniform double in [0, 1) for the row, as one expression."""
     x = _keyed(seed, row_id, name)
     for step in MIX_STEPS:
@@ -58,66 +56,73 @@ def with_draws(
     The mix runs in stages, one projection each. Every stage uses its input twice, so the optimizer
     keeps the stages apart and the generated code stays small however many draws a row needs.
     """
-    cols = {f"{prefix}{n}": n for n in names}
-    df = df.withColumns({c: _keyed(seed, F.col(row_id), n) for c, n in cols.items()})
+    names = list(names)
+    keep = df.columns
+    df = df.selectExpr(*keep, *[f"{_keyed(seed, row_id, n)} as {prefix}{n}" for n in names])
     for step in MIX_STEPS:
-        df = df.withColumns({c: _scramble(F.col(c), step) for c in cols})
-    return df.withColumns({c: _unit(F.col(c)) for c in cols})
+        df = df.selectExpr(
+            *keep, *[f"{_scramble(prefix + n, step)} as {prefix}{n}" for n in names]
+        )
+    return df.selectExpr(*keep, *[f"{_unit(prefix + n)} as {prefix}{n}" for n in names])
 
 
-def uniform_int(u: Column, k: Column | int) -> Column:
+def uniform_int(u: str, k: str | int) -> str:
     """Uniform integer in [0, k)."""
-    k = k if isinstance(k, Column) else F.lit(k)
-    return F.floor(u * k).cast("int")
+    return f"cast(floor({u} * {k}) as int)"
 
 
-def choice(u: Column, pool: Column) -> Column:
+def choice(u: str, pool: str) -> str:
     """Uniform element of an array column."""
-    return F.element_at(pool, uniform_int(u, F.size(pool)) + 1)
+    return f"element_at({pool}, {uniform_int(u, f'size({pool})')} + 1)"
 
 
-def choice_of(u: Column, options) -> Column:
-    """Uniform element of a fixed list."""
-    return F.element_at(F.array(*[F.lit(o) for o in options]), uniform_int(u, len(options)) + 1)
+def choice_of(u: str, options: Sequence[float]) -> str:
+    """Uniform element of a fixed list of numbers."""
+    pool = ", ".join(f"{float(o)!r}D" for o in options)
+    return f"element_at(array({pool}), {uniform_int(u, len(options))} + 1)"
 
 
-def uniform_real(u: Column, low: float, high: float) -> Column:
-    return F.lit(float(low)) + F.lit(float(high) - float(low)) * u
+def uniform_real(u: str, low: float, high: float) -> str:
+    return f"({float(low)!r}D + {float(high) - float(low)!r}D * {u})"
 
 
-def bernoulli(u: Column, rate: Column | float) -> Column:
-    return u < (rate if isinstance(rate, Column) else F.lit(float(rate)))
+def bernoulli(u: str, rate: str | float) -> str:
+    return f"({u} < {rate})"
 
 
-def triangular(u: Column, low: Column, mode: Column, high: Column) -> Column:
+def triangular(u: str, low: str, mode: str, high: str) -> str:
     """Inverse CDF of the triangular distribution."""
-    cut = (mode - low) / (high - low)
-    left = low + F.sqrt(u * (high - low) * (mode - low))
-    right = high - F.sqrt((F.lit(1.0) - u) * (high - low) * (high - mode))
-    return F.when(u < cut, left).otherwise(right)
+    return (
+        f"(case when {u} < ({mode} - {low}) / ({high} - {low})"
+        f" then {low} + sqrt({u} * ({high} - {low}) * ({mode} - {low}))"
+        f" else {high} - sqrt((1D - {u}) * ({high} - {low}) * ({high} - {mode})) end)"
+    )
 
 
-def to_cents(x: Column) -> Column:
+def to_cents(x: str) -> str:
     """Double amount as decimal(10,2), rounded half up."""
-    cents = F.floor(x * F.lit(100.0) + F.lit(0.5)).cast("decimal(12,0)")
-    return (cents * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(10,2)")
+    return f"cast(cast(floor({x} * 100D + 0.5D) as decimal(12,0)) * 0.01BD as decimal(10,2))"
 
 
-def distinct_picks(us: tuple[Column, Column, Column], pool: Column | int, count: Column) -> Column:
-    """``count`` (1..3) different numbers out of 1..pool as an array.
+def with_distinct_picks(
+    df: DataFrame, us: tuple[str, str, str], pool: str | int, count: str, out: str
+) -> DataFrame:
+    """``count`` (1..3) different numbers out of 1..pool as the array column ``out``.
 
     Each further pick is drawn from the numbers still free and shifted past the taken ones, so no
     pool has to be joined or ranked.
     """
-    n = (pool if isinstance(pool, Column) else F.lit(pool)).cast("bigint")
-
-    def raw(u: Column, taken: int) -> Column:
-        return F.floor(u * (n - F.lit(taken))).cast("bigint") + 1
-
-    a = raw(us[0], 0)
-    b0 = raw(us[1], 1)
-    b = b0 + (b0 >= a).cast("bigint")
-    c0 = raw(us[2], 2)
-    c1 = c0 + (c0 >= F.least(a, b)).cast("bigint")
-    c = c1 + (c1 >= F.greatest(a, b)).cast("bigint")
-    return F.slice(F.array(a, b, c), F.lit(1), F.least(count.cast("int"), n.cast("int")))
+    keep = df.columns
+    raw = [
+        f"cast(floor({u} * ({pool} - {taken})) as bigint) + 1 as _p{taken}"
+        for taken, u in enumerate(us)
+    ]
+    df = df.selectExpr(*keep, *raw)
+    df = df.selectExpr(*keep, "_p0", "_p1 + cast(_p1 >= _p0 as bigint) as _p1", "_p2")
+    df = df.selectExpr(
+        *keep, "_p0", "_p1", "_p2 + cast(_p2 >= least(_p0, _p1) as bigint) as _p2"
+    )
+    third = "_p2 + cast(_p2 >= greatest(_p0, _p1) as bigint)"
+    return df.selectExpr(
+        *keep, f"slice(array(_p0, _p1, {third}), 1, cast(least({count}, {pool}) as int)) as {out}"
+    )

@@ -1,158 +1,140 @@
-"""Business rules of the product dimension as plain column expressions."""
+"""Business rules of the product dimension."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from larder import values
 from larder.functions import draws
 
 MONEY = "decimal(10,2)"
 
 
-def _money(text: str) -> Column:
-    return F.lit(text).cast(MONEY)
+def _text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _in(column: str, options: Sequence[str]) -> str:
+    return f"{column} in ({', '.join(_text(o) for o in options)})"
+
+
+def _has(text: str, *words: str) -> str:
+    return "(" + " or ".join(f"contains({text}, {_text(w)})" for w in words) + ")"
 
 
-def format_key(prefix: str, n: Column, width: int) -> Column:
+def format_key(prefix: str, n: str, width: int) -> str:
     """Prefix and zero-padded number such as ``P000042``; longer numbers keep all their digits."""
-    digits = n.cast("bigint").cast("string")
-    padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
-    return F.concat(F.lit(prefix), padded) if prefix else padded
+    digits = f"cast(cast({n} as bigint) as string)"
+    padded = f"lpad({digits}, greatest(length({digits}), {width}), '0')"
+    return f"concat({_text(prefix)}, {padded})" if prefix else padded
 
 
 # ---- prices ------------------------------------------------------------------------------------
 
 
-def price_ending(u: Column) -> Column:
+def price_ending(u: str) -> str:
     """One of the four price endings as decimal."""
     no = draws.uniform_int(u, len(values.PRICE_ENDINGS))
-    out = F.when(no == 0, _money(values.PRICE_ENDINGS[0]))
-    for i, ending in enumerate(values.PRICE_ENDINGS[1:], start=1):
-        out = out.when(no == i, _money(ending))
-    return out
+    whens = " ".join(f"when {i} then {e}BD" for i, e in enumerate(values.PRICE_ENDINGS))
+    return f"cast(case {no} {whens} end as {MONEY})"
 
 
-def markup_price(cost: Column, margin: Column, jitter: Column) -> Column:
+def markup_price(cost: str, margin: str, jitter: str) -> str:
     """Raw retail price before the ending is set, as double."""
-    return cost.cast("double") * (F.lit(1.0) + margin.cast("double")) * jitter
+    return f"(cast({cost} as double) * (1D + cast({margin} as double)) * {jitter})"
 
 
-def charm_price(price: Column, ending: Column) -> Column:
+def charm_price(price: str, ending: str) -> str:
     """Whole dollars of ``price`` plus the ending; below one dollar just the ending."""
-    dollars = F.floor(price).cast("decimal(9,0)")
-    return F.when(price < 1, ending).otherwise(dollars + ending).cast(MONEY)
+    dollars = f"cast(floor({price}) as decimal(9,0))"
+    return f"cast(case when {price} < 1 then {ending} else {dollars} + {ending} end as {MONEY})"
 
 
-def retail_above_cost(retail: Column, cost: Column) -> Column:
+def retail_above_cost(retail: str, cost: str) -> str:
     """Keep ``retail`` when it exceeds ``cost``, else move up to the next price that does."""
-    out = F.when(retail > cost, retail)
-    for ending in values.PRICE_ENDINGS:
-        out = out.when(cost < _money(ending), _money(ending))
-    dollars = F.floor(cost).cast("decimal(9,0)")
-    return out.otherwise(dollars + _money("1.49")).cast(MONEY)
-
-
-def retail_price(cost: Column, margin: Column, jitter: Column, ending: Column) -> Column:
-    return retail_above_cost(charm_price(markup_price(cost, margin, jitter), ending), cost)
+    whens = " ".join(f"when {cost} < {e}BD then {e}BD" for e in values.PRICE_ENDINGS)
+    dollars = f"cast(floor({cost}) as decimal(9,0))"
+    return (
+        f"cast(case when {retail} > {cost} then {retail} {whens}"
+        f" else {dollars} + 1.49BD end as {MONEY})"
+    )
 
 
-def price_tier(retail: Column) -> Column:
+def price_tier(retail: str) -> str:
     """Budget below 5, Mid below 20, else Premium (a missing price counts as Premium)."""
-    return F.when(retail < 5, "Budget").when(retail < 20, "Mid").otherwise("Premium")
+    return f"case when {retail} < 5 then 'Budget' when {retail} < 20 then 'Mid' else 'Premium' end"
 
 
-def margin_pct(retail: Column, cost: Column) -> Column:
+def margin_pct(retail: str, cost: str) -> str:
     """Margin in percent of retail; NULL for a zero price or a value out of range."""
-    ratio = F.try_divide(retail - cost, retail) * F.lit(100)
-    return ratio.try_cast("decimal(5,2)")
+    return f"try_cast(try_divide({retail} - {cost}, {retail}) * 100 as decimal(5,2))"
 
 
 # ---- packs and names ---------------------------------------------------------------------------
 
 
-def _contains_any(text: Column, words: Sequence[str]) -> Column:
-    out = text.contains(words[0])
-    for w in words[1:]:
-        out = out | text.contains(w)
-    return out
-
-
-def unit_and_pack(department: Column, subcategory: Column, u: Column) -> tuple[Column, Column]:
+def unit_and_pack(department: str, subcategory: str, u: str) -> tuple[str, str]:
     """(unit of measure, pack size); the first matching rule wins."""
-    drinks = department.isin("Beverages", "Alcohol", "Dairy")
-    litre = drinks & _contains_any(subcategory, ("Water", "Juice", "Milk"))
-    bottle = drinks & _contains_any(subcategory, ("Spirits", "Wine", "Whisky"))
-    meat = department == "Meat & Seafood"
-    care = department.isin("Health & Beauty", "Household")
-    pantry = department == "Pantry"
-    frozen = department == "Frozen"
-    unit = (
-        F.when(litre, "L")
-        .when(bottle, "mL")
-        .when(meat, "kg")
-        .when(care, "mL")
-        .when(pantry | frozen, "g")
-        .otherwise("each")
-    )
-    pack = (
-        F.when(litre, draws.choice_of(u, values.LITRE_PACKS))
-        .when(bottle, F.lit(700.0))
-        .when(meat, draws.choice_of(u, values.MEAT_PACKS))
-        .when(care, draws.choice_of(u, values.CARE_PACKS))
-        .when(pantry, draws.choice_of(u, values.PANTRY_PACKS))
-        .when(frozen, draws.choice_of(u, values.FROZEN_PACKS))
-        .otherwise(F.lit(1.0))
-    )
-    return unit, pack
+    drinks = _in(department, ("Beverages", "Alcohol", "Dairy"))
+    rules = [
+        (f"{drinks} and {_has(subcategory, 'Water', 'Juice', 'Milk')}", "L", values.LITRE_PACKS),
+        (f"{drinks} and {_has(subcategory, 'Spirits', 'Wine', 'Whisky')}", "mL", (700.0,)),
+        (f"{department} = 'Meat & Seafood'", "kg", values.MEAT_PACKS),
+        (_in(department, ("Health & Beauty", "Household")), "mL", values.CARE_PACKS),
+        (f"{department} = 'Pantry'", "g", values.PANTRY_PACKS),
+        (f"{department} = 'Frozen'", "g", values.FROZEN_PACKS),
+    ]
+    unit = " ".join(f"when {cond} then '{unit}'" for cond, unit, _ in rules)
+    pack = " ".join(f"when {cond} then {draws.choice_of(u, sizes)}" for cond, _, sizes in rules)
+    return f"case {unit} else 'each' end", f"case {pack} else 1D end"
 
 
-def pack_label(unit: Column, size: Column) -> Column:
+def pack_label(unit: str, size: str) -> str:
     """``500g``, ``1.25L``, ``250pk``; empty for single items."""
-    size = size.cast("double")
-    number = F.when(size == F.floor(size), size.cast("bigint").cast("string")).otherwise(
-        size.cast("string")
+    size = f"cast({size} as double)"
+    number = (
+        f"case when {size} = floor({size}) then cast(cast({size} as bigint) as string)"
+        f" else cast({size} as string) end"
     )
-    suffix = F.when(unit == "pack", "pk").otherwise(unit)
-    return F.when(unit == "each", "").otherwise(F.concat(number, suffix))
+    suffix = f"case when {unit} = 'pack' then 'pk' else {unit} end"
+    return f"case when {unit} = 'each' then '' else concat({number}, {suffix}) end"
 
 
-def bag_label(size: Column) -> Column:
+def bag_label(size: str) -> str:
     """``2kg bag`` from one kilogram on (whole kilograms only), grams below."""
-    kilos = F.concat(F.floor(size).cast("string"), F.lit("kg bag"))
-    grams = F.concat(F.floor(size * 1000).cast("string"), F.lit("g bag"))
-    return F.when(size >= 1, kilos).otherwise(grams)
+    return (
+        f"case when {size} >= 1 then concat(cast(cast(floor({size}) as bigint) as string), 'kg bag')"
+        f" else concat(cast(cast(floor({size} * 1000) as bigint) as string), 'g bag') end"
+    )
 
 
-def product_name(brand: Column, base: Column, label: Column) -> Column:
+def product_name(brand: str, base: str, label: str) -> str:
     """Brand, base and label with single blanks between the parts that are there."""
-    return F.concat_ws(" ", *[F.nullif(p, F.lit("")) for p in (brand, base, label)])
+    return f"concat_ws(' ', nullif({brand}, ''), nullif({base}, ''), nullif({label}, ''))"
 
 
-def brand_pick(is_private_label: Column, u: Column, pool: Column) -> Column:
+def brand_pick(is_private_label: str, u: str, pool: str) -> str:
     """The private-label brand when drawn, else a brand of the pool."""
-    return F.when(is_private_label, values.PRIVATE_LABEL_BRAND).otherwise(draws.choice(u, pool))
+    own = _text(values.PRIVATE_LABEL_BRAND)
+    return f"case when {is_private_label} then {own} else {draws.choice(u, pool)} end"
 
 
-def fresh_brand(u: Column, rate: Column, pool: Column) -> Column:
+def fresh_brand(u: str, rate: str, pool: str) -> str:
     """Fresh goods draw the private-label brand too, but are never flagged as private label and
     otherwise always carry the first brand of the pool."""
-    private = draws.bernoulli(u, rate)
-    return F.when(private, values.PRIVATE_LABEL_BRAND).otherwise(F.element_at(pool, 1))
+    own = _text(values.PRIVATE_LABEL_BRAND)
+    return f"case when {draws.bernoulli(u, rate)} then {own} else element_at({pool}, 1) end"
 
 
 # ---- seasonality -------------------------------------------------------------------------------
 
 
-def vector_literal(v: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(x)) for x in v])
+def vector_literal(v: Sequence[float]) -> str:
+    return f"array({', '.join(f'{float(x)!r}D' for x in v)})"
 
 
-def flat_vector() -> Column:
-    return F.array_repeat(F.lit(1.0), 12)
+def flat_vector() -> str:
+    return "array_repeat(1D, 12)"
 
 
 def wobble_draws(name: str = "wobble") -> list[str]:
@@ -160,56 +142,50 @@ def wobble_draws(name: str = "wobble") -> list[str]:
     return [f"{name}{m}" for m in range(1, 13)]
 
 
-def wobble_of(us: Sequence[Column], amplitude: float = 0.1) -> Column:
+def wobble_vector(us: Sequence[str], amplitude: float = 0.1) -> str:
     """Vector of 1 +/- amplitude from uniform draws, two decimals each."""
     low = round(100 * (1 - amplitude))
     width = round(200 * amplitude)
-    return F.array(*[(F.floor(u * width + F.lit(0.5)) + F.lit(low)) / F.lit(100.0) for u in us])
-
+    return f"array({', '.join(f'(floor({u} * {width}D + 0.5D) + {low}) / 100D' for u in us)})"
 
-def wobble_vector(row_id: Column, seed: int, amplitude: float = 0.1, name: str = "wobble") -> Column:
-    return wobble_of([draws.draw(seed, row_id, n) for n in wobble_draws(name)], amplitude)
 
-
-def season_name(department: Column, category: Column, subcategory: Column) -> Column:
+def season_name(department: str, category: str, subcategory: str) -> str:
     """Name of the season pattern, NULL when only a wobble applies; the first match wins."""
-    sub, cat = F.lower(subcategory), F.lower(category)
+    sub, cat = f"lower({subcategory})", f"lower({category})"
     return (
-        F.when(_contains_any(sub, ("ice cream", "frozen dessert")), "ice_cream")
-        .when(sub.contains("soup") | cat.contains("soup"), "soup")
-        .when(_contains_any(sub, ("bbq", "sausage")) | (subcategory == "Bacon"), "barbecue")
-        .when(_contains_any(sub, ("confectionery", "chocolate")), "easter")
-        .when((department == "Alcohol") & sub.contains("sparkling"), "christmas")
+        f"case when {_has(sub, 'ice cream', 'frozen dessert')} then 'ice_cream'"
+        f" when {_has(sub, 'soup')} or {_has(cat, 'soup')} then 'soup'"
+        f" when {_has(sub, 'bbq', 'sausage')} or {subcategory} = 'Bacon' then 'barbecue'"
+        f" when {_has(sub, 'confectionery', 'chocolate')} then 'easter'"
+        f" when {department} = 'Alcohol' and {_has(sub, 'sparkling')} then 'christmas' end"
     )
 
 
-def season_vector(pattern: Column, wobble: Column) -> Column:
+def season_vector(pattern: str, wobble: str) -> str:
     """Vector of the named pattern, else the wobble."""
-    out = None
-    for name, v in values.seasons().items():
-        lit = vector_literal(v)
-        out = F.when(pattern == name, lit) if out is None else out.when(pattern == name, lit)
-    return out.otherwise(wobble)
+    whens = " ".join(
+        f"when {pattern} = '{name}' then {vector_literal(v)}"
+        for name, v in values.seasons().items()
+    )
+    return f"case {whens} else {wobble} end"
 
 
-def peak_months(vector: Column, threshold: float = values.PEAK_THRESHOLD) -> Column:
-    """1-based positions whose value reaches the threshold, in order."""
-    marked = F.transform(
-        vector, lambda x, i: F.when(x >= F.lit(float(threshold)), i.cast("bigint") + F.lit(1))
+def peak_months(vector: str, threshold: float = values.PEAK_THRESHOLD) -> str:
+    """1-based positions whose value reaches the threshold, in order; any vector length."""
+    marked = (
+        f"transform({vector}, (x, i) -> if(x >= {float(threshold)!r}D, cast(i as bigint) + 1, null))"
     )
-    return F.filter(marked, lambda p: p.isNotNull())
+    return f"filter({marked}, p -> p is not null)"
 
 
-def peak_months_12(vector: Column, threshold: float = values.PEAK_THRESHOLD) -> Column:
+def peak_months_12(vector: str, threshold: float = values.PEAK_THRESHOLD) -> str:
     """:func:`peak_months` for a vector of twelve; stays in generated code."""
     at = [
-        F.when(F.get(vector, F.lit(m - 1)) >= F.lit(float(threshold)), F.lit(m).cast("bigint"))
-        for m in range(1, 13)
+        f"if(get({vector}, {m - 1}) >= {float(threshold)!r}D, {m}L, null)" for m in range(1, 13)
     ]
-    return F.array_compact(F.array(*at))
+    return f"array_compact(array({', '.join(at)}))"
 
 
-def vector_ok(vector: Column, length: int = 12) -> Column:
+def vector_ok(vector: str, length: int = 12) -> str:
     """Right length and no negative value; a missing vector is not ok."""
-    ok = (F.size(vector) == length) & F.forall(vector, lambda x: x >= 0)
-    return F.coalesce(ok, F.lit(False))
+    return f"coalesce(size({vector}) = {length} and forall({vector}, x -> x >= 0), false)"

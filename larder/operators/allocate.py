@@ -76,22 +76,20 @@ def group_ends(
     return [r.hi for r in sorted(ends, key=lambda r: r[order])]
 
 
-def group_of(number: Column, ends: list[int]) -> Column:
+def group_of(number: str, ends: list[int]) -> str:
     """Position (0-based) of the group that row ``number`` (from 1 on) falls into.
 
     The bounds are literals compared in generated code, so expanding is a narrow projection:
     neither a range join nor a shuffle of the rows.
     """
-    at = F.lit(0)
-    for end in ends[:-1]:
-        at = at + (number > F.lit(end)).cast("int")
-    return at
+    passed = [f"cast({number} > {end}L as int)" for end in ends[:-1]]
+    return "(" + " + ".join(passed or ["0"]) + ")"
 
 
-def group_start(group: Column, ends: list[int]) -> Column:
+def group_start(group: str, ends: list[int]) -> str:
     """Rows numbered up to this belong to earlier groups."""
-    starts = F.array(*[F.lit(e).cast("bigint") for e in [0, *ends[:-1]]])
-    return F.element_at(starts, group + 1)
+    starts = ", ".join(f"{e}L" for e in [0, *ends[:-1]])
+    return f"element_at(array({starts}), {group} + 1)"
 
 
 def expand_join(

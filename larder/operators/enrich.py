@@ -2,62 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder import values
 
 
+def lookup(df: DataFrame, table: DataFrame, on: dict[str, str], how: str = "inner") -> DataFrame:
+    """Equi-join a lookup: ``on`` maps lookup columns to expressions over ``df``."""
+    keyed = table.selectExpr(*[f"{c} as _k_{c}" if c in on else c for c in table.columns])
+    cond = F.expr(" and ".join(f"_k_{c} = {expr}" for c, expr in on.items()))
+    return df.join(keyed, cond, how).drop(*[f"_k_{c}" for c in on])
+
+
 def with_gst_flag(df: DataFrame, gst_free: DataFrame, out: str = "gst_applicable") -> DataFrame:
     """False for departments and (department, category) pairs listed as GST-free, else true."""
-    whole = gst_free.filter(F.col("category").isNull()).select(
-        F.col("department").alias("_free_dept"), F.lit(True).alias("_dept_free")
-    )
-    pairs = gst_free.filter(F.col("category").isNotNull()).select(
-        F.col("department").alias("_pair_dept"),
-        F.col("category").alias("_pair_cat"),
-        F.lit(True).alias("_pair_free"),
-    )
-    free = F.coalesce(F.col("_dept_free"), F.col("_pair_free"), F.lit(False))
-    return (
-        df.join(whole.distinct(), F.col("department") == F.col("_free_dept"), "left")
-        .join(
-            pairs.distinct(),
-            (F.col("department") == F.col("_pair_dept")) & (F.col("category") == F.col("_pair_cat")),
-            "left",
-        )
-        .withColumn(out, ~free)
-        .drop("_free_dept", "_dept_free", "_pair_dept", "_pair_cat", "_pair_free")
+    whole = gst_free.filter("category is null").selectExpr("department", "true as _dept_free")
+    pairs = gst_free.filter("category is not null").selectExpr(
+        "department", "category", "true as _pair_free"
     )
+    df = lookup(df, F.broadcast(whole.distinct()), {"department": "department"}, "left")
+    on = {"department": "department", "category": "category"}
+    df = lookup(df, F.broadcast(pairs.distinct()), on, "left")
+    free = "coalesce(_dept_free, _pair_free, false)"
+    return df.selectExpr("*", f"not {free} as {out}").drop("_dept_free", "_pair_free")
 
 
 def with_perishability(
     df: DataFrame, shelf: DataFrame, departments=values.PERISHABLE_DEPARTMENTS
 ) -> DataFrame:
     """Shelf life and wastage by category, only in perishable departments, else NULL."""
-    fresh = F.col("department").isin(*departments)
-    known = shelf.select(
-        F.col("category").alias("_shelf_cat"),
-        F.col("shelf_life_days").alias("_life"),
-        F.col("wastage_rate").alias("_waste"),
-    )
+    known = shelf.selectExpr("category", "shelf_life_days as _life", "wastage_rate as _waste")
+    kinds = ", ".join("'" + d.replace("'", "''") + "'" for d in departments)
     return (
-        df.join(known, F.col("category") == F.col("_shelf_cat"), "left")
-        .withColumns(
-            {
-                "shelf_life_days": F.when(fresh, F.col("_life")),
-                "wastage_rate_baseline": F.when(fresh, F.col("_waste")),
-            }
+        lookup(df, known, {"category": "category"}, "left")
+        .selectExpr(
+            "*",
+            f"if(department in ({kinds}), _life, null) as shelf_life_days",
+            f"if(department in ({kinds}), _waste, null) as wastage_rate_baseline",
         )
-        .drop("_shelf_cat", "_life", "_waste")
+        .drop("_life", "_waste")
     )
-
-
-def lookup(df: DataFrame, table: DataFrame, on: dict[str, Column], how: str = "inner") -> DataFrame:
-    """Equi-join a lookup: ``on`` maps lookup columns to expressions over ``df``."""
-    keyed = table.select([F.col(c).alias(f"_k_{c}") if c in on else F.col(c) for c in table.columns])
-    cond = None
-    for c, expr in on.items():
-        term = F.col(f"_k_{c}") == expr
-        cond = term if cond is None else cond & term
-    return df.join(keyed, cond, how).drop(*[f"_k_{c}" for c in on])

@@ -33,55 +33,48 @@ DRAWS = (
 )
 
 
-def supplier_pools(categories: DataFrame, key: str = "cat_id", pool: int = values.SUPPLIER_POOL):
-    """1 to 3 different supplier numbers per category, the same in every build."""
-
-    def u(name: str) -> Column:
-        return D.draw(0, F.col(key), name)
-
-    picks = D.distinct_picks(
-        (u("supplier1"), u("supplier2"), u("supplier3")), pool, D.uniform_int(u("suppliers"), 3) + 1
+def supplier_pools(
+    keys: DataFrame, key: str = "cat_id", pool: str | int = values.SUPPLIER_POOL, seed: int = 0
+) -> DataFrame:
+    """1 to 3 different supplier numbers per key as ``suppliers``."""
+    names = ("supplier1", "supplier2", "supplier3", "suppliers")
+    df = D.with_draws(keys, seed, key, names, prefix="_u_")
+    count = f"{D.uniform_int('_u_suppliers', 3)} + 1"
+    df = D.with_distinct_picks(
+        df, ("_u_supplier1", "_u_supplier2", "_u_supplier3"), pool, count, "suppliers"
     )
-    return categories.withColumn("suppliers", picks)
+    return df.drop(*[f"_u_{n}" for n in names])
 
 
 def category_rules(lookups: Lookups) -> DataFrame:
     """Per category: subcategories, suppliers, GST flag, shelf life and wastage."""
     df = with_gst_flag(supplier_pools(lookups.table("category")), lookups.table("gst_free"))
     df = with_perishability(df, lookups.table("shelf_life"))
-    return df.select(
+    return df.selectExpr(
         "dept_no", "cat_no", "category", "subcategories", "suppliers", "gst_applicable",
-        F.col("shelf_life_days").alias("cat_life"),
-        F.col("wastage_rate_baseline").alias("cat_waste"),
+        "shelf_life_days as cat_life", "wastage_rate_baseline as cat_waste",
     )
 
 
 def fresh_specs(lookups: Lookups) -> DataFrame:
     """Curated fresh goods with their place in the taxonomy and a complete season vector."""
     cats = lookups.table("category").filter(F.col("department") == FRESH)
-    cats = cats.select(F.col("category").alias("_cat"), F.col("cat_no").alias("spec_cat_no"))
-    vector = F.coalesce("months", R.wobble_vector(F.col("spec_no"), 0, name="fresh_wobble"))
-    return (
-        lookups.table("fresh")
-        .join(cats, F.col("category") == F.col("_cat"))
-        .select(
-            "spec_no", "spec_cat_no",
-            F.col("name").alias("spec_name"),
-            F.col("subcategory").alias("spec_sub"),
-            F.col("unit_of_measure").alias("spec_unit"),
-            F.col("pack_size").alias("spec_pack"),
-            F.col("cost").alias("spec_cost"),
-            F.col("shelf_life_days").alias("spec_life"),
-            F.col("wastage_rate").alias("spec_waste"),
-            vector.alias("spec_vector"),
-        )
+    cats = cats.selectExpr("category as _cat", "cat_no as spec_cat_no")
+    wobble = R.wobble_draws("wobble")
+    df = D.with_draws(lookups.table("fresh"), 0, "spec_no", wobble)
+    vector = R.wobble_vector([f"u_{n}" for n in wobble])
+    return df.join(cats, F.col("category") == F.col("_cat")).selectExpr(
+        "spec_no", "spec_cat_no", "name as spec_name", "subcategory as spec_sub",
+        "unit_of_measure as spec_unit", "pack_size as spec_pack", "cost as spec_cost",
+        "shelf_life_days as spec_life", "wastage_rate as spec_waste",
+        f"coalesce(months, {vector}) as spec_vector",
     )
 
 
-def fresh_variant(pack: Column, spec_cost: Column, u_cost: Column) -> Column:
+def fresh_cost(pack: str, spec_cost: str, u: str) -> str:
     """Cost of a curated item in another pack: cost x pack x U(0.9, 1.1), at least 0.50."""
-    raw = spec_cost.cast("double") * pack * D.uniform_real(u_cost, 0.9, 1.1)
-    return F.greatest(D.to_cents(raw), F.lit("0.50").cast("decimal(10,2)"))
+    raw = f"cast({spec_cost} as double) * {pack} * {D.uniform_real(u, 0.9, 1.1)}"
+    return f"greatest({D.to_cents(raw)}, cast(0.50BD as decimal(10,2)))"
 
 
 def products_for(
@@ -91,109 +84,105 @@ def products_for(
     dept = lookups.table("department")
     n_specs = lookups.rows("fresh")
     ends = group_ends(allocate(dept, total))  # one row per department
-    idx = F.col("idx")
-
-    def u(name: str) -> Column:
-        return F.col(f"u_{name}")
-
-    rows = ids.select(F.col(number).cast("bigint").alias("idx"))
-    rows = D.with_draws(rows, seed, "idx", (*DRAWS, *R.wobble_draws("wobble")))
-    rows = rows.withColumn("dept_no", group_of(idx, ends))
-    rows = rows.withColumn("in_dept", idx - group_start(F.col("dept_no"), ends))
-    rows = rows.join(dept.drop("alloc_no", "weight", "n_subcategories"), "dept_no")
-
-    is_fresh = F.col("department") == FRESH
-    curated = F.col("in_dept") <= n_specs
-    spec_no = F.when(curated, F.col("in_dept").cast("int") - 1).otherwise(
-        D.uniform_int(u("spec"), n_specs)
-    )
-    rows = lookup(rows, F.broadcast(fresh_specs(lookups)), {"spec_no": F.when(is_fresh, spec_no)}, "left")
-
-    cat_no = F.coalesce("spec_cat_no", D.uniform_int(u("category"), F.col("n_categories")))
-    rows = lookup(
-        rows, F.broadcast(category_rules(lookups)), {"dept_no": F.col("dept_no"), "cat_no": cat_no}
+    wobble = R.wobble_draws("wobble")
+
+    def by_kind(curated: str, variant: str, other: str) -> str:
+        return f"case when is_curated then {curated} when is_fresh then {variant} else {other} end"
+
+    # Work is spread over the joins: each join ends a piece of generated code, and pieces that stay
+    # below the JVM's 8000-bytecode limit are compiled to machine code.
+    rows = ids.selectExpr(f"cast({number} as bigint) as idx")
+    rows = D.with_draws(rows, seed, "idx", (*DRAWS, *wobble))
+    rows = rows.selectExpr(
+        *[c for c in rows.columns if c not in {f"u_{n}" for n in wobble}],
+        f"{group_of('idx', ends)} as dept_no",
+        f"{R.wobble_vector([f'u_{n}' for n in wobble])} as wobble",
     )
-    rows = rows.withColumn(
-        "subcategory",
-        F.when(is_fresh, F.col("spec_sub")).otherwise(
-            D.choice(u("subcategory"), F.col("subcategories"))
-        ),
+    dept = dept.selectExpr(
+        "dept_no", "department", "margin", "cost_low", "cost_mode", "cost_high",
+        "private_label_rate", "brands", "n_categories", f"department = '{FRESH}' as is_fresh",
+    )
+    rows = rows.join(dept, "dept_no")
+
+    # Rows that only need their department.
+    in_dept = f"(idx - {group_start('dept_no', ends)})"
+    curated = f"(is_fresh and {in_dept} <= {n_specs})"
+    rows = rows.selectExpr(
+        "idx", "dept_no", "department", "is_fresh", "margin", "wobble", "n_categories",
+        "u_category", "u_subcategory", "u_pack", "u_fresh_pack", "u_fresh_cost", "u_jitter",
+        "u_ending", "u_template", "u_supplier",
+        f"{curated} as is_curated",
+        f"case when {curated} then cast({in_dept} as int) - 1"
+        f" when is_fresh then {D.uniform_int('u_spec', n_specs)} end as at_spec",
+        "not is_fresh and u_private_label < private_label_rate as is_private_label",
+        f"if(is_fresh, {R.fresh_brand('u_brand', 'private_label_rate', 'brands')},"
+        f" {R.brand_pick('u_private_label < private_label_rate', 'u_brand', 'brands')}) as brand",
+        f"{D.to_cents(D.triangular('u_cost', 'cost_low', 'cost_mode', 'cost_high'))} as drawn_cost",
+    )
+    rows = lookup(rows, F.broadcast(fresh_specs(lookups)), {"spec_no": "at_spec"}, "left")
+
+    # Prices and the category.
+    bag = f"if(is_fresh and not is_curated, {D.choice_of('u_fresh_pack', values.FRESH_PACKS)}, null)"
+    rows = rows.selectExpr("*", f"{bag} as bag")
+    rows = rows.selectExpr(
+        "*",
+        f"coalesce(spec_cat_no, {D.uniform_int('u_category', 'n_categories')}) as at_category",
+        f"{by_kind('spec_cost', fresh_cost('bag', 'spec_cost', 'u_fresh_cost'), 'drawn_cost')}"
+        " as cost",
+        f"if(is_fresh, {D.uniform_real('u_jitter', 0.95, 1.05)},"
+        f" {D.uniform_real('u_jitter', 0.97, 1.03)}) as jitter",
+        f"{R.price_ending('u_ending')} as ending",
     )
+    rows = rows.selectExpr("*", f"{R.markup_price('cost', 'margin', 'jitter')} as markup")
+    rows = rows.selectExpr("*", f"{R.charm_price('markup', 'ending')} as charm")
+    rows = rows.selectExpr("*", f"{R.retail_above_cost('charm', 'cost')} as retail")
     rows = lookup(
-        rows, lookups.table("name_template"), {"subcategory": F.col("subcategory")}, "left"
-    )
-
-    unit, pack = R.unit_and_pack(F.col("department"), F.col("subcategory"), u("pack"))
-    new_pack = D.choice_of(u("fresh_pack"), values.FRESH_PACKS)
-    private = ~is_fresh & D.bernoulli(u("private_label"), F.col("private_label_rate"))
-    cost = D.to_cents(
-        D.triangular(u("cost"), F.col("cost_low"), F.col("cost_mode"), F.col("cost_high"))
-    )
-    rows = rows.withColumns(
-        {
-            "is_private_label": private,
-            "unit_of_measure": F.when(~is_fresh, unit)
-            .when(curated, F.col("spec_unit"))
-            .otherwise("kg"),
-            "pack_size": F.when(~is_fresh, pack)
-            .when(curated, F.col("spec_pack"))
-            .otherwise(new_pack),
-            "cost": F.when(~is_fresh, cost)
-            .when(curated, F.col("spec_cost"))
-            .otherwise(fresh_variant(new_pack, F.col("spec_cost"), u("fresh_cost"))),
-            "jitter": F.when(is_fresh, D.uniform_real(u("jitter"), 0.95, 1.05)).otherwise(
-                D.uniform_real(u("jitter"), 0.97, 1.03)
-            ),
-            "season": F.when(
-                ~is_fresh,
-                R.season_name(F.col("department"), F.col("category"), F.col("subcategory")),
-            ),
-        }
+        rows,
+        F.broadcast(category_rules(lookups)),
+        {"dept_no": "dept_no", "cat_no": "at_category"},
     )
 
-    wobble = R.wobble_of([u(name) for name in R.wobble_draws("wobble")])
-    base = F.coalesce(D.choice(u("template"), F.col("templates")), F.col("subcategory"))
-    label = R.pack_label(F.col("unit_of_measure"), F.col("pack_size"))
-    rows = rows.withColumns(
-        {
-            "brand": F.when(
-                is_fresh, R.fresh_brand(u("brand"), F.col("private_label_rate"), F.col("brands"))
-            ).otherwise(R.brand_pick(F.col("is_private_label"), u("brand"), F.col("brands"))),
-            "seasonality_vector": F.when(is_fresh, F.col("spec_vector")).otherwise(
-                R.season_vector(F.col("season"), wobble)
-            ),
-            "retail": R.retail_price(
-                F.col("cost"), F.col("margin"), F.col("jitter"), R.price_ending(u("ending"))
-            ),
-        }
-    )
-    peaks = R.peak_months_12(F.col("seasonality_vector"))
-    fresh_name = F.when(curated, F.col("spec_name")).otherwise(
-        F.concat_ws(" ", F.col("spec_name"), R.bag_label(F.col("pack_size")))
+    # Subcategory, pack and season.
+    sub = D.choice("u_subcategory", "subcategories")
+    rows = rows.selectExpr("*", f"if(is_fresh, spec_sub, {sub}) as subcategory")
+    unit, pack = R.unit_and_pack("department", "subcategory", "u_pack")
+    rows = rows.selectExpr(
+        "*",
+        f"{by_kind('spec_unit', _quoted('kg'), unit)} as unit_of_measure",
+        f"{by_kind('spec_pack', 'bag', pack)} as pack_size",
+        f"if(is_fresh, null, {R.season_name('department', 'category', 'subcategory')}) as season",
     )
-    sku = F.when(is_fresh, idx + SKU_BASE_FRESH).otherwise(idx + SKU_BASE_OTHER)
-    return rows.select(
-        R.format_key("P", idx, 6).alias("product_id"),
-        R.format_key("", sku, 13).alias("sku"),
-        F.when(is_fresh, fresh_name)
-        .otherwise(R.product_name(F.col("brand"), base, label))
-        .alias("name"),
+    vector = f"if(is_fresh, spec_vector, {R.season_vector('season', 'wobble')})"
+    rows = rows.selectExpr("*", f"{vector} as seasonality_vector")
+    rows = lookup(rows, lookups.table("name_template"), {"subcategory": "subcategory"}, "left")
+
+    base = f"coalesce({D.choice('u_template', 'templates')}, subcategory)"
+    variant_name = f"concat_ws(' ', spec_name, {R.bag_label('bag')})"
+    other_name = R.product_name("brand", base, R.pack_label("unit_of_measure", "pack_size"))
+    sku = f"idx + if(is_fresh, {SKU_BASE_FRESH}L, {SKU_BASE_OTHER}L)"
+    return rows.selectExpr(
+        f"{R.format_key('P', 'idx', 6)} as product_id",
+        f"{R.format_key('', sku, 13)} as sku",
+        f"{by_kind('spec_name', variant_name, other_name)} as name",
         "department", "category", "subcategory", "brand", "is_private_label",
         "unit_of_measure", "pack_size",
-        F.col("cost").cast("double").alias("cost_price_aud"),
-        F.col("retail").cast("double").alias("retail_price_aud"),
+        "cast(cost as double) as cost_price_aud",
+        "cast(retail as double) as retail_price_aud",
         "gst_applicable",
-        F.when(is_fresh, F.col("spec_life")).otherwise(F.col("cat_life")).alias("shelf_life_days"),
+        "if(is_fresh, spec_life, cat_life) as shelf_life_days",
         # Fresh goods keep an empty list, other products have NULL when no month peaks.
-        F.when(is_fresh | F.col("season").isNotNull(), peaks).alias("peak_season_months"),
+        f"if(is_fresh or season is not null, {R.peak_months_12('seasonality_vector')}, null)"
+        " as peak_season_months",
         "seasonality_vector",
-        F.when(is_fresh, F.col("spec_waste"))
-        .otherwise(F.col("cat_waste"))
-        .alias("wastage_rate_baseline"),
-        R.format_key("SUP", D.choice(u("supplier"), F.col("suppliers")), 4).alias("supplier_id"),
+        "if(is_fresh, spec_waste, cat_waste) as wastage_rate_baseline",
+        f"{R.format_key('SUP', D.choice('u_supplier', 'suppliers'), 4)} as supplier_id",
     )
 
 
+def _quoted(s: str) -> str:
+    return f"'{s}'"
+
+
 def build_products(
     spark: SparkSession,
     n: int = 2000,
