@@ -146,7 +146,7 @@ def wobble_vector(us: Sequence[str], amplitude: float = 0.1) -> str:
     """Vector of 1 +/- amplitude from uniform draws, two decimals each."""
     low = round(100 * (1 - amplitude))
     width = round(200 * amplitude)
-    return f"array({', '.join(f'(floor({u} * {width}D + 0.5D) + {low}) / 100D' for u in us)})"
+    return f"transform(array({', '.join(us)}), u -> (floor(u * {width}D + 0.5D) + {low}) / 100D)"
 
 
 def season_name(department: str, category: str, subcategory: str) -> str:
@@ -178,14 +178,6 @@ def peak_months(vector: str, threshold: float = values.PEAK_THRESHOLD) -> str:
     return f"filter({marked}, p -> p is not null)"
 
 
-def peak_months_12(vector: str, threshold: float = values.PEAK_THRESHOLD) -> str:
-    """:func:`peak_months` for a vector of twelve; stays in generated code."""
-    at = [
-        f"if(get({vector}, {m - 1}) >= {float(threshold)!r}D, {m}L, null)" for m in range(1, 13)
-    ]
-    return f"array_compact(array({', '.join(at)}))"
-
-
 def vector_ok(vector: str, length: int = 12) -> str:
     """Right length and no negative value; a missing vector is not ok."""
     return f"coalesce(size({vector}) = {length} and forall({vector}, x -> x >= 0), false)"

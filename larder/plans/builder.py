@@ -25,6 +25,7 @@ RAW_COLUMNS = (
 )
 
 FRESH = "Fresh Produce"
+MANY_PARTITIONS = 100_000_000
 SKU_BASE_FRESH = 2_000_000
 SKU_BASE_OTHER = 3_000_000
 DRAWS = (
@@ -89,8 +90,9 @@ def products_for(
     def by_kind(curated: str, variant: str, other: str) -> str:
         return f"case when is_curated then {curated} when is_fresh then {variant} else {other} end"
 
-    # Work is spread over the joins: each join ends a piece of generated code, and pieces that stay
-    # below the JVM's 8000-bytecode limit are compiled to machine code.
+    # One generated function for the whole row would exceed the 8000 bytecodes the JVM compiles to
+    # machine code. The array steps (wobble, peak months) end a generated stage, which keeps each
+    # stage small; expressions between them are spread over the joins.
     rows = ids.selectExpr(f"cast({number} as bigint) as idx")
     rows = D.with_draws(rows, seed, "idx", (*DRAWS, *wobble))
     rows = rows.selectExpr(
@@ -119,6 +121,7 @@ def products_for(
         f" {R.brand_pick('u_private_label < private_label_rate', 'u_brand', 'brands')}) as brand",
         f"{D.to_cents(D.triangular('u_cost', 'cost_low', 'cost_mode', 'cost_high'))} as drawn_cost",
     )
+    rows = _stage_end(rows)
     rows = lookup(rows, F.broadcast(fresh_specs(lookups)), {"spec_no": "at_spec"}, "left")
 
     # Prices and the category.
@@ -136,6 +139,7 @@ def products_for(
     rows = rows.selectExpr("*", f"{R.markup_price('cost', 'margin', 'jitter')} as markup")
     rows = rows.selectExpr("*", f"{R.charm_price('markup', 'ending')} as charm")
     rows = rows.selectExpr("*", f"{R.retail_above_cost('charm', 'cost')} as retail")
+    rows = _stage_end(rows)
     rows = lookup(
         rows,
         F.broadcast(category_rules(lookups)),
@@ -154,6 +158,7 @@ def products_for(
     )
     vector = f"if(is_fresh, spec_vector, {R.season_vector('season', 'wobble')})"
     rows = rows.selectExpr("*", f"{vector} as seasonality_vector")
+    rows = _stage_end(rows)
     rows = lookup(rows, lookups.table("name_template"), {"subcategory": "subcategory"}, "left")
 
     base = f"coalesce({D.choice('u_template', 'templates')}, subcategory)"
@@ -171,7 +176,7 @@ def products_for(
         "gst_applicable",
         "if(is_fresh, spec_life, cat_life) as shelf_life_days",
         # Fresh goods keep an empty list, other products have NULL when no month peaks.
-        f"if(is_fresh or season is not null, {R.peak_months_12('seasonality_vector')}, null)"
+        f"if(is_fresh or season is not null, {R.peak_months('seasonality_vector')}, null)"
         " as peak_season_months",
         "seasonality_vector",
         "if(is_fresh, spec_waste, cat_waste) as wastage_rate_baseline",
@@ -179,6 +184,11 @@ def products_for(
     )
 
 
+def _stage_end(df: DataFrame) -> DataFrame:
+    """End the generated stage here; the partitions stay as they are (no shuffle, no merging)."""
+    return df.coalesce(MANY_PARTITIONS)
+
+
 def _quoted(s: str) -> str:
     return f"'{s}'"
 
