@@ -1,0 +1,278 @@
+"""Incremental loads, history, star-schema and demand queries over the fact tables."""
+
+from __future__ import annotations
+
+import uuid
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from larder.catalog import check_sql as S
+from larder.catalog import query
+from larder.operators import demand as DM
+from larder.operators import history as H
+from larder.operators import star
+from larder.operators.calendar import calendar_dim, holidays
+from larder.plans.jobs import dated, job_backfill, job_daily
+from larder.plans.part_products import read_part_products
+from larder.session import scratch
+from larder.sources.partitioned import read_partitions, write_partitions
+from larder.sources.tables import ensure_schema, write_layer
+from larder.streaming.incremental import load_new_files
+
+
+def _read(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_BY_DAY = (
+    "cast(count(*) as bigint) as n_events",
+    "cast(sum(cast(value as decimal(12,2))) as decimal(18,2)) as total_value",
+)
+_DAY_SQL = """count(*) n_events,
+  cast(sum(cast(value as decimal(12,2))) as decimal(18,2)) total_value"""
+
+
+# ---- loads -------------------------------------------------------------------------------------
+
+
+@query(
+    "backfill_range",
+    f"""select strftime(ts, '%Y-%m-%d') as day_key, event_type, {_DAY_SQL}
+        from events group by all""",
+)
+def backfill_range(spark, sf_dir):
+    """Two overlapping backfills: the shared days are replaced, not doubled."""
+    events = _read(spark, sf_dir, "events")
+    out = scratch(spark, "backfill")
+    job_backfill(events, date(1970, 1, 1), date(2024, 1, 20), out)
+    job_backfill(events, date(2024, 1, 15), date(2099, 12, 31), out)
+    rows = read_partitions(spark, out).selectExpr(
+        "cast(event_date as string) as day_key", "event_type", "value"
+    )
+    return rows.groupBy("day_key", "event_type").agg(*[F.expr(e) for e in _BY_DAY])
+
+
+@query(
+    "daily_increment",
+    f"select strftime(ts, '%Y-%m-%d') as day_key, {_DAY_SQL} from events group by all",
+)
+def daily_increment(spark, sf_dir):
+    """The events as a bounded stream; a second run finds nothing new."""
+    out, checkpoint = scratch(spark, "daily"), scratch(spark, "daily-checkpoint")
+    schema = _read(spark, sf_dir, "events").schema
+    for _ in range(2):
+        load_new_files(spark, sf_dir, schema, out, checkpoint, files="events.parquet")
+    rows = spark.read.parquet(out).selectExpr("cast(event_date as string) as day_key", "value")
+    return rows.groupBy("day_key").agg(*[F.expr(e) for e in _BY_DAY])
+
+
+@query(
+    "partitioned_scan",
+    f"""select strftime(ts, '%Y-%m-%d') as day_key, user_id % 10 as user_group, {_DAY_SQL}
+        from events where event_type = 'purchase' and ts >= timestamp '2024-01-10' group by all""",
+)
+def partitioned_scan(spark, sf_dir):
+    """Reads just the partitions of one event type from a date on; one day is loaded twice."""
+    events = _read(spark, sf_dir, "events")
+    out = write_partitions(dated(events), scratch(spark, "events"), ["event_date", "event_type"])
+    job_daily(events, date(2024, 1, 15), out)
+    rows = read_partitions(spark, out).filter(
+        "event_type = 'purchase' and event_date >= date '2024-01-10'"
+    )
+    rows = rows.selectExpr(
+        "cast(event_date as string) as day_key", "user_id % 10 as user_group", "value"
+    )
+    return rows.groupBy("day_key", "user_group").agg(*[F.expr(e) for e in _BY_DAY])
+
+
+# ---- history -----------------------------------------------------------------------------------
+
+_LINE_COLUMNS = (
+    "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,"
+    " l_tax, l_returnflag, l_linestatus, l_shipdate"
+)
+
+
+@query(
+    "dedup_latest",
+    f"""select {_LINE_COLUMNS} from lineitem qualify row_number() over (
+          partition by l_orderkey, l_linenumber order by l_shipdate desc, l_partkey desc,
+            l_suppkey desc, l_quantity desc, l_extendedprice desc, l_discount desc, l_tax desc,
+            l_returnflag desc, l_linestatus desc) = 1""",
+)
+def dedup_latest(spark, sf_dir):
+    lines = _read(spark, sf_dir, "lineitem").select(*_LINE_COLUMNS.split(", "))
+    return H.dedup_latest(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+# Customers below zero balance are left out of the dimension, so orders of theirs have no match.
+@query(
+    "surrogate_keys",
+    """select coalesce(c_mktsegment, 'unknown') segment, count(*) n_orders,
+         count(distinct c_custkey) n_customers,
+         cast(sum(cast(o_totalprice as decimal(14,2))) as decimal(22,2)) total
+       from orders left join (select * from customer where c_acctbal >= 0) on o_custkey = c_custkey
+       group by 1""",
+)
+def surrogate_keys(spark, sf_dir):
+    dim = _read(spark, sf_dir, "customer").filter("c_acctbal >= 0")
+    dim = H.with_surrogate_key(dim, ["c_custkey"], "customer_sk")
+    facts = H.swap_keys(
+        _read(spark, sf_dir, "orders"), dim, {"o_custkey": "c_custkey"}, "customer_sk"
+    )
+    per_key = facts.groupBy("customer_sk").agg(
+        F.count("*").alias("n"),
+        F.sum(F.expr("cast(o_totalprice as decimal(14,2))")).alias("total"),
+    )
+    out = per_key.join(dim.select("customer_sk", "c_mktsegment"), "customer_sk", "left")
+    return out.groupBy(F.expr("coalesce(c_mktsegment, 'unknown')").alias("segment")).agg(
+        F.sum("n").alias("n_orders"),
+        F.count("c_mktsegment").alias("n_customers"),
+        F.sum("total").cast("decimal(22,2)").alias("total"),
+    )
+
+
+_NEXT = """select c_custkey + case when c_nationkey = 0 then 100000000 else 0 end c_custkey, c_name,
+  case when c_acctbal < 0 then 'AT RISK' else c_mktsegment end c_mktsegment
+  from customer where c_acctbal <= 9500"""
+
+
+@query(
+    "scd2_merge",
+    f"""with nxt as ({_NEXT}), j as (
+          select o.c_custkey ok, o.c_name oname, o.c_mktsegment oseg, n.c_custkey nk, n.c_name nname,
+            n.c_mktsegment nseg, (o.c_name = n.c_name and o.c_mktsegment = n.c_mktsegment) same
+          from customer o full join nxt n on o.c_custkey = n.c_custkey)
+        select ok c_custkey, oname c_name, oseg c_mktsegment, '2024-01-01' since,
+          case when coalesce(same, false) then 'open' else '2024-06-01' end until,
+          coalesce(same, false) is_current from j where ok is not null
+        union all select nk, nname, nseg, '2024-06-01', 'open', true from j
+          where nk is not null and not coalesce(same, false)""",
+)
+def scd2_merge(spark, sf_dir):
+    """The history table is rewritten from itself through its staging table."""
+    customer = _read(spark, sf_dir, "customer")
+    schema = f"larder_scd_{uuid.uuid4().hex[:8]}"
+    ensure_schema(spark, schema, scratch(spark, schema))
+    table = f"{schema}.customer_history"
+    first = customer.select("c_custkey", "c_name", "c_mktsegment")
+    write_layer(H.open_history(first, date(2024, 1, 1)), table)
+    snapshot = customer.filter("c_acctbal <= 9500").selectExpr(
+        "c_custkey + if(c_nationkey = 0, 100000000, 0) as c_custkey",
+        "c_name",
+        "if(c_acctbal < 0, 'AT RISK', c_mktsegment) as c_mktsegment",
+    )
+    write_layer(H.scd2_merge(spark.table(table), snapshot, "c_custkey", date(2024, 6, 1)), table)
+    return spark.table(table).selectExpr(
+        "c_custkey", "c_name", "c_mktsegment", "cast(valid_from as string) as since",
+        "coalesce(cast(valid_to as string), 'open') as until", "is_current",
+    )
+
+
+# ---- star schema -------------------------------------------------------------------------------
+
+_REV = "cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2)))"
+
+
+@query(
+    "star_join_agg",
+    f"""select n_name, p_type, year(l_shipdate)::integer ship_year, count(*) n_lines,
+          cast(sum(cast(l_quantity as decimal(12,2))) as decimal(18,2)) quantity,
+          cast(sum({_REV}) as decimal(22,4)) revenue
+        from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey
+        join nation on s_nationkey = n_nationkey group by all""",
+)
+def star_join_agg(spark, sf_dir):
+    names = ("lineitem", "part", "supplier", "nation")
+    return star.star_join_agg(*[_read(spark, sf_dir, n) for n in names])
+
+
+@query(
+    "preagg_month_brand",
+    f"""select strftime(l_shipdate, '%Y-%m') as month, p_brand,
+          grouping(strftime(l_shipdate, '%Y-%m'), p_brand)::integer as level, count(*) n_lines,
+          cast(sum(cast(l_quantity as decimal(12,2))) as decimal(18,2)) quantity,
+          cast(sum({_REV}) as decimal(22,4)) revenue
+        from lineitem join part on l_partkey = p_partkey
+        group by cube (strftime(l_shipdate, '%Y-%m'), p_brand)""",
+)
+def preagg_month_brand(spark, sf_dir):
+    return star.month_brand_cube(_read(spark, sf_dir, "lineitem"), _read(spark, sf_dir, "part"))
+
+
+_HOLIDAY_SQL = " ".join(
+    f"when month(d) = {m} and day(d) = {day} then '{name}'" for m, day, name in holidays()
+)
+
+
+@query(
+    "calendar_dim",
+    f"""with span as (select min(o_orderdate)::date a, max(o_orderdate)::date b from orders),
+        days as (select unnest(generate_series(a::timestamp, b::timestamp, interval 1 day))::date d
+                 from span),
+        per_day as (select o_orderdate::date od, count(*) n from orders group by all)
+        select strftime(d, '%Y%m%d') date_key, year(d)::integer as year,
+          quarter(d)::integer as quarter, month(d)::integer as month, week(d)::integer iso_week,
+          isodow(d)::integer iso_weekday, isodow(d) >= 6 is_weekend, case {_HOLIDAY_SQL} end holiday,
+          coalesce(n, 0) n_orders
+        from days left join per_day on od = d""",
+)
+def calendar_days(spark, sf_dir):
+    """The calendar from the first to the last order day with the orders of each day."""
+    orders = _read(spark, sf_dir, "orders").selectExpr("cast(o_orderdate as date) as od")
+    span = orders.agg(F.min("od").alias("first_day"), F.max("od").alias("last_day"))
+    per_day = orders.groupBy("od").agg(F.count("*").alias("n"))
+    out = calendar_dim(span).join(per_day, F.col("day") == F.col("od"), "left")
+    return out.selectExpr(
+        "date_key", "year", "quarter", "month", "iso_week", "iso_weekday", "is_weekend", "holiday",
+        "coalesce(n, 0) as n_orders",
+    )
+
+
+# ---- demand ------------------------------------------------------------------------------------
+
+_QTY = "cast(l_quantity as decimal(12,2))"
+
+
+@query(
+    "seasonal_weighted_sales",
+    f"""with {S.PARTS}, vectors as (select k, department,
+          {S.season_vector("season", S.wobble(7, "k"))} vec from parts)
+        select department, month(l_shipdate)::integer as month,
+          cast(sum({_QTY}) as decimal(18,2)) quantity,
+          cast(sum({_QTY} * cast(vec[month(l_shipdate)] as decimal(4,2))) as decimal(20,4))
+            weighted_quantity
+        from lineitem join vectors on l_partkey = k group by all""",
+)
+def seasonal_weighted_sales(spark, sf_dir):
+    lines = _read(spark, sf_dir, "lineitem")
+    return DM.seasonal_weighted_sales(lines, read_part_products(spark, sf_dir))
+
+
+@query(
+    "expected_wastage",
+    f"""with {S.PARTS} select department, category, cast(sum({_QTY}) as decimal(18,2)) quantity,
+          cast(sum({_QTY} * coalesce(cast(wastage_rate_baseline as decimal(4,2)), 0))
+            as decimal(20,4)) expected_wastage
+        from lineitem join parts on l_partkey = k group by all""",
+)
+def expected_wastage(spark, sf_dir):
+    lines = _read(spark, sf_dir, "lineitem")
+    return DM.expected_wastage(lines, read_part_products(spark, sf_dir))
+
+
+@query(
+    "forecast_seasonal_naive",
+    f"""with weekly as (select l_partkey,
+            (floor(date_diff('day', date '1970-01-05', l_shipdate::date) / 7))::integer as week,
+            sum({_QTY}) qty from lineitem group by all)
+        select l_partkey, week, cast(qty as decimal(18,2)) demand,
+          cast(sum(qty) over (partition by l_partkey order by week
+            range between 52 preceding and 52 preceding) as decimal(18,2)) naive_forecast,
+          cast(coalesce(sum(qty) over (partition by l_partkey order by week
+            range between 4 preceding and 1 preceding), 0) * 0.25 as decimal(18,4)) mean_4_weeks
+        from weekly""",
+)
+def forecast_seasonal_naive(spark, sf_dir):
+    return DM.seasonal_naive_forecast(DM.weekly_demand(_read(spark, sf_dir, "lineitem")))
