@@ -8,6 +8,7 @@ is broadcast only after its size was checked (:func:`bounded`), otherwise Spark
 from __future__ import annotations
 
 from collections.abc import Mapping
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,18 @@ _TABLES = {
 }
 
 
+# What identifies a row; repeated rows of a caller's table would multiply the rows they join.
+_KEYS = {
+    "department": ["department"],
+    "category": ["department", "category"],
+    "taxonomy": ["department", "category", "subcategory"],
+    "gst_free": ["department", "category"],
+    "shelf_life": ["category"],
+    "fresh": ["spec_no"],
+    "name_template": ["subcategory"],
+}
+
+
 def names() -> list[str]:
     return list(_TABLES)
 
@@ -96,6 +109,17 @@ def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, i
     return (F.broadcast(df) if n <= max_rows else df), n
 
 
+_BUILTIN: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
+
+
+def _builtin(spark: SparkSession, name: str) -> DataFrame:
+    """A built-in table, parsed once per session."""
+    tables = _BUILTIN.setdefault(spark, {})
+    if name not in tables:
+        tables[name] = F.broadcast(spark.sql(values_sql(name)))
+    return tables[name]
+
+
 class Lookups:
     """The lookup tables of one job; ``replace`` swaps in the caller's own tables."""
 
@@ -106,11 +130,11 @@ class Lookups:
         for name, df in (replace or {}).items():
             if missing := set(_TABLES[name][1]) - set(df.columns):
                 raise ValueError(f"lookup {name} lacks columns {sorted(missing)}")
-            self._tables[name], self._rows[name] = bounded(df)
+            self._tables[name], self._rows[name] = bounded(df.dropDuplicates(_KEYS[name]))
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = F.broadcast(self.spark.sql(values_sql(name)))
+            self._tables[name] = _builtin(self.spark, name)
             self._rows[name] = len(_TABLES[name][0]())
         return self._tables[name]
 

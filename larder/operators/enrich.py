@@ -16,14 +16,17 @@ def lookup(df: DataFrame, table: DataFrame, on: dict[str, str], how: str = "inne
 
 
 def with_gst_flag(df: DataFrame, gst_free: DataFrame, out: str = "gst_applicable") -> DataFrame:
-    """False for departments and (department, category) pairs listed as GST-free, else true."""
+    """False for departments and (department, category) pairs listed as GST-free, else true.
+
+    ``gst_free`` lists each entry once; a NULL category stands for the whole department.
+    """
     whole = gst_free.filter("category is null").selectExpr("department", "true as _dept_free")
     pairs = gst_free.filter("category is not null").selectExpr(
         "department", "category", "true as _pair_free"
     )
-    df = lookup(df, F.broadcast(whole.distinct()), {"department": "department"}, "left")
+    df = lookup(df, whole, {"department": "department"}, "left")
     on = {"department": "department", "category": "category"}
-    df = lookup(df, F.broadcast(pairs.distinct()), on, "left")
+    df = lookup(df, pairs, on, "left")
     free = "coalesce(_dept_free, _pair_free, false)"
     return df.selectExpr("*", f"not {free} as {out}").drop("_dept_free", "_pair_free")
 

@@ -57,20 +57,18 @@ def dated(events: DataFrame, ts: str = "ts") -> DataFrame:
     return events.withColumn("event_date", F.col(ts).cast("date"))
 
 
-def job_backfill(
-    events: DataFrame, start: date, end: date, output: str, ts: str = "ts",
-    domain: str = "event_type",
-) -> str:
+def job_backfill(events: DataFrame, start: date, end: date, output: str, ts: str = "ts") -> str:
     """Load the days start..end; a repeated run replaces just those days.
 
-    The range is tested on the timestamp itself, so it reaches the scan of the source.
+    A day is one partition and is replaced as a whole; a day the source has no rows for keeps what
+    it had. The range is tested on the timestamp itself, so it reaches the scan of the source.
     """
     wanted = events.filter(
         (F.col(ts) >= F.lit(start).cast("date")) & (F.col(ts) < F.date_add(F.lit(end), 1))
     )
-    return write_partitions(dated(wanted, ts), output, ["event_date", domain])
+    return write_partitions(dated(wanted, ts), output, ["event_date"])
 
 
-def job_daily(events: DataFrame, day: date, output: str, ts: str = "ts", domain="event_type") -> str:
+def job_daily(events: DataFrame, day: date, output: str, ts: str = "ts") -> str:
     """Load one day."""
-    return job_backfill(events, day, day, output, ts, domain)
+    return job_backfill(events, day, day, output, ts)
