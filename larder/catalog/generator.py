@@ -11,7 +11,7 @@ from larder.catalog import query
 from larder.functions import draws as D
 from larder.functions import rules as R
 from larder.lookups import Lookups
-from larder.operators.allocate import allocate, group_ends, group_of, group_start
+from larder.operators.allocate import allocate, group_of, place_in_group, spans
 from larder.operators.enrich import lookup, with_gst_flag, with_perishability
 from larder.plans.builder import fresh_cost, fresh_specs, products_for, supplier_pools
 from larder.plans.part_products import read_part_products
@@ -88,9 +88,12 @@ bounds as (select *, sum(n) over (order by dept_no)::bigint hi,
 def expand_allocation(spark, sf_dir):
     part = _part(spark, sf_dir)
     total = part.agg(F.count("*")).scalar()
-    ends = group_ends(allocate(Lookups(spark).table("department"), total))
-    rows = part.selectExpr("p_partkey", f"{group_of('p_partkey + 1', ends)} as dept_no")
-    return rows.selectExpr("*", f"p_partkey + 1 - {group_start('dept_no', ends)} as in_dept")
+    groups = spans(allocate(Lookups(spark).table("department"), total))
+    return part.selectExpr(
+        "p_partkey",
+        f"{group_of('p_partkey + 1', groups)} as dept_no",
+        f"{place_in_group('p_partkey + 1', groups)} as in_dept",
+    )
 
 
 # ---- draws -------------------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from larder.operators import model as M
 from larder.plans.layer_run import LayerConfig, run_layers
 from larder.plans.part_products import read_landing_products, read_part_products
 from larder.session import scratch
-from larder.sources.landing import read_landing, write_rows
+from larder.sources.landing import preview, read_landing, write_rows
 from larder.sources.tables import ensure_schema, read_layer, write_layer
 
 MONEY = ("cost_price_aud", "retail_price_aud")
@@ -102,7 +102,7 @@ def write_parquet_roundtrip(spark, sf_dir):
 )
 def preview_topk(spark, sf_dir):
     rows = _silver(spark, sf_dir).select("product_id", "name", "department", "retail_price_aud")
-    return rows.orderBy("product_id").limit(10)
+    return preview(rows, 10, "product_id")
 
 
 MODEL_SQL = ", ".join(name for name, _, _ in M.model_columns())

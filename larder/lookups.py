@@ -2,7 +2,7 @@
 
 The built-in tables hold 10 to 114 rows and are inlined as ``VALUES``, so Catalyst knows their size
 and broadcasts them by itself. Callers may replace any table by their own DataFrame; such a table
-is broadcast only after its size was checked (:func:`bounded`), otherwise Spark picks the join.
+is broadcast only after its size was checked (:func:`measured`), otherwise Spark picks the join.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from larder import values
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 64 << 20
 
 # name -> (row source, {column: Spark type})
 _TABLES = {
@@ -102,11 +103,17 @@ def values_sql(name: str, array: str = "array({})", types: Mapping[str, str] | N
     return f"select {casts} from (values\n  {rows}) as t({', '.join(cols)})"
 
 
-def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """(``df``, its rows up to ``max_rows`` + 1); broadcast if it has at most ``max_rows`` rows,
-    beyond that Spark picks the join."""
-    n = df.limit(max_rows + 1).count()
-    return (F.broadcast(df) if n <= max_rows else df), n
+def measured(df: DataFrame) -> tuple[int, bool]:
+    """(rows, small enough to broadcast) of a caller's table, without reading far beyond the bound.
+
+    Rows count up to BROADCAST_ROWS + 1 only; the size is that of the rows as text.
+    """
+    size = F.length(F.to_json(F.struct(*df.columns)))
+    head = df.limit(BROADCAST_ROWS + 1).agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")
+    )
+    r = head.first()
+    return r.n, r.n <= BROADCAST_ROWS and r.bytes <= BROADCAST_BYTES
 
 
 _BUILTIN: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
@@ -125,20 +132,30 @@ class Lookups:
 
     def __init__(self, spark: SparkSession, replace: Mapping[str, DataFrame] | None = None):
         self.spark = spark
-        self._tables: dict[str, DataFrame] = {}
+        self._own: dict[str, DataFrame] = {}
         self._rows: dict[str, int] = {}
+        self._large: set[str] = set()
         for name, df in (replace or {}).items():
             if missing := set(_TABLES[name][1]) - set(df.columns):
                 raise ValueError(f"lookup {name} lacks columns {sorted(missing)}")
-            self._tables[name], self._rows[name] = bounded(df.dropDuplicates(_KEYS[name]))
+            df = df.dropDuplicates(_KEYS[name])
+            self._rows[name], small = measured(df)
+            self._own[name] = F.broadcast(df) if small else df
+            if not small:
+                self._large.add(name)
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            self._tables[name] = _builtin(self.spark, name)
-            self._rows[name] = len(_TABLES[name][0]())
-        return self._tables[name]
+        """The table, with a broadcast hint if its size allows."""
+        return self._own[name] if name in self._own else _builtin(self.spark, name)
 
     def rows(self, name: str) -> int:
-        """Row count of the table, exact up to the broadcast bound."""
-        self.table(name)
+        """Row count of the table."""
+        if name not in self._own:
+            return len(_TABLES[name][0]())
+        if self._rows[name] > BROADCAST_ROWS:
+            return self._own[name].count()
         return self._rows[name]
+
+    def hint(self, df: DataFrame, *sources: str) -> DataFrame:
+        """Broadcast ``df``, which has one row per row of its ``sources``, if they are all small."""
+        return df if self._large & set(sources) else F.broadcast(df)

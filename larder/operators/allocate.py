@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 REMAINDER_BINS = 1024
+MAX_SPANS = 64
 
 
 def allocate(
@@ -60,56 +65,84 @@ def allocate(
     )
 
 
-def bounds(allocation: DataFrame, order: str = "dept_no", n: str = "n") -> DataFrame:
-    """Running upper bounds of the groups: rows lo+1..hi belong to the group."""
-    upto = W.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return allocation.withColumn("hi", F.sum(n).over(upto)).withColumn("lo", F.col("hi") - F.col(n))
+@dataclass(frozen=True)
+class Span:
+    """Rows lo+1..hi belong to the group."""
+
+    group: int
+    lo: int
+    hi: int
+
 
+def spans(allocation: DataFrame, order: str = "dept_no", n: str = "n") -> list[Span] | None:
+    """The groups of a lookup-sized allocation in ``order`` with their row ranges; None when there
+    are more than MAX_SPANS groups, for which :func:`expand_join` is the way."""
+    rows = allocation.select(order, n).limit(MAX_SPANS + 1).collect()
+    if len(rows) > MAX_SPANS:
+        return None
+    rows.sort()
+    ends = list(accumulate(r[1] for r in rows))
+    return [Span(r[0], end - r[1], end) for r, end in zip(rows, ends, strict=True) if r[1]]
 
-def group_ends(
-    allocation: DataFrame, order: str = "dept_no", n: str = "n", max_groups: int = 1000
-) -> list[int]:
-    """The running upper bounds of a lookup-sized allocation as a list."""
-    ends = bounds(allocation, order, n).select("hi", order).limit(max_groups + 1).collect()
-    if len(ends) > max_groups:
-        raise ValueError(f"more than {max_groups} groups; use expand_join for long allocations")
-    return [r.hi for r in sorted(ends, key=lambda r: r[order])]
 
+def _by_span(number: str, groups: Sequence[Span], value) -> str:
+    if not groups:
+        return "cast(null as bigint)"
+    whens = " ".join(f"when {number} <= {s.hi}L then {value(s)}" for s in groups[:-1])
+    return f"(case {whens} else {value(groups[-1])} end)" if whens else str(value(groups[-1]))
 
-def group_of(number: str, ends: list[int]) -> str:
-    """Position (0-based) of the group that row ``number`` (from 1 on) falls into.
 
-    The bounds are literals compared in generated code, so expanding is a narrow projection:
+def group_of(number: str, groups: Sequence[Span]) -> str:
+    """The group that row ``number`` (from 1 on) falls into.
+
+    The ranges are literals compared in generated code, so expanding is a narrow projection:
     neither a range join nor a shuffle of the rows.
     """
-    passed = [f"cast({number} > {end}L as int)" for end in ends[:-1]]
-    return "(" + " + ".join(passed or ["0"]) + ")"
+    return _by_span(number, groups, lambda s: s.group)
+
 
+def place_in_group(number: str, groups: Sequence[Span]) -> str:
+    """Running number of the row within its group, from 1 on."""
+    return f"({number} - {_by_span(number, groups, lambda s: f'{s.lo}L')})"
 
-def group_start(group: str, ends: list[int]) -> str:
-    """Rows numbered up to this belong to earlier groups."""
-    starts = ", ".join(f"{e}L" for e in [0, *ends[:-1]])
-    return f"element_at(array({starts}), {group} + 1)"
+
+def bounds(
+    allocation: DataFrame, order: str = "dept_no", n: str = "n", chunk: int = 4096
+) -> DataFrame:
+    """Adds ``lo`` and ``hi``: rows lo+1..hi belong to the group. ``order`` numbers the groups.
+
+    Running totals in two levels, inside chunks of groups and over the chunk totals, so a long
+    allocation does not pass through one task.
+    """
+    rows = allocation.withColumn("_chunk", F.floor(F.col(order) / chunk))
+    before = W.orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    base = rows.groupBy("_chunk").agg(F.sum(n).alias("_sum"))
+    base = base.select("_chunk", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    upto = W.partitionBy("_chunk").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.withColumn("hi", F.sum(n).over(upto)).join(base, "_chunk")
+    rows = rows.withColumn("hi", F.col("hi") + F.col("_base"))
+    return rows.withColumn("lo", F.col("hi") - F.col(n)).drop("_chunk", "_base")
 
 
 def expand_join(
     rows: DataFrame, number: str, allocation: DataFrame, order: str = "dept_no", n: str = "n",
     stride: int = 1_000_000,
 ) -> DataFrame:
-    """:func:`group_of` for long allocations: an equi-join on number blocks.
+    """:func:`group_of` for long allocations, as the columns ``order`` and ``in_group``.
 
-    Each group is listed under the blocks of ``stride`` numbers it touches, and a row looks only at
-    the groups of its own block.
+    An equi-join on number blocks: each group is listed under the blocks of ``stride`` numbers it
+    touches, and a row looks only at the groups of its own block.
     """
     block = F.explode(
         F.sequence(F.floor(F.col("lo") / stride), F.floor((F.col("hi") - 1) / stride))
     ).alias("_block")
-    spans = bounds(allocation, order, n).filter(F.col(n) > 0)
-    spans = spans.select(block, F.col(order), F.col("lo"), F.col("hi"))
+    listed = bounds(allocation, order, n).filter(F.col(n) > 0)
+    listed = listed.select(block, F.col(order), F.col("lo"), F.col("hi"))
     x = F.col(number)
     return (
         rows.withColumn("_block", F.floor((x - 1) / stride))
-        .join(spans, "_block")
+        .join(listed, "_block")
         .filter((x > F.col("lo")) & (x <= F.col("hi")))
+        .withColumn("in_group", x - F.col("lo"))
         .drop("_block", "lo", "hi")
     )

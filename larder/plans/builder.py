@@ -14,7 +14,7 @@ from larder import values
 from larder.functions import draws as D
 from larder.functions import rules as R
 from larder.lookups import Lookups
-from larder.operators.allocate import allocate, group_ends, group_of, group_start
+from larder.operators.allocate import allocate, expand_join, group_of, place_in_group, spans
 from larder.operators.enrich import lookup, with_gst_flag, with_perishability
 
 RAW_COLUMNS = (
@@ -84,7 +84,7 @@ def products_for(
     """The 18-column product table, one row per row of ``ids``; ``number`` runs from 1 to total."""
     dept = lookups.table("department")
     n_specs = lookups.rows("fresh")
-    ends = group_ends(allocate(dept, total))  # one row per department
+    allocation = allocate(dept, total)
     wobble = R.wobble_draws("wobble")
 
     def by_kind(curated: str, variant: str, other: str) -> str:
@@ -97,9 +97,17 @@ def products_for(
     rows = D.with_draws(rows, seed, "idx", (*DRAWS, *wobble))
     rows = rows.selectExpr(
         *[c for c in rows.columns if c not in {f"u_{n}" for n in wobble}],
-        f"{group_of('idx', ends)} as dept_no",
         f"{R.wobble_vector([f'u_{n}' for n in wobble])} as wobble",
     )
+    groups = spans(allocation)
+    if groups is None:
+        rows = expand_join(rows, "idx", allocation)
+    else:
+        rows = rows.selectExpr(
+            "*",
+            f"{group_of('idx', groups)} as dept_no",
+            f"{place_in_group('idx', groups)} as in_group",
+        )
     dept = dept.selectExpr(
         "dept_no", "department", "margin", "cost_low", "cost_mode", "cost_high",
         "private_label_rate", "brands", "n_categories", f"department = '{FRESH}' as is_fresh",
@@ -107,14 +115,13 @@ def products_for(
     rows = rows.join(dept, "dept_no")
 
     # Rows that only need their department.
-    in_dept = f"(idx - {group_start('dept_no', ends)})"
-    curated = f"(is_fresh and {in_dept} <= {n_specs})"
+    curated = f"(is_fresh and in_group <= {n_specs})"
     rows = rows.selectExpr(
         "idx", "dept_no", "department", "is_fresh", "margin", "wobble", "n_categories",
         "u_category", "u_subcategory", "u_pack", "u_fresh_pack", "u_fresh_cost", "u_jitter",
         "u_ending", "u_template", "u_supplier",
         f"{curated} as is_curated",
-        f"case when {curated} then cast({in_dept} as int) - 1"
+        f"case when {curated} then cast(in_group as int) - 1"
         f" when is_fresh then {D.uniform_int('u_spec', n_specs)} end as at_spec",
         "not is_fresh and u_private_label < private_label_rate as is_private_label",
         f"if(is_fresh, {R.fresh_brand('u_brand', 'private_label_rate', 'brands')},"
@@ -122,7 +129,8 @@ def products_for(
         f"{D.to_cents(D.triangular('u_cost', 'cost_low', 'cost_mode', 'cost_high'))} as drawn_cost",
     )
     rows = _stage_end(rows)
-    rows = lookup(rows, F.broadcast(fresh_specs(lookups)), {"spec_no": "at_spec"}, "left")
+    specs = lookups.hint(fresh_specs(lookups), "fresh", "category")
+    rows = lookup(rows, specs, {"spec_no": "at_spec"}, "left")
 
     # Prices and the category.
     bag = f"if(is_fresh and not is_curated, {D.choice_of('u_fresh_pack', values.FRESH_PACKS)}, null)"
@@ -140,11 +148,8 @@ def products_for(
     rows = rows.selectExpr("*", f"{R.charm_price('markup', 'ending')} as charm")
     rows = rows.selectExpr("*", f"{R.retail_above_cost('charm', 'cost')} as retail")
     rows = _stage_end(rows)
-    rows = lookup(
-        rows,
-        F.broadcast(category_rules(lookups)),
-        {"dept_no": "dept_no", "cat_no": "at_category"},
-    )
+    cats = lookups.hint(category_rules(lookups), "category", "gst_free", "shelf_life")
+    rows = lookup(rows, cats, {"dept_no": "dept_no", "cat_no": "at_category"})
 
     # Subcategory, pack and season.
     sub = D.choice("u_subcategory", "subcategories")

@@ -7,7 +7,6 @@ One pass over ``part`` with two broadcast joins; columns nobody selects are prun
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from larder import values
 from larder.functions import draws as D
@@ -41,7 +40,7 @@ def part_products(part: DataFrame, lookups: Lookups) -> DataFrame:
     rows = rows.join(dept, "dept_no")
     rows = lookup(
         rows,
-        F.broadcast(subcategory_rules(lookups)),
+        lookups.hint(subcategory_rules(lookups), "taxonomy", "gst_free", "shelf_life"),
         {"dept_no": "dept_no", "flat_no": "k % n_subcategories"},
     )
     endings = " ".join(f"when {i} then {e}BD" for i, e in enumerate(values.PRICE_ENDINGS))

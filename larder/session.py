@@ -28,16 +28,22 @@ def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> Spark
     return spark
 
 
+_LOCAL_FALLBACK: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) falls back to a temporary folder.
+    Only a local session (a test) without that setting falls back to a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="larder-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if not _LOCAL_FALLBACK:
+        _LOCAL_FALLBACK.append(tempfile.mkdtemp(prefix="larder-"))
+    return _LOCAL_FALLBACK[0]
 
 
 def scratch(spark: SparkSession, name: str) -> str:

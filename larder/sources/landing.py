@@ -18,3 +18,8 @@ def write_rows(df: DataFrame, path: str) -> str:
     """
     df.write.mode("overwrite").parquet(path)
     return path
+
+
+def preview(df: DataFrame, k: int, *order: str) -> DataFrame:
+    """The first ``k`` rows in ``order``: a top-k, each task keeps k rows, nothing is fully sorted."""
+    return df.orderBy(*order).limit(k)

@@ -3,7 +3,14 @@
 import pytest
 
 from larder.lookups import Lookups
-from larder.operators.allocate import allocate, bounds, expand_join, group_ends, group_of
+from larder.operators.allocate import (
+    allocate,
+    bounds,
+    expand_join,
+    group_of,
+    place_in_group,
+    spans,
+)
 
 
 def by_hand(weights, n):
@@ -42,18 +49,28 @@ def test_many_equal_remainders(spark):
 @pytest.mark.parametrize("n", [7, 50, 333])
 def test_expansion(spark, n):
     alloc = allocate(Lookups(spark).table("department"), n)
-    ends = group_ends(alloc)
+    groups = spans(alloc)
     sizes = {r.dept_no: r.n for r in alloc.collect()}
-    rows = spark.range(1, n + 1).selectExpr("id", f"{group_of('id', ends)} as dept_no")
+    rows = spark.range(1, n + 1).selectExpr(
+        "id",
+        f"{group_of('id', groups)} as dept_no",
+        f"{place_in_group('id', groups)} as in_group",
+    )
     got = {r.dept_no: r["count"] for r in rows.groupBy("dept_no").count().collect()}
     assert got == {d: k for d, k in sizes.items() if k}
+    assert [r.dept_no for r in rows.collect()] == sorted(r.dept_no for r in rows.collect())
     joined = expand_join(spark.range(1, n + 1).toDF("id"), "id", alloc, stride=10)
-    want = {(r.id, r.dept_no) for r in rows.collect()}
-    assert {(r.id, r.dept_no) for r in joined.select("id", "dept_no").collect()} == want
-
-
-def test_long_allocations_are_refused_by_group_ends(spark):
-    df = spark.range(20).selectExpr("id as dept_no", "1L as n")
-    with pytest.raises(ValueError, match="expand_join"):
-        group_ends(df, max_groups=10)
-    assert bounds(df).count() == 20
+    assert sorted(joined.select(*rows.columns).collect()) == sorted(rows.collect())
+
+
+def test_long_allocations(spark):
+    sizes = [(i * 7) % 5 for i in range(300)]
+    alloc = spark.createDataFrame(list(enumerate(sizes)), "dept_no int, n long")
+    assert spans(alloc) is None
+    got = [(r.lo, r.hi) for r in bounds(alloc, chunk=16).orderBy("dept_no").collect()]
+    ends = [sum(sizes[: i + 1]) for i in range(300)]
+    assert got == [(e - s, e) for e, s in zip(ends, sizes, strict=True)]
+    total = sum(sizes)
+    joined = expand_join(spark.range(1, total + 1).toDF("id"), "id", alloc, stride=50)
+    want = [(d, k) for d, s in enumerate(sizes) for k in range(1, s + 1)]
+    assert [(r.dept_no, r.in_group) for r in joined.orderBy("id").collect()] == want

@@ -132,6 +132,25 @@ def test_own_lookup_tables(spark):
         Lookups(spark, {"department": base.drop("margin")})
 
 
+def test_departments_of_other_numbers_and_any_length(spark, monkeypatch):
+    """Renumbered departments, and the join that replaces the literal ranges for long tables."""
+    base = build_products(spark, 400)
+    shifted = Lookups(
+        spark,
+        {
+            "department": Lookups(spark).table("department").withColumn("dept_no", F.expr("dept_no * 3 + 5")),
+            "category": Lookups(spark).table("category").withColumn("dept_no", F.expr("dept_no * 3 + 5")),
+        },
+    )
+    assert build_products(spark, 400, 42, shifted).exceptAll(base).count() == 0
+    monkeypatch.setattr("larder.operators.allocate.MAX_SPANS", 3)
+    assert build_products(spark, 400).exceptAll(base).count() == 0
+    monkeypatch.setattr("larder.lookups.BROADCAST_ROWS", 5)
+    large = Lookups(spark, {n: Lookups(spark).table(n) for n in ("category", "fresh", "name_template")})
+    assert large.rows("category") == 33
+    assert build_products(spark, 400, 42, large).exceptAll(base).count() == 0
+
+
 def test_build_has_no_shuffle_of_the_rows(spark):
     plan = build_products(spark, 1000)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan

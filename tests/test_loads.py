@@ -38,6 +38,19 @@ def test_shared_folder_comes_from_the_session(spark):
     assert a != b and a.startswith(shared_folder(spark))
 
 
+def test_command_line(spark, sf_dir, tmp_path, capsys):
+    from larder.__main__ import main
+
+    main(["products", "--count", "60", "--out", str(tmp_path)])
+    assert spark.read.parquet(str(tmp_path / "dim_product.parquet")).count() == 60
+    events, out = f"{sf_dir}/events.parquet", str(tmp_path / "events")
+    main(["backfill", "--source", events, "--end", "2024-01-10", "--out", out])
+    main(["daily", "--source", events, "--date", "2024-01-12", "--out", out])
+    loaded = days(spark.read.parquet(out))
+    assert max(loaded) == "2024-01-12" and "2024-01-11" not in loaded
+    assert capsys.readouterr().out.splitlines()[-1] == out
+
+
 def days(df):
     rows = df.groupBy(F.col("event_date").cast("string").alias("d")).count().collect()
     return {r.d: r["count"] for r in rows}
