@@ -1,4 +1,4 @@
-"""``spark-submit`` entry: products, layers, backfill, daily."""
+"""Command line: products, layers, backfill, daily."""
 
 from __future__ import annotations
 

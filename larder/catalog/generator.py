@@ -88,7 +88,7 @@ bounds as (select *, sum(n) over (order by dept_no)::bigint hi,
 def expand_allocation(spark, sf_dir):
     part = _part(spark, sf_dir)
     total = part.agg(F.count("*")).scalar()
-    groups = spans(allocate(Lookups(spark).table("department"), total))
+    groups = spans(allocate(Lookups.builtin(spark).table("department"), total))
     return part.selectExpr(
         "p_partkey",
         f"{group_of('p_partkey + 1', groups)} as dept_no",
@@ -107,7 +107,7 @@ def expand_allocation(spark, sf_dir):
 )
 def draw_choice(spark, sf_dir):
     rows = read_part_products(spark, sf_dir).select("k", "department")
-    brands = Lookups(spark).table("department").select("department", "brands")
+    brands = Lookups.builtin(spark).table("department").select("department", "brands")
     rows = _drawn(rows.join(brands, "department"), "brand")
     return rows.selectExpr("k", f"{D.choice('u_brand', 'brands')} as picked")
 
@@ -132,7 +132,7 @@ def draw_uniform(spark, sf_dir):
 )
 def draw_triangular(spark, sf_dir):
     rows = read_part_products(spark, sf_dir).select("k", "department")
-    dept = Lookups(spark).table("department")
+    dept = Lookups.builtin(spark).table("department")
     rows = _drawn(rows.join(dept, "department"), "cost")
     cost = D.to_cents(D.triangular("u_cost", "cost_low", "cost_mode", "cost_high"))
     return rows.selectExpr("k", f"{cost} as drawn_cost")
@@ -155,7 +155,7 @@ def draw_int(spark, sf_dir):
 )
 def draw_bernoulli(spark, sf_dir):
     rows = read_part_products(spark, sf_dir).select("k", "department")
-    rows = _drawn(rows.join(Lookups(spark).table("department"), "department"), "private_label")
+    rows = _drawn(rows.join(Lookups.builtin(spark).table("department"), "department"), "private_label")
     return rows.selectExpr(
         "k", f"{D.bernoulli('u_private_label', 'private_label_rate')} as private"
     )
@@ -218,7 +218,7 @@ _BAG_SQL = (
 )
 def fresh_variants(spark, sf_dir):
     """The first 20 parts become the curated goods, all others variants of one of them."""
-    lookups = Lookups(spark)
+    lookups = Lookups.builtin(spark)
     n = lookups.rows("fresh")
     rows = _drawn(_part(spark, sf_dir).selectExpr("p_partkey as k"), "spec", "fresh_pack", "fresh_cost")
     rows = rows.selectExpr("*", f"{D.choice_of('u_fresh_pack', values.FRESH_PACKS)} as bag")
@@ -295,7 +295,7 @@ def markup_price(spark, sf_dir):
 @query("gst_flag", f"with {S.PARTS} select k, department, category, gst_applicable from parts")
 def gst_flag(spark, sf_dir):
     rows = read_part_products(spark, sf_dir).select("k", "department", "category")
-    return with_gst_flag(rows, Lookups(spark).table("gst_free"))
+    return with_gst_flag(rows, Lookups.builtin(spark).table("gst_free"))
 
 
 @query(
@@ -309,7 +309,7 @@ def gst_flag(spark, sf_dir):
 )
 def perishability(spark, sf_dir):
     rows = read_part_products(spark, sf_dir).select("k", "department", "category")
-    return with_perishability(rows, Lookups(spark).table("shelf_life"))
+    return with_perishability(rows, Lookups.builtin(spark).table("shelf_life"))
 
 
 def _unit_sql(dept: str, sub: str) -> str:
@@ -386,7 +386,7 @@ def _name_sql(brand: str, base: str, label: str) -> str:
 )
 def product_name(spark, sf_dir):
     rows = _drawn(_packed(spark, sf_dir), "template")
-    templates = Lookups(spark).table("name_template")
+    templates = Lookups.builtin(spark).table("name_template")
     rows = lookup(rows, templates, {"subcategory": "subcategory"}, "left")
     base = f"coalesce({D.choice('u_template', 'templates')}, subcategory)"
     name = R.product_name("brand", base, R.pack_label("unit", "pack"))
@@ -413,7 +413,7 @@ def bag_label(spark, sf_dir):
 )
 def brand_pick(spark, sf_dir):
     rows = read_part_products(spark, sf_dir).select("k", "department")
-    dept = Lookups(spark).table("department").select("department", "brands", "private_label_rate")
+    dept = Lookups.builtin(spark).table("department").select("department", "brands", "private_label_rate")
     rows = _drawn(rows.join(dept, "department"), "private_label", "brand")
     private = D.bernoulli("u_private_label", "private_label_rate")
     fresh = "department = 'Fresh Produce'"
@@ -563,7 +563,7 @@ def build_products(spark, sf_dir):
     part = _part(spark, sf_dir)
     total = part.agg(F.count("*")).scalar()
     ids = part.selectExpr("p_partkey + 1 as number")
-    rows = products_for(ids, "number", total, SEED, Lookups(spark))
+    rows = products_for(ids, "number", total, SEED, Lookups.builtin(spark))
     months = "array_join(peak_season_months, ',') as peak_season_months"
     return rows.selectExpr(
         *[c for c in rows.columns if c not in ("peak_season_months", "seasonality_vector")],

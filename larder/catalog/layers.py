@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.catalog import query
-from larder.catalog.check_sql import GOLD, MARGIN, PARTS, SILVER, TIER
+from larder.catalog.check_sql import GOLD, PARTS, SILVER, TIER
 from larder.functions import rules as R
 from larder.operators import layers as L
 from larder.operators import model as M

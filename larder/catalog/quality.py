@@ -186,7 +186,7 @@ _OFF = "abs(coalesce(n, 0) - target) > greatest(2, floor(target * 0.05)::bigint)
         from goal left join counted on d = department""",
 )
 def dq_group_share(spark, sf_dir):
-    goal = Lookups(spark).table("department")
+    goal = Lookups.builtin(spark).table("department")
     return Q.check_group_share(_silver(spark, sf_dir), "department", goal, "weight")
 
 
@@ -255,7 +255,7 @@ def dq_referential(spark, sf_dir):
     lines = _lines(spark, sf_dir)
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    taxonomy = Lookups(spark).table("taxonomy")
+    taxonomy = Lookups.builtin(spark).table("taxonomy")
     checks = [
         Q.check_reference(lines, "l_partkey", part, "p_partkey", "line has part"),
         Q.check_reference(orders, "o_orderkey", lines, "l_orderkey", "order has lines"),

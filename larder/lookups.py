@@ -132,6 +132,7 @@ class Lookups:
 
     def __init__(self, spark: SparkSession, replace: Mapping[str, DataFrame] | None = None):
         self.spark = spark
+        self.derived: dict[str, DataFrame] = {}  # tables made from these lookups, built once
         self._own: dict[str, DataFrame] = {}
         self._rows: dict[str, int] = {}
         self._large: set[str] = set()
@@ -144,6 +145,13 @@ class Lookups:
             if not small:
                 self._large.add(name)
 
+    @classmethod
+    def builtin(cls, spark: SparkSession) -> Lookups:
+        """The built-in tables, shared by all jobs of a session."""
+        if spark not in _SHARED:
+            _SHARED[spark] = cls(spark)
+        return _SHARED[spark]
+
     def table(self, name: str) -> DataFrame:
         """The table, with a broadcast hint if its size allows."""
         return self._own[name] if name in self._own else _builtin(self.spark, name)
@@ -159,3 +167,6 @@ class Lookups:
     def hint(self, df: DataFrame, *sources: str) -> DataFrame:
         """Broadcast ``df``, which has one row per row of its ``sources``, if they are all small."""
         return df if self._large & set(sources) else F.broadcast(df)
+
+
+_SHARED: WeakKeyDictionary[SparkSession, Lookups] = WeakKeyDictionary()

@@ -10,35 +10,29 @@ QTY = "cast(l_quantity as decimal(12,2))"
 SEASON_WEEKS = 52
 
 
-def monthly_quantity(lines: DataFrame) -> DataFrame:
-    """Quantity per product and month of the year; the fact table shrinks before any join."""
-    return (
-        lines.selectExpr("l_partkey", "month(l_shipdate) as month", f"{QTY} as qty")
-        .groupBy("l_partkey", "month")
-        .agg(F.sum("qty").alias("qty"))
-    )
-
-
 def seasonal_weighted_sales(
     lines: DataFrame, products: DataFrame, key: str = "k", vector: str = "seasonality_vector"
 ) -> DataFrame:
-    """Quantity and season-weighted quantity by department and month."""
-    prods = products.select(key, "department", vector)
-    rows = monthly_quantity(lines).join(prods, F.col("l_partkey") == F.col(key))
+    """Quantity and season-weighted quantity by department and month.
+
+    Lines meet their product directly and reduce to department totals in the same stage.
+    """
+    facts = lines.selectExpr("l_partkey", "month(l_shipdate) as month", f"{QTY} as qty")
+    facts = facts.join(products.select(key, "department", vector), F.expr(f"l_partkey = {key}"))
     weight = f"cast(element_at({vector}, month) as decimal(4,2))"
-    return (
-        rows.selectExpr("department", "month", "qty", f"qty * {weight} as weighted")
-        .groupBy("department", "month")
-        .agg(
-            F.sum("qty").cast("decimal(18,2)").alias("quantity"),
-            F.sum("weighted").cast("decimal(20,4)").alias("weighted_quantity"),
-        )
+    return facts.groupBy("department", "month").agg(
+        F.sum("qty").cast("decimal(18,2)").alias("quantity"),
+        F.expr(f"sum(qty * {weight})").cast("decimal(20,4)").alias("weighted_quantity"),
     )
 
 
 def expected_wastage(lines: DataFrame, products: DataFrame, key: str = "k") -> DataFrame:
     """Quantity sold and quantity expected to be wasted by category; products without a wastage
-    rate waste nothing."""
+    rate waste nothing.
+
+    Lines are summed per product first: a hot product shrinks to one row per task, and the shuffle
+    on the product also serves the join.
+    """
     sold = lines.selectExpr("l_partkey", f"{QTY} as qty").groupBy("l_partkey")
     sold = sold.agg(F.sum("qty").alias("qty"))
     rate = "coalesce(cast(wastage_rate_baseline as decimal(4,2)), 0)"

@@ -110,7 +110,7 @@ def check_group_share(
     limit = f"greatest({slack}, cast(floor(target * {share}D) as bigint))"
     off = f"abs(coalesce(n, 0) - target) > {limit}"
     return goal.join(counts, F.col(group) == F.col("_goal"), "left").selectExpr(
-        f"concat('share of ', _goal) as rule",
+        "concat('share of ', _goal) as rule",
         "coalesce(n, 0) as n_rows",
         f"if({off}, abs(coalesce(n, 0) - target), 0) as n_failed",
         f"not ({off}) as passed",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,17 +10,19 @@ REVENUE = (
 )
 
 
-def line_measures(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Lines reduced to ``keys`` (names or ``expr as name``): quantity, revenue and row count.
+QUANTITY = "cast(l_quantity as decimal(12,2))"
 
-    Runs before any join, so dimensions meet one row per key instead of every line and a hot key
-    has already collapsed.
-    """
-    named = [k.rsplit(" as ", 1)[-1] for k in keys]
-    return (
-        lines.selectExpr(*keys, "cast(l_quantity as decimal(12,2)) as qty", f"{REVENUE} as rev")
-        .groupBy(*named)
-        .agg(F.sum("qty").alias("qty"), F.sum("rev").alias("rev"), F.count("*").alias("n"))
+# Facts join their dimensions as they are and are reduced to the report's few groups in the same
+# stage. Small dimensions are broadcast by Spark, so only group totals are shuffled. A dimension too
+# large for that is joined by shuffle, where adaptive execution splits the partitions of hot keys;
+# reducing facts to (part, supplier, ...) first would shuffle them once more and merge next to nothing.
+
+
+def _totals(groups):
+    return groups.agg(
+        F.count("*").alias("n_lines"),
+        F.expr(f"sum({QUANTITY})").cast("decimal(18,2)").alias("quantity"),
+        F.expr(f"sum({REVENUE})").cast("decimal(22,4)").alias("revenue"),
     )
 
 
@@ -30,31 +30,27 @@ def star_join_agg(
     lines: DataFrame, part: DataFrame, supplier: DataFrame, nation: DataFrame
 ) -> DataFrame:
     """Quantity and revenue by supplier nation, part type and ship year."""
-    facts = line_measures(lines, ["l_partkey", "l_suppkey", "year(l_shipdate) as ship_year"])
-    return (
-        facts.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    facts = (
+        lines.withColumn("ship_year", F.year("l_shipdate"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .groupBy("n_name", "p_type", "ship_year")
-        .agg(
-            F.sum("n").alias("n_lines"),
-            F.sum("qty").cast("decimal(18,2)").alias("quantity"),
-            F.sum("rev").cast("decimal(22,4)").alias("revenue"),
-        )
     )
+    return _totals(facts.groupBy("n_name", "p_type", "ship_year"))
 
 
 def month_brand_cube(lines: DataFrame, part: DataFrame) -> DataFrame:
-    """Pre-aggregated measure table by month and brand with all subtotals (``level`` 0 = finest)."""
-    facts = line_measures(lines, ["l_partkey", "date_format(l_shipdate, 'yyyy-MM') as month"])
-    by_brand = (
-        facts.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("month", "p_brand")
-        .agg(F.sum("qty").alias("qty"), F.sum("rev").alias("rev"), F.sum("n").alias("n"))
-    )
-    return by_brand.cube("month", "p_brand").agg(
+    """Pre-aggregated measure table by month and brand with all subtotals (``level`` 0 = finest).
+
+    The subtotals are built from the month-brand totals, so each line is aggregated once and not
+    once per grouping set.
+    """
+    facts = lines.withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    facts = facts.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    totals = _totals(facts.groupBy("month", "p_brand"))
+    return totals.cube("month", "p_brand").agg(
         F.grouping_id().cast("int").alias("level"),
-        F.sum("n").alias("n_lines"),
-        F.sum("qty").cast("decimal(18,2)").alias("quantity"),
-        F.sum("rev").cast("decimal(22,4)").alias("revenue"),
+        F.sum("n_lines").alias("n_lines"),
+        F.sum("quantity").cast("decimal(18,2)").alias("quantity"),
+        F.sum("revenue").cast("decimal(22,4)").alias("revenue"),
     )

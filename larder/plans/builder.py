@@ -207,4 +207,4 @@ def build_products(
 ) -> DataFrame:
     """``n`` products in the order of their numbers."""
     ids = spark.range(1, n + 1, numPartitions=partitions)
-    return products_for(ids, "id", n, seed, lookups or Lookups(spark))
+    return products_for(ids, "id", n, seed, lookups or Lookups.builtin(spark))

@@ -20,13 +20,17 @@ WOBBLE_SEED = 7
 
 def subcategory_rules(lookups: Lookups) -> DataFrame:
     """All rules that depend on the subcategory only, one row each."""
+    if "subcategory_rules" in lookups.derived:
+        return lookups.derived["subcategory_rules"]
     df = with_gst_flag(lookups.table("taxonomy"), lookups.table("gst_free"))
     df = with_perishability(df, lookups.table("shelf_life"))
     season = R.season_name("department", "category", "subcategory")
-    return df.selectExpr(
+    df = df.selectExpr(
         "dept_no", "flat_no", "category", "subcategory", "gst_applicable",
         "shelf_life_days as cat_life", "wastage_rate_baseline as cat_waste", f"{season} as season",
     )
+    lookups.derived["subcategory_rules"] = df
+    return df
 
 
 def part_products(part: DataFrame, lookups: Lookups) -> DataFrame:
@@ -82,8 +86,8 @@ def landing_products(part: DataFrame, lookups: Lookups) -> DataFrame:
 
 
 def read_part_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return part_products(spark.read.parquet(f"{sf_dir}/part.parquet"), Lookups(spark))
+    return part_products(spark.read.parquet(f"{sf_dir}/part.parquet"), Lookups.builtin(spark))
 
 
 def read_landing_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing_products(spark.read.parquet(f"{sf_dir}/part.parquet"), Lookups(spark))
+    return landing_products(spark.read.parquet(f"{sf_dir}/part.parquet"), Lookups.builtin(spark))
