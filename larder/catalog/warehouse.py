@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -16,8 +15,8 @@ from larder.operators.calendar import calendar_dim, holidays
 from larder.plans.jobs import dated, job_backfill, job_daily
 from larder.plans.part_products import read_part_products
 from larder.session import scratch
+from larder.sources.history import merge_history, read_history, start_history
 from larder.sources.partitioned import read_partitions, write_partitions
-from larder.sources.tables import ensure_schema, write_layer
 from larder.streaming.incremental import load_new_files
 
 
@@ -151,20 +150,19 @@ _NEXT = """select c_custkey + case when c_nationkey = 0 then 100000000 else 0 en
           where nk is not null and not coalesce(same, false)""",
 )
 def scd2_merge(spark, sf_dir):
-    """The history table is rewritten from itself through its staging table."""
+    """A first load and a changed snapshot; the same snapshot again changes nothing."""
     customer = _read(spark, sf_dir, "customer")
-    schema = f"larder_scd_{uuid.uuid4().hex[:8]}"
-    ensure_schema(spark, schema, scratch(spark, schema))
-    table = f"{schema}.customer_history"
+    path = scratch(spark, "customer-history")
     first = customer.select("c_custkey", "c_name", "c_mktsegment")
-    write_layer(H.open_history(first, date(2024, 1, 1)), table)
+    start_history(first, path, date(2024, 1, 1))
     snapshot = customer.filter("c_acctbal <= 9500").selectExpr(
         "c_custkey + if(c_nationkey = 0, 100000000, 0) as c_custkey",
         "c_name",
         "if(c_acctbal < 0, 'AT RISK', c_mktsegment) as c_mktsegment",
     )
-    write_layer(H.scd2_merge(spark.table(table), snapshot, "c_custkey", date(2024, 6, 1)), table)
-    return spark.table(table).selectExpr(
+    merge_history(snapshot, path, "c_custkey", date(2024, 6, 1))
+    merge_history(snapshot, path, "c_custkey", date(2024, 7, 1))
+    return read_history(spark, path, first.schema).selectExpr(
         "c_custkey", "c_name", "c_mktsegment", "cast(valid_from as string) as since",
         "coalesce(cast(valid_to as string), 'open') as until", "is_current",
     )

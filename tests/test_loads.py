@@ -12,6 +12,7 @@ from larder.operators import quality as Q
 from larder.operators.calendar import calendar_dim
 from larder.plans.jobs import JobSettings, job_backfill, job_daily, job_products
 from larder.session import scratch, shared_folder
+from larder.sources.history import merge_history, read_history, start_history
 from larder.streaming.incremental import load_new_files
 
 
@@ -158,6 +159,40 @@ def test_scd2_history(spark):
     assert again.exceptAll(dim).count() == dim.exceptAll(again).count() == 0
 
 
+def test_history_on_disk(spark, tmp_path):
+    path = str(tmp_path / "history")
+
+    def snapshot(text):
+        return spark.sql(f"select * from values {text} as t(k, x)")
+
+    start_history(snapshot("(1, 'a'), (2, 'b')"), path, date(2024, 1, 1))
+    merge_history(snapshot("(1, 'a'), (2, 'B'), (3, 'c')"), path, "k", date(2024, 2, 1))
+    old = sorted(p.name for p in (tmp_path / "history" / "valid_to=2024-02-01").iterdir())
+    for _ in range(2):
+        merge_history(snapshot("(1, 'A'), (2, 'B')"), path, "k", date(2024, 3, 1))
+    # The partition of the earlier merge was left alone.
+    assert old == sorted(p.name for p in (tmp_path / "history" / "valid_to=2024-02-01").iterdir())
+    rows = read_history(spark, path, snapshot("(1, 'a')").schema).collect()
+    got = sorted((r.k, r.x, r.valid_from.month, r.valid_to and r.valid_to.month) for r in rows)
+    assert got == [
+        (1, "A", 3, None), (1, "a", 1, 3), (2, "B", 2, None), (2, "b", 1, 2), (3, "c", 2, 3),
+    ]
+    assert all(r.is_current == (r.valid_to is None) for r in rows)
+    merged = read_history(spark, path, snapshot("(1, 'a')").schema).filter("valid_to is null")
+    assert "PartitionFilters: [isnull(valid_to" in (
+        merged._jdf.queryExecution().executedPlan().toString()
+    )
+    # A second, different snapshot of the same day keeps what the first one closed.
+    merge_history(snapshot("(2, 'B'), (4, 'd')"), path, "k", date(2024, 3, 1))
+    rows = read_history(spark, path, snapshot("(1, 'a')").schema).collect()
+    march = sorted((r.k, r.x) for r in rows if r.valid_to == date(2024, 3, 1))
+    assert march == [(1, "A"), (1, "a"), (3, "c")]
+    assert sorted((r.k, r.x) for r in rows if r.is_current) == [(2, "B"), (4, "d")]
+    with pytest.raises(ValueError, match="empty"):
+        merge_history(snapshot("(1, 'a')").filter("false"), path, "k", date(2024, 4, 1))
+    assert read_history(spark, path, snapshot("(1, 'a')").schema).count() == len(rows)
+
+
 def test_calendar(spark):
     span = spark.sql("select date'2023-12-24' as first_day, date'2024-03-01' as last_day")
     rows = {r.date_key: r for r in calendar_dim(span).collect()}
