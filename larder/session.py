@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,22 +27,17 @@ def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> Spark
     return spark
 
 
-_LOCAL_FALLBACK: list[str] = []
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session (a test) without that setting falls back to a temporary folder.
+    Only where that is unset, as in a local trial, a folder beside the session's tables stands in for it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if not _LOCAL_FALLBACK:
-        _LOCAL_FALLBACK.append(tempfile.mkdtemp(prefix="larder-"))
-    return _LOCAL_FALLBACK[0]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from larder.catalog import load
 from larder.catalog.compare import connect, differences
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES, ORACLES = load()
 
 
 @pytest.fixture(scope="module")
