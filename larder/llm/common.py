@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,11 @@ def fold(doc_id: str | Column, parts: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit(""))) % parts
 
 
+def worker_state() -> dict:
+    """A dict that lives as long as the worker process, for what is costly to build."""
+    return sys.modules.setdefault("_larder_llm_state", types.ModuleType("_larder_llm_state")).__dict__
+
+
 def shuffle_width(spark: SparkSession, least: int = 48) -> int:
     """How many buckets an operator deals its packed rows to."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -9,16 +9,33 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import table
 from larder.llm.exact_dedup import exact_duplicates
+from larder.llm.licenses import license_report, scan_licenses
 from larder.llm.mixing import with_copies
+from larder.llm.packing import pack
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_file() -> str:
+    """The tokenizer of the contracts: a file of the image, on every executor."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(scan_licenses(table(spark, sf_dir, "documents")))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = with_copies(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", (F.col("_mix.copies") * F.col("_mix.size")).alias("taken"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("n_chars")
 
@@ -60,7 +77,9 @@ select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from g
 """
 
 QUERIES: dict[str, Run] = {
+    "op2_licenses": op2_licenses,
     "op3_mixing": op3_mixing,
+    "op7_packing": op7_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLES: dict[str, str] = {
