@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm.common import table
+from larder.llm.embedding_dedup import near_vectors
 from larder.llm.exact_dedup import exact_duplicates
 from larder.llm.licenses import license_report, scan_licenses
 from larder.llm.mixing import with_copies
@@ -32,6 +33,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", (F.col("_mix.copies") * F.col("_mix.size")).alias("taken"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -79,6 +84,7 @@ select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from g
 QUERIES: dict[str, Run] = {
     "op2_licenses": op2_licenses,
     "op3_mixing": op3_mixing,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op7_packing": op7_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
