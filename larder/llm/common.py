@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +55,37 @@ def worker_state() -> dict:
 def shuffle_width(spark: SparkSession, least: int = 48) -> int:
     """How many buckets an operator deals its packed rows to."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+#: A-Z in lower case, every other byte as it is.
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """Words between white space, A-Z in lower case (bytes.split() knows just those six characters)."""
+    return text.translate(LOWER).split()
+
+
+class WordHashes(dict):
+    """64-bit hashes of words; forgets all when it holds too many."""
+
+    most = 400_000
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(self) >= self.most:
+            self.clear()
+        self[word] = h
+        return h
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A fixed one-to-one scrambling of 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

@@ -12,6 +12,7 @@ from larder.llm.embedding_dedup import near_vectors
 from larder.llm.exact_dedup import exact_duplicates
 from larder.llm.licenses import license_report, scan_licenses
 from larder.llm.mixing import with_copies
+from larder.llm.ngram_join import ngram_classes
 from larder.llm.packing import pack
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,10 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_classes(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Run] = {
     "op2_licenses": op2_licenses,
     "op3_mixing": op3_mixing,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op6_ngram_join": op6_ngram_join,
     "op7_packing": op7_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
