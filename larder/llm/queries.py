@@ -14,6 +14,7 @@ from larder.llm.licenses import license_report, scan_licenses
 from larder.llm.mixing import with_copies
 from larder.llm.ngram_join import ngram_classes
 from larder.llm.packing import pack
+from larder.llm.suffix_lm import suffix_scores
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +47,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op9_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("n_chars")
 
@@ -92,6 +97,7 @@ QUERIES: dict[str, Run] = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op6_ngram_join": op6_ngram_join,
     "op7_packing": op7_packing,
+    "op9_suffix_lm": op9_suffix_lm,
     "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLES: dict[str, str] = {
