@@ -11,6 +11,7 @@ from larder.llm.common import table
 from larder.llm.embedding_dedup import near_vectors
 from larder.llm.exact_dedup import exact_duplicates
 from larder.llm.licenses import license_report, scan_licenses
+from larder.llm.mil_quality import quality_scores
 from larder.llm.mixing import with_copies
 from larder.llm.ngram_join import ngram_classes
 from larder.llm.packing import pack
@@ -26,6 +27,10 @@ def tokenizer_file() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(scan_licenses(table(spark, sf_dir, "documents")))
 
@@ -92,6 +97,7 @@ select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from g
 """
 
 QUERIES: dict[str, Run] = {
+    "op1_mil_quality": op1_mil_quality,
     "op2_licenses": op2_licenses,
     "op3_mixing": op3_mixing,
     "op4_embedding_dedup": op4_embedding_dedup,

@@ -34,9 +34,9 @@ from larder.llm.common import WordHashes, fold, materialize, shuffle_width, word
 
 DEPTH = 5
 #: Least share of training symbols for a state; least share times divergence (in nats) to keep it.
-SHARE, DIVERGENCE = 2e-5, 2e-7
+SHARE, DIVERGENCE = 4e-6, 5e-8
 #: Weight of the shorter context's distribution, in symbols.
-PRIOR = 2.0
+PRIOR = 8.0
 #: Neither byte occurs in a token: what stands before a text, and its end sign.
 START, END = 9, 10
 #: Bytes scored side by side in one lane.
