@@ -204,9 +204,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, parts: int = 5, cut: floa
         return np.concatenate(out) if out else np.empty(0)
 
     if keep:
+        place = docs.columns.index(text)
+
         def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = batch.column(docs.columns.index(text)).cast(pa.binary()).to_pylist()
+                texts = batch.column(place).cast(pa.binary()).to_pylist()
                 yield batch.filter(pa.array(score(texts) >= cut))
 
         return docs.mapInArrow(filtered, docs.schema)

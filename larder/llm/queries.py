@@ -60,6 +60,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("n_chars")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 OP3_SQL = r"""
 with d as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
@@ -105,6 +111,7 @@ QUERIES: dict[str, Run] = {
     "op7_packing": op7_packing,
     "op9_suffix_lm": op9_suffix_lm,
     "op10_exact_dedup": op10_exact_dedup,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {
     "op3_mixing": OP3_SQL,
