@@ -15,6 +15,7 @@ from larder.llm.mil_quality import quality_scores
 from larder.llm.mixing import with_copies
 from larder.llm.ngram_join import ngram_classes
 from larder.llm.packing import pack
+from larder.llm.suffix_dedup import without_repeats
 from larder.llm.suffix_lm import suffix_scores
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +53,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_scores(table(spark, sf_dir, "documents"))
 
@@ -109,6 +114,7 @@ QUERIES: dict[str, Run] = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op6_ngram_join": op6_ngram_join,
     "op7_packing": op7_packing,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_suffix_lm": op9_suffix_lm,
     "op10_exact_dedup": op10_exact_dedup,
     "pipeline": pipeline,
