@@ -17,6 +17,7 @@ from larder.llm.ngram_join import ngram_classes
 from larder.llm.packing import pack
 from larder.llm.suffix_dedup import without_repeats
 from larder.llm.suffix_lm import suffix_scores
+from larder.llm.token_counts import recount, redactions
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +46,11 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens before and after its personal data is redacted; leaves are kept for later edits."""
+    return recount(redactions(table(spark, sf_dir, "documents")), tokenizer_file())
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(table(spark, sf_dir, "documents"))
 
@@ -112,6 +118,7 @@ QUERIES: dict[str, Run] = {
     "op2_licenses": op2_licenses,
     "op3_mixing": op3_mixing,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_token_counts": op5_token_counts,
     "op6_ngram_join": op6_ngram_join,
     "op7_packing": op7_packing,
     "op8_suffix_dedup": op8_suffix_dedup,
