@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import WHITE, materialize, whole
+from larder.llm.common import WHITE, fresh, materialize, whole
 
 
 def normalized(text: Column) -> Column:
@@ -109,6 +109,7 @@ def keep_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.col(doc_id).cast("bigint").alias("id"), F.char_length(whole(text)).cast("bigint").alias("n"),
         digest(F.col(text)).alias("d"),
     )
-    want = kept.select(F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("n_chars").alias("n"), F.col("text_sha256").alias("d"))).alias("_key"))
-    found = docs.withColumn("_key", F.to_json(key)).join(want, "_key", "left_semi")
-    return found.dropDuplicates(["_key"]).select(*[found[f"`{c}`"] for c in docs.columns])
+    own = fresh(docs, "key")
+    want = kept.select(F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("n_chars").alias("n"), F.col("text_sha256").alias("d"))).alias(own))
+    found = docs.withColumn(own, F.to_json(key)).join(want, own, "left_semi")
+    return found.dropDuplicates([own]).select(*[F.col(f"`{c}`") for c in docs.columns])

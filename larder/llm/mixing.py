@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import WORD, materialize, whole
+from larder.llm.common import WORD, fresh, materialize, whole
 
 #: Cells of one source: size classes times these.
 HASH_DIGITS = 2
@@ -71,8 +71,9 @@ def with_copies(
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
+    out: str = "_mix",
 ) -> DataFrame:
-    """``docs`` and a struct ``_mix``: size, source_size, target, copies. ``share``: of all words, as a fraction.
+    """``docs`` and a struct ``out``: size, source_size, target, copies. ``share``: of all words, as a fraction.
 
     A hot source is dealt out by size class and hash prefix: row numbers are taken inside such a cell,
     and the cells' counts (a bounded number per source) are summed up before. Documents are shuffled once.
@@ -81,39 +82,42 @@ def with_copies(
     size = n_words(text)
     bits = F.bin(size)
     kind = F.concat(F.lpad(F.length(bits).cast("string"), 2, "0"), F.lit("."), F.substring(bits, 2, 3))
+    mark, cell, place = (fresh(docs, name) for name in ("mark", "cell", "place"))
     marked = docs.withColumn(
-        "_m",
+        mark,
         F.struct(
             _key(F.col(source)).alias("key"), F.col(source).alias("source"), size.alias("size"), kind.alias("kind"),
             order.alias("hash"), F.substring(order, 1, HASH_DIGITS).alias("bucket"), F.col(doc_id).alias("id"),
         ),
     )
+    m, c = F.col(mark), F.col(cell)
     cells = materialize(
-        marked.groupBy(F.col("_m.key").alias("c_key"), F.col("_m.source").alias("source"), F.col("_m.kind").alias("c_kind"), F.col("_m.bucket").alias("c_bucket"))
-        .agg(F.count("*").alias("n"), F.sum("_m.size").alias("words")),
+        marked.groupBy(m.key.alias("key"), m.source.alias("source"), m.kind.alias("kind"), m.bucket.alias("bucket"))
+        .agg(F.count("*").alias("n"), F.sum(m.size).alias("words")),
         "mix-cells",
     )
     goal = targets(cells.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, max_repeat)
-    goal = goal.select(_key(F.col("source")).alias("c_key"), "source_size", "target")
-    run = Window.partitionBy("c_key").orderBy("c_kind", "c_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    goal = goal.select(_key(F.col("source")).alias("key"), "source_size", "target")
+    run = Window.partitionBy("key").orderBy("kind", "bucket").rowsBetween(Window.unboundedPreceding, -1)
     placed = materialize(
-        cells.select("c_key", "c_kind", "c_bucket", F.coalesce(F.sum("n").over(run), F.lit(0)).alias("ahead")).join(goal, "c_key"),
+        cells.select("key", "kind", "bucket", F.coalesce(F.sum("n").over(run), F.lit(0)).alias("ahead")).join(goal, "key"),
         "mix-placed",
     )
-    m = F.col("_m")
-    joined = marked.join(placed, (m.key == F.col("c_key")) & (m.kind == F.col("c_kind")) & (m.bucket == F.col("c_bucket")))
-    inside = Window.partitionBy("_m.key", "_m.kind", "_m.bucket").orderBy("_m.hash", "_m.id")
-    rank = F.col("ahead") + F.row_number().over(inside)
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size").cast("double")).otherwise(0.0)
-    start = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("c_key"))), 1, 8), 16, 10).cast("double") / float(2**32)
-    copies = F.floor(rate * F.col("_rank") + start) - F.floor(rate * (F.col("_rank") - 1) + start)
-    return joined.withColumn("_rank", rank.cast("double")).withColumn(
-        "_mix", F.struct(m.size.alias("size"), "source_size", "target", copies.cast("bigint").alias("copies"))
-    ).select(*[marked[f"`{c}`"] for c in docs.columns], "_mix")
+    placed = placed.select(F.struct("*").alias(cell))
+    joined = marked.join(placed, (m.key == c.key) & (m.kind == c.kind) & (m.bucket == c.bucket))
+    inside = Window.partitionBy(m.key, m.kind, m.bucket).orderBy(m.hash, m.id)
+    rank = (c.ahead + F.row_number().over(inside)).cast("double")
+    rate = F.when(c.source_size > 0, c.target / c.source_size.cast("double")).otherwise(0.0)
+    start = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), c.key)), 1, 8), 16, 10).cast("double") / float(2**32)
+    copies = F.floor(rate * F.col(place) + start) - F.floor(rate * (F.col(place) - 1) + start)
+    mixed = F.struct(m.size.alias("size"), c.source_size.alias("source_size"), c.target.alias("target"), copies.cast("bigint").alias("copies"))
+    ranked = joined.withColumn(place, rank)
+    return ranked.select(*[F.col(f"`{x}`") for x in docs.columns], mixed.alias(out))
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, columns as they were."""
-    taken = with_copies(docs, **options).where("_mix.copies > 0")
-    again = taken.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_mix.copies").cast("int"))))
-    return again.select(*[again[f"`{c}`"] for c in docs.columns])
+    out, nth = fresh(docs, "mix"), fresh(docs, "nth")
+    taken = with_copies(docs, out=out, **options).where(F.col(out).copies > 0)
+    again = taken.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(out).copies.cast("int"))))
+    return again.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import WordHashes, materialize, mix64, shuffle_width, words_of, worker_state
+from larder.llm.common import WordHashes, fresh, materialize, mix64, shuffle_width, words_of, worker_state
 from larder.llm.components import components
 
 WORDS = 5
@@ -328,5 +328,6 @@ def ngram_classes(docs: DataFrame, k: int = WORDS, at_least=AT_LEAST, doc_id: st
 def keep_documents(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` without those that are linked to one with a smaller id; all columns as they were."""
     classes = ngram_classes(docs, doc_id=doc_id, **options)
-    gone = classes.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id] == F.col("_gone"), "left_anti")
+    name = fresh(docs, "gone")
+    gone = classes.where("doc_id != component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col(doc_id) == F.col(name), "left_anti")

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.common import fresh
 from larder.llm.packing import WordwiseTokenizer, tokenizer_at
 
 #: Chunks of a new leaf.
@@ -123,9 +124,10 @@ class TokenTree:
 def attach_edits(docs: DataFrame, edits: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with an array column ``edits`` from a table (doc_id, seq, start, deleted, inserted)."""
     one = F.struct("seq", "start", "deleted", "inserted")
-    each = edits.groupBy(F.col(doc_id).alias("_of")).agg(F.sort_array(F.collect_list(one)).alias("edits"))
+    of, docs = fresh(docs, "of"), docs.drop("edits")
+    each = edits.groupBy(F.col(doc_id).alias(of)).agg(F.sort_array(F.collect_list(one)).alias("edits"))
     each = each.withColumn("edits", F.transform("edits", lambda e: F.struct(e.start.alias("start"), e.deleted.alias("deleted"), e.inserted.alias("inserted"))))
-    return docs.join(each, docs[doc_id] == F.col("_of"), "left").drop("_of")
+    return docs.join(each, F.col(doc_id) == F.col(of), "left").drop(of)
 
 
 def recount(docs: DataFrame, path: str, edits: str = "edits", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
