@@ -118,24 +118,32 @@ def _dealt(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bucket[order], np.arange(width + 1))
 
 
+def set_hash(s: np.ndarray) -> int:
+    """One number for a whole set: documents with equal sets are one class."""
+    total = s.sum(dtype=np.uint64) + np.uint64(len(s))
+    other = mix64(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
+    return int(mix64(np.asarray([total]) ^ mix64(np.asarray([other])))[0].astype(np.int64))
+
+
 def signatures(docs: DataFrame, k: int, at_least, width: int, doc_id: str, text: str) -> DataFrame:
-    """Document rows, and packed rows of segment keys with ids for each bucket of keys."""
+    """Document rows, and packed rows of segment keys with classes for each bucket of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = worker_state().setdefault("words", WordHashes())
         for batch in batches:
             ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            meta, keys, owner = [], [], []
+            meta, keys, owner, seen = [], [], [], set()
             for doc, cell in zip(ids.tolist(), batch.column(1)):
                 s = shingles(words_of(cell.as_py() or b""), k, hashes)
-                n = len(s)
-                s1, s2 = (int(v.astype(np.int64)) for v in (s.sum(dtype=np.uint64), mix64(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)))
-                meta.append((doc % width, doc, n, s1, s2, bit_sketch(s)))
-                if n and doc != NO_ID:
+                n, own = len(s), set_hash(s)
+                new = n > 0 and doc != NO_ID and own not in seen
+                meta.append((doc % width, doc, n, own, bit_sketch(s) if new else None))
+                if new:
+                    seen.add(own)
                     for band, p, take in bands(n, at_least):
                         keys.append(segment_keys(s, band, p, take))
-                        owner.append((doc, len(keys[-1])))
-            rows = [[m[i] for m in meta] for i in range(6)]
+                        owner.append((own, len(keys[-1])))
+            rows = [[m[i] for m in meta] for i in range(5)]
             packed: list[list] = [[], [], []]
             if keys:
                 flat = np.concatenate(keys)
@@ -148,46 +156,51 @@ def signatures(docs: DataFrame, k: int, at_least, width: int, doc_id: str, text:
                             x.append(v)
             blank = [None] * len(packed[0])
             none = [None] * len(meta)
-            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             columns = [pa.array(x + (packed[0] if i == 0 else blank), t) for i, (x, t) in enumerate(zip(rows, types))]
             columns += [pa.array(none + x, pa.binary()) for x in packed[1:]]
-            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "id", "n", "s1", "s2", "sketch", "keys", "ids"])
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "id", "n", "class", "sketch", "keys", "classes"])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "bucket int, id bigint, n bigint, s1 bigint, s2 bigint, sketch binary, keys binary, ids binary")
+    return rows.mapInArrow(run, "bucket int, id bigint, n bigint, class bigint, sketch binary, keys binary, classes binary")
+
+
+FOUND = "kind string, id bigint, n bigint, class bigint, sketch binary, keys binary, classes binary"
 
 
 def _met(pdf: pd.DataFrame) -> pd.DataFrame:
-    """In one bucket: document rows as they are; the members of every key that two documents share, packed; each with its group's least one as a pair."""
+    """In one bucket: document rows as they are; the members of every key that two classes share, packed; each with its group's least one as a pair."""
     docs = pdf[pdf["keys"].isna()]
     packed = pdf[pdf["keys"].notna()]
     out = [docs.assign(kind="doc")]
     if len(packed):
         keys = np.concatenate([np.frombuffer(x, np.uint64) for x in packed["keys"]])
-        ids = np.concatenate([np.frombuffer(x, np.int64) for x in packed["ids"]])
-        order = np.argsort(keys, kind="stable")
-        keys, ids = keys[order], ids[order]
+        own = np.concatenate([np.frombuffer(x, np.int64) for x in packed["classes"]])
+        order = np.lexsort((own, keys))
+        keys, own = keys[order], own[order]
+        once = np.r_[True, (keys[1:] != keys[:-1]) | (own[1:] != own[:-1])]  # a class comes once from each batch
+        keys, own = keys[once], own[once]
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         size = np.diff(np.r_[first, len(keys)])
-        low = np.minimum.reduceat(ids, first)
-        shared = np.repeat(np.maximum.reduceat(ids, first) > low, size)
-        keys, ids, low = keys[shared], ids[shared], np.repeat(low, size)[shared]
+        shared = np.repeat(size > 1, size)
+        low = np.repeat(own[first], size)[shared]
+        keys, own = keys[shared], own[shared]
         for at in range(0, len(keys), CHUNK):
-            out.append(pd.DataFrame({"kind": ["group"], "keys": [keys[at : at + CHUNK].tobytes()], "ids": [ids[at : at + CHUNK].tobytes()]}))
-        a, b = low[ids != low], ids[ids != low]
+            out.append(pd.DataFrame({"kind": ["group"], "keys": [keys[at : at + CHUNK].tobytes()], "classes": [own[at : at + CHUNK].tobytes()]}))
+        a, b = low[own != low], own[own != low]
         order = np.lexsort((b, a))
         a, b = a[order], b[order]
         new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.empty(0, bool)
-        out.append(pd.DataFrame({"kind": "pair", "id": a[new], "n": b[new]}))
-    columns = ["kind", "id", "n", "s1", "s2", "sketch", "keys", "ids"]
+        out.append(pd.DataFrame({"kind": "pair", "id": a[new], "class": b[new]}))
+    columns = [c.split()[0] for c in FOUND.split(", ")]
     done = pd.concat([x.reindex(columns=columns) for x in out], ignore_index=True)
-    return done.astype({c: "Int64" for c in ("id", "n", "s1", "s2")})
+    return done.astype({c: "Int64" for c in ("id", "n", "class")})
 
 
 def _unpacked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in frames:
-        for keys, ids in zip(pdf["keys"], pdf["ids"]):
-            yield pd.DataFrame({"key": np.frombuffer(keys, np.int64), "id": np.frombuffer(ids, np.int64)})
+        for keys, own in zip(pdf["keys"], pdf["classes"]):
+            yield pd.DataFrame({"key": np.frombuffer(keys, np.int64), "rep": np.frombuffer(own, np.int64)})
 
 
 class Join:
@@ -197,24 +210,14 @@ class Join:
         self.docs, self.k, self.at_least, self.doc_id, self.text = docs, k, at_least, doc_id, text
         self.width = shuffle_width(docs.sparkSession)
         made = signatures(docs, k, at_least, self.width, doc_id, text)
-        self.found = materialize(
-            made.groupBy("bucket").applyInPandas(_met, "kind string, id bigint, n bigint, s1 bigint, s2 bigint, sketch binary, keys binary, ids binary"),
-            "ngram-signatures",
-        )
-        self.rows = self.found.where("kind = 'doc'").select("id", "n", "s1", "s2", "sketch")
-        named = self.rows.where(f"n > 0 and id > {NO_ID}")
-        classes = named.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
-        self.names = materialize(
-            named.join(classes, ["n", "s1", "s2"]).select("id", "rep", "n", F.when(F.col("id") == F.col("rep"), F.col("sketch")).alias("sketch")), "ngram-classes"
-        )
-        self.reps = self.names.where("id = rep").dropDuplicates(["rep"]).select("rep", "n", "sketch")
+        self.found = materialize(made.groupBy("bucket").applyInPandas(_met, FOUND), "ngram-signatures")
+        self.rows = self.found.where("kind = 'doc'").select("id", "n", "class", "sketch")
+        #: One row per class: its number, its least document, size and sketch.
+        named = self.rows.where(f"n > 0 and id > {NO_ID}").withColumnRenamed("class", "rep")
+        self.reps = materialize(named.groupBy("rep", "n").agg(F.min("id").alias("least"), F.max("sketch").alias("sketch")), "ngram-classes")
 
     def first_pairs(self) -> DataFrame:
-        met = self.found.where("kind = 'pair'").select(F.col("id").alias("a"), F.col("n").alias("b")).distinct()
-        rep = self.names.select("id", "rep").distinct()
-        for side in ("a", "b"):
-            met = met.join(rep.withColumnRenamed("id", side), side).drop(side).withColumnRenamed("rep", f"r{side}")
-        return met.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).where("a < b").distinct()
+        return self.found.where("kind = 'pair'").select(F.col("id").alias("a"), F.col("class").alias("b")).distinct()
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sizes and bit sketches allow a link."""
@@ -252,9 +255,9 @@ class Join:
                     linked[i] = down * both >= up * (len(s) + len(t) - both)
                 yield pdf.loc[linked, ["a", "b"]]
 
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        rows = self.docs.select(F.col(self.doc_id).cast("bigint").alias("id"), F.col(self.text).cast("binary").alias("text"))
-        made = rows.join(wanted, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(sets, "id bigint, members binary")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(self.reps.select("rep", "least"), "rep")
+        rows = self.docs.select(F.col(self.doc_id).cast("bigint").alias("least"), F.col(self.text).cast("binary").alias("text"))
+        made = rows.join(wanted, "least").select("rep", "text").mapInArrow(sets, "id bigint, members binary").dropDuplicates(["id"])
         made = materialize(made, "ngram-sets")
         for side in ("a", "b"):
             pairs = pairs.join(made.select(F.col("id").alias(side), F.col("members").alias(f"members_{side}")), side)
@@ -263,21 +266,20 @@ class Join:
     def open_pairs(self, roots: DataFrame) -> DataFrame:
         """Pairs of different components that share a key and that sizes and bit sketches allow."""
         at_least, width = self.at_least, self.width * 4
-        rep = self.names.select("id", "rep").distinct()
-        place = rep.select("rep").distinct().join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("root", "rep").alias("root"))
-        entries = self.found.where("kind = 'group'").select("keys", "ids").mapInPandas(_unpacked, "key bigint, id bigint")
-        entries = materialize(entries.join(rep, "id").join(place, "rep").select("key", "rep", "root"), "ngram-entries")
+        entries = self.found.where("kind = 'group'").select("keys", "classes").mapInPandas(_unpacked, "key bigint, rep bigint")
+        entries = entries.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
+        entries = materialize(entries, "ngram-entries")
         size = F.count("*").alias("size")
         mixed = entries.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), size).where("low < high")
         mixed = mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-        members = entries.join(mixed, "key").distinct().withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        members = entries.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         pair = F.transform(
             F.sequence(F.lit(0), F.col("blocks") - 1),
             lambda j: F.struct(F.least(j, F.col("own")).alias("lo"), F.greatest(j, F.col("own")).alias("hi")),
         )
         spread = members.withColumn("pair", F.explode(pair))
         spread = spread.withColumn("bucket", F.pmod(F.xxhash64("key", "pair.lo", "pair.hi"), F.lit(width)))
-        work = spread.select("bucket", "key", "rep", "root", "own", "pair.lo", "pair.hi").join(self.reps, "rep")
+        work = spread.select("bucket", "key", "rep", "root", "own", "pair.lo", "pair.hi").join(self.reps.drop("least"), "rep")
 
         def compare(pdf: pd.DataFrame) -> pd.DataFrame:
             rep, root, n = (pdf[c].to_numpy() for c in ("rep", "root", "n"))
@@ -310,14 +312,14 @@ class Join:
             roots = components(links)
         else:
             roots = components(links.unionByName(materialize(self.verified(more), "ngram-links")))
-        place = self.names.select("id", "rep").distinct().join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-        place = place.groupBy("id").agg(F.min(F.coalesce("root", "rep")).alias("root"))
-        out = self.rows.select("id", "n").join(place, "id", "left")
+        place = self.reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "least", F.coalesce("root", "rep").alias("root"))
+        names = place.join(place.groupBy("root").agg(F.min("least").alias("name")), "root").select(F.col("rep").alias("class"), "name")
+        out = self.rows.select("id", "n", "class").join(names, "class", "left")
         missing = F.col("id") == NO_ID
         return out.select(
             F.when(~missing, F.col("id")).alias("doc_id"),
             F.col("n").alias("n_shingles"),
-            F.when(~missing, F.coalesce("root", "id")).alias("component_id"),
+            F.when(~missing, F.when(F.col("n") > 0, F.coalesce("name", "id")).otherwise(F.col("id"))).alias("component_id"),
         )
 
 
