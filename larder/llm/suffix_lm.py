@@ -223,9 +223,9 @@ def learn_tree(train: DataFrame, depth: int, share: float, divergence: float, pr
     parts = counted.mapInPandas(shorten, "level int, context bigint, symbol int, n bigint")
     cells = materialize(parts.groupBy("level", "context", "symbol").agg(F.sum("n").alias("n")), "run-cells")
     often = cells.groupBy("level", "context").agg(F.sum("n").alias("seen")).where(F.col("seen") >= least).drop("seen")
-    got = cells.join(often, ["level", "context"]).toPandas()
-    run = (got["level"].to_numpy(), got["context"].to_numpy(), got["symbol"].to_numpy())
-    return grow(run, got["n"].to_numpy(), max(1, total), depth, share, divergence, prior)
+    got = cells.join(often, ["level", "context"]).toArrow()
+    *run, n = (got.column(c).to_numpy() for c in ("level", "context", "symbol", "n"))
+    return grow(tuple(run), n, max(1, total), depth, share, divergence, prior)
 
 
 def _postings(tree, depth: int, width: int):
