@@ -178,12 +178,12 @@ def learn(docs: DataFrame, labels: DataFrame, parts: int = 5, sample: int = SAMP
         .where(F.col("quality").isNotNull() & (fold("_label_id", parts) != 0)).orderBy(*order).limit(sample)
     )
     rows = docs.select(F.col(doc_id).alias("_label_id"), F.col(text).cast("binary").alias("_text"))
-    bags = _bags(rows.join(F.broadcast(chosen), "_label_id").select("quality", "_text"), most_passages).toPandas()
-    bags = bags.sort_values(["quality", "bag"])  # the same order whatever the partitions
-    y = bags["quality"].to_numpy() > 0
+    bags = _bags(rows.join(F.broadcast(chosen), "_label_id").select("quality", "_text"), most_passages).toArrow()
+    bags = bags.sort_by([("quality", "ascending"), ("bag", "ascending")])  # the same order whatever the partitions
+    y = bags.column("quality").to_numpy() > 0
     if not len(y) or y.all() or not y.any():
         return (float(y.sum()) + 1) / (len(y) + 2)
-    rows = [np.frombuffer(b, np.float32).reshape(-1, SIZE) for b in bags["bag"]]
+    rows = [np.frombuffer(b.as_buffer(), np.float32).reshape(-1, SIZE) for b in bags.column("bag")]
     size = np.asarray([len(r) for r in rows])
     return Attention.fit(np.concatenate(rows), np.cumsum(size) - size, y)
 
