@@ -103,8 +103,8 @@ def with_copies(
         cells.select("key", "kind", "bucket", F.coalesce(F.sum("n").over(run), F.lit(0)).alias("ahead")).join(goal, "key"),
         "mix-placed",
     )
-    placed = placed.select(F.struct("*").alias(cell))
-    joined = marked.join(placed, (m.key == c.key) & (m.kind == c.kind) & (m.bucket == c.bucket))
+    placed = placed.select(F.struct("*").alias(cell))  # grows with sources and input, so it is never broadcast
+    joined = marked.join(placed.hint("merge"), (m.key == c.key) & (m.kind == c.kind) & (m.bucket == c.bucket))
     inside = Window.partitionBy(m.key, m.kind, m.bucket).orderBy(m.hash, m.id)
     rank = (c.ahead + F.row_number().over(inside)).cast("double")
     rate = F.when(c.source_size > 0, c.target / c.source_size.cast("double")).otherwise(0.0)
