@@ -236,7 +236,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID,
 
     inside = Window.partitionBy("length", "part").orderBy("row_no")
     ranked = (
-        table.withColumn("part", part).join(cells.drop("n"), ["length", "part"])
+        table.withColumn("part", part).join(cells.drop("n").hint("merge"), ["length", "part"])
         .withColumn("rank", F.col("ahead") + F.row_number().over(inside) - 1)
         .drop("part", "ahead", "row_no")
     )
