@@ -11,7 +11,7 @@ from larder.catalog import query
 from larder.functions import draws as D
 from larder.functions import rules as R
 from larder.lookups import Lookups
-from larder.operators.allocate import allocate, group_of, place_in_group, spans
+from larder.operators.allocate import allocate, expand
 from larder.operators.enrich import lookup, with_gst_flag, with_perishability
 from larder.plans.builder import fresh_cost, fresh_specs, products_for, supplier_pools
 from larder.plans.part_products import read_part_products
@@ -88,12 +88,10 @@ bounds as (select *, sum(n) over (order by dept_no)::bigint hi,
 def expand_allocation(spark, sf_dir):
     part = _part(spark, sf_dir)
     total = part.agg(F.count("*")).scalar()
-    groups = spans(allocate(Lookups.builtin(spark).table("department"), total))
-    return part.selectExpr(
-        "p_partkey",
-        f"{group_of('p_partkey + 1', groups)} as dept_no",
-        f"{place_in_group('p_partkey + 1', groups)} as in_dept",
-    )
+    allocation = allocate(Lookups.builtin(spark).table("department"), total)
+    numbered = part.selectExpr("p_partkey", "p_partkey + 1 as number")
+    out = expand(numbered, "number", allocation)
+    return out.selectExpr("p_partkey", "dept_no", "in_group as in_dept")
 
 
 # ---- draws -------------------------------------------------------------------------------------

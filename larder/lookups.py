@@ -139,7 +139,10 @@ class Lookups:
         for name, df in (replace or {}).items():
             if missing := set(_TABLES[name][1]) - set(df.columns):
                 raise ValueError(f"lookup {name} lacks columns {sorted(missing)}")
-            df = df.dropDuplicates(_KEYS[name])
+            keys = _KEYS[name]
+            if repeated := df.groupBy(*keys).count().filter("count > 1").limit(5).collect():
+                shown = ", ".join(str(tuple(r[k] for k in keys)) for r in repeated)
+                raise ValueError(f"lookup {name} repeats {keys}: {shown}")
             self._rows[name], small = measured(df)
             self._own[name] = F.broadcast(df) if small else df
             if not small:

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-REMAINDER_BINS = 1024
-MAX_SPANS = 64
+#: Bins of remainders, and slots of ties inside one remainder.
+BINS, SLOTS = 1024, 1024
+#: Numbers that are placed together when an allocation is expanded.
+STRIDE = 65_536
 
 
 def allocate(
@@ -21,9 +19,11 @@ def allocate(
     """Split ``n`` rows over the weights: whole shares first, then one spare row each to the largest
     remainders, equal remainders by ``tie``.
 
-    Integer arithmetic throughout. Remainders are ranked by bin (a bin count, then a rank inside each
-    bin), so even a long weights table is never sorted in a single task. ``n`` may be a scalar
-    subquery such as ``df.agg(F.count("*")).scalar()``.
+    Integer arithmetic throughout. A rank is the number of rows with larger remainders plus the place
+    among equal ones. The first comes from one row per distinct remainder, summed up in bins over the
+    range that remainders take; the second from slots of the tie (equal parts of a number's range, first characters of a text), so
+    equal remainders are dealt out over many tasks. A single task sees ``BINS`` rows. ``n`` may be a scalar subquery such as
+    ``df.agg(F.count("*")).scalar()``.
     """
     n = (n if isinstance(n, Column) else F.lit(n)).cast("decimal(19,0)")
     total = weights.agg(F.sum(F.col(weight)).cast("bigint").alias("_t")).scalar()
@@ -32,78 +32,54 @@ def allocate(
     shares = (
         weights.withColumns({"_w": F.col(weight).cast("decimal(18,0)"), "_n": n, "_total": total})
         .withColumn("_rem", (exact % F.col("_total")).cast("decimal(19,0)"))
-        .withColumn(
-            "_floor",
-            ((exact - F.col("_rem")) / F.col("_total")).cast("bigint"),
-        )
-        .withColumn(
-            "_bin",
-            F.floor(
-                F.col("_rem").cast("double") * F.lit(float(REMAINDER_BINS))
-                / F.col("_total").cast("double")
-            ),
-        )
+        .withColumn("_floor", ((exact - F.col("_rem")) / F.col("_total")).cast("bigint"))
     )
-    bins = shares.groupBy("_bin").agg(
-        F.count("*").alias("_in_bin"), F.sum("_floor").alias("_bin_floor")
+    shares = shares.withColumn("_slot", _slot(weights, tie))
+    cells = shares.groupBy("_rem", "_slot").agg(
+        F.count("*").alias("_c"), F.sum("_floor").alias("_f")
     )
+    rems = cells.groupBy("_rem").agg(F.sum("_c").alias("_c"), F.sum("_f").alias("_f"))
+    top = shares.agg(F.max("_rem").alias("_m")).scalar()
+    share = F.col("_rem").cast("double") / F.greatest(top, F.lit(1)).cast("double")
+    rems = rems.withColumn("_bin", F.floor(share * F.lit(float(BINS))))
+    bins = rems.groupBy("_bin").agg(F.sum("_c").alias("_c"), F.sum("_f").alias("_f"))
     above = W.orderBy(F.desc("_bin")).rowsBetween(W.unboundedPreceding, -1)
     bins = bins.select(
-        F.col("_bin").alias("_b"),
-        F.coalesce(F.sum("_in_bin").over(above), F.lit(0)).alias("_above"),
-        F.sum("_bin_floor").over(W.partitionBy()).alias("_all_floor"),
+        "_bin",
+        F.coalesce(F.sum("_c").over(above), F.lit(0)).alias("_above"),
+        F.sum("_f").over(W.partitionBy()).alias("_all_floor"),
     )
-    in_bin = F.row_number().over(W.partitionBy("_bin").orderBy(F.desc("_rem"), F.col(tie)))
+    larger = W.partitionBy("_bin").orderBy(F.desc("_rem")).rowsBetween(W.unboundedPreceding, -1)
+    rems = rems.join(F.broadcast(bins), "_bin").select(  # at most BINS + 1 rows
+        "_rem", "_all_floor",
+        (F.col("_above") + F.coalesce(F.sum("_c").over(larger), F.lit(0))).alias("_above"),
+    )
+    earlier = W.partitionBy("_rem").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    cells = cells.select(
+        "_rem", "_slot", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_earlier")
+    ).join(rems, "_rem")
+    place = F.row_number().over(W.partitionBy("_rem", "_slot").orderBy(tie))
     spare = F.col("_n") - F.col("_all_floor")
+    rank = F.col("_above") + F.col("_earlier") + F.col("_place")
     return (
-        shares.withColumn("_rn", in_bin)
-        .join(F.broadcast(bins), F.col("_bin") == F.col("_b"))  # at most REMAINDER_BINS rows
-        .withColumn(
-            out, F.col("_floor") + F.when(F.col("_above") + F.col("_rn") <= spare, 1).otherwise(0)
-        )
-        .drop("_w", "_n", "_total", "_rem", "_floor", "_bin", "_rn", "_b", "_above", "_all_floor")
+        shares.withColumn("_place", place)
+        .join(cells, ["_rem", "_slot"])
+        .withColumn(out, F.col("_floor") + F.when(rank <= spare, 1).otherwise(0))
+        .select(*[F.col(f"`{c}`") for c in weights.columns if c != out], out)
     )
 
 
-@dataclass(frozen=True)
-class Span:
-    """Rows lo+1..hi belong to the group."""
-
-    group: int
-    lo: int
-    hi: int
-
-
-def spans(allocation: DataFrame, order: str = "dept_no", n: str = "n") -> list[Span] | None:
-    """The groups of a lookup-sized allocation in ``order`` with their row ranges; None when there
-    are more than MAX_SPANS groups, for which :func:`expand_join` is the way."""
-    rows = allocation.select(order, n).limit(MAX_SPANS + 1).collect()
-    if len(rows) > MAX_SPANS:
-        return None
-    rows.sort()
-    ends = list(accumulate(r[1] for r in rows))
-    return [Span(r[0], end - r[1], end) for r, end in zip(rows, ends, strict=True) if r[1]]
-
-
-def _by_span(number: str, groups: Sequence[Span], value) -> str:
-    if not groups:
-        return "cast(null as bigint)"
-    whens = " ".join(f"when {number} <= {s.hi}L then {value(s)}" for s in groups[:-1])
-    return f"(case {whens} else {value(groups[-1])} end)" if whens else str(value(groups[-1]))
-
-
-def group_of(number: str, groups: Sequence[Span]) -> str:
-    """The group that row ``number`` (from 1 on) falls into.
-
-    The ranges are literals compared in generated code, so expanding is a narrow projection:
-    neither a range join nor a shuffle of the rows.
-    """
-    return _by_span(number, groups, lambda s: s.group)
-
-
-def place_in_group(number: str, groups: Sequence[Span]) -> str:
-    """Running number of the row within its group, from 1 on."""
-    return f"({number} - {_by_span(number, groups, lambda s: f'{s.lo}L')})"
+def _slot(weights: DataFrame, tie: str) -> Column:
+    """A number that grows with the tie: for numbers by their range, for text by its first characters."""
+    kind = dict(weights.dtypes)[tie]
+    x = F.col(f"`{tie}`")
+    if kind == "string":
+        return F.substring(x, 1, 12)
+    bounds = weights.agg(
+        F.struct(F.min(x).cast("double").alias("a"), F.max(x).cast("double").alias("b")).alias("s")
+    ).scalar()
+    wide = (bounds["b"] - bounds["a"]) / SLOTS
+    return F.when(wide > 0, F.floor((x.cast("double") - bounds["a"]) / wide)).otherwise(F.lit(0))
 
 
 def bounds(
@@ -112,7 +88,7 @@ def bounds(
     """Adds ``lo`` and ``hi``: rows lo+1..hi belong to the group. ``order`` numbers the groups.
 
     Running totals in two levels, inside chunks of groups and over the chunk totals, so a long
-    allocation does not pass through one task.
+    allocation does not pass through one task: a single one sees groups / ``chunk`` rows.
     """
     rows = allocation.withColumn("_chunk", F.floor(F.col(order) / chunk))
     before = W.orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
@@ -124,25 +100,35 @@ def bounds(
     return rows.withColumn("lo", F.col("hi") - F.col(n)).drop("_chunk", "_base")
 
 
-def expand_join(
+def expand(
     rows: DataFrame, number: str, allocation: DataFrame, order: str = "dept_no", n: str = "n",
-    stride: int = 1_000_000,
+    stride: int = STRIDE,
 ) -> DataFrame:
-    """:func:`group_of` for long allocations, as the columns ``order`` and ``in_group``.
+    """The group that each row's ``number`` (from 1 on) falls into as ``order``, and the running number
+    there as ``in_group``. Numbers outside 1..total belong to no group and are dropped.
 
-    An equi-join on number blocks: each group is listed under the blocks of ``stride`` numbers it
-    touches, and a row looks only at the groups of its own block.
+    Numbers are dealt out in blocks of ``stride``. A group puts a mark where it begins in each block it
+    touches, and a row takes the last mark at or before it: linear in rows and groups, for any number
+    and size of groups.
     """
+    listed = bounds(allocation, order, n).filter(F.col(n) > 0)
     block = F.explode(
         F.sequence(F.floor(F.col("lo") / stride), F.floor((F.col("hi") - 1) / stride))
     ).alias("_block")
-    listed = bounds(allocation, order, n).filter(F.col(n) > 0)
-    listed = listed.select(block, F.col(order), F.col("lo"), F.col("hi"))
-    x = F.col(number)
-    return (
-        rows.withColumn("_block", F.floor((x - 1) / stride))
-        .join(listed, "_block")
-        .filter((x > F.col("lo")) & (x <= F.col("hi")))
-        .withColumn("in_group", x - F.col("lo"))
-        .drop("_block", "lo", "hi")
-    )
+    group = F.struct(F.col(order).alias("group"), "lo", "hi").alias("_group")
+    marks = listed.select(block, group)
+    marks = marks.withColumn("_at", F.greatest(F.col("_group.lo"), F.col("_block") * stride) + 1)
+    x = F.col(number).cast("bigint")
+    given = rows.select(
+        F.floor((x - 1) / stride).alias("_block"), x.alias("_at"), F.struct(*rows.columns).alias("_row")
+    )
+    both = given.unionByName(marks, allowMissingColumns=True)
+    # At one number the mark comes first.
+    upto = W.partitionBy("_block").orderBy("_at", F.col("_row").isNotNull())
+    placed = both.withColumn("_group", F.last("_group", ignorenulls=True).over(upto))
+    placed = placed.filter("_row is not null and _at > _group.lo and _at <= _group.hi")
+    return placed.select(
+        "_row.*",
+        F.col("_group.group").alias(order),
+        (F.col("_at") - F.col("_group.lo")).alias("in_group"),
+    )

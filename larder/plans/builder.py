@@ -1,8 +1,8 @@
 """Building product tables: one narrow pass over row numbers.
 
 Every value of a row follows from (seed, row number), so tasks are independent, can be retried, and
-give the same table for any number of partitions. The row stream meets broadcast lookups only;
-nothing is shuffled, sorted or collected.
+give the same table for any number of partitions. Row numbers alone are shuffled, to find their
+department; from there on the row stream meets broadcast lookups only.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from larder import values
 from larder.functions import draws as D
 from larder.functions import rules as R
 from larder.lookups import Lookups
-from larder.operators.allocate import allocate, expand_join, group_of, place_in_group, spans
+from larder.operators.allocate import allocate, expand
 from larder.operators.enrich import lookup, with_gst_flag, with_perishability
 
 RAW_COLUMNS = (
@@ -93,21 +93,12 @@ def products_for(
     # One generated function for the whole row would exceed the 8000 bytecodes the JVM compiles to
     # machine code. The array steps (wobble, peak months) end a generated stage, which keeps each
     # stage small; expressions between them are spread over the joins.
-    rows = ids.selectExpr(f"cast({number} as bigint) as idx")
+    rows = expand(ids.selectExpr(f"cast({number} as bigint) as idx"), "idx", allocation)
     rows = D.with_draws(rows, seed, "idx", (*DRAWS, *wobble))
     rows = rows.selectExpr(
         *[c for c in rows.columns if c not in {f"u_{n}" for n in wobble}],
         f"{R.wobble_vector([f'u_{n}' for n in wobble])} as wobble",
     )
-    groups = spans(allocation)
-    if groups is None:
-        rows = expand_join(rows, "idx", allocation)
-    else:
-        rows = rows.selectExpr(
-            "*",
-            f"{group_of('idx', groups)} as dept_no",
-            f"{place_in_group('idx', groups)} as in_group",
-        )
     dept = dept.selectExpr(
         "dept_no", "department", "margin", "cost_low", "cost_mode", "cost_high",
         "private_label_rate", "brands", "n_categories", f"department = '{FRESH}' as is_fresh",
@@ -205,6 +196,6 @@ def build_products(
     lookups: Lookups | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """``n`` products in the order of their numbers."""
+    """``n`` products, in no particular order."""
     ids = spark.range(1, n + 1, numPartitions=partitions)
     return products_for(ids, "id", n, seed, lookups or Lookups.builtin(spark))

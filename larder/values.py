@@ -101,28 +101,28 @@ christmas | 0.9 0.9 0.9 0.9 0.9 0.9 0.9 1.0 1.1 1.2 1.4 2.2
 """
 
 # ---- fixed values: curated fresh goods ---------------------------------------------------------
-# name | category | subcategory | unit | pack | cost | shelf life | wastage | months (blank: wobble)
+# category | subcategory | unit | pack | cost | shelf life | wastage | months (blank: wobble)
 FRESH_TEXT = """
-Mango Kensington Pride | Fruit      | Tropical Fruit   | each | 1   | 1.80 | 7  | 0.08 | 1.6 1.8 1.4 0.6 0.3 0.2 0.2 0.2 0.4 0.8 1.4 1.8
-Banana Cavendish       | Fruit      | Tropical Fruit   | kg   | 1   | 1.95 | 6  | 0.05 |
-Strawberry 250g punnet | Fruit      | Berries          | pack | 250 | 2.40 | 4  | 0.12 | 0.6 0.5 0.4 0.4 0.5 0.6 0.7 1.0 1.5 1.8 1.6 1.2
-Avocado Hass           | Fruit      | Tropical Fruit   | each | 1   | 1.20 | 10 | 0.07 | 1.2 1.1 0.9 0.7 0.9 1.1 1.2 1.2 1.1 1.0 1.1 1.2
-Apple Pink Lady        | Fruit      | Pome Fruit       | kg   | 1   | 3.10 | 30 | 0.03 | 0.7 0.7 0.8 1.2 1.4 1.4 1.3 1.2 1.1 0.9 0.7 0.6
-Apple Granny Smith     | Fruit      | Pome Fruit       | kg   | 1   | 2.80 | 30 | 0.03 |
-Peach Yellow           | Fruit      | Stone Fruit      | kg   | 1   | 4.50 | 5  | 0.10 | 1.4 1.2 1.0 0.4 0.2 0.1 0.1 0.1 0.2 0.5 0.9 1.3
-Cherry 500g            | Fruit      | Stone Fruit      | pack | 500 | 8.00 | 4  | 0.15 | 2.4 1.0 0.2 0.1 0.05 0.05 0.05 0.05 0.1 0.4 1.6 3.0
-Watermelon Seedless    | Fruit      | Tropical Fruit   | kg   | 1   | 1.40 | 14 | 0.06 | 1.5 1.5 1.2 0.6 0.3 0.2 0.2 0.3 0.5 0.9 1.3 1.6
-Tomato Truss           | Vegetables | Salad Vegetables | kg   | 1   | 3.20 | 10 | 0.06 |
-Lettuce Iceberg        | Vegetables | Leafy Greens     | each | 1   | 1.80 | 7  | 0.10 |
-Cucumber Lebanese      | Vegetables | Salad Vegetables | kg   | 1   | 3.50 | 10 | 0.07 |
-Capsicum Red           | Vegetables | Salad Vegetables | each | 1   | 1.50 | 10 | 0.08 |
-Carrot Loose           | Vegetables | Root Vegetables  | kg   | 1   | 1.50 | 30 | 0.04 |
-Potato Brushed         | Vegetables | Root Vegetables  | kg   | 1   | 2.20 | 60 | 0.03 |
-Onion Brown            | Vegetables | Root Vegetables  | kg   | 1   | 1.80 | 60 | 0.03 |
-Broccoli               | Vegetables | Cruciferous      | kg   | 1   | 4.00 | 7  | 0.10 | 0.5 0.6 0.8 1.0 1.4 1.5 1.5 1.4 1.2 1.0 0.7 0.5
-Cauliflower            | Vegetables | Cruciferous      | each | 1   | 3.50 | 10 | 0.08 | 0.5 0.6 0.8 1.0 1.4 1.5 1.5 1.4 1.2 1.0 0.7 0.5
-Pumpkin Butternut      | Vegetables | Squash & Pumpkin | kg   | 1   | 2.20 | 60 | 0.04 | 0.6 0.7 1.2 1.5 1.5 1.4 1.3 1.1 0.9 0.7 0.6 0.6
-Asparagus Bunch        | Vegetables | Salad Vegetables | pack | 250 | 4.50 | 4  | 0.18 | 0.3 0.3 0.3 0.3 0.3 0.3 0.4 0.7 1.5 2.0 1.8 1.0
+Fruit      | Tropical Fruit   | each | 1   | 1.80 | 7  | 0.08 | 1.6 1.8 1.4 0.6 0.3 0.2 0.2 0.2 0.4 0.8 1.4 1.8
+Fruit      | Tropical Fruit   | kg   | 1   | 1.95 | 6  | 0.05 |
+Fruit      | Berries          | pack | 250 | 2.40 | 4  | 0.12 | 0.6 0.5 0.4 0.4 0.5 0.6 0.7 1.0 1.5 1.8 1.6 1.2
+Fruit      | Tropical Fruit   | each | 1   | 1.20 | 10 | 0.07 | 1.2 1.1 0.9 0.7 0.9 1.1 1.2 1.2 1.1 1.0 1.1 1.2
+Fruit      | Pome Fruit       | kg   | 1   | 3.10 | 30 | 0.03 | 0.7 0.7 0.8 1.2 1.4 1.4 1.3 1.2 1.1 0.9 0.7 0.6
+Fruit      | Pome Fruit       | kg   | 1   | 2.80 | 30 | 0.03 |
+Fruit      | Stone Fruit      | kg   | 1   | 4.50 | 5  | 0.10 | 1.4 1.2 1.0 0.4 0.2 0.1 0.1 0.1 0.2 0.5 0.9 1.3
+Fruit      | Stone Fruit      | pack | 500 | 8.00 | 4  | 0.15 | 2.4 1.0 0.2 0.1 0.05 0.05 0.05 0.05 0.1 0.4 1.6 3.0
+Fruit      | Tropical Fruit   | kg   | 1   | 1.40 | 14 | 0.06 | 1.5 1.5 1.2 0.6 0.3 0.2 0.2 0.3 0.5 0.9 1.3 1.6
+Vegetables | Salad Vegetables | kg   | 1   | 3.20 | 10 | 0.06 |
+Vegetables | Leafy Greens     | each | 1   | 1.80 | 7  | 0.10 |
+Vegetables | Salad Vegetables | kg   | 1   | 3.50 | 10 | 0.07 |
+Vegetables | Salad Vegetables | each | 1   | 1.50 | 10 | 0.08 |
+Vegetables | Root Vegetables  | kg   | 1   | 1.50 | 30 | 0.04 |
+Vegetables | Root Vegetables  | kg   | 1   | 2.20 | 60 | 0.03 |
+Vegetables | Root Vegetables  | kg   | 1   | 1.80 | 60 | 0.03 |
+Vegetables | Cruciferous      | kg   | 1   | 4.00 | 7  | 0.10 | 0.5 0.6 0.8 1.0 1.4 1.5 1.5 1.4 1.2 1.0 0.7 0.5
+Vegetables | Cruciferous      | each | 1   | 3.50 | 10 | 0.08 | 0.5 0.6 0.8 1.0 1.4 1.5 1.5 1.4 1.2 1.0 0.7 0.5
+Vegetables | Squash & Pumpkin | kg   | 1   | 2.20 | 60 | 0.04 | 0.6 0.7 1.2 1.5 1.5 1.4 1.3 1.1 0.9 0.7 0.6 0.6
+Vegetables | Salad Vegetables | pack | 250 | 4.50 | 4  | 0.18 | 0.3 0.3 0.3 0.3 0.3 0.3 0.4 0.7 1.5 2.0 1.8 1.0
 """
 FRESH_PACKS = (0.5, 1.0, 1.5, 2.0)
 
@@ -232,17 +232,19 @@ def seasons() -> dict[str, list[float]]:
 
 
 def fresh_goods() -> list[dict]:
-    keys = ("name", "category", "subcategory", "unit_of_measure")
+    """Names are our own, by a pattern: the subcategory and a running number."""
+    keys = ("category", "subcategory", "unit_of_measure")
     out = []
     for no, row in enumerate(_records(FRESH_TEXT)):
-        rec = dict(zip(keys, row[:4], strict=True))
+        rec = dict(zip(keys, row[:3], strict=True))
         rec.update(
             spec_no=no,
-            pack_size=float(row[4]),
-            cost=row[5],
-            shelf_life_days=float(row[6]),
-            wastage_rate=float(row[7]),
-            months=_numbers(row[8]) or None,
+            name=f"{row[1]} No. {no + 1}",
+            pack_size=float(row[3]),
+            cost=row[4],
+            shelf_life_days=float(row[5]),
+            wastage_rate=float(row[6]),
+            months=_numbers(row[7]) or None,
         )
         out.append(rec)
     return out

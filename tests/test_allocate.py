@@ -1,16 +1,10 @@
 """Largest-remainder allocation."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from larder.lookups import Lookups
-from larder.operators.allocate import (
-    allocate,
-    bounds,
-    expand_join,
-    group_of,
-    place_in_group,
-    spans,
-)
+from larder.operators.allocate import allocate, bounds, expand
 
 
 def by_hand(weights, n):
@@ -46,31 +40,54 @@ def test_many_equal_remainders(spark):
     assert allocated(spark, weights, 1234) == by_hand(weights, 1234)
 
 
-@pytest.mark.parametrize("n", [7, 50, 333])
-def test_expansion(spark, n):
-    alloc = allocate(Lookups(spark).table("department"), n)
-    groups = spans(alloc)
-    sizes = {r.dept_no: r.n for r in alloc.collect()}
-    rows = spark.range(1, n + 1).selectExpr(
-        "id",
-        f"{group_of('id', groups)} as dept_no",
-        f"{place_in_group('id', groups)} as in_group",
+def test_equal_weights_leave_no_hot_task(spark):
+    """100,000 equal remainders: their ranks are taken in many small windows."""
+    n = 100_000
+    df = spark.range(n).selectExpr("id as alloc_no", "7L as weight").repartition(8)
+    got = allocate(df, 2 * n + n // 4)
+    assert got.agg(F.sum("n"), F.min("n"), F.max("n")).first() == (2 * n + n // 4, 2, 3)
+    assert got.filter("n = 3").agg(F.max("alloc_no")).first()[0] == n // 4 - 1
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(_rem" in plan and "_slot" in plan
+
+
+def test_text_ties(spark):
+    df = spark.createDataFrame([(f"b{i:02d}", 1) for i in range(30)], "brand string, weight bigint")
+    got = {r.brand: r.n for r in allocate(df, 40, tie="brand").collect()}
+    assert got == {f"b{i:02d}": 2 if i < 10 else 1 for i in range(30)}
+
+
+def by_hand_groups(sizes):
+    return [(d, k) for d, s in enumerate(sizes) for k in range(1, s + 1)]
+
+
+@pytest.mark.parametrize("groups", [1, 10, 64, 65, 300])
+@pytest.mark.parametrize("stride", [7, 50, 65_536])
+def test_expansion(spark, groups, stride):
+    """One way for any number of groups; numbers outside 1..total belong to none."""
+    sizes = [(i * 7 + 3) % 5 for i in range(groups)]
+    alloc = spark.createDataFrame(list(enumerate(sizes)), "dept_no int, n long")
+    total = sum(sizes)
+    rows = spark.range(-3, total + 20).selectExpr("id", "'x' as more").unionByName(
+        spark.sql("select cast(null as bigint) as id, 'x' as more")
     )
-    got = {r.dept_no: r["count"] for r in rows.groupBy("dept_no").count().collect()}
-    assert got == {d: k for d, k in sizes.items() if k}
-    assert [r.dept_no for r in rows.collect()] == sorted(r.dept_no for r in rows.collect())
-    joined = expand_join(spark.range(1, n + 1).toDF("id"), "id", alloc, stride=10)
-    assert sorted(joined.select(*rows.columns).collect()) == sorted(rows.collect())
+    got = expand(rows, "id", alloc, stride=stride)
+    assert got.columns == ["id", "more", "dept_no", "in_group"]
+    got = got.orderBy("id").collect()
+    assert [r.id for r in got] == list(range(1, total + 1))
+    assert [(r.dept_no, r.in_group) for r in got] == by_hand_groups(sizes)
 
 
-def test_long_allocations(spark):
+def test_bounds(spark):
     sizes = [(i * 7) % 5 for i in range(300)]
     alloc = spark.createDataFrame(list(enumerate(sizes)), "dept_no int, n long")
-    assert spans(alloc) is None
     got = [(r.lo, r.hi) for r in bounds(alloc, chunk=16).orderBy("dept_no").collect()]
     ends = [sum(sizes[: i + 1]) for i in range(300)]
     assert got == [(e - s, e) for e, s in zip(ends, sizes, strict=True)]
-    total = sum(sizes)
-    joined = expand_join(spark.range(1, total + 1).toDF("id"), "id", alloc, stride=50)
-    want = [(d, k) for d, s in enumerate(sizes) for k in range(1, s + 1)]
-    assert [(r.dept_no, r.in_group) for r in joined.orderBy("id").collect()] == want
+
+
+def test_many_small_groups_expand_in_linear_time(spark):
+    n = 300_000
+    alloc = spark.range(n).selectExpr("cast(id as int) as dept_no", "1L as n")
+    got = expand(spark.range(1, n + 1), "id", alloc)
+    assert got.agg(F.count("*"), F.count_if(F.expr("dept_no = id - 1 and in_group = 1"))).first() == (n, n)
