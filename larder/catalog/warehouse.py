@@ -47,7 +47,7 @@ def backfill_range(spark, sf_dir):
     job_backfill(events, date(1970, 1, 1), date(2024, 1, 20), out)
     job_backfill(events, date(2024, 1, 15), date(2099, 12, 31), out)
     job_daily(events, date(2024, 1, 15), out)
-    rows = read_partitions(spark, out).selectExpr(
+    rows = read_partitions(spark, out, dated(events).schema).selectExpr(
         "cast(event_date as string) as day_key", "event_type", "value"
     )
     return rows.groupBy("day_key", "event_type").agg(*[F.expr(e) for e in _BY_DAY])
@@ -63,26 +63,29 @@ def daily_increment(spark, sf_dir):
     schema = _read(spark, sf_dir, "events").schema
     for _ in range(2):
         load_new_files(spark, sf_dir, schema, out, checkpoint, files="events.parquet")
-    rows = spark.read.parquet(out).selectExpr("cast(event_date as string) as day_key", "value")
+    rows = spark.read.schema(schema).parquet(out)
+    rows = rows.selectExpr("date_format(ts, 'yyyy-MM-dd') as day_key", "value")
     return rows.groupBy("day_key").agg(*[F.expr(e) for e in _BY_DAY])
 
 
 @query(
     "partitioned_scan",
-    f"""select strftime(ts, '%Y-%m-%d') as day_key, user_id % 10 as user_group, {_DAY_SQL}
-        from events where event_type = 'purchase' and ts >= timestamp '2024-01-10' group by all""",
+    f"""select strftime(ts, '%Y-%m-%d') as day_key, lpad((user_id % 10)::varchar, 3, '0') as domain,
+          user_id % 7 as user_group, {_DAY_SQL}
+        from events where user_id % 10 < 8 and ts >= timestamp '2024-01-10' group by all""",
 )
 def partitioned_scan(spark, sf_dir):
-    """Partitions by date and domain; reads just those of one event type from a date on."""
-    events = _read(spark, sf_dir, "events")
-    out = write_partitions(dated(events), scratch(spark, "events"), ["event_date", "event_type"])
-    rows = read_partitions(spark, out).filter(
-        "event_type = 'purchase' and event_date >= date '2024-01-10'"
+    """Partitions by date and a text domain with leading zeros; reads just some domains from a date on."""
+    events = dated(_read(spark, sf_dir, "events"))
+    events = events.withColumn("domain", F.expr("lpad(cast(user_id % 10 as string), 3, '0')"))
+    out = write_partitions(events, scratch(spark, "events"), ["event_date", "domain"])
+    rows = read_partitions(spark, out, events.schema).filter(
+        "domain < '008' and event_date >= date '2024-01-10'"
     )
     rows = rows.selectExpr(
-        "cast(event_date as string) as day_key", "user_id % 10 as user_group", "value"
+        "cast(event_date as string) as day_key", "domain", "user_id % 7 as user_group", "value"
     )
-    return rows.groupBy("day_key", "user_group").agg(*[F.expr(e) for e in _BY_DAY])
+    return rows.groupBy("day_key", "domain", "user_group").agg(*[F.expr(e) for e in _BY_DAY])
 
 
 # ---- history -----------------------------------------------------------------------------------
@@ -105,21 +108,21 @@ def dedup_latest(spark, sf_dir):
     return H.dedup_latest(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
-# Customers below zero balance are left out of the dimension, so orders of theirs have no match.
+# Every 50th order names a customer that doesn't exist.
 @query(
     "surrogate_keys",
     """select coalesce(c_mktsegment, 'unknown') segment, count(*) n_orders,
          count(distinct c_custkey) n_customers,
          cast(sum(cast(o_totalprice as decimal(14,2))) as decimal(22,2)) total
-       from orders left join (select * from customer where c_acctbal >= 0) on o_custkey = c_custkey
+       from (select *, case when o_orderkey % 50 = 7 then -o_custkey - 1 else o_custkey end as cust from orders)
+       left join customer on cust = c_custkey
        group by 1""",
 )
 def surrogate_keys(spark, sf_dir):
-    dim = _read(spark, sf_dir, "customer").filter("c_acctbal >= 0")
-    dim = H.with_surrogate_key(dim, ["c_custkey"], "customer_sk")
-    facts = H.swap_keys(
-        _read(spark, sf_dir, "orders"), dim, {"o_custkey": "c_custkey"}, "customer_sk"
-    )
+    dim = H.with_surrogate_key(_read(spark, sf_dir, "customer"), ["c_custkey"], "customer_sk")
+    orders = _read(spark, sf_dir, "orders")
+    orders = orders.withColumn("o_custkey", F.expr("if(o_orderkey % 50 = 7, -o_custkey - 1, o_custkey)"))
+    facts = H.swap_keys(orders, dim, {"o_custkey": "c_custkey"}, "customer_sk")
     per_key = facts.groupBy("customer_sk").agg(
         F.count("*").alias("n"),
         F.sum(F.expr("cast(o_totalprice as decimal(14,2))")).alias("total"),
@@ -132,7 +135,7 @@ def surrogate_keys(spark, sf_dir):
     )
 
 
-_NEXT = """select c_custkey + case when c_nationkey = 0 then 100000000 else 0 end c_custkey, c_name,
+_NEXT = """select c_custkey + case when c_nationkey = 0 then 100000000 else 0 end c_custkey, c_nationkey, c_name,
   case when c_acctbal < 0 then 'AT RISK' else c_mktsegment end c_mktsegment
   from customer where c_acctbal <= 9500"""
 
@@ -140,30 +143,32 @@ _NEXT = """select c_custkey + case when c_nationkey = 0 then 100000000 else 0 en
 @query(
     "scd2_merge",
     f"""with nxt as ({_NEXT}), j as (
-          select o.c_custkey ok, o.c_name oname, o.c_mktsegment oseg, n.c_custkey nk, n.c_name nname,
+          select o.c_custkey ok, o.c_nationkey onat, n.c_nationkey nnat, o.c_name oname, o.c_mktsegment oseg,
+            n.c_custkey nk, n.c_name nname,
             n.c_mktsegment nseg, (o.c_name = n.c_name and o.c_mktsegment = n.c_mktsegment) same
-          from customer o full join nxt n on o.c_custkey = n.c_custkey)
-        select ok c_custkey, oname c_name, oseg c_mktsegment, '2024-01-01' since,
+          from customer o full join nxt n on o.c_custkey = n.c_custkey and o.c_nationkey = n.c_nationkey)
+        select ok c_custkey, onat c_nationkey, oname c_name, oseg c_mktsegment, '2024-01-01' since,
           case when coalesce(same, false) then 'open' else '2024-06-01' end until,
           coalesce(same, false) is_current from j where ok is not null
-        union all select nk, nname, nseg, '2024-06-01', 'open', true from j
+        union all select nk, nnat, nname, nseg, '2024-06-01', 'open', true from j
           where nk is not null and not coalesce(same, false)""",
 )
 def scd2_merge(spark, sf_dir):
-    """A first load and a changed snapshot; the same snapshot again changes nothing."""
+    """A first load and a changed snapshot, by a key of two columns; the same snapshot again changes nothing."""
     customer = _read(spark, sf_dir, "customer")
     path = scratch(spark, "customer-history")
-    first = customer.select("c_custkey", "c_name", "c_mktsegment")
+    first = customer.select("c_custkey", "c_nationkey", "c_name", "c_mktsegment")
     start_history(first, path, date(2024, 1, 1))
     snapshot = customer.filter("c_acctbal <= 9500").selectExpr(
         "c_custkey + if(c_nationkey = 0, 100000000, 0) as c_custkey",
+        "c_nationkey",
         "c_name",
         "if(c_acctbal < 0, 'AT RISK', c_mktsegment) as c_mktsegment",
     )
-    merge_history(snapshot, path, "c_custkey", date(2024, 6, 1))
-    merge_history(snapshot, path, "c_custkey", date(2024, 7, 1))
+    for day in (date(2024, 6, 1), date(2024, 7, 1)):
+        merge_history(snapshot, path, ["c_custkey", "c_nationkey"], day)
     return read_history(spark, path, first.schema).selectExpr(
-        "c_custkey", "c_name", "c_mktsegment", "cast(valid_from as string) as since",
+        "c_custkey", "c_nationkey", "c_name", "c_mktsegment", "cast(valid_from as string) as since",
         "coalesce(cast(valid_to as string), 'open') as until", "is_current",
     )
 
@@ -250,10 +255,11 @@ def seasonal_weighted_sales(spark, sf_dir):
 
 @query(
     "expected_wastage",
-    f"""with {S.PARTS} select department, category, cast(sum({_QTY}) as decimal(18,2)) quantity,
-          cast(sum({_QTY} * coalesce(cast(wastage_rate_baseline as decimal(4,2)), 0))
-            as decimal(20,4)) expected_wastage
-        from lineitem join parts on l_partkey = k group by all""",
+    f"""with {S.PARTS}, vectors as (select *, {S.season_vector("season", S.wobble(7, "k"))} vec from parts)
+        select department, category, cast(sum({_QTY}) as decimal(18,2)) quantity,
+          cast(sum({_QTY} * coalesce(cast(wastage_rate_baseline as decimal(4,2)), 0)
+            * coalesce(cast(vec[month(l_shipdate)] as decimal(4,2)), 1)) as decimal(22,6)) expected_wastage
+        from lineitem join vectors on l_partkey = k group by all""",
 )
 def expected_wastage(spark, sf_dir):
     lines = _read(spark, sf_dir, "lineitem")
@@ -264,13 +270,19 @@ def expected_wastage(spark, sf_dir):
     "forecast_seasonal_naive",
     f"""with weekly as (select l_partkey,
             (floor(date_diff('day', date '1970-01-05', l_shipdate::date) / 7))::integer as week,
-            sum({_QTY}) qty from lineitem group by all)
+            sum({_QTY}) qty from lineitem group by all),
+        span as (select l_partkey, min(week) a, max(week) z from weekly group by all),
+        grid as (select l_partkey, z, unnest(range(a, z + 5))::integer as week from span),
+        full_weeks as (select l_partkey, week, z, case when week <= z then coalesce(qty, 0) end qty
+          from grid left join weekly using (l_partkey, week))
         select l_partkey, week, cast(qty as decimal(18,2)) demand,
           cast(sum(qty) over (partition by l_partkey order by week
             range between 52 preceding and 52 preceding) as decimal(18,2)) naive_forecast,
-          cast(coalesce(sum(qty) over (partition by l_partkey order by week
-            range between 4 preceding and 1 preceding), 0) * 0.25 as decimal(18,4)) mean_4_weeks
-        from weekly""",
+          cast(case when week > z
+            then coalesce(sum(case when week > z - 4 then qty end) over (partition by l_partkey), 0)
+            else coalesce(sum(qty) over (partition by l_partkey order by week
+              range between 4 preceding and 1 preceding), 0) end * 0.25 as decimal(18,4)) mean_4_weeks
+        from full_weeks""",
 )
 def forecast_seasonal_naive(spark, sf_dir):
     return DM.seasonal_naive_forecast(DM.weekly_demand(_read(spark, sf_dir, "lineitem")))

@@ -8,43 +8,47 @@ from pyspark.sql import functions as F
 
 QTY = "cast(l_quantity as decimal(12,2))"
 SEASON_WEEKS = 52
+HORIZON_WEEKS = 4
+
+
+def monthly_sales(lines: DataFrame) -> DataFrame:
+    """Quantity per product and month of the year: at most twelve rows per product meet what is joined
+    next, and a hot product shrinks to those in every task before the shuffle."""
+    facts = lines.selectExpr("l_partkey", "month(l_shipdate) as month", f"{QTY} as qty")
+    return facts.groupBy("l_partkey", "month").agg(F.sum("qty").alias("qty"))
 
 
 def seasonal_weighted_sales(
     lines: DataFrame, products: DataFrame, key: str = "k", vector: str = "seasonality_vector"
 ) -> DataFrame:
-    """Quantity and season-weighted quantity by department and month.
-
-    Lines meet their product directly and reduce to department totals in the same stage.
-    """
-    facts = lines.selectExpr("l_partkey", "month(l_shipdate) as month", f"{QTY} as qty")
-    facts = facts.join(products.select(key, "department", vector), F.expr(f"l_partkey = {key}"))
+    """Quantity and season-weighted quantity by department and month."""
+    sold = monthly_sales(lines)
+    sold = sold.join(products.select(key, "department", vector), F.expr(f"l_partkey = {key}"))
     weight = f"cast(element_at({vector}, month) as decimal(4,2))"
-    return facts.groupBy("department", "month").agg(
+    return sold.groupBy("department", "month").agg(
         F.sum("qty").cast("decimal(18,2)").alias("quantity"),
         F.expr(f"sum(qty * {weight})").cast("decimal(20,4)").alias("weighted_quantity"),
     )
 
 
-def expected_wastage(lines: DataFrame, products: DataFrame, key: str = "k") -> DataFrame:
-    """Quantity sold and quantity expected to be wasted by category; products without a wastage
-    rate waste nothing.
-
-    Lines are summed per product first: a hot product shrinks to one row per task, and the shuffle
-    on the product also serves the join.
+def expected_wastage(
+    lines: DataFrame, products: DataFrame, key: str = "k", vector: str = "seasonality_vector"
+) -> DataFrame:
+    """Quantity sold and quantity expected to be wasted by category: each month's sales times the
+    product's wastage rate times its season weight of that month (1 without one). Products without a
+    wastage rate waste nothing.
     """
-    sold = lines.selectExpr("l_partkey", f"{QTY} as qty").groupBy("l_partkey")
-    sold = sold.agg(F.sum("qty").alias("qty"))
     rate = "coalesce(cast(wastage_rate_baseline as decimal(4,2)), 0)"
-    prods = products.selectExpr(key, "department", "category", f"{rate} as rate")
+    prods = products.selectExpr(key, "department", "category", f"{rate} as rate", vector)
+    weight = f"coalesce(cast(element_at({vector}, month) as decimal(4,2)), 1)"
     return (
-        sold.join(prods, F.col("l_partkey") == F.col(key))
+        monthly_sales(lines).join(prods, F.col("l_partkey") == F.col(key))
         .groupBy("department", "category")
         .agg(
             F.sum("qty").cast("decimal(18,2)").alias("quantity"),
-            F.expr("sum(qty * rate)").cast("decimal(20,4)").alias("expected_wastage"),
+            F.expr(f"sum(qty * rate * {weight})").cast("decimal(22,6)").alias("expected_wastage"),
         )
-    )
+    )
 
 
 def weekly_demand(lines: DataFrame) -> DataFrame:
@@ -57,20 +61,38 @@ def weekly_demand(lines: DataFrame) -> DataFrame:
     )
 
 
-def seasonal_naive_forecast(weekly: DataFrame, season: int = SEASON_WEEKS) -> DataFrame:
-    """Per product and week: demand, the same week one season earlier (NULL when there was none)
-    and the mean of the four weeks before, counting weeks without sales as zero.
+def week_grid(weekly: DataFrame, horizon: int) -> DataFrame:
+    """Every week of every product from its first sale to ``horizon`` weeks past its last one; weeks
+    without sales hold 0, weeks to come NULL. ``last_week`` is the last one with sales."""
+    span = weekly.groupBy("l_partkey").agg(F.min("week").alias("a"), F.max("week").alias("last_week"))
+    weeks = F.explode(F.sequence(F.col("a"), F.col("last_week") + horizon)).alias("week")
+    grid = span.select("l_partkey", "last_week", weeks)
+    qty = F.when(F.col("week") <= F.col("last_week"), F.coalesce("qty", F.lit(0).cast("decimal(12,2)")))
+    return grid.join(weekly, ["l_partkey", "week"], "left").select(
+        "l_partkey", "week", "last_week", qty.alias("qty")
+    )
+
+
+def seasonal_naive_forecast(
+    weekly: DataFrame, season: int = SEASON_WEEKS, horizon: int = HORIZON_WEEKS
+) -> DataFrame:
+    """Per product and week, ``horizon`` weeks ahead: demand (NULL for weeks to come), the same week one
+    season earlier (NULL before the first sale) and the mean of the four weeks before; for weeks to come
+    that of the last four weeks known. Weeks without sales count as zero.
 
     The windows run over weekly totals, so a product holds at most one row per week however many
-    lines it sold.
+    lines it sold. A caller who wants fresh goods alone filters ``weekly`` by their keys.
     """
     w = W.partitionBy("l_partkey").orderBy("week")
     last_season = F.sum("qty").over(w.rangeBetween(-season, -season))
-    four_weeks = F.coalesce(F.sum("qty").over(w.rangeBetween(-4, -1)), F.lit(0))
-    return weekly.select(
+    before = F.coalesce(F.sum("qty").over(w.rangeBetween(-4, -1)), F.lit(0))
+    known = F.when(F.col("week") > F.col("last_week") - 4, F.col("qty"))
+    at_end = F.coalesce(F.sum(known).over(W.partitionBy("l_partkey")), F.lit(0))
+    mean = F.when(F.col("week") > F.col("last_week"), at_end).otherwise(before)
+    return week_grid(weekly, horizon).select(
         "l_partkey",
         "week",
         F.col("qty").cast("decimal(18,2)").alias("demand"),
         last_season.cast("decimal(18,2)").alias("naive_forecast"),
-        (four_weeks * F.lit("0.25").cast("decimal(2,2)")).cast("decimal(18,4)").alias("mean_4_weeks"),
+        (mean * F.lit("0.25").cast("decimal(2,2)")).cast("decimal(18,4)").alias("mean_4_weeks"),
     )

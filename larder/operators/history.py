@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 UNKNOWN_KEY = -1
@@ -15,13 +16,14 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], version: Sequence[str]) ->
     """One row per key: the one with the highest ``version`` columns, then the highest remaining
     columns, so the choice never depends on row order.
 
-    An aggregate instead of a ranking window: each task reduces its rows before the shuffle, so a
-    key that holds much of the table does not end up in one task.
+    Spark keeps one row per key and task before the shuffle (a group limit under the ranking), so a key
+    that holds much of the table does not end up in one task.
     """
     rest = [c for c in df.columns if c not in keys]
     order = [*version, *[c for c in rest if c not in version]]
-    best = F.max(F.struct(*order)).alias("_best")
-    return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
+    best = W.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    ranked = df.withColumn("_place", F.row_number().over(best)).filter("_place = 1")
+    return ranked.select(*df.columns)
 
 
 def dedup_exact(df: DataFrame) -> DataFrame:
@@ -32,10 +34,13 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 def with_surrogate_key(dim: DataFrame, natural: Sequence[str], out: str) -> DataFrame:
     """64-bit hash of the natural key: the same in every run, without numbering the rows.
 
-    Check the result with ``quality.duplicate_keys(dim, [out])`` before loading; beyond some 10^9
-    keys a collision becomes likely enough to matter.
+    A repeated natural key would multiply facts and a collision (likely beyond some 10^9 keys) would mix
+    them, so either raises here, before anything is loaded.
     """
-    return dim.select(F.xxhash64(*natural).alias(out), *dim.columns)
+    keyed = dim.select(F.xxhash64(*natural).alias(out), *dim.columns)
+    if repeated := keyed.groupBy(out).count().filter("count > 1").limit(5).collect():
+        raise ValueError(f"{list(natural)} gives {out} values more than once: {[r[0] for r in repeated]}")
+    return keyed
 
 
 def swap_keys(facts: DataFrame, dim: DataFrame, on: dict[str, str], surrogate: str) -> DataFrame:
@@ -61,24 +66,27 @@ def open_history(df: DataFrame, since: date) -> DataFrame:
     )
 
 
-def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, as_of: date) -> DataFrame:
+def scd2_merge(
+    dim: DataFrame, snapshot: DataFrame, key: str | Sequence[str], as_of: date
+) -> DataFrame:
     """Type 2 history after a full snapshot of the source.
 
-    Changed and vanished rows are closed at ``as_of``, changed and new rows opened. Keys are unique
-    on both sides, so one full outer join on the key carries everything; closed rows pass by it.
+    Changed and vanished rows are closed at ``as_of``, changed and new rows opened. Keys (one column
+    or several) are unique on both sides; a missing key is a key value of its own. One full outer join
+    carries everything, each side with a flag, and closed rows pass by it.
     """
-    attrs = [c for c in snapshot.columns if c != key]
-    columns = [key, *attrs, "valid_from", "valid_to", "is_current"]
-    current = dim.filter("is_current").select(columns).alias("o")
-    fresh = snapshot.select(key, *attrs).alias("n")
-    same = " and ".join(f"o.{a} <=> n.{a}" for a in attrs) or "true"
-    joined = current.join(fresh, F.expr(f"o.{key} = n.{key}"), "full_outer")
-    both = f"o.{key} is not null and n.{key} is not null"
-    state = joined.selectExpr(
+    keys = [key] if isinstance(key, str) else list(key)
+    attrs = [c for c in snapshot.columns if c not in keys]
+    columns = [*keys, *attrs, "valid_from", "valid_to", "is_current"]
+    current = dim.filter("is_current").select(*columns, F.lit(True).alias("_old")).alias("o")
+    fresh = snapshot.select(*keys, *attrs, F.lit(True).alias("_new")).alias("n")
+    same = " and ".join(f"o.`{a}` <=> n.`{a}`" for a in attrs) or "true"
+    on = " and ".join(f"o.`{k}` <=> n.`{k}`" for k in keys)
+    state = current.join(fresh, F.expr(on), "full_outer").selectExpr(
         "o.*",
-        *[f"n.{c} as _n_{c}" for c in [key, *attrs]],
-        f"case when {both} and {same} then 'same' when {both} then 'changed'"
-        f" when n.{key} is null then 'gone' else 'new' end as _state",
+        *[f"n.`{c}` as `_n_{c}`" for c in [*keys, *attrs]],
+        f"case when _old and _new and {same} then 'same' when _old and _new then 'changed'"
+        " when _old then 'gone' else 'new' end as _state",
     )
     sides = state.select("*", F.explode(F.array(F.lit("old"), F.lit("new"))).alias("_side"))
     sides = sides.filter(
@@ -87,9 +95,9 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, as_of: date) -> Da
     opened = "_side = 'new'"
     day = f"date '{as_of.isoformat()}'"
     merged = sides.selectExpr(
-        *[f"if({opened}, _n_{c}, {c}) as {c}" for c in [key, *attrs]],
+        *[f"if({opened}, `_n_{c}`, `{c}`) as `{c}`" for c in [*keys, *attrs]],
         f"if({opened}, {day}, valid_from) as valid_from",
         f"case when {opened} or _state = 'same' then valid_to else {day} end as valid_to",
         f"{opened} or _state = 'same' as is_current",
     )
-    return merged.unionByName(dim.filter("not is_current").select(columns))
+    return merged.unionByName(dim.filter("not is_current").select(*columns))

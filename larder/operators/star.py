@@ -45,9 +45,11 @@ def month_brand_cube(lines: DataFrame, part: DataFrame) -> DataFrame:
     The subtotals are built from the month-brand totals, so each line is aggregated once and not
     once per grouping set.
     """
-    facts = lines.withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    facts = lines.withColumn("number", F.year("l_shipdate") * 12 + F.month("l_shipdate") - 1)
     facts = facts.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    totals = _totals(facts.groupBy("month", "p_brand"))
+    totals = _totals(facts.groupBy("number", "p_brand"))
+    year, month = F.expr("cast(number div 12 as string)"), (F.col("number") % 12 + 1).cast("string")
+    totals = totals.withColumn("month", F.concat(year, F.lit("-"), F.lpad(month, 2, "0")))
     return totals.cube("month", "p_brand").agg(
         F.grouping_id().cast("int").alias("level"),
         F.sum("n_lines").alias("n_lines"),

@@ -23,8 +23,6 @@ class JobSettings:
     end_date: date = field(default_factory=date.today)
     seed: int = 42
     output: str = "./data"
-    n_stores: int = 150
-    n_customers: int = 50_000
     n_products: int = 2000
     country: str = "AU"
 
@@ -61,10 +59,13 @@ def job_backfill(events: DataFrame, start: date, end: date, output: str, ts: str
     """Load the days start..end; a repeated run replaces just those days.
 
     A day is one partition and is replaced as a whole; a day the source has no rows for keeps what
-    it had. The range is tested on the timestamp itself, so it reaches the scan of the source.
+    it had. Rows without a time belong to no day: every load puts those of its source into the
+    partition without a date, so none is lost unseen. The range is tested on the timestamp itself, so
+    it reaches the scan of the source.
     """
     wanted = events.filter(
-        (F.col(ts) >= F.lit(start).cast("date")) & (F.col(ts) < F.date_add(F.lit(end), 1))
+        F.col(ts).isNull()
+        | ((F.col(ts) >= F.lit(start).cast("date")) & (F.col(ts) < F.date_add(F.lit(end), 1)))
     )
     return write_partitions(dated(wanted, ts), output, ["event_date"])
 

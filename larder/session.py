@@ -43,3 +43,19 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return os.path.join(shared_folder(spark), "larder", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -7,6 +7,7 @@ so a merge costs as much as the current dimension, however long the history grow
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from larder.operators.history import open_history, scd2_merge
-from larder.session import scratch
+from larder.operators.quality import duplicate_keys
+from larder.session import remove, scratch
 
 CLOSED = "valid_to"
 
@@ -40,24 +42,33 @@ def start_history(snapshot: DataFrame, path: str, since: date) -> None:
     _write(open_history(snapshot, since), path)
 
 
-def merge_history(snapshot: DataFrame, path: str, key: str, as_of: date) -> None:
+def merge_history(
+    snapshot: DataFrame, path: str, key: str | Sequence[str], as_of: date
+) -> None:
     """Merge a full snapshot taken on ``as_of`` into the history at ``path``.
 
-    The result is complete on shared storage before the history is touched. Closed versions are
-    written first: a run that dies in between finds the old current versions again and closes the
-    same ones. Versions already closed on that day are kept, so several snapshots a day are fine and
-    a repeated one changes nothing.
+    Refused are an empty snapshot, one that repeats a key, and a day before the last merge. The result
+    is complete on shared storage before the history is touched, and is removed afterwards. Closed
+    versions are written first: a run that dies in between finds the old current versions again and
+    closes the same ones. Versions already closed on that day are kept, so several snapshots a day are
+    fine and a repeated one changes nothing.
     """
     spark = snapshot.sparkSession
+    keys = [key] if isinstance(key, str) else list(key)
+    if repeated := duplicate_keys(snapshot, keys).limit(5).collect():
+        raise ValueError(f"the snapshot repeats keys: {[tuple(r)[:-1] for r in repeated]}")
     history = read_history(spark, path, snapshot.schema)
     current = history.filter(f"{CLOSED} is null")
+    opened, closed = current.agg(F.max("valid_from")).first()[0], history.agg(F.max(CLOSED)).first()[0]
+    if any(d is not None and as_of < d for d in (opened, closed)):
+        raise ValueError(f"{as_of} lies before the last merge ({max(filter(None, (opened, closed)))})")
     closed_today = history.filter(F.col(CLOSED) == F.lit(as_of))
     staged = scratch(spark, "history")
-    scd2_merge(current, snapshot, key, as_of).write.parquet(f"{staged}/merged")
-    merged = spark.read.parquet(f"{staged}/merged")
-    opened, closed = merged.filter("is_current"), merged.filter("not is_current")
-    if opened.isEmpty():
+    merged = scd2_merge(current, snapshot, keys, as_of)
+    merged.unionByName(closed_today.select(*merged.columns)).write.parquet(staged)
+    merged = spark.read.schema(merged.schema).parquet(staged)
+    if merged.filter("is_current").isEmpty():
         raise ValueError("the snapshot is empty; refusing to close the whole dimension")
-    closed.unionByName(closed_today).distinct().write.parquet(f"{staged}/closed")
-    _write(spark.read.parquet(f"{staged}/closed"), path)
-    _write(opened, path)
+    _write(merged.filter("not is_current").distinct(), path)
+    _write(merged.filter("is_current"), path)
+    remove(spark, staged)

@@ -12,13 +12,14 @@ from larder.operators import quality as Q
 from larder.operators.calendar import calendar_dim
 from larder.plans.jobs import JobSettings, job_backfill, job_daily, job_products
 from larder.session import scratch, shared_folder
+from larder.sources.partitioned import read_partitions, write_partitions
 from larder.sources.history import merge_history, read_history, start_history
 from larder.streaming.incremental import load_new_files
 
 
 def test_settings():
     s = JobSettings.from_env({"LARDER_SEED": "7", "LARDER_START_DATE": "2024-02-01", "X": "1"})
-    assert (s.seed, s.start_date, s.n_products, s.n_stores) == (7, date(2024, 2, 1), 2000, 150)
+    assert (s.seed, s.start_date, s.n_products) == (7, date(2024, 2, 1), 2000)
     with pytest.raises(ValueError):
         JobSettings.from_env({"LARDER_END_DATE": "2020-01-01"})
     with pytest.raises(ValueError):
@@ -206,7 +207,70 @@ def test_forecast(spark):
     rows = [(1, 0, 5), (1, 50, 2), (1, 52, 7), (1, 53, 1), (2, 52, 9)]
     weekly = spark.createDataFrame(rows, "l_partkey long, week int, q int")
     weekly = weekly.selectExpr("l_partkey", "week", "cast(q as decimal(12,2)) as qty")
-    got = {(r[0], r[1]): r for r in DM.seasonal_naive_forecast(weekly).collect()}
+    got = {(r[0], r[1]): r for r in DM.seasonal_naive_forecast(weekly, horizon=3).collect()}
+    # Every week from the first sale to three weeks past the last one.
+    assert sorted(got) == [(1, w) for w in range(57)] + [(2, w) for w in range(52, 56)]
     assert float(got[1, 52].naive_forecast) == 5 and float(got[1, 52].mean_4_weeks) == 0.5
-    assert got[1, 53].naive_forecast is None and float(got[1, 53].mean_4_weeks) == 2.25
+    assert float(got[1, 53].naive_forecast) == 0 and float(got[1, 53].mean_4_weeks) == 2.25
+    assert float(got[1, 10].demand) == 0 and got[1, 10].naive_forecast is None
+    for week in (54, 55, 56):
+        assert got[1, week].demand is None and float(got[1, week].mean_4_weeks) == 2.5
     assert got[2, 52].naive_forecast is None and float(got[2, 52].mean_4_weeks) == 0
+    assert float(got[2, 55].mean_4_weeks) == 2.25
+
+
+def test_partition_keys_keep_their_values(spark, tmp_path):
+    rows = [(i, d) for i, d in enumerate(["007", "7", "1e1", "10", "2024-01-01", None])]
+    df = spark.createDataFrame(rows, "id int, domain string")
+    path = write_partitions(df, str(tmp_path / "p"), ["domain"])
+    got = read_partitions(spark, path, df.schema)
+    assert sorted((r.id, r.domain) for r in got.collect()) == sorted(rows)
+    text = got.filter("domain = '007'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(domain" in text
+
+
+def test_rows_without_a_time_are_kept(spark, tmp_path):
+    events = spark.sql(
+        "select id, if(id % 4 = 0, null, timestamp_ntz'2024-01-01 10:00:00') as ts from range(20)"
+    )
+    out = str(tmp_path / "events")
+    for _ in range(2):
+        job_daily(events, date(2024, 1, 1), out)
+    assert days(spark.read.parquet(out)) == {"2024-01-01": 15, None: 5}
+
+
+def test_a_load_refuses_the_folder_of_a_stream(spark, tmp_path):
+    src, out, ckpt = (str(tmp_path / p) for p in ("in", "out", "ckpt"))
+    rows = spark.range(9).selectExpr("id", "timestamp_ntz'2024-01-01 00:00:00' as ts")
+    rows.write.parquet(src)
+    load_new_files(spark, src, rows.schema, out, ckpt)
+    with pytest.raises(ValueError, match="stream"):
+        job_daily(rows, date(2024, 1, 1), out)
+    assert spark.read.parquet(out).count() == 9
+
+
+def test_history_of_awkward_snapshots(spark, tmp_path):
+    path = str(tmp_path / "history")
+
+    def snapshot(text):
+        return spark.sql(f"select * from values {text} as t(k, j, x)")
+
+    first = snapshot("(1, 'a', 'p'), (null, 'a', 'q'), (1, 'b', 'r')")
+    start_history(first, path, date(2024, 1, 1))
+    merge_history(snapshot("(1, 'a', 'p'), (null, 'a', 'Q'), (2, 'b', 's')"), path, ["k", "j"], date(2024, 2, 1))
+    got = read_history(spark, path, first.schema).collect()
+    assert sorted((str(r.k), r.j, r.x, r.is_current) for r in got) == [
+        ("1", "a", "p", True), ("1", "b", "r", False), ("2", "b", "s", True),
+        ("None", "a", "Q", True), ("None", "a", "q", False),
+    ]
+    with pytest.raises(ValueError, match="repeats keys"):
+        merge_history(snapshot("(1, 'a', 'p'), (1, 'a', 'z')"), path, ["k", "j"], date(2024, 3, 1))
+    with pytest.raises(ValueError, match="before the last merge"):
+        merge_history(snapshot("(1, 'a', 'p')"), path, ["k", "j"], date(2024, 1, 15))
+    assert read_history(spark, path, first.schema).count() == len(got)
+
+
+def test_surrogate_keys_must_be_unique(spark):
+    dim = spark.sql("select * from values (1, 'a'), (1, 'b') as t(c, name)")
+    with pytest.raises(ValueError, match="more than once"):
+        H.with_surrogate_key(dim, ["c"], "sk")
