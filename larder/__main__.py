@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None) -> None:
     p = jobs.add_parser("layers", help="run bronze, silver and gold over a landed file")
     p.add_argument("--landing", required=True)
     p.add_argument("--expected-rows", type=int)
+    p.add_argument("--no-gates", action="store_true", help="write without quality checks")
     p = jobs.add_parser("backfill", help="load the days of a range from a landed file")
     p.add_argument("--source", required=True)
     p.add_argument("--start", type=date.fromisoformat, default=settings.start_date)
@@ -45,7 +46,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "daily":
         print(job_daily(read_landing(spark, args.source), args.date, args.out, args.ts))
     else:
-        print(run_layers(spark, LayerConfig(args.landing, expected_rows=args.expected_rows)))
+        print(run_layers(spark, LayerConfig(
+            args.landing, expected_rows=args.expected_rows, gates=not args.no_gates
+        )))
 
 
 if __name__ == "__main__":

@@ -108,12 +108,11 @@ def preview_topk(spark, sf_dir):
 MODEL_SQL = ", ".join(name for name, _, _ in M.model_columns())
 
 
-@query("model_scan", f"with {GOLD} select {MODEL_SQL} from gold where is_perishable")
+@query("model_scan", f"with {GOLD} select {MODEL_SQL} from gold")
 def model_scan(spark, sf_dir):
     schema = _new_schema(spark, "model")
     write_layer(_gold(spark, sf_dir), f"{schema}.dim_product")
-    view = M.create_model_view(read_layer(spark, schema, "dim_product"), f"{schema}_view")
-    return view.filter("is_perishable")
+    return M.create_model_view(spark, f"{schema}.dim_product", f"{schema}.model")
 
 
 @query("model_projection", f"with {GOLD} select {MODEL_SQL} from gold")

@@ -37,7 +37,7 @@ def to_bronze(
     """
     source = F.col("_metadata.file_name") if source_file is None else F.lit(source_file)
     return raw.select(
-        *raw.columns,
+        *[F.col(f"`{c}`") for c in raw.columns],
         _instant(at).alias("_ingested_at_utc"),
         F.lit(batch).alias("_ingestion_batch_id"),
         source.alias("_source_file"),
@@ -45,13 +45,16 @@ def to_bronze(
 
 
 def to_silver(bronze: DataFrame, at: datetime | None = None) -> DataFrame:
-    """Lineage dropped, money and pack sizes typed, load time stamped."""
+    """Lineage dropped, money and pack sizes typed, load time stamped.
+
+    A value that its type can't hold becomes NULL; ``quality.cast_rules`` finds such rows before a write.
+    """
     return bronze.drop(*LINEAGE).withColumns(
         {
             LOADED_AT: _instant(at),
-            "cost_price_aud": F.expr("cast(cost_price_aud as decimal(10,2))"),
-            "retail_price_aud": F.expr("cast(retail_price_aud as decimal(10,2))"),
-            "pack_size": F.expr("cast(pack_size as decimal(10,3))"),
+            "cost_price_aud": F.expr("try_cast(cost_price_aud as decimal(10,2))"),
+            "retail_price_aud": F.expr("try_cast(retail_price_aud as decimal(10,2))"),
+            "pack_size": F.expr("try_cast(pack_size as decimal(10,3))"),
         }
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ---- fixed values: model column | gold column | default summary --------------------------------
@@ -41,10 +41,11 @@ def model_projection(gold: DataFrame) -> DataFrame:
     return gold.selectExpr(*[f"{source} as {name}" for name, source, _ in model_columns()])
 
 
-def create_model_view(gold: DataFrame, name: str) -> DataFrame:
-    """The model as a view over the gold table; nothing is copied."""
-    model_projection(gold).createOrReplaceTempView(name)
-    return gold.sparkSession.table(name)
+def create_model_view(spark: SparkSession, table: str, name: str) -> DataFrame:
+    """The model as a catalogue view over the stored gold table; it outlives the session, nothing is copied."""
+    columns = ", ".join(f"{source} AS {own}" for own, source, _ in model_columns())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {table}")
+    return spark.table(name)
 
 
 def default_sums(model: DataFrame, *group_by: str) -> DataFrame:

@@ -46,10 +46,14 @@ class GateFailed(ValueError):
     """A quality gate stopped the run."""
 
 
+def _quoted(name: str) -> str:
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _report_rows(entries: Sequence[tuple[str, str, str]]) -> str:
     """SQL that turns (rule, n_rows, n_failed) expressions into report rows."""
     structs = ", ".join(
-        f"named_struct('rule', '{rule}', 'n_rows', cast({n} as bigint),"
+        f"named_struct('rule', {_quoted(rule)}, 'n_rows', cast({n} as bigint),"
         f" 'n_failed', cast({bad} as bigint), 'passed', {bad} = 0)"
         for rule, n, bad in entries
     )
@@ -85,6 +89,16 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def check_counts(df: DataFrame, rule: KeyRule) -> DataFrame:
+    """Row count, missing keys and expected count alone: one aggregate, no key is shuffled."""
+    missing = " or ".join(f"{k} is null" for k in rule.keys)
+    counted = df.agg(F.count("*").alias("n_rows"), F.expr(f"count_if({missing})").alias("n_missing"))
+    entries = [("row_count", "n_rows", "0"), ("null_keys", "n_rows", "n_missing")]
+    if rule.expected_rows is not None:
+        entries.append(("expected_count", "n_rows", f"abs(n_rows - {rule.expected_rows})"))
+    return counted.selectExpr(_report_rows(entries))
+
+
 def check_keys(df: DataFrame, rule: KeyRule) -> DataFrame:
     entries = [
         ("row_count", "n_rows", "0"),
@@ -104,15 +118,19 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def check_group_share(
     df: DataFrame, group: str, targets: DataFrame, target: str, slack: int = 2, share: float = 0.05
 ) -> DataFrame:
-    """Rows per group against a target: off by at most max(slack, share of the target)."""
+    """Rows per group against a target: off by at most max(slack, share of the target).
+
+    A group without a target fails with all its rows.
+    """
     counts = df.groupBy(group).agg(F.count("*").alias("n"))
     goal = targets.selectExpr(f"{group} as _goal", f"cast({target} as bigint) as target")
     limit = f"greatest({slack}, cast(floor(target * {share}D) as bigint))"
-    off = f"abs(coalesce(n, 0) - target) > {limit}"
-    return goal.join(counts, F.col(group) == F.col("_goal"), "left").selectExpr(
-        "concat('share of ', _goal) as rule",
+    off = f"(target is null or abs(coalesce(n, 0) - target) > {limit})"
+    both = goal.join(counts, F.col(group).eqNullSafe(F.col("_goal")), "full_outer")
+    return both.selectExpr(
+        f"concat('share of ', coalesce(_goal, cast({group} as string), 'NULL')) as rule",
         "coalesce(n, 0) as n_rows",
-        f"if({off}, abs(coalesce(n, 0) - target), 0) as n_failed",
+        f"if({off}, abs(coalesce(n, 0) - coalesce(target, 0)), 0) as n_failed",
         f"not ({off}) as passed",
     )
 
@@ -127,7 +145,7 @@ def check_group_rate(
     )
     ok = f"(n > 0 and hits / n between {low}D and {high}D)"
     return out.selectExpr(
-        f"'{name}' as rule", "n as n_rows", f"if({ok}, 0L, n) as n_failed", f"{ok} as passed"
+        f"{_quoted(name)} as rule", "n as n_rows", f"if({ok}, 0L, n) as n_failed", f"{ok} as passed"
     )
 
 
@@ -190,6 +208,15 @@ def product_rules() -> tuple[RowRule, ...]:
     )
 
 
+def cast_rules() -> tuple[RowRule, ...]:
+    """For the rows before they are typed: no value may be lost by a cast."""
+    typed = {"cost_price_aud": "decimal(10,2)", "retail_price_aud": "decimal(10,2)", "pack_size": "decimal(10,3)"}
+    return tuple(
+        RowRule(f"cast keeps {c}", f"try_cast({c} as {t}) is not null", f"{c} is not null")
+        for c, t in typed.items()
+    )
+
+
 def gold_rules() -> tuple[RowRule, ...]:
     return (
         allowed_values("price_tier", ("Budget", "Mid", "Premium")),
@@ -198,7 +225,13 @@ def gold_rules() -> tuple[RowRule, ...]:
     )
 
 
-def silver_suite(expected_rows: int | None = 2000, full: bool = False) -> Suite:
+def bronze_suite(raw: DataFrame) -> Suite:
+    """The bronze gate: raw rows are there and carry a key."""
+    rules = (RowRule("product_id given", "product_id is not null"),) if "product_id" in raw.columns else ()
+    return Suite("bronze", None, rules)
+
+
+def silver_suite(expected_rows: int | None = 2000, full: bool = True) -> Suite:
     """The silver gate; ``full`` adds the product rules to the key checks."""
     rules = product_rules() if full else ()
     return Suite("silver", KeyRule(("product_id",), expected_rows), rules)

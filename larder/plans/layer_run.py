@@ -23,7 +23,8 @@ class LayerConfig:
     gold: str = "gold"
     location: str | None = None  # folder of the schemas; None keeps the warehouse default
     expected_rows: int | None = 2000
-    full_rules: bool = False
+    full_rules: bool = True  # False leaves the key checks of the silver gate alone
+    gates: bool = True
     at: datetime | None = None  # run time; None takes the clock
 
     def schema_location(self, schema: str) -> str | None:
@@ -41,6 +42,11 @@ class LayerReport:
 def run_bronze(spark: SparkSession, cfg: LayerConfig, raw: DataFrame | None = None) -> str:
     batch = L.batch_id(cfg.at)
     raw = read_landing(spark, cfg.landing) if raw is None else raw
+    if cfg.gates:
+        if raw.isEmpty():
+            raise Q.GateFailed("bronze gate: no rows")
+        if (suite := Q.bronze_suite(raw)).rows:
+            Q.enforce(Q.check_suite(raw, suite), "bronze gate")
     ensure_schema(spark, cfg.bronze, cfg.schema_location(cfg.bronze))
     write_layer(
         L.to_bronze(raw, batch, cfg.landing, cfg.at), f"{cfg.bronze}.{cfg.table}", evolve="merge"
@@ -50,17 +56,21 @@ def run_bronze(spark: SparkSession, cfg: LayerConfig, raw: DataFrame | None = No
 
 def run_silver(spark: SparkSession, cfg: LayerConfig) -> None:
     """Gate first, then write: a failed rule raises and leaves the silver table as it was."""
-    silver = L.to_silver(read_layer(spark, cfg.bronze, cfg.table), cfg.at)
-    Q.enforce(
-        Q.check_suite(silver, Q.silver_suite(cfg.expected_rows, cfg.full_rules)), "silver gate"
-    )
+    bronze = read_layer(spark, cfg.bronze, cfg.table)
+    silver = L.to_silver(bronze, cfg.at)
+    if cfg.gates:
+        Q.enforce(Q.check_rows(bronze, Q.cast_rules()), "silver gate")
+        suite = Q.silver_suite(cfg.expected_rows, cfg.full_rules)
+        Q.enforce(Q.check_suite(silver, suite), "silver gate")
     ensure_schema(spark, cfg.silver, cfg.schema_location(cfg.silver))
     write_layer(silver, f"{cfg.silver}.{cfg.table}")
 
 
 def run_gold(spark: SparkSession, cfg: LayerConfig) -> dict:
-    """Derive and write; the counts are observed while writing, not by scanning again."""
+    """Gate, then write; the counts are observed while writing, not by scanning again."""
     gold = L.to_gold(read_layer(spark, cfg.silver, cfg.table))
+    if cfg.gates:
+        Q.enforce(Q.check_suite(gold, Q.gold_suite()), "gold gate")
     stats = Observation(f"gold {cfg.table}")
     gold = gold.observe(
         stats,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,25 +39,39 @@ def merged(df: DataFrame, old: StructType) -> DataFrame:
     return df.select(*kept, *[F.col(f"`{c}`") for c in df.columns if c not in known])
 
 
+def _versions(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
 def write_layer(
     df: DataFrame, table: str, evolve: str = "replace", partition_by: Sequence[str] = ()
 ) -> None:
     """Replace the content of ``table``.
 
     ``evolve="merge"`` keeps columns of earlier schemas (filled with NULL); ``"replace"`` takes the
-    new schema. Rows go to a staging table first and the names are swapped once it is complete: a
-    failing write leaves the old table as it was, and ``df`` may itself read ``table``.
+    new schema. ``table`` is a view over the last complete version. A write makes a version of its own
+    name and then points the view at it in one catalogue operation: there is no moment without a table,
+    a run that dies leaves the old content, parallel runs don't meet, and ``df`` may itself read
+    ``table``. The version before stays for readers that have begun; the one before that is dropped.
     """
     if evolve not in ("merge", "replace"):
         raise ValueError(f"evolve must be merge or replace, not {evolve!r}")
     spark = df.sparkSession
-    if evolve == "merge" and spark.catalog.tableExists(table):
+    there = spark.catalog.tableExists(table)
+    if there and evolve == "merge":
         df = merged(df, spark.table(table).schema)
-    staging = f"{table}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    writer = df.write.mode("overwrite").format("parquet")
+    known = _versions(spark, table) if there else {}
+    version = f"{table}__{uuid.uuid4().hex[:12]}"
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    writer.saveAsTable(version)
+    old = known.get("larder.version", "")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('larder.version' = '{version}',"
+        f" 'larder.before' = '{old}') AS SELECT * FROM {version}"
+    )
+    if gone := known.get("larder.before"):
+        spark.sql(f"DROP TABLE IF EXISTS {gone}")

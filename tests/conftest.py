@@ -4,7 +4,7 @@ import uuid
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
 from larder.session import local_session  # noqa: E402
 from larder.sources.tables import ensure_schema  # noqa: E402

@@ -5,11 +5,12 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from larder.lookups import Lookups
 from larder.operators import layers as L
 from larder.operators import model as M
 from larder.operators import quality as Q
 from larder.plans.builder import build_products
-from larder.plans.layer_run import LayerConfig, run_layers, run_silver
+from larder.plans.layer_run import LayerConfig, run_gold, run_layers, run_silver
 from larder.sources.landing import read_landing, write_rows
 from larder.sources.tables import ensure_schema, read_layer, write_layer
 
@@ -38,8 +39,9 @@ def test_run_end_to_end(spark, tmp_path):
     ]
     assert all(r.passed for r in Q.check_suite(gold, Q.gold_suite()).collect())
     assert len(M.model_projection(gold).columns) == 20
-    view = M.create_model_view(gold, "model_e2e")
+    view = M.create_model_view(spark, f"{cfg.gold}.{cfg.table}", f"{cfg.gold}.model")
     assert view.count() == 2000
+    assert spark.newSession().table(f"{cfg.gold}.model").count() == 2000
     # A second run replaces the content.
     assert run_layers(spark, cfg).n_rows == 2000
 
@@ -145,3 +147,92 @@ def test_filters_reach_the_scan(spark, schema):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(is_perishable,true)" in text
     assert "ReadSchema: struct<name:string,is_perishable:boolean>" in text
+
+
+def test_values_lost_by_casts_stop_the_silver_gate(spark, tmp_path):
+    cfg = config(tmp_path, "casts", expected_rows=None)
+    rows = build_products(spark, 60)
+    lost = rows.withColumn("cost_price_aud", F.expr("if(product_id = 'P000007', 1e9D, cost_price_aud)"))
+    write_rows(lost, cfg.landing)
+    with pytest.raises(Q.GateFailed, match="cast keeps cost_price_aud: 1 of 60"):
+        run_layers(spark, cfg)
+    assert not spark.catalog.tableExists(f"{cfg.silver}.{cfg.table}")
+    free = config(tmp_path, "nogates", gates=False)
+    run_layers(spark, free)
+    silver = read_layer(spark, free.silver, free.table)
+    assert silver.filter("cost_price_aud is null").count() == 1
+
+
+def test_bad_gold_batch_leaves_gold_unchanged(spark, tmp_path):
+    cfg = config(tmp_path, "goldgate", expected_rows=None)
+    write_rows(build_products(spark, 60), cfg.landing)
+    run_layers(spark, cfg)
+    before = sorted(read_layer(spark, cfg.gold, cfg.table).collect(), key=str)
+    silver = read_layer(spark, cfg.silver, cfg.table)
+    bad = silver.withColumn("retail_price_aud", F.expr("retail_price_aud * 0").cast("decimal(10,2)"))
+    write_layer(bad, f"{cfg.silver}.{cfg.table}")
+    with pytest.raises(Q.GateFailed, match="gold gate: margin known"):
+        run_gold(spark, cfg)
+    assert sorted(read_layer(spark, cfg.gold, cfg.table).collect(), key=str) == before
+
+
+def test_empty_landing_stops_at_bronze(spark, tmp_path):
+    cfg = config(tmp_path, "nothing")
+    write_rows(build_products(spark, 10).limit(0), cfg.landing)
+    with pytest.raises(Q.GateFailed, match="bronze gate"):
+        run_layers(spark, cfg)
+
+
+def test_a_write_that_dies_before_the_switch(spark, schema, monkeypatch):
+    """Half way: the new version is complete, the view still shows the old one; the next write goes through."""
+    table = f"{schema}.t"
+    write_layer(spark.range(3), table)
+    real = type(spark).sql
+
+    def dies(self, text, *args, **kwargs):
+        if text.startswith("CREATE OR REPLACE VIEW"):
+            raise RuntimeError("killed")
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        write_layer(spark.range(5), table)
+    monkeypatch.undo()
+    assert spark.table(table).count() == 3
+    started = spark.table(table).filter("id >= 0")
+    write_layer(spark.range(7), table)
+    assert started.count() == 3 and spark.table(table).count() == 7
+
+
+def test_columns_with_dots_pass_bronze(spark):
+    raw = spark.sql("select 1 as `a.b`, 2 as c")
+    assert L.to_bronze(raw, "b", "f").select("`a.b`", "c").first() == (1, 2)
+
+
+def test_rule_names_may_hold_quotes(spark):
+    df = spark.sql("select 1 as a")
+    assert Q.check_rows(df, [Q.RowRule("it's \\ so", "a > 1")]).first().rule == "it's \\ so"
+
+
+def test_plain_counts_shuffle_no_key(spark):
+    df = spark.range(100).selectExpr("if(id = 3, null, id % 7) as k")
+    counted = Q.check_counts(df, Q.KeyRule(("k",), 100))
+    assert {r.rule: r.n_failed for r in counted.collect()} == {"row_count": 0, "null_keys": 1, "expected_count": 0}
+    assert "hashpartitioning" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_groups_without_a_target_fail(spark):
+    df = spark.sql("select * from values ('a'), ('a'), ('b'), (null) as t(g)")
+    goal = spark.sql("select 'a' as g, 2 as goal union all select 'c', 5")
+    got = {r.rule: (r.n_rows, r.n_failed, r.passed) for r in Q.check_group_share(df, "g", goal, "goal").collect()}
+    assert got == {
+        "share of a": (2, 0, True), "share of b": (1, 1, False), "share of c": (0, 5, False),
+        "share of NULL": (1, 1, False),
+    }
+
+
+def test_repeated_lookup_keys_are_refused(spark):
+    own = spark.sql("select 'Bread' as category, 3D as shelf_life_days, 0.1D as wastage_rate")
+    more = own.unionByName(own.withColumn("shelf_life_days", F.lit(9.0)))
+    with pytest.raises(ValueError, match="Bread"):
+        Lookups(spark, {"shelf_life": more})

@@ -3,8 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from compare import connect, differences
 from larder.catalog import load
-from larder.catalog.compare import connect, differences
 
 QUERIES, ORACLES = load()
 
