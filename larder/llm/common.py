@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.session import scratch
+from larder.session import remove, scratch
 
 #: The six white-space characters of the contracts, and words as what lies between them.
 WHITE = " \t\n\x0b\f\r"
@@ -21,15 +21,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
 
 
-def drop_written(df: DataFrame) -> None:
-    """Delete a table of ``materialize`` that nothing will read again."""
-    spark = df.sparkSession
-    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def drop_written(*written: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing will read again."""
+    for df in written:
+        remove(df.sparkSession, df.written_at)
 
 
 def fresh(docs: DataFrame, name: str) -> str:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import materialize, shuffle_width
+from larder.llm.common import drop_written, materialize, shuffle_width
 from larder.llm.components import components
 
 WIDTH = 2.0
@@ -141,6 +141,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.98,
         return pd.DataFrame({"a": np.concatenate([rep[hit], a]), "b": pd.array([None] * len(hit) + b.tolist(), "Int64"), "links": np.concatenate([links[hit], np.zeros(len(a), np.int64)])})
 
     found = materialize(work.groupBy("bucket").applyInPandas(compare, "a bigint, b bigint, links bigint"), "vector-links")
+    drop_written(points)
     counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b is not null"))
     named = (

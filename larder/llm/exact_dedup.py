@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import WHITE, fresh, materialize, whole
+from larder.llm.common import WHITE, drop_written, fresh, materialize, whole
 
 
 def normalized(text: Column) -> Column:
@@ -80,6 +80,7 @@ class DigestIndex:
         )
         known = groups.select("digest", "group_size").join(self.read(), "digest")
         decided = materialize(known, "digest-decided")
+        drop_written(groups)
         return rows.join(decided, "digest").select(
             "doc_id",
             "keep_id",

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import WORD, fresh, materialize, whole
+from larder.llm.common import WORD, drop_written, fresh, materialize, whole
 
 #: Cells of one source: size classes times these.
 HASH_DIGITS = 2
@@ -103,6 +103,7 @@ def with_copies(
         cells.select("key", "kind", "bucket", F.coalesce(F.sum("n").over(run), F.lit(0)).alias("ahead")).join(goal, "key"),
         "mix-placed",
     )
+    drop_written(cells)
     placed = placed.select(F.struct("*").alias(cell))  # grows with sources and input, so it is never broadcast
     joined = marked.join(placed.hint("merge"), (m.key == c.key) & (m.kind == c.kind) & (m.bucket == c.bucket))
     inside = Window.partitionBy(m.key, m.kind, m.bucket).orderBy(m.hash, m.id)

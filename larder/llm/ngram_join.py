@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import WordHashes, fresh, materialize, mix64, shuffle_width, words_of, worker_state
+from larder.llm.common import WordHashes, drop_written, fresh, materialize, mix64, shuffle_width, words_of, worker_state
 from larder.llm.components import components
 
 WORDS = 5
@@ -209,6 +209,7 @@ class Join:
     def __init__(self, docs: DataFrame, k: int = WORDS, at_least=AT_LEAST, doc_id: str = "doc_id", text: str = "text"):
         self.docs, self.k, self.at_least, self.doc_id, self.text = docs, k, at_least, doc_id, text
         self.width = shuffle_width(docs.sparkSession)
+        self.passing: list[DataFrame] = []  # tables that only the next step reads
         made = signatures(docs, k, at_least, self.width, doc_id, text)
         self.found = materialize(made.groupBy("bucket").applyInPandas(_met, FOUND), "ngram-signatures")
         self.rows = self.found.where("kind = 'doc'").select("id", "n", "class", "sketch")
@@ -259,6 +260,7 @@ class Join:
         rows = self.docs.select(F.col(self.doc_id).cast("bigint").alias("least"), F.col(self.text).cast("binary").alias("text"))
         made = rows.join(wanted, "least").select("rep", "text").mapInArrow(sets, "id bigint, members binary").dropDuplicates(["id"])
         made = materialize(made, "ngram-sets")
+        self.passing.append(made)
         for side in ("a", "b"):
             pairs = pairs.join(made.select(F.col("id").alias(side), F.col("members").alias(f"members_{side}")), side)
         return pairs.mapInPandas(check, "a bigint, b bigint")
@@ -269,6 +271,7 @@ class Join:
         entries = self.found.where("kind = 'group'").select("keys", "classes").mapInPandas(_unpacked, "key bigint, rep bigint")
         entries = entries.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
         entries = materialize(entries, "ngram-entries")
+        self.passing.append(entries)
         size = F.count("*").alias("size")
         mixed = entries.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), size).where("low < high")
         mixed = mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
@@ -308,10 +311,10 @@ class Join:
         tried = materialize(self.likely(self.first_pairs()), "ngram-likely")
         links = materialize(self.verified(tried), "ngram-links")
         more = materialize(self.open_pairs(components(links)).join(tried, ["a", "b"], "left_anti"), "ngram-open")
-        if more.isEmpty():
-            roots = components(links)
-        else:
-            roots = components(links.unionByName(materialize(self.verified(more), "ngram-links")))
+        if not more.isEmpty():
+            links = links.unionByName(materialize(self.verified(more), "ngram-links"))
+        roots = components(links)
+        drop_written(tried, more, *self.passing)
         place = self.reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "least", F.coalesce("root", "rep").alias("root"))
         names = place.join(place.groupBy("root").agg(F.min("least").alias("name")), "root").select(F.col("rep").alias("class"), "name")
         out = self.rows.select("id", "n", "class").join(names, "class", "left")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import materialize, worker_state
+from larder.llm.common import drop_written, materialize, worker_state
 
 WINDOW = 2048
 END_ID = 1
@@ -222,7 +222,8 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID,
     ``path`` names a tokenizer file that every executor can open. The pieces' table is written once;
     ranks inside a length come from counts by length and input partition, so no length meets in one task.
     """
-    table = materialize(pieces(docs, path, window, end_id, with_ids, doc_id, text).withColumn("row_no", F.monotonically_increasing_id()), "pieces")
+    made = pieces(docs, path, window, end_id, with_ids, doc_id, text)
+    table = materialize(made.withColumn("row_no", F.monotonically_increasing_id()), "pieces")
     part = F.shiftright("row_no", 33)
     counts = table.groupBy("length", part.alias("part")).agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -259,6 +260,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID,
 
     kinds = ", ".join(f"{n} {t}" for n, t in ranked.dtypes)
     placed = materialize(ranked.mapInPandas(place, kinds + ", sequence_id bigint, offset bigint"), "placed")
+    drop_written(table, cells)
     rest = placed.where("sequence_id < 0").withColumn("bucket", (F.col("rank") + F.col("length")) % buckets)
     packed = rest.groupBy("bucket").applyInPandas(greedy, placed.schema)
     return placed.where("sequence_id >= 0").unionByName(packed).drop("rank")

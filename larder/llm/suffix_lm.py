@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import WordHashes, fold, materialize, shuffle_width, words_of, worker_state
+from larder.llm.common import WordHashes, drop_written, fold, materialize, shuffle_width, words_of, worker_state
 
 DEPTH = 5
 #: Least share of training symbols for a state; least share times divergence (in nats) to keep it.
@@ -224,6 +224,7 @@ def learn_tree(train: DataFrame, depth: int, share: float, divergence: float, pr
     cells = materialize(parts.groupBy("level", "context", "symbol").agg(F.sum("n").alias("n")), "run-cells")
     often = cells.groupBy("level", "context").agg(F.sum("n").alias("seen")).where(F.col("seen") >= least).drop("seen")
     got = cells.join(often, ["level", "context"]).toArrow()
+    drop_written(counted, cells)
     *run, n = (got.column(c).to_numpy() for c in ("level", "context", "symbol", "n"))
     return grow(tuple(run), n, max(1, total), depth, share, divergence, prior)
 
