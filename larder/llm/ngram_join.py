@@ -8,9 +8,11 @@ segments that hold most members (an order both sides share, so the fullest agree
 among them), and pairs meet where a segment's key is equal. A second sketch, of single bits, gives
 a Hamming distance that rules out most pairs that met by chance; the rest are verified by their sets.
 
-Components need no pair twice: first every member of a key's group is checked against the group's
-least document; then only pairs from different components are compared, in blocks, so that groups
-of thousands of near copies never become all their pairs, and no link between two components is lost.
+Components need no pair twice: first every member of a key's group meets the group's least document, and
+pairs that the sketches allow make rough components; then only pairs from different rough components are
+compared, in blocks. All these are verified. Where a rough component falls apart, its parts are compared
+again. So groups of thousands of near copies never become all their pairs, no link between two components
+is lost, and texts are shuffled once.
 
 Defined cases: a document with fewer words than n is one shingle, its whole sequence; one without
 words has an empty set and links with nothing; equal sets are one class and are compared once; a row
@@ -209,7 +211,6 @@ class Join:
     def __init__(self, docs: DataFrame, k: int = WORDS, at_least=AT_LEAST, doc_id: str = "doc_id", text: str = "text"):
         self.docs, self.k, self.at_least, self.doc_id, self.text = docs, k, at_least, doc_id, text
         self.width = shuffle_width(docs.sparkSession)
-        self.passing: list[DataFrame] = []  # tables that only the next step reads
         made = signatures(docs, k, at_least, self.width, doc_id, text)
         self.found = materialize(made.groupBy("bucket").applyInPandas(_met, FOUND), "ngram-signatures")
         self.rows = self.found.where("kind = 'doc'").select("id", "n", "class", "sketch")
@@ -237,9 +238,9 @@ class Join:
             pairs = pairs.join(own, side)
         return pairs.mapInPandas(run, "a bigint, b bigint")
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose sets reach the similarity. Sets are made again from the texts of the documents in question."""
-        k, (up, down) = self.k, self.at_least
+    def sets_of(self, pairs: DataFrame) -> DataFrame:
+        """(id, members): the sets of all classes in ``pairs``, made again from the texts of their documents."""
+        k = self.k
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = worker_state().setdefault("words", WordHashes())
@@ -247,6 +248,15 @@ class Join:
                 made = [shingles(words_of(x.as_py() or b""), k, hashes).tobytes() for x in batch.column(1)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "members"])
 
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(self.reps.select("rep", "least"), "rep")
+        rows = self.docs.select(F.col(self.doc_id).cast("bigint").alias("least"), F.col(self.text).cast("binary").alias("text"))
+        made = rows.join(wanted, "least").select("rep", "text").mapInArrow(sets, "id bigint, members binary").dropDuplicates(["id"])
+        return materialize(made, "ngram-sets")
+
+    def verified(self, pairs: DataFrame, made: DataFrame) -> DataFrame:
+        """The pairs whose sets reach the similarity."""
+        up, down = self.at_least
+
         def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in frames:
                 linked = np.zeros(len(pdf), bool)
@@ -256,22 +266,13 @@ class Join:
                     linked[i] = down * both >= up * (len(s) + len(t) - both)
                 yield pdf.loc[linked, ["a", "b"]]
 
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(self.reps.select("rep", "least"), "rep")
-        rows = self.docs.select(F.col(self.doc_id).cast("bigint").alias("least"), F.col(self.text).cast("binary").alias("text"))
-        made = rows.join(wanted, "least").select("rep", "text").mapInArrow(sets, "id bigint, members binary").dropDuplicates(["id"])
-        made = materialize(made, "ngram-sets")
-        self.passing.append(made)
         for side in ("a", "b"):
             pairs = pairs.join(made.select(F.col("id").alias(side), F.col("members").alias(f"members_{side}")), side)
         return pairs.mapInPandas(check, "a bigint, b bigint")
 
-    def open_pairs(self, roots: DataFrame) -> DataFrame:
-        """Pairs of different components that share a key and that sizes and bit sketches allow."""
+    def open_pairs(self, entries: DataFrame) -> DataFrame:
+        """Pairs of different roots that share a key and that sizes and bit sketches allow. ``entries``: key, rep, root."""
         at_least, width = self.at_least, self.width * 4
-        entries = self.found.where("kind = 'group'").select("keys", "classes").mapInPandas(_unpacked, "key bigint, rep bigint")
-        entries = entries.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
-        entries = materialize(entries, "ngram-entries")
-        self.passing.append(entries)
         size = F.count("*").alias("size")
         mixed = entries.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), size).where("low < high")
         mixed = mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
@@ -309,12 +310,26 @@ class Join:
     def classes(self) -> DataFrame:
         """One row per row of the documents: doc_id, n_shingles, component_id."""
         tried = materialize(self.likely(self.first_pairs()), "ngram-likely")
-        links = materialize(self.verified(tried), "ngram-links")
-        more = materialize(self.open_pairs(components(links)).join(tried, ["a", "b"], "left_anti"), "ngram-open")
+        rough = materialize(components(tried), "ngram-rough")
+        entries = self.found.where("kind = 'group'").select("keys", "classes").mapInPandas(_unpacked, "key bigint, rep bigint")
+        placed = entries.join(rough.withColumnRenamed("node", "rep"), "rep", "left")
+        placed = materialize(placed.select("key", "rep", F.coalesce("root", "rep").alias("root")), "ngram-entries")
+        pairs = materialize(tried.unionByName(self.open_pairs(placed)), "ngram-pairs")
+        made = self.sets_of(pairs)
+        links = materialize(self.verified(pairs, made), "ngram-links")
+        # Rough components that likely pairs held together, but not all of them linked: inside these, compare again.
+        exact = components(links).select(F.col("node").alias("rep"), F.col("root").alias("exact"))
+        members = rough.select(F.col("node").alias("rep"), "root").unionByName(rough.select(F.col("root").alias("rep"), "root").distinct())
+        members = members.join(exact, "rep", "left").select("rep", "root", F.coalesce("exact", "rep").alias("exact"))
+        members = materialize(members, "ngram-members")
+        apart = members.groupBy("root").agg(F.min("exact").alias("low"), F.max("exact").alias("high")).where("low < high")
+        again = placed.join(members.join(apart.select("root"), "root").select("rep", "exact"), "rep")
+        again = again.select(F.xxhash64("key", "root").alias("key"), "rep", F.col("exact").alias("root"))
+        more = materialize(self.open_pairs(again).join(pairs, ["a", "b"], "left_anti"), "ngram-more")
         if not more.isEmpty():
-            links = links.unionByName(materialize(self.verified(more), "ngram-links"))
+            links = links.unionByName(materialize(self.verified(more, made), "ngram-links"))
         roots = components(links)
-        drop_written(tried, more, *self.passing)
+        drop_written(tried, rough, placed, pairs, made, members, more)
         place = self.reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "least", F.coalesce("root", "rep").alias("root"))
         names = place.join(place.groupBy("root").agg(F.min("least").alias("name")), "root").select(F.col("rep").alias("class"), "name")
         out = self.rows.select("id", "n", "class").join(names, "class", "left")
