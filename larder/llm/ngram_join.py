@@ -318,18 +318,20 @@ class Join:
         made = self.sets_of(pairs)
         links = materialize(self.verified(pairs, made), "ngram-links")
         # Rough components that likely pairs held together, but not all of them linked: inside these, compare again.
-        exact = components(links).select(F.col("node").alias("rep"), F.col("root").alias("exact"))
+        roots = materialize(components(links), "ngram-roots")
+        exact = roots.select(F.col("node").alias("rep"), F.col("root").alias("exact"))
         members = rough.select(F.col("node").alias("rep"), "root").unionByName(rough.select(F.col("root").alias("rep"), "root").distinct())
         members = members.join(exact, "rep", "left").select("rep", "root", F.coalesce("exact", "rep").alias("exact"))
         members = materialize(members, "ngram-members")
         apart = members.groupBy("root").agg(F.min("exact").alias("low"), F.max("exact").alias("high")).where("low < high")
-        again = placed.join(members.join(apart.select("root"), "root").select("rep", "exact"), "rep")
-        again = again.select(F.xxhash64("key", "root").alias("key"), "rep", F.col("exact").alias("root"))
-        more = materialize(self.open_pairs(again).join(pairs, ["a", "b"], "left_anti"), "ngram-more")
-        if not more.isEmpty():
-            links = links.unionByName(materialize(self.verified(more, made), "ngram-links"))
-        roots = components(links)
-        drop_written(tried, rough, placed, pairs, made, members, more)
+        if not apart.isEmpty():
+            again = placed.join(members.join(apart.select("root"), "root").select("rep", "exact"), "rep")
+            again = again.select(F.xxhash64("key", "root").alias("key"), "rep", F.col("exact").alias("root"))
+            more = materialize(self.open_pairs(again).join(pairs, ["a", "b"], "left_anti"), "ngram-more")
+            if not more.isEmpty():
+                links = links.unionByName(materialize(self.verified(more, made), "ngram-links"))
+                roots = components(links)
+        drop_written(tried, rough, placed, pairs, made, members)
         place = self.reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "least", F.coalesce("root", "rep").alias("root"))
         names = place.join(place.groupBy("root").agg(F.min("least").alias("name")), "root").select(F.col("rep").alias("class"), "name")
         out = self.rows.select("id", "n", "class").join(names, "class", "left")
