@@ -77,7 +77,7 @@ def words_of(text: bytes) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes of words; forgets all when it holds too many."""
 
-    most = 400_000
+    most = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

@@ -76,7 +76,7 @@ def count_runs(docs: DataFrame, depth: int, width: int) -> DataFrame:
                 made = runs(spelled(words_of(cell.as_py() or b"")), depth)
                 loose.append(made)
                 size += len(made)
-                if size > 8_000_000:
+                if size > 3_000_000:
                     settle()
         settle()
         bucket = ((held >> np.uint64(8)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(width)
@@ -236,8 +236,8 @@ def _postings(tree, depth: int, width: int):
         hashes = worker_state().setdefault("words", WordHashes())
         task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 4000):
-                part = batch.slice(lo, 4000)
+            for lo in range(0, batch.num_rows, 2000):
+                part = batch.slice(lo, 2000)
                 key, number = (task << 32) + number, number + 1
                 held = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
                 words = [words_of(x.as_py() or b"") for x in part.column(2)]
