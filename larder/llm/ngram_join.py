@@ -162,6 +162,7 @@ def signatures(docs: DataFrame, k: int, at_least, width: int, doc_id: str, text:
             columns = [pa.array(x + (packed[0] if i == 0 else blank), t) for i, (x, t) in enumerate(zip(rows, types))]
             columns += [pa.array(none + x, pa.binary()) for x in packed[1:]]
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "id", "n", "class", "sketch", "keys", "classes"])
+        worker_state().pop("words", None)  # later stages of a job need the memory more than the words
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     return rows.mapInArrow(run, "bucket int, id bigint, n bigint, class bigint, sketch binary, keys binary, classes binary")
@@ -247,6 +248,7 @@ class Join:
             for batch in batches:
                 made = [shingles(words_of(x.as_py() or b""), k, hashes).tobytes() for x in batch.column(1)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "members"])
+            worker_state().pop("words", None)
 
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(self.reps.select("rep", "least"), "rep")
         rows = self.docs.select(F.col(self.doc_id).cast("bigint").alias("least"), F.col(self.text).cast("binary").alias("text"))

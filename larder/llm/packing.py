@@ -29,7 +29,7 @@ from larder.llm.common import drop_written, materialize, worker_state
 WINDOW = 2048
 END_ID = 1
 #: Chunks of text that a worker remembers; then it starts anew.
-REMEMBERED, LONGEST = 400_000, 48
+REMEMBERED, LONGEST = 250_000, 48
 #: Left-over pieces for each bucket of the greedy packer.
 BUCKET_PIECES = 20_000
 #: Combinations tried for each length, and sweeps of the fit.
