@@ -11,8 +11,9 @@ against each other. Symbols are four bytes, so a window of 100 bytes takes 25 ro
 
 Defined cases: null text is empty; texts shorter than the window keep all their bytes; texts may have any
 length and repeat themselves; a row without an id keeps its text and doesn't count as an earlier place; rows
-repeated with one id are one document, so they don't count against each other and all get its result; an
-empty table gives an empty result; columns other than id and text don't matter.
+repeated with one id are one document, so they don't count against each other and all get its result; other
+texts with the same id are versions of it: only a smaller id or an earlier start counts between them, and each
+loses its own windows alone; an empty table gives an empty result; columns other than id and text don't matter.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.common import materialize, mix64, shuffle_width
@@ -36,6 +37,9 @@ GRAM, SECOND_GRAM, WORD = 32, 16, 4
 SHARD = 1 << 17
 #: Marks a run whose windows may equal each other.
 SELF = 128
+#: ``first`` is a start in the lower bits and the number of the text among those of its id above them.
+VERSION = 31
+START = (1 << VERSION) - 1
 PACKED = "kind int, bucket int, key binary, whole binary, doc binary, first binary, size binary, text binary"
 _TYPES = {"key": np.uint64, "whole": np.uint64, "doc": np.int64, "first": np.int64, "size": np.int64}
 RUN, GONE, OPEN = 0, 1, 2
@@ -71,12 +75,26 @@ def doc_bucket(doc: np.ndarray, width: int) -> np.ndarray:
     return (mix64(doc.view(np.uint64)) % np.uint64(width)).astype(np.int32)
 
 
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """Which entries differ from the one before them."""
+    out = np.ones(len(columns[0]), bool)
+    out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return out
+
+
+def at_least_place(new: np.ndarray, doc: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which entries have the place of the first one of their group; ``new`` marks where groups begin."""
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+    return (doc == doc[lead]) & (first & START == first[lead] & START)
+
+
 def first_of_equal(key, whole, doc, first):
-    """The order by (key, whole, place), and in it which entries begin a key, which begin equal strings."""
-    order = np.lexsort((first, doc, whole, key))
+    """The order by (key, whole, place) without repeats, and in it which entries begin a key, which of equal
+    strings come first: several where texts of one id share a place."""
+    order = np.lexsort((first, first & START, doc, whole, key))
+    order = order[changes(key[order], whole[order], doc[order], first[order])]
     k, w = key[order], whole[order]
-    new_key = np.r_[True, k[1:] != k[:-1]] if len(k) else np.empty(0, bool)
-    return order, new_key, new_key | (np.r_[True, w[1:] != w[:-1]] if len(w) else new_key)
+    return order, changes(k), at_least_place(changes(k, w), doc[order], first[order])
 
 
 def runs(docs: DataFrame, window: int, width: int) -> DataFrame:
@@ -85,9 +103,9 @@ def runs(docs: DataFrame, window: int, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[list[np.ndarray]] = [[], [], [], [], []]
-            for doc, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc, cell, version in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 v, first, size, whole, own = minimizer_runs(np.frombuffer(cell.as_py(), np.uint8), window, GRAM)
-                for column, x in zip(made, (v, whole, np.full(len(v), doc, np.int64), first, size | SELF * own)):
+                for column, x in zip(made, (v, whole, np.full(len(v), doc, np.int64), first | version << VERSION, size | SELF * own)):
                     column.append(x)
             if made[0]:
                 key, whole, doc, first, size = map(np.concatenate, made)
@@ -118,16 +136,18 @@ def _split(width: int):
 
 
 def _by_doc(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Packed rows of one bucket of documents as one row for each document, entries in order of place."""
+    """Packed rows of one bucket of documents as one row for each text, entries in order of place."""
     has_key = pdf["key"].notna().all()
     doc, first, size = unpack(pdf, "doc", "first", "size")
     order = np.lexsort((first, doc))
     key = unpack(pdf, "key")[0][order] if has_key else np.empty(0, np.uint64)
     doc, first, size = doc[order], first[order], size[order]
-    at = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    version, first = first >> VERSION, first & START
+    at = np.flatnonzero(changes(doc, version))
     cut = [*zip(at, [*at[1:], len(doc)])]
     return pd.DataFrame({
         "doc": doc[at],
+        "version": version[at],
         "key": [key[a:b].tobytes() for a, b in cut],
         "first": [first[a:b].tobytes() for a, b in cut],
         "size": [size[a:b].tobytes() for a, b in cut],
@@ -140,7 +160,7 @@ def strings(docs: DataFrame, window: int, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[list] = [[], [], [], [], [], []]
-            for doc, text, *cells in zip(batch.column(0).to_pylist(), *(batch.column(i).to_pylist() for i in range(1, 5))):
+            for doc, version, text, *cells in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 key, at, length = (np.frombuffer(c, t) for c, t in zip(cells, (np.uint64, np.int64, np.int64)))
                 fits = at + (length & ~SELF) + window - 1 <= len(text)
                 key, at, length = key[fits], at[fits], length[fits]
@@ -152,7 +172,7 @@ def strings(docs: DataFrame, window: int, width: int) -> DataFrame:
                 parent = within[first]
                 own = own | (length[parent] >= SELF)
                 both = mix64(key[parent] + mix64(v))
-                for column, x in zip(made, (both, whole, np.full(len(v), doc, np.int64), first, size | SELF * own)):
+                for column, x in zip(made, (both, whole, np.full(len(v), doc, np.int64), first | version << VERSION, size | SELF * own)):
                     column.append(x)
                 made[5] += [text[a:b] for a, b in zip(first.tolist(), (first + size + window - 1).tolist())]
             if made[0]:
@@ -256,8 +276,8 @@ def _repeats(window: int, width: int):
             full = offset + window <= n[string]
             string, offset, block = string[full], offset[full], block[full]
             d, p = doc[need][string], first[need][string] + offset
-            order = np.lexsort((p, d, block))
-            later = order[np.r_[False, block[order][1:] == block[order][:-1]]]
+            order = np.lexsort((p, p & START, d, block))
+            later = order[~at_least_place(changes(block[order]), d[order], p[order])]
             d, p = d[later], p[later]
             order = np.lexsort((p, d))
             d, p = d[order], p[order]
@@ -269,23 +289,36 @@ def _repeats(window: int, width: int):
     return repeats
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, first, size): packed starts and numbers of the windows of each document that also start earlier."""
-    width = shuffle_width(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).cast("binary").alias("text"))
+def with_versions(rows: DataFrame) -> DataFrame:
+    """``rows`` with the number of each text among the different ones of its id: 0 wherever an id has one text."""
+    digest = F.md5(F.coalesce("text", F.lit(b"")))
+    several = rows.where("doc is not null").groupBy("doc").agg(F.min(digest).alias("least"), F.max(digest).alias("most")).where("least != most").select("doc")
+    if several.isEmpty():
+        return rows.withColumn("version", F.lit(0).cast("bigint"))
+    texts = rows.join(several, "doc").select("doc", digest.alias("digest")).distinct()
+    numbers = texts.select("doc", "digest", (F.row_number().over(Window.partitionBy("doc").orderBy("digest")) - 1).cast("bigint").alias("version"))
+    numbers = materialize(numbers, "versions")
+    found = rows.withColumn("digest", digest).join(numbers, ["doc", "digest"], "left")
+    return found.select("doc", "text", F.coalesce("version", F.lit(0).cast("bigint")).alias("version"))
+
+
+def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc, version, first, size): packed starts and numbers of the windows of each text that also start earlier."""
+    width = shuffle_width(rows.sparkSession)
     rows = rows.where(F.col("doc").isNotNull() & (F.octet_length("text") >= window))
     found = materialize(runs(rows, window, width).groupBy("bucket").applyInPandas(_split(width), PACKED), "runs")
-    by_doc = "doc bigint, key binary, first binary, size binary"
+    by_doc = "doc bigint, version bigint, key binary, first binary, size binary"
     wanted = found.where(f"kind = {OPEN}").groupBy("bucket").applyInPandas(_by_doc, by_doc)
-    sent = strings(rows.join(wanted, "doc").select("doc", "text", "key", "first", "size"), window, 4 * width)
+    sent = strings(rows.join(wanted, ["doc", "version"]).select("doc", "version", "text", "key", "first", "size"), window, 4 * width)
     more = materialize(sent.groupBy("bucket").applyInPandas(_repeats(window, width), PACKED), "repeats")
     gone = found.where(f"kind = {GONE}").unionByName(more)
-    return gone.groupBy("bucket").applyInPandas(_by_doc, by_doc).drop("key").withColumnRenamed("doc", "doc_id")
+    return gone.groupBy("bucket").applyInPandas(_by_doc, by_doc).drop("key")
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes if asked for."""
-    spans = repeated_spans(docs, window, doc_id, text)
+    rows = with_versions(docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).cast("binary").alias("text")))
+    spans = repeated_spans(rows, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -312,7 +345,6 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    done = rows.join(spans, "doc_id", "left").select("doc_id", "text", "first", "size")
+    done = rows.join(spans, ["doc", "version"], "left").select(F.col("doc").alias("doc_id"), "text", "first", "size")
     done = done.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
     return done if with_text else done.drop("kept")

@@ -171,6 +171,32 @@ def test_repeats(docs, empty):
     assert without_repeats(empty).collect() == []
 
 
+def removed(spark, texts):
+    """Of (id, text) rows: those of without_repeats, and by brute force, where only a smaller place counts."""
+    least = {}
+    for i, t in texts:
+        for s in range(len(t) - 99):
+            least[t[s : s + 100]] = min(least.get(t[s : s + 100], (i, s)), (i, s))
+    want = Counter()
+    for i, t in texts:
+        gone = bytearray(len(t))
+        for s in range(len(t) - 99):
+            if least[t[s : s + 100]] < (i, s):
+                gone[s : s + 100] = b"\1" * 100
+        kept = "".join(c for c, g in zip(t, gone) if not g)
+        want[i, len(t), sum(gone), hashlib.sha256(kept.encode()).hexdigest()] += 1
+    df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
+    return Counter((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in without_repeats(df).collect()), want
+
+
+def test_repeats_of_one_id(spark):
+    a, b, c, d = (" ".join(words(90, 900 + i)) for i in range(4))
+    # A repeated long row, in one task and over several, and different texts with one id.
+    texts = [(1, a)] * 5 + [(2, b + " " + a)] * 3 + [(3, c), (3, d + " " + a), (3, c[:200] + d), (4, d), (4, d)]
+    got, want = removed(spark, texts)
+    assert got == want
+
+
 def test_mix(docs, empty):
     got = with_copies(docs).select("doc_id", "source", "_mix.*").collect()
     assert len(got) == len(rows())
