@@ -7,7 +7,9 @@ whose minimizer other runs share, is split once more by a second minimizer. Of t
 builds transforms shard by shard and merges them by interleave refinement: every round sorts the merged
 rows, stably, by the symbol before them, which refines the order by one symbol; rows that no round up to the
 window's length tells apart begin with one common string. No suffixes of different shards are ever sorted
-against each other. Symbols are four bytes, so a window of 100 bytes takes 25 rounds.
+against each other. Symbols are four bytes, so a window of 100 bytes takes 25 rounds. Where more than ``hot``
+different strings share a minimizer, their windows are dealt out one by one by 128 bits of hashes instead, and
+all but the least place of each hash go: such a group spreads over all buckets.
 
 Defined cases: null text is empty; texts shorter than the window keep all their bytes; texts may have any
 length and repeat themselves; a row without an id keeps its text and doesn't count as an earlier place; rows
@@ -28,21 +30,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.common import materialize, mix64, shuffle_width
-from larder.llm.windows import minimizer_runs
+from larder.llm.windows import minimizer_runs, window_hashes
 
 WINDOW = 100
 #: Bytes of the two minimizers, and of one symbol of a transform.
 GRAM, SECOND_GRAM, WORD = 32, 16, 4
 #: Bytes of strings in one shard of a bucket.
 SHARD = 1 << 17
-#: Marks a run whose windows may equal each other.
-SELF = 128
+#: Strings of one minimizer beyond which their windows are compared one by one, and how many of those are held.
+HOT, HELD = 1 << 14, 500_000
+#: Marks a run whose windows may equal each other, and one of a hot minimizer.
+SELF, WIDE = 128, 256
 #: ``first`` is a start in the lower bits and the number of the text among those of its id above them.
 VERSION = 31
 START = (1 << VERSION) - 1
 PACKED = "kind int, bucket int, key binary, whole binary, doc binary, first binary, size binary, text binary"
 _TYPES = {"key": np.uint64, "whole": np.uint64, "doc": np.int64, "first": np.int64, "size": np.int64}
-RUN, GONE, OPEN = 0, 1, 2
+RUN, GONE, OPEN, ALONE = 0, 1, 2, 3
 
 
 def pack_rows(kind: int, bucket: np.ndarray, **columns: np.ndarray) -> list[dict]:
@@ -71,6 +75,11 @@ def arrow(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], t) for c, t in zip(names, kinds)], names=names)
 
 
+def spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges of ``n`` numbers from ``start`` on."""
+    return np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
 def doc_bucket(doc: np.ndarray, width: int) -> np.ndarray:
     return (mix64(doc.view(np.uint64)) % np.uint64(width)).astype(np.int32)
 
@@ -118,7 +127,7 @@ def runs(docs: DataFrame, window: int, width: int) -> DataFrame:
     return docs.mapInArrow(run, PACKED)
 
 
-def _split(width: int):
+def _split(width: int, hot: int):
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
         """Of one bucket's runs: which are gone, and which need a comparison."""
         out = pdf[pdf["kind"] == GONE].to_dict("records")
@@ -126,7 +135,10 @@ def _split(width: int):
         order, new_key, lead = first_of_equal(key, whole, doc, first)
         strings = np.bincount(np.cumsum(new_key)[lead]) if len(key) else np.empty(0, np.int64)
         shared = lead & (strings[np.cumsum(new_key)] > 1) if len(key) else lead
-        need = order[shared | (lead & (size[order] >= SELF))]
+        wanted = shared | (lead & (size[order] >= SELF))
+        need = order[wanted]
+        nth = np.cumsum(new_key)[wanted]
+        size[need] |= np.where(np.bincount(nth)[nth] > hot, WIDE, 0) if len(need) else 0
         gone = order[~lead]
         out += pack_rows(GONE, doc_bucket(doc[gone], width), doc=doc[gone], first=first[gone], size=size[gone] & ~SELF)
         out += pack_rows(OPEN, doc_bucket(doc[need], width), key=key[need], doc=doc[need], first=first[need], size=size[need])
@@ -154,19 +166,49 @@ def _by_doc(pdf: pd.DataFrame) -> pd.DataFrame:
     })
 
 
+def least_and_later(a, b, doc, first):
+    """Of windows, by their hashes: those with the least place of equal ones, and all others."""
+    order, _, lead = first_of_equal(a, b, doc, first)
+    return order[lead], order[~lead]
+
+
 def strings(docs: DataFrame, window: int, width: int) -> DataFrame:
-    """The bytes of runs that need a comparison, split by a second minimizer and dealt out by both."""
+    """The bytes of runs that need a comparison, split by a second minimizer and dealt out by both; of runs with a
+    hot minimizer single windows, dealt out by hash, of equal ones held together only the first. To four times as
+    many buckets as ``width``, which is that of documents."""
+
+    def alone(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        a, b, doc, first = map(np.concatenate, held)
+        head, tail = least_and_later(a, b, doc, first)
+        rows = pack_rows(ALONE, (a[head] % np.uint64(4 * width)).astype(np.int32), key=a[head], whole=b[head], doc=doc[head], first=first[head])
+        rows += pack_rows(GONE, doc_bucket(doc[tail], width), doc=doc[tail], first=first[tail], size=np.ones(len(tail), np.int64))
+        return arrow(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[list] = [[], [], [], [], [], []]
+            held: list[list[np.ndarray]] = [[], [], [], []]
+            holds = 0
             for doc, version, text, *cells in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 key, at, length = (np.frombuffer(c, t) for c, t in zip(cells, (np.uint64, np.int64, np.int64)))
-                fits = at + (length & ~SELF) + window - 1 <= len(text)
+                fits = at + (length & SELF - 1) + window - 1 <= len(text)
+                wide = fits & (length & WIDE > 0)
+                if wide.any():
+                    slots = spread(at[wide], length[wide] & SELF - 1)
+                    hashes = window_hashes(np.frombuffer(text, np.uint8), window)
+                    for lo in range(0, len(slots), HELD):
+                        some = slots[lo : lo + HELD]
+                        for column, x in zip(held, (hashes[0][some], hashes[1][some], np.full(len(some), doc, np.int64), some | version << VERSION)):
+                            column.append(x)
+                        holds += len(some)
+                        if holds >= HELD:
+                            yield alone(held)
+                            held, holds = [[], [], [], []], 0
+                fits &= ~wide
                 key, at, length = key[fits], at[fits], length[fits]
                 within = np.full(max(0, len(text) - window + 1), -1, np.int32)
                 plain = length & ~SELF
-                slots = np.repeat(at, plain) + np.arange(plain.sum()) - np.repeat(np.cumsum(plain) - plain, plain)
+                slots = spread(at, plain)
                 within[slots] = np.repeat(np.arange(len(at), dtype=np.int32), plain)
                 v, first, size, whole, own = minimizer_runs(np.frombuffer(text, np.uint8), window, SECOND_GRAM, 2, within)
                 parent = within[first]
@@ -175,9 +217,11 @@ def strings(docs: DataFrame, window: int, width: int) -> DataFrame:
                 for column, x in zip(made, (both, whole, np.full(len(v), doc, np.int64), first | version << VERSION, size | SELF * own)):
                     column.append(x)
                 made[5] += [text[a:b] for a, b in zip(first.tolist(), (first + size + window - 1).tolist())]
+            if holds:
+                yield alone(held)
             if made[0]:
                 key, whole, doc, first, size = map(np.concatenate, made[:5])
-                bucket = (key % np.uint64(width)).astype(np.int32)
+                bucket = (key % np.uint64(4 * width)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
                 rows = pack_rows(RUN, bucket, key=key, whole=whole, doc=doc, first=first, size=size)
                 done = 0
@@ -257,7 +301,14 @@ def merged_blocks(text: np.ndarray, length: np.ndarray, window: int = WINDOW, wo
 
 def _repeats(window: int, width: int):
     def repeats(pdf: pd.DataFrame) -> pd.DataFrame:
-        """In one bucket of strings: the windows that also start earlier."""
+        """In one bucket of strings and single windows: the windows that also start earlier."""
+        out = pdf[pdf["kind"] == GONE].to_dict("records")
+        a, b, doc, first = unpack(pdf[pdf["kind"] == ALONE], "key", "whole", "doc", "first")
+        _, tail = least_and_later(a, b, doc, first)
+        out += pack_rows(GONE, doc_bucket(doc[tail], width), doc=doc[tail], first=first[tail], size=np.ones(len(tail), np.int64))
+        pdf = pdf[pdf["kind"] == RUN]
+        if pdf.empty:
+            return frame(out)
         key, whole, doc, first, size = unpack(pdf, "key", "whole", "doc", "first", "size")
         text = np.frombuffer(b"".join(pdf["text"]), np.uint8)
         length = (size & ~SELF) + window - 1
@@ -265,12 +316,11 @@ def _repeats(window: int, width: int):
         order, new_key, lead = first_of_equal(key, whole, doc, first)
         many = np.bincount(np.cumsum(new_key)[lead])[np.cumsum(new_key)] > 1
         gone = order[~lead]
-        out = pack_rows(GONE, doc_bucket(doc[gone], width), doc=doc[gone], first=first[gone], size=size[gone] & ~SELF)
+        out += pack_rows(GONE, doc_bucket(doc[gone], width), doc=doc[gone], first=first[gone], size=size[gone] & ~SELF)
         need = order[lead & (many | (size[order] >= SELF))]
         if len(need):
             n = length[need]
-            slots = np.repeat(start[need], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            at, block = merged_blocks(text[slots], n, window)
+            at, block = merged_blocks(text[spread(start[need], n)], n, window)
             string = np.repeat(np.arange(len(need)), n)[at]
             offset = at - (np.cumsum(n) - n)[string]
             full = offset + window <= n[string]
@@ -302,23 +352,23 @@ def with_versions(rows: DataFrame) -> DataFrame:
     return found.select("doc", "text", F.coalesce("version", F.lit(0).cast("bigint")).alias("version"))
 
 
-def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeated_spans(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """(doc, version, first, size): packed starts and numbers of the windows of each text that also start earlier."""
     width = shuffle_width(rows.sparkSession)
     rows = rows.where(F.col("doc").isNotNull() & (F.octet_length("text") >= window))
-    found = materialize(runs(rows, window, width).groupBy("bucket").applyInPandas(_split(width), PACKED), "runs")
+    found = materialize(runs(rows, window, width).groupBy("bucket").applyInPandas(_split(width, hot), PACKED), "runs")
     by_doc = "doc bigint, version bigint, key binary, first binary, size binary"
     wanted = found.where(f"kind = {OPEN}").groupBy("bucket").applyInPandas(_by_doc, by_doc)
-    sent = strings(rows.join(wanted, ["doc", "version"]).select("doc", "version", "text", "key", "first", "size"), window, 4 * width)
+    sent = strings(rows.join(wanted, ["doc", "version"]).select("doc", "version", "text", "key", "first", "size"), window, width)
     more = materialize(sent.groupBy("bucket").applyInPandas(_repeats(window, width), PACKED), "repeats")
     gone = found.where(f"kind = {GONE}").unionByName(more)
     return gone.groupBy("bucket").applyInPandas(_by_doc, by_doc).drop("key")
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False, doc_id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes if asked for."""
     rows = with_versions(docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).cast("binary").alias("text")))
-    spans = repeated_spans(rows, window)
+    spans = repeated_spans(rows, window, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

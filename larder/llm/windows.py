@@ -21,6 +21,13 @@ def gram_hashes(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def window_hashes(x: np.ndarray, window: int) -> list[np.ndarray]:
+    """Two hashes of every window of ``x``, each from two overlapping strings that cover it."""
+    k = 1 << (window.bit_length() - 1)
+    grams = [gram_hashes(x, k, seed) for seed in (3, 4)]
+    return [mix64(mix64(h[: len(x) - window + 1]) + h[window - k :]) for h in grams]
+
+
 def sliding_min(h: np.ndarray, size: int) -> np.ndarray:
     """Least value of every ``size`` neighbours."""
     width, m = 1, h

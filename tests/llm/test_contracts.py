@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from larder.llm import suffix_dedup
 from larder.llm.embedding_dedup import near_vectors
 from larder.llm.exact_dedup import DigestIndex, exact_duplicates
 from larder.llm.exact_dedup import keep_documents as keep_exact
@@ -171,7 +172,7 @@ def test_repeats(docs, empty):
     assert without_repeats(empty).collect() == []
 
 
-def removed(spark, texts):
+def removed(spark, texts, **settings):
     """Of (id, text) rows: those of without_repeats, and by brute force, where only a smaller place counts."""
     least = {}
     for i, t in texts:
@@ -186,7 +187,7 @@ def removed(spark, texts):
         kept = "".join(c for c, g in zip(t, gone) if not g)
         want[i, len(t), sum(gone), hashlib.sha256(kept.encode()).hexdigest()] += 1
     df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
-    return Counter((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in without_repeats(df).collect()), want
+    return Counter((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in without_repeats(df, **settings).collect()), want
 
 
 def test_repeats_of_one_id(spark):
@@ -197,6 +198,27 @@ def test_repeats_of_one_id(spark):
     assert got == want
 
 
+def test_repeats_of_a_hot_passage(spark, docs):
+    # One passage in many texts whose edges all differ, and a text that repeats itself: groups of over three strings are dealt out.
+    passage = " ".join(words(60, 950))
+    texts = [(i, " ".join(words(20, 1000 + i)) + passage + " ".join(words(20, 2000 + i))) for i in range(60)]
+    texts += [(70, "la " * 200), (71, passage + passage), (71, passage + "x"), (71, passage + "x")]
+    got, want = removed(spark, texts, hot=3)
+    assert got == want
+    assert bag(without_repeats(docs, hot=1)) == bag(without_repeats(docs))
+
+
+def test_hot_minimizers_are_dealt_out():
+    n = 50
+    key, whole = np.full(n + 2, 5, np.uint64), np.arange(n + 2, dtype=np.uint64)
+    key[n:] = 6
+    doc, one = np.arange(n + 2), np.ones(n + 2, np.int64)
+    rows = suffix_dedup.pack_rows(suffix_dedup.RUN, np.zeros(n + 2, np.int32), key=key, whole=whole, doc=doc, first=one, size=one)
+    out = suffix_dedup._split(48, 10)(suffix_dedup.frame(rows))
+    doc, size = suffix_dedup.unpack(out[out["kind"] == suffix_dedup.OPEN], "doc", "size")
+    assert sorted(doc) == list(range(n + 2)) and set(doc[size & suffix_dedup.WIDE > 0]) == set(range(n))
+
+
 def test_mix(docs, empty):
     got = with_copies(docs).select("doc_id", "source", "_mix.*").collect()
     assert len(got) == len(rows())
