@@ -4,10 +4,13 @@ A text is cut into words (ASCII letters in lower case, digits, anything beyond A
 holds all phrases as runs of words and finds every place of every phrase in one pass. Where it finds
 the words of an identifier tag, the expression that follows in the text is read by a shunting-yard
 parser: ``or`` takes the freer side, ``and`` the stricter one, ``with`` binds an exception to its licence.
+An expression may begin on a later line than its tag. It ends before the next tag, where a word doesn't fit,
+or at the end of a line if it is complete there and the next one doesn't go on with an operator (in upper
+case, or before a known licence).
 
 Defined cases: null text counts as empty and has no words, no labels and score 0; a repeated row is
 scanned again; a null id stays null; texts may have any length. A malformed expression is read as
-far as it makes sense (an open bracket closes at the end of the line). The score is the freedom of
+far as it makes sense (an open bracket closes where the expression ends). The score is the freedom of
 everything found, the strictest statement deciding: 0 means no licence at all.
 """
 
@@ -47,13 +50,12 @@ FREEDOM = {
 #: For licences that the table doesn't know.
 UNKNOWN = 0.5
 TAG = "spdx license identifier"
-TAG_IN_TEXT = re.compile(rb"spdx[^a-z0-9\n]+license[^a-z0-9\n]+identifier[^a-z0-9(\n]*([^\n]*)")
 
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+:-]*")
+_PLACE = re.compile(rb"[^ ]+")
+_TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+:-]*")
 _RANK = {"or": 1, "and": 2, "with": 3}
 
 
@@ -82,8 +84,15 @@ def evaluate(expression: str) -> tuple[float | None, set[str]]:
         else:
             values.append(((max if op == "or" else min)(left[0], right[0]), left[1] | right[1]))
 
-    operand_next = True
-    for token in _TOKEN.findall(expression.lower()):
+    def goes_on(operator: re.Match) -> bool:
+        after = _TOKEN.search(expression, operator.end())
+        return operator[0].lower() in _RANK and bool(operator[0].isupper() or after and label_of(after[0]) in FREEDOM)
+
+    operand_next, end = True, 0
+    for found in _TOKEN.finditer(expression):
+        if not operand_next and "(" not in pending and "\n" in expression[end : found.start()] and not goes_on(found):
+            break
+        token, end = found[0].lower(), found.end()
         if token == "(":
             if not operand_next:
                 break
@@ -132,19 +141,23 @@ class Scanner:
 
     def scan(self, text: bytes) -> tuple:
         """n_words, places as (phrase, label, base, word), labels, freedom."""
-        words = text.translate(_FOLD).split()
+        plain = text.translate(_FOLD)
+        words = plain.split()
         folded = b" " + b" ".join(words) + b" "
-        places, levels, labels, tagged = [], [], set(), False
+        places, levels, labels, tags, word, read = [], [], set(), [], -1, 0
         for end, (phrase, base, more, size) in self.automaton.iter(folded.decode("latin-1")):
             if phrase == TAG:
-                tagged = True
+                word, read = word + folded.count(b" ", read, end - size + 2), end - size + 2
+                tags.append(word)
             if base or more:
                 labels.add(base or more)
                 levels.append(FREEDOM.get(base or more, UNKNOWN))
                 places.append((phrase, base or more, base is not None, folded.count(b" ", 0, end - size + 2) - 1))
-        if tagged:
-            for m in TAG_IN_TEXT.finditer(text.translate(_LOWER)):
-                level, names = evaluate(m[1].decode("utf-8", "replace"))
+        if tags:
+            spans = [m.span() for m in _PLACE.finditer(plain)]
+            first, last = [spans[w][0] for w in tags], [spans[w + TAG.count(" ")][1] for w in tags]
+            for lo, hi in zip(last, [*first[1:], len(text)]):
+                level, names = evaluate(text[lo:hi].decode("utf-8", "replace"))
                 if level is not None:
                     levels.append(level)
                     labels |= names

@@ -293,6 +293,22 @@ def test_licenses(docs, empty):
     assert license_report(scan_licenses(empty)).collect() == []
 
 
+def test_license_tags(spark):
+    tag = "SPDX-License-Identifier:"
+    texts = {
+        f"{tag} MIT ... {tag} GPL-3.0-only": ("gpl-3,mit", 0.5),
+        f"a {tag} MIT b {tag}\n// MPL-2.0\nand so on": ("mit,mpl-2", 0.7),
+        f"{tag}\n(GPL-2.0-only OR\n MIT)\nthe end": ("gpl-2,mit", 1.0),
+        f"{tag} GPL-2.0-only\n  OR Apache-2.0\nor else": ("apache-2,gpl-2", 1.0),
+        f"é {tag} {tag} (ISC\nfor all": ("isc", 1.0),
+        f"SPDX\nLicense Identifier\n\nMIT and CC-BY-NC-4.0 {tag}": ("cc-by-nc,mit", 0.2),
+        tag: ("", 0.0),
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in license_report(scan_licenses(df)).collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
 def test_suffix_scores(docs, empty):
     held = {i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, *_ in rows()}
     count = Counter()
