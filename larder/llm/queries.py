@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.llm.bpe_words import round_trip
 from larder.llm.common import table
 from larder.llm.embedding_dedup import near_vectors
 from larder.llm.exact_dedup import exact_duplicates
@@ -15,18 +16,20 @@ from larder.llm.mil_quality import quality_scores
 from larder.llm.mixing import with_copies
 from larder.llm.ngram_join import ngram_classes
 from larder.llm.packing import pack
+from larder.llm.phrases import collocations
 from larder.llm.suffix_dedup import without_repeats
 from larder.llm.suffix_lm import suffix_scores
 from larder.llm.token_counts import recount, redactions
+from larder.llm.whitening import whiten
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_file() -> str:
-    """The tokenizer of the contracts: a file of the image, on every executor."""
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """A tokenizer of the contracts: a file of the image, on every executor."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +74,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("n_chars")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -113,6 +134,35 @@ g as (
 select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from g
 """
 
+OP12_SQL = r"""
+with d as (
+  select row_number() over () as doc, coalesce(lang, 'und') as lang,
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as pieces
+  from documents),
+p as (select lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') as w from d),
+g as (
+  select lang, unnest(list_concat(
+    list_transform(range(1, len(w) + 1), lambda i: {'phrase': w[i], 'words': 1}),
+    list_transform(range(1, len(w)), lambda i: {'phrase': concat_ws(' ', w[i], w[i + 1]), 'words': 2}),
+    list_transform(range(1, len(w) - 1), lambda i: {'phrase': concat_ws(' ', w[i], w[i + 1], w[i + 2]), 'words': 3})), recursive := true)
+  from p),
+f as (select lang, phrase, words, count(*) as f from g group by all),
+t as (select lang, sum(f)::bigint as n from f where words = 1 group by lang),
+c as (select lang, phrase, words, f as a, string_split(phrase, ' ') as w from f where words > 1 and f >= 10),
+i as (
+  select lang, phrase, max(a) as longer from (
+    select lang, a, unnest([concat_ws(' ', w[1], w[2]), concat_ws(' ', w[2], w[3])]) as phrase from c where words = 3)
+  group by all),
+k as (select c.*, unnest(range(1, words)) as k from c left join i using (lang, phrase) where longer is null or 100 * longer < 50 * a),
+s as (
+  select k.lang, k.phrase, a, k, l.f as l, r.f as r, (1000000::hugeint * a * a // (l.f::hugeint * r.f))::bigint as score
+  from k join f l on l.lang = k.lang and l.phrase = array_to_string(k.w[1:k.k], ' ') and l.words = k.k
+    join f r on r.lang = k.lang and r.phrase = array_to_string(k.w[k.k + 1:], ' ') and r.words = k.words - k.k),
+m as (select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+o as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from m)
+select lang, rank, phrase, a, l, r, n, score from o join t using (lang) where rank <= 2000
+"""
+
 QUERIES: dict[str, Run] = {
     "op1_mil_quality": op1_mil_quality,
     "op2_licenses": op2_licenses,
@@ -124,9 +174,13 @@ QUERIES: dict[str, Run] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_suffix_lm": op9_suffix_lm,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_phrases": op12_phrases,
+    "op13_word_bpe": op13_word_bpe,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {
     "op3_mixing": OP3_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op12_phrases": OP12_SQL,
 }
