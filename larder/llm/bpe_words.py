@@ -2,7 +2,8 @@
 
 A short word is held as two arrays side by side: the ids of its parts, and the rank at which each part
 merges with the next. The least rank is looked for over and over; its boundary is deleted and the ranks of
-the neighbours are refreshed. A word longer than ``SHORT`` parts would cost the square of its length that way,
+the neighbours are refreshed. New words of one length are the rows of one pair of matrices and take their
+merges in step. A word longer than ``SHORT`` parts would cost the square of its length that way,
 so there a heap of ranks over a linked list takes the same merges in the same order.
 
 Which characters a text is made of before (normal form, lower case) and where words end is what the tokenizer's
@@ -20,6 +21,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +33,19 @@ from larder.llm.common import worker_state
 
 #: Parts of a word whose ranks are scanned; beyond that they stand in a heap.
 SHORT = 64
-#: Pieces of text that a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 200_000, 40
+#: Pieces of text that a worker remembers in each of two generations, the longest of them, and characters of texts worked on together.
+REMEMBERED, LONGEST, TOGETHER = 250_000, 40, 2_000_000
 NONE = 1 << 30
-#: What str.split() takes for white space and the tokenizer doesn't.
+#: What str.split() takes for white space and the tokenizer doesn't, and what it takes.
 NOT_WHITE = re.compile("[\x1c-\x1f]")
-WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
+WHITE = re.compile("[" + "".join(map(chr, (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]+")
+#: Below U+0300 nothing composes, so the normal form changes nothing there and lower case goes letter by letter.
+BEYOND = re.compile("[^\x00-˿]")
+LETTERS, NUMBERS = ("".join(c for c in map(chr, range(0x300)) if unicodedata.category(c)[0] == kind) for kind in "LN")
+#: The file's own pattern for words, on lower-case text below U+0300 without white space.
+WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+")
+#: A sign after a letter and before a space is a word of its own; cut off, it leaves fewer different pieces.
+LONE_SIGN = re.compile("(?<=[a-z])([.,])(?= )")
 
 
 def byte_names() -> list[str]:
@@ -46,19 +55,24 @@ def byte_names() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
-class _Pieces(dict):
-    """A piece of text without white space to its ids as bytes."""
+class _Known:
+    """What has been encoded before: a young generation and the one before it."""
 
-    def __init__(self, make):
-        self.make = make
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.asarray(self.make(piece), "<i4").tobytes()
-        if len(piece) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = ids
-        return ids
+    def missing(self, asked: set[str]) -> list[str]:
+        """Those that neither generation has; the old one's are taken over into the young one."""
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        out, old = [], self.old
+        for x in asked.difference(self.young):
+            if x in old:
+                self.young[x] = old[x]
+            else:
+                out.append(x)
+        return out
 
 
 class WordBpe:
@@ -72,82 +86,149 @@ class WordBpe:
         model, tokenizer = said["model"], Tokenizer.from_file(path)
         vocab, end = model["vocab"], model["end_of_word_suffix"] or ""
         self.normalize, self.cut = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
+        self.byte_of = {c: b for b, c in enumerate(byte_names())}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        #: Two ids as one number to rank and new id.
-        self.merges = {vocab[a] << 32 | vocab[b]: (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
-        self.inner = {c: vocab[c] for c in byte_names()}
-        self.last = {c: vocab[c + end] for c in byte_names()}
+        #: Two ids as one number to rank; rank to new id.
+        self.merges = {vocab[a] << 32 | vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.made = np.asarray([vocab[a + b] for a, b in pairs], np.int64)
+        keys = np.fromiter(self.merges, np.int64, len(self.merges))
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+        self.order = np.fromiter(self.merges.values(), np.int64, len(keys))[self.order]
+        self.inner = np.asarray([vocab[c] for c in byte_names()], np.int64)
+        self.last = np.asarray([vocab[c + end] for c in byte_names()], np.int64)
         self.special = {t["content"]: t["id"] for t in said["added_tokens"]}
         names = {i: s for s, i in vocab.items()} | {i: s for s, i in self.special.items()}
-        self.names = [names.get(i) for i in range(max(names) + 1)]
+        self.names = np.asarray([names.get(i) for i in range(max(names) + 1)], object)
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.known = _Pieces(self.piece)
-
-    def rank(self, a: int, b: int) -> int:
-        found = self.merges.get(a << 32 | b)
-        return NONE if found is None else found[0]
-
-    def word(self, symbols: str) -> list[int]:
-        """Ids of one word, given as the characters that stand for its bytes."""
-        ids = [self.inner[c] for c in symbols[:-1]]
-        ids.append(self.last[symbols[-1]])
-        if len(ids) > SHORT:
-            return self.long_word(ids)
-        merges, rank = self.merges, self.rank
-        ranks = [rank(a, b) for a, b in zip(ids, ids[1:])]
-        ranks.append(NONE)  # the last part merges with nothing
-        while (least := min(ranks)) < NONE:
-            i = ranks.index(least)
-            ids[i] = merges[ids[i] << 32 | ids[i + 1]][1]
-            del ids[i + 1], ranks[i + 1]
-            ranks[i] = rank(ids[i], ids[i + 1]) if i + 1 < len(ids) else NONE
-            if i:
-                ranks[i - 1] = rank(ids[i - 1], ids[i])
-        return ids
-
-    def long_word(self, ids: list[int]) -> list[int]:
+        self.pieces = _Known()
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The ranks at which ids merge with the ids next to them."""
+        asked = a << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        return np.where(self.keys[at] == asked, self.order[at], NONE)
+
+    def short_words(self, raw: np.ndarray) -> list[bytes]:
+        """Ids of words of one length, given as rows of bytes."""
+        ids = self.inner[raw]
+        ids[:, -1] = self.last[raw[:, -1]]
+        ranks = np.full(ids.shape, NONE, np.int64)  # the last part merges with nothing
+        ranks[:, :-1] = self.ranks(ids[:, :-1], ids[:, 1:])
+        word, out = np.arange(len(ids)), [b""] * len(ids)
+        while len(ids):
+            i = ranks.argmin(axis=1)
+            least = ranks[np.arange(len(i)), i]
+            done = least == NONE
+            if done.any():
+                size, flat = 4 * ids.shape[1], ids[done].astype("<i4").tobytes()
+                for j, w in enumerate(word[done].tolist()):
+                    out[w] = flat[j * size : (j + 1) * size]
+                ids, ranks, word, i, least = (x[~done] for x in (ids, ranks, word, i, least))
+            row, width = np.arange(len(i)), ids.shape[1] - 1
+            ids[row, i] = self.made[least]
+            stay = np.arange(width) + (np.arange(width) > i[:, None])
+            ids, ranks = np.take_along_axis(ids, stay, 1), np.take_along_axis(ranks, stay, 1)
+            ranks[row, i] = NONE
+            has = i < width - 1
+            ranks[row[has], i[has]] = self.ranks(ids[row[has], i[has]], ids[row[has], i[has] + 1])
+            has = i > 0
+            ranks[row[has], i[has] - 1] = self.ranks(ids[row[has], i[has] - 1], ids[row[has], i[has]])
+        return out
+
+    def long_word(self, raw: bytes) -> bytes:
         """The same merges, least rank and then leftmost first, from a heap."""
-        n, merges = len(ids), self.merges
+        ids, n, merges = [*self.inner[np.frombuffer(raw, np.uint8)].tolist()], len(raw), self.merges
+        ids[-1] = int(self.last[raw[-1]])
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        heap = [(found[0], i, pair) for i in range(n - 1) if (found := merges.get(pair := ids[i] << 32 | ids[i + 1]))]
+        heap = [(rank, i, pair) for i in range(n - 1) if (rank := merges.get(pair := ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, pair = heapq.heappop(heap)
+            rank, i, pair = heapq.heappop(heap)
             j = after[i]
             if j < 0 or ids[i] < 0 or ids[i] << 32 | ids[j] != pair:
                 continue  # one of the two has been merged since
-            ids[i], ids[j] = merges[pair][1], -1
+            ids[i], ids[j] = int(self.made[rank]), -1
             after[i] = after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (found := merges.get(both := ids[a] << 32 | ids[b])):
-                    heapq.heappush(heap, (found[0], a, both))
-        return [x for x in ids if x >= 0]
+                if a >= 0 and b >= 0 and (found := merges.get(both := ids[a] << 32 | ids[b])) is not None:
+                    heapq.heappush(heap, (found, a, both))
+        return np.asarray([x for x in ids if x >= 0], "<i4").tobytes()
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        by_length: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            by_length.setdefault(len(w), []).append(i)
+        out = [b""] * len(words)
+        for length, at in by_length.items():
+            own = [words[i] for i in at]
+            if length > SHORT:
+                made = map(self.long_word, own)
+            else:
+                made = self.short_words(np.frombuffer(b"".join(own), np.uint8).reshape(-1, length))
+            for i, ids in zip(at, made):
+                out[i] = ids
+        return out
 
-    def piece(self, piece: str) -> list[int]:
-        out: list[int] = []
-        for i, part in enumerate(self.specials.split(piece) if "<|" in piece else [piece]):
+    def parts(self, piece: str) -> list[bytes | int]:
+        """The words of a piece, as bytes, and its special tokens, as ids."""
+        if "<|" not in piece and not BEYOND.search(piece):
+            return [w.encode() for w in WORDS.findall(piece.lower())]
+        out: list[bytes | int] = []
+        for i, part in enumerate(self.specials.split(piece)):
             if i % 2:
                 out.append(self.special[part])
             elif part:
-                for symbols, _ in self.cut(self.normalize(part)):
-                    if symbols:
-                        out += self.word(symbols)
+                out += [bytes(map(self.byte_of.__getitem__, w)) for w, _ in self.cut(self.normalize(part)) if w]
         return out
 
-    def ids(self, text: str) -> bytes:
-        """Little-endian 32-bit ids."""
-        pieces = WHITE.split(text) if NOT_WHITE.search(text) else text.split()
-        return b"".join(map(self.known.__getitem__, pieces))
-
-    def text(self, ids: list[int]) -> str:
-        """The tokens of the ids between single spaces; ids without a token are left out."""
-        names, n = self.names, len(self.names)
-        try:
-            return " ".join(map(names.__getitem__, ids)) if not ids or min(ids) >= 0 else self.text([i for i in ids if i >= 0])
-        except (IndexError, TypeError):
-            return " ".join(names[i] for i in ids if i is not None and 0 <= i < n and names[i] is not None)
+    def learn(self, pieces: list[str]) -> None:
+        parts = [self.parts(p) for p in pieces]
+        new = [*{w for own in parts for w in own if type(w) is bytes}]
+        known: dict = dict(zip(new, self.encode_words(new)))
+        known.update((i, np.asarray([i], "<i4").tobytes()) for i in self.special.values())
+        self.pieces.young.update((p, known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own))) for p, own in zip(pieces, parts))
+
+    def split(self, text: str) -> list[str]:
+        """Pieces between white space."""
+        if "<|" not in text and not BEYOND.search(text):
+            text = LONE_SIGN.sub(r" \1", text.lower())
+        return WHITE.split(text) if NOT_WHITE.search(text) else text.split()
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        a = 0
+        while a < len(texts):
+            b, size = a, 0
+            while b < len(texts) and (b == a or size + len(texts[b]) <= TOGETHER):
+                size += len(texts[b])
+                b += 1
+            split = [self.split(t) for t in texts[a:b]]
+            asked: set[str] = set()
+            for pieces in split:
+                asked.update(pieces)
+            new = self.pieces.missing(asked)
+            self.learn(new)
+            young = self.pieces.young
+            for pieces in split:
+                yield b"".join(map(young.__getitem__, pieces))
+            for piece in new:
+                if len(piece) > LONGEST:
+                    del young[piece]
+            a = b
+
+    def texts(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The tokens of each run of ids between single spaces; ids without a token are left out."""
+        good = (ids >= 0) & (ids < len(self.names))
+        tokens = self.names[np.where(good, ids, 0)]
+        if not good.all():
+            tokens[~good] = None
+        tokens = tokens.tolist()
+        cuts = ends.tolist()
+        whole = None not in tokens
+        return [" ".join(tokens[a:b] if whole else [t for t in tokens[a:b] if t is not None]) for a, b in zip(cuts, cuts[1:])]
 
 
 def word_bpe_at(path: str) -> WordBpe:
@@ -164,7 +245,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe_at(path)
         for batch in batches:
-            made = [bpe.ids(cell.as_py() or "") for cell in batch.column(1)]
+            made = [*bpe.ids([text or "" for text in batch.column(1).to_pylist()])]
             ends = np.cumsum([0, *(len(x) // 4 for x in made)], dtype=np.int64)
             for a, b in _runs(ends):
                 flat = pa.array(np.frombuffer(b"".join(made[a:b]), "<i4"), pa.int32())
@@ -191,8 +272,12 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe_at(path)
         for batch in batches:
-            texts = [bpe.text(cell.as_py() or []) for cell in batch.column(kept.index(ids))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, out])
+            lists = batch.column(kept.index(ids))
+            flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            for a, b in _runs(ends, 1_000_000):
+                texts = bpe.texts(flat[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(texts, pa.string())], names=[*kept, out])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*kept).schema)
     return encoded.select(*kept).mapInArrow(run, f"{kinds}, `{out}` string")

@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 from larder.llm.common import drop_written, materialize, mix64
 
 #: Words of a block, and bytes of a text that are split at once.
-BLOCK_WORDS, SLICE = 1_000_000, 1 << 20
+BLOCK_WORDS, SLICE = 400_000, 1 << 20
 #: Bits of a hash that tell runs of one partition apart, and the mass a partition is meant to hold.
 REST_BITS, PARTITION_MASS = 40, 8_000_000
 #: Entries that wait before they are folded into a summary.

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from compare import connect, differences
-from larder.llm import phrases, whitening
+from larder.llm import bpe_words, phrases, whitening
 from larder.llm.bpe_words import SHORT, WordBpe, decode, encode
 from larder.llm.phrases import MisraGries, collocations, frequent_runs
 from larder.llm.queries import ORACLES, QUERIES, tokenizer_file
@@ -126,11 +126,15 @@ def bpe():
     return WordBpe(tokenizer_file("word_bpe_49k.json"))
 
 
+def ids_of(bpe, text):
+    return np.frombuffer(next(bpe.ids([text])), "<i4").tolist()
+
+
 @pytest.mark.parametrize("text", [t for t in TEXTS if t is not None])
 def test_ids_and_texts_of_the_library(bpe, library, text):
-    ids = np.frombuffer(bpe.ids(text), "<i4").tolist()
+    ids = ids_of(bpe, text)
     assert ids == library.encode(text, add_special_tokens=False).ids
-    assert bpe.text(ids) == library.decode(ids, skip_special_tokens=False)
+    assert bpe.texts(np.asarray(ids, np.int32), np.asarray([0, len(ids)]))[0] == library.decode(ids, skip_special_tokens=False)
 
 
 def test_random_texts(bpe, library):
@@ -139,22 +143,30 @@ def test_random_texts(bpe, library):
     for i in range(600):
         letters = list(alphabets[i % len(alphabets)])
         text = "".join(rng.choice(letters, int(rng.integers(1, 200))))
-        ids = np.frombuffer(bpe.ids(text), "<i4").tolist()
+        ids = ids_of(bpe, text)
         assert ids == library.encode(text, add_special_tokens=False).ids, text
 
 
 def test_every_character(bpe, library):
     for start in range(0, 0x30000, 64):
         text = " ".join("a" + chr(c) + "B" for c in range(start, start + 64) if not 0xD800 <= c < 0xE000)
-        assert np.frombuffer(bpe.ids(text), "<i4").tolist() == library.encode(text, add_special_tokens=False).ids, hex(start)
+        assert ids_of(bpe, text) == library.encode(text, add_special_tokens=False).ids, hex(start)
 
 
-def test_heap_and_scan_agree(bpe, monkeypatch):
+def test_heap_and_scan_agree(bpe):
     rng = np.random.default_rng(8)
-    for _ in range(300):
-        word = "".join(rng.choice(list("etaoinshr"), int(rng.integers(2, SHORT))))
-        ids = [bpe.inner[c] for c in word[:-1]] + [bpe.last[word[-1]]]
-        assert bpe.word(word) == bpe.long_word(ids)
+    words = ["".join(rng.choice(list("etaoinshr"), int(rng.integers(1, SHORT)))).encode() for _ in range(600)]
+    assert bpe.encode_words(words) == [bpe.long_word(w) for w in words]
+
+
+def test_forgotten_pieces(bpe, library, monkeypatch):
+    monkeypatch.setattr(bpe_words, "REMEMBERED", 5)
+    monkeypatch.setattr(bpe_words, "TOGETHER", 50)
+    small = WordBpe(tokenizer_file("word_bpe_49k.json"))
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["the", "Thing,", "x" * 45, "ate.", "é!", "of", "on7"], int(rng.integers(0, 9)))) for _ in range(200)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<i4").tolist() for x in small.ids(texts)] == want
 
 
 def test_encoded_and_decoded_rows(spark, library):
