@@ -34,13 +34,13 @@ from larder.llm.common import worker_state
 #: Parts of a word whose ranks are scanned; beyond that they stand in a heap.
 SHORT = 64
 #: Pieces of text that a worker remembers in each of two generations, the longest of them, and characters of texts worked on together.
-REMEMBERED, LONGEST, TOGETHER = 250_000, 40, 2_000_000
+REMEMBERED, LONGEST, TOGETHER = 150_000, 40, 1_000_000
 NONE = 1 << 30
 #: What str.split() takes for white space and the tokenizer doesn't, and what it takes.
 NOT_WHITE = re.compile("[\x1c-\x1f]")
 WHITE = re.compile("[" + "".join(map(chr, (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]+")
 #: Below U+0300 nothing composes, so the normal form changes nothing there and lower case goes letter by letter.
-BEYOND = re.compile("[^\x00-˿]")
+BEYOND = re.compile("[^\x00-\u02ff]")
 LETTERS, NUMBERS = ("".join(c for c in map(chr, range(0x300)) if unicodedata.category(c)[0] == kind) for kind in "LN")
 #: The file's own pattern for words, on lower-case text below U+0300 without white space.
 WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+")
@@ -239,24 +239,41 @@ def word_bpe_at(path: str) -> WordBpe:
     return kept[path]
 
 
-def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids): the ids of every whole text. ``path`` names a file that every executor can open. No shuffle."""
+def _encoded(bpe: WordBpe, texts: list[str | None], most: int = 1_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows in runs of about so many ids: where a run begins and ends, its ids, and where each row's begin there."""
+    a, made, n = 0, [], 0
+    for i, ids in enumerate(bpe.ids([t or "" for t in texts]), 1):
+        made.append(ids)
+        n += len(ids) // 4
+        if n >= most or i == len(texts):
+            yield a, i, np.frombuffer(b"".join(made), "<i4"), np.cumsum([0, *(len(x) // 4 for x in made)], dtype=np.int64)
+            a, made, n = i, [], 0
+
+
+def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))
+
+
+def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
+    """(doc_id, ids): the ids of every whole text; with ``decoded``, also their text, made in the same pass.
+
+    ``path`` names a file that every executor can open. No shuffle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe_at(path)
         for batch in batches:
-            made = [*bpe.ids([text or "" for text in batch.column(1).to_pylist()])]
-            ends = np.cumsum([0, *(len(x) // 4 for x in made)], dtype=np.int64)
-            for a, b in _runs(ends):
-                flat = pa.array(np.frombuffer(b"".join(made[a:b]), "<i4"), pa.int32())
-                lists = pa.ListArray.from_arrays(pa.array((ends[a : b + 1] - ends[a]).astype(np.int32)), flat)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=["doc_id", "ids"])
+            for a, b, ids, ends in _encoded(bpe, batch.column(1).to_pylist()):
+                out = {"doc_id": batch.column(0).slice(a, b - a), "ids": _lists(ids, ends)}
+                if decoded:
+                    out["decoded"] = pa.array(bpe.texts(ids, ends), pa.string())
+                yield pa.RecordBatch.from_pydict(out)
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, ids array<int>")
+    return rows.mapInArrow(run, "doc_id bigint, ids array<int>" + (", decoded string" if decoded else ""))
 
 
-def _runs(ends: np.ndarray, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def _runs(ends: np.ndarray, most: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Rows in runs of so many ids, one row at least."""
     a, rows = 0, len(ends) - 1
     while a < rows:
@@ -275,14 +292,9 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
             lists = batch.column(kept.index(ids))
             flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
-            for a, b in _runs(ends, 1_000_000):
+            for a, b in _runs(ends):
                 texts = bpe.texts(flat[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(texts, pa.string())], names=[*kept, out])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*kept).schema)
     return encoded.select(*kept).mapInArrow(run, f"{kinds}, `{out}` string")
-
-
-def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids, decoded) of every text."""
-    return decode(encode(docs, path, doc_id, text), path)

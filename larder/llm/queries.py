@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.bpe_words import round_trip
+from larder.llm.bpe_words import encode
 from larder.llm.common import table
 from larder.llm.embedding_dedup import near_vectors
 from larder.llm.exact_dedup import exact_duplicates
@@ -83,7 +83,7 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    done = encode(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), decoded=True)
     return done.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
