@@ -10,6 +10,7 @@ from larder.catalog import check_sql as S
 from larder.catalog import query
 from larder.operators import demand as DM
 from larder.operators import history as H
+from larder.operators import smoothing as SM
 from larder.operators import star
 from larder.operators.calendar import calendar_dim, holidays
 from larder.plans.jobs import dated, job_backfill, job_daily
@@ -266,12 +267,15 @@ def expected_wastage(spark, sf_dir):
     return DM.expected_wastage(lines, read_part_products(spark, sf_dir))
 
 
+_WEEKLY = f"""weekly as (select l_partkey, case when l_shipdate::date between date '{DM.FIRST_DAY}' and date '{DM.LAST_DAY}'
+            then (floor(date_diff('day', date '1970-01-05', l_shipdate::date) / 7))::integer end as week,
+            sum({_QTY}) qty from lineitem group by all)"""
+
+
 @query(
     "forecast_seasonal_naive",
-    f"""with weekly as (select l_partkey,
-            (floor(date_diff('day', date '1970-01-05', l_shipdate::date) / 7))::integer as week,
-            sum({_QTY}) qty from lineitem group by all),
-        span as (select l_partkey, min(week) a, max(week) z from weekly group by all),
+    f"""with {_WEEKLY},
+        span as (select l_partkey, min(week) a, max(week) z from weekly where week is not null group by all),
         grid as (select l_partkey, z, unnest(range(a, z + 5))::integer as week from span),
         full_weeks as (select l_partkey, week, z, case when week <= z then coalesce(qty, 0) end qty
           from grid left join weekly using (l_partkey, week))
@@ -282,7 +286,45 @@ def expected_wastage(spark, sf_dir):
             then coalesce(sum(case when week > z - 4 then qty end) over (partition by l_partkey), 0)
             else coalesce(sum(qty) over (partition by l_partkey order by week
               range between 4 preceding and 1 preceding), 0) end * 0.25 as decimal(18,4)) mean_4_weeks
-        from full_weeks""",
+        from full_weeks
+        union all select l_partkey, null, cast(qty as decimal(18,2)), null, null from weekly where week is null""",
 )
 def forecast_seasonal_naive(spark, sf_dir):
     return DM.seasonal_naive_forecast(DM.weekly_demand(_read(spark, sf_dir, "lineitem")))
+
+
+_GRID = ", ".join(f"({i}, {a}::double, {b}::double, {c}::double)" for i, (a, b, c) in enumerate(SM.GRID))
+
+
+@query(
+    "forecast_fitted",
+    f"""with recursive {_WEEKLY},
+        span as (select l_partkey, min(week) a, max(week) z from weekly where week is not null group by all),
+        grid as (select l_partkey, unnest(range(a, z + 1))::integer as week from span),
+        dense as (select l_partkey, min(week) a, count(*)::integer n,
+            list(coalesce((qty * 100)::bigint, 0) order by week) c
+          from grid left join weekly using (l_partkey, week) group by all),
+        base as (select *, n - least(26, n // 4)::integer train, list_transform(c, lambda x: x / 100::double) y from dense),
+        params(i, alpha, beta, gamma) as (values {_GRID}),
+        run(l_partkey, i, t, l, b, s, fit, ae, se) using key (l_partkey, i) as (
+          select l_partkey, i, 0, list_sum(c[1:least(52, train)])::bigint / 100::double / least(52, train), 0::double,
+            list_transform(range(13), lambda x: 0::double), 0::double, 0::double, 0::double from base cross join params
+          union
+          select l_partkey, i, t + 1, l + b + alpha * (yt - f), b + beta * (yt - f),
+            case when gamma = 0 then s else list_transform(s, lambda x, j: case when j = p + 1 then x + gamma * (yt - f) else x end) end,
+            fit + case when t < train then (yt - f) * (yt - f) else 0 end,
+            ae + case when t < train then 0 else abs(yt - greatest(f, 0)) end,
+            se + case when t < train then 0 else (yt - greatest(f, 0)) * (yt - greatest(f, 0)) end
+          from (select r.*, alpha, beta, gamma, train, y[t + 1] yt, ((a + t) % 52) // 4 p, l + b + s[((a + t) % 52) // 4 + 1] f
+            from run r join base using (l_partkey) join params using (i) where t < n)),
+        best as (select * from run qualify row_number() over (partition by l_partkey order by fit, i) = 1),
+        naive as (select l_partkey, list_transform(range(train, n), lambda t: y[t + 1] - case when t >= 52 then y[t - 51] else y[t] end) d from base)
+        select l_partkey, (a + n + h - 1)::integer as week, greatest(l + h * b + s[((a + n + h - 1) % 52) // 4 + 1], 0) forecast,
+          n n_weeks, n - train n_tested, alpha, beta, gamma,
+          ae / nullif(n - train, 0) mae, sqrt(se / nullif(n - train, 0)) rmse,
+          list_reduce(list_transform(d, lambda x: abs(x)), lambda u, v: u + v, 0::double) / nullif(n - train, 0) naive_mae,
+          sqrt(list_reduce(list_transform(d, lambda x: x * x), lambda u, v: u + v, 0::double) / nullif(n - train, 0)) naive_rmse
+        from best join base using (l_partkey) join params using (i) join naive using (l_partkey), unnest(range(1, 5)) u(h)""",
+)
+def forecast_fitted(spark, sf_dir):
+    return SM.fitted_forecast(DM.weekly_arrays(DM.weekly_demand(_read(spark, sf_dir, "lineitem"))))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 QTY = "cast(l_quantity as decimal(12,2))"
 SEASON_WEEKS = 52
 HORIZON_WEEKS = 4
+#: Sales dated outside these days count as undated, which bounds the weeks of a product.
+FIRST_DAY, LAST_DAY = "1990-01-01", "2049-12-31"
 
 
 def monthly_sales(lines: DataFrame) -> DataFrame:
@@ -52,8 +53,13 @@ def expected_wastage(
 
 
 def weekly_demand(lines: DataFrame) -> DataFrame:
-    """Quantity per product and week; weeks start on Monday and are numbered since 1970-01-05."""
-    week = "cast(floor(datediff(cast(l_shipdate as date), date '1970-01-05') / 7) as int)"
+    """Quantity per product and week; weeks start on Monday and are numbered since 1970-01-05.
+
+    Sales without a date, or dated outside ``FIRST_DAY`` to ``LAST_DAY``, have the week NULL.
+    """
+    day = "cast(l_shipdate as date)"
+    known = f"{day} between date '{FIRST_DAY}' and date '{LAST_DAY}'"
+    week = f"if({known}, cast(floor(datediff({day}, date '1970-01-05') / 7) as int), null)"
     return (
         lines.selectExpr("l_partkey", f"{week} as week", f"{QTY} as qty")
         .groupBy("l_partkey", "week")
@@ -61,16 +67,22 @@ def weekly_demand(lines: DataFrame) -> DataFrame:
     )
 
 
-def week_grid(weekly: DataFrame, horizon: int) -> DataFrame:
-    """Every week of every product from its first sale to ``horizon`` weeks past its last one; weeks
-    without sales hold 0, weeks to come NULL. ``last_week`` is the last one with sales."""
-    span = weekly.groupBy("l_partkey").agg(F.min("week").alias("a"), F.max("week").alias("last_week"))
-    weeks = F.explode(F.sequence(F.col("a"), F.col("last_week") + horizon)).alias("week")
-    grid = span.select("l_partkey", "last_week", weeks)
-    qty = F.when(F.col("week") <= F.col("last_week"), F.coalesce("qty", F.lit(0).cast("decimal(12,2)")))
-    return grid.join(weekly, ["l_partkey", "week"], "left").select(
-        "l_partkey", "week", "last_week", qty.alias("qty")
-    )
+def weekly_arrays(weekly: DataFrame) -> DataFrame:
+    """Per product: the first week with sales and hundredths sold in each week from there to the last one.
+
+    Weeks without sales hold 0. An array has one entry per week between ``FIRST_DAY`` and ``LAST_DAY`` at most; undated
+    sales take no part (:func:`undated_sales`).
+    """
+    dated = weekly.where("week is not null").selectExpr("l_partkey", "week", "cast(qty * 100 as bigint) as c")
+    sales = dated.groupBy("l_partkey").agg(F.sort_array(F.collect_list(F.struct("week", "c"))).alias("e"))
+    # A week with sales is followed by zeros up to the next one.
+    sold = "flatten(transform(e, (x, i) -> concat(array(x.c), array_repeat(0L, coalesce(get(e, i + 1).week - x.week - 1, 0)))))"
+    return sales.selectExpr("l_partkey", "e[0].week as first_week", f"{sold} as sold")
+
+
+def undated_sales(weekly: DataFrame) -> DataFrame:
+    """Quantity per product that belongs to no week."""
+    return weekly.where("week is null").select("l_partkey", F.col("qty").cast("decimal(18,2)").alias("demand"))
 
 
 def seasonal_naive_forecast(
@@ -78,21 +90,22 @@ def seasonal_naive_forecast(
 ) -> DataFrame:
     """Per product and week, ``horizon`` weeks ahead: demand (NULL for weeks to come), the same week one
     season earlier (NULL before the first sale) and the mean of the four weeks before; for weeks to come
-    that of the last four weeks known. Weeks without sales count as zero.
+    that of the last four weeks known. Weeks without sales count as zero. Undated sales are reported in a
+    row of their own with the week NULL and no forecast.
 
-    The windows run over weekly totals, so a product holds at most one row per week however many
-    lines it sold. A caller who wants fresh goods alone filters ``weekly`` by their keys.
+    A product's weeks are one array with lags by place, so a product is one row until the end. A caller who
+    wants fresh goods alone filters ``weekly`` by their keys.
     """
-    w = W.partitionBy("l_partkey").orderBy("week")
-    last_season = F.sum("qty").over(w.rangeBetween(-season, -season))
-    before = F.coalesce(F.sum("qty").over(w.rangeBetween(-4, -1)), F.lit(0))
-    known = F.when(F.col("week") > F.col("last_week") - 4, F.col("qty"))
-    at_end = F.coalesce(F.sum(known).over(W.partitionBy("l_partkey")), F.lit(0))
-    mean = F.when(F.col("week") > F.col("last_week"), at_end).otherwise(before)
-    return week_grid(weekly, horizon).select(
+    before = " + ".join(f"coalesce(get(sold, least(i, n) - {j}), 0L)" for j in (1, 2, 3, 4))
+    rows = f"""inline(transform(sequence(0, n + {horizon} - 1), i -> named_struct(
+        'week', first_week + i, 'd', get(sold, i), 'p', get(sold, i - {season}), 'm', {before})))"""
+    grid = weekly_arrays(weekly).selectExpr("l_partkey", "first_week", "sold", "size(sold) as n").selectExpr("l_partkey", rows)
+    cents = "cast(cast({} as decimal(18,0)) * {} as decimal(18,{}))"
+    grid = grid.selectExpr(
         "l_partkey",
         "week",
-        F.col("qty").cast("decimal(18,2)").alias("demand"),
-        last_season.cast("decimal(18,2)").alias("naive_forecast"),
-        (mean * F.lit("0.25").cast("decimal(2,2)")).cast("decimal(18,4)").alias("mean_4_weeks"),
+        f"{cents.format('d', '0.01', 2)} as demand",
+        f"{cents.format('p', '0.01', 2)} as naive_forecast",
+        f"{cents.format('m', '0.0025', 4)} as mean_4_weeks",
     )
+    return grid.unionByName(undated_sales(weekly).withColumn("week", F.lit(None).cast("int")), allowMissingColumns=True)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators import layers as L
+from larder.operators.lineage import lineage_table, trace
 from larder.operators import quality as Q
 from larder.sources.landing import read_landing
 from larder.sources.tables import ensure_schema, read_layer, write_layer
@@ -25,6 +26,7 @@ class LayerConfig:
     expected_rows: int | None = 2000
     full_rules: bool = True  # False leaves the key checks of the silver gate alone
     gates: bool = True
+    lineage: bool = True  # a table of column edges beside each layer's table
     at: datetime | None = None  # run time; None takes the clock
 
     def schema_location(self, schema: str) -> str | None:
@@ -39,6 +41,24 @@ class LayerReport:
     n_seasonal: int
 
 
+def _write_lineage(df: DataFrame, cfg: LayerConfig, schema: str) -> None:
+    """The layer's column edges as a table beside it."""
+    if cfg.lineage:
+        write_layer(lineage_table(df).coalesce(1), f"{schema}.{cfg.table}_lineage")
+
+
+def read_lineage(spark: SparkSession, cfg: LayerConfig, schema: str) -> DataFrame:
+    """The edges that the last run of a layer wrote, with the table they lead to."""
+    edges = read_layer(spark, schema, f"{cfg.table}_lineage")
+    return edges.withColumn("output_table", F.lit(f"{schema}.{cfg.table}"))
+
+
+def trace_to_landing(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
+    """Every gold column with the landing columns it comes from, and the steps between them."""
+    gold, silver, bronze = (read_lineage(spark, cfg, s) for s in (cfg.gold, cfg.silver, cfg.bronze))
+    return trace(gold, silver, bronze)
+
+
 def run_bronze(spark: SparkSession, cfg: LayerConfig, raw: DataFrame | None = None) -> str:
     batch = L.batch_id(cfg.at)
     raw = read_landing(spark, cfg.landing) if raw is None else raw
@@ -48,9 +68,9 @@ def run_bronze(spark: SparkSession, cfg: LayerConfig, raw: DataFrame | None = No
         if (suite := Q.bronze_suite(raw)).rows:
             Q.enforce(Q.check_suite(raw, suite), "bronze gate")
     ensure_schema(spark, cfg.bronze, cfg.schema_location(cfg.bronze))
-    write_layer(
-        L.to_bronze(raw, batch, cfg.landing, cfg.at), f"{cfg.bronze}.{cfg.table}", evolve="merge"
-    )
+    bronze = L.to_bronze(raw, batch, cfg.landing, cfg.at)
+    write_layer(bronze, f"{cfg.bronze}.{cfg.table}", evolve="merge")
+    _write_lineage(bronze, cfg, cfg.bronze)
     return batch
 
 
@@ -64,11 +84,12 @@ def run_silver(spark: SparkSession, cfg: LayerConfig) -> None:
         Q.enforce(Q.check_suite(silver, suite), "silver gate")
     ensure_schema(spark, cfg.silver, cfg.schema_location(cfg.silver))
     write_layer(silver, f"{cfg.silver}.{cfg.table}")
+    _write_lineage(silver, cfg, cfg.silver)
 
 
 def run_gold(spark: SparkSession, cfg: LayerConfig) -> dict:
     """Gate, then write; the counts are observed while writing, not by scanning again."""
-    gold = L.to_gold(read_layer(spark, cfg.silver, cfg.table))
+    gold = made = L.to_gold(read_layer(spark, cfg.silver, cfg.table))
     if cfg.gates:
         Q.enforce(Q.check_suite(gold, Q.gold_suite()), "gold gate")
     stats = Observation(f"gold {cfg.table}")
@@ -80,6 +101,7 @@ def run_gold(spark: SparkSession, cfg: LayerConfig) -> dict:
     )
     ensure_schema(spark, cfg.gold, cfg.schema_location(cfg.gold))
     write_layer(gold, f"{cfg.gold}.{cfg.table}")
+    _write_lineage(made, cfg, cfg.gold)
     return stats.get
 
 
