@@ -42,9 +42,9 @@ def main(argv: list[str] | None = None) -> None:
         print(job_products(spark, args.count, args.seed, args.out))
     elif args.job == "backfill":
         source = read_landing(spark, args.source)
-        print(job_backfill(source, args.start, args.end, args.out, args.ts))
+        print(job_backfill(source, args.start, args.end, args.out, args.ts, args.source))
     elif args.job == "daily":
-        print(job_daily(read_landing(spark, args.source), args.date, args.out, args.ts))
+        print(job_daily(read_landing(spark, args.source), args.date, args.out, args.ts, args.source))
     else:
         print(run_layers(spark, LayerConfig(
             args.landing, expected_rows=args.expected_rows, gates=not args.no_gates

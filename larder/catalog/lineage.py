@@ -1,4 +1,4 @@
-"""Column lineage of the layer tables, and facts joined to the dimension version of their time."""
+"""Column lineage of the layer tables, facts joined to the dimension version of their time, late changes."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from larder.catalog import query
+from larder.operators import changes as CH
 from larder.operators.valid import join_valid
 from larder.plans.layer_run import LayerConfig, read_lineage, run_layers
 from larder.plans.part_products import read_landing_products
@@ -77,3 +78,47 @@ def point_in_time_orders(spark, sf_dir):
         F.count("*").alias("n_orders"),
         F.sum(F.expr("cast(o_totalprice as decimal(14,2))")).cast("decimal(22,2)").alias("total"),
     )
+
+
+_STATE = "valid_from, valid_to, user_id, event_type, value"
+
+
+def _known_sql(upto: int) -> str:
+    """What holds when, after the batches up to ``upto``."""
+    return f"""select {upto} as b, valid_from, lead(valid_from) over (partition by user_id order by valid_from) valid_to,
+            user_id, event_type, value, gone
+          from (select *, lag(gone) over w lg, lag(event_type) over w le, lag(value) over w lv, row_number() over w i
+            from (select * from feed where arrival <= {upto} qualify row_number() over (
+                partition by user_id, valid_from order by arrival desc, gone desc, event_type desc nulls last, value desc nulls last) = 1)
+            window w as (partition by user_id order by valid_from))
+          where (not gone or i > 1) and not (i > 1 and ((gone and lg) or (not gone and not lg and event_type is not distinct from le and value is not distinct from lv)))"""
+
+
+@query(
+    "late_changes",
+    f"""with feed as (select user_id, event_type, cast(value as decimal(12,2)) as value, date_trunc('hour', ts) valid_from,
+            (event_id * 7919 % 3 + 1)::integer arrival, event_type = 'error' gone from events),
+        snaps as ({" union all ".join(f"({_known_sql(b)})" for b in (1, 2, 3))}),
+        held as (select * exclude (gone) from snaps where not gone),
+        isles as (select *, b - row_number() over (partition by {_STATE} order by b) isle from held)
+        select user_id, event_type, value, strftime(valid_from, '%Y-%m-%d %H') since, strftime(valid_to, '%Y-%m-%d %H') until,
+          min(b)::integer known_from, case when max(b) < 3 then max(b) + 1 end::integer known_to
+        from isles group by {_STATE}, isle""",
+)
+def late_changes(spark, sf_dir):
+    """The last event of every user by hour, with errors as deletes, arriving in three batches in disorder."""
+    feed = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "user_id", "event_type", "cast(value as decimal(12,2)) as value", "date_trunc('hour', ts) as event_time",
+        "cast(event_id * 7919 % 3 + 1 as int) as arrival", "event_type = 'error' as is_deleted",
+    )
+    keys, attributes = ["user_id"], ["event_type", "value"]
+    known = CH.empty_history(feed, keys, attributes)
+    for batch in (1, 2, 3):
+        path = scratch(spark, f"known-{batch}")
+        CH.merge_arrivals(known, feed, keys, attributes, batch).write.parquet(path)
+        known = spark.read.schema(known.schema).parquet(path)
+    hour = "yyyy-MM-dd HH"
+    return known.select(
+        "user_id", "event_type", "value", F.date_format("valid_from", hour).alias("since"),
+        F.date_format("valid_to", hour).alias("until"), "known_from", "known_to",
+    )

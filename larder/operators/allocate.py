@@ -21,16 +21,20 @@ def allocate(
 
     Integer arithmetic throughout. A rank is the number of rows with larger remainders plus the place
     among equal ones. The first comes from one row per distinct remainder, summed up in bins over the
-    range that remainders take; the second from slots of the tie (equal parts of a number's range, first characters of a text), so
-    equal remainders are dealt out over many tasks. A single task sees ``BINS`` rows. ``n`` may be a scalar subquery such as
-    ``df.agg(F.count("*")).scalar()``.
+    range that remainders take; the second from slots of the tie (equal parts of a number's range, the first characters of a
+    text after what all texts begin with), so equal remainders are dealt out over many tasks. A single task sees ``BINS`` rows. ``n``
+    may be a scalar subquery such as ``df.agg(F.count("*")).scalar()``.
+
+    A missing weight is 0, a missing tie comes first, and every row comes back once. Weights that sum up to 0
+    have no shares: the division by zero raises.
     """
     n = (n if isinstance(n, Column) else F.lit(n)).cast("decimal(19,0)")
-    total = weights.agg(F.sum(F.col(weight)).cast("bigint").alias("_t")).scalar()
+    given = F.coalesce(F.col(weight), F.lit(0))
+    total = weights.agg(F.coalesce(F.sum(given), F.lit(0)).cast("bigint").alias("_t")).scalar()
     # A share w*n/total: quotient and remainder of exact integers.
     exact = F.col("_w") * F.col("_n")
     shares = (
-        weights.withColumns({"_w": F.col(weight).cast("decimal(18,0)"), "_n": n, "_total": total})
+        weights.withColumns({"_w": given.cast("decimal(18,0)"), "_n": n, "_total": total})
         .withColumn("_rem", (exact % F.col("_total")).cast("decimal(19,0)"))
         .withColumn("_floor", ((exact - F.col("_rem")) / F.col("_total")).cast("bigint"))
     )
@@ -70,16 +74,22 @@ def allocate(
 
 
 def _slot(weights: DataFrame, tie: str) -> Column:
-    """A number that grows with the tie: for numbers by their range, for text by its first characters."""
+    """A number or text that grows with the tie, and is never NULL: for numbers their place in the range, for text
+    some characters after the common beginning of all texts."""
     kind = dict(weights.dtypes)[tie]
     x = F.col(f"`{tie}`")
     if kind == "string":
-        return F.substring(x, 1, 12)
+        # What the least and the largest text begin with, all begin with.
+        ends = weights.agg(F.min(x).alias("a"), F.max(x).alias("b"))
+        upto = F.sequence(F.lit(0), F.coalesce(F.least(F.length("a"), F.length("b")), F.lit(0)))
+        common = ends.select(F.array_max(F.filter(upto, lambda i: F.left("a", i) == F.left("b", i)))).scalar()
+        return F.coalesce(x.substr(F.coalesce(common, F.lit(0)) + 1, F.lit(12)), F.lit(""))
     bounds = weights.agg(
         F.struct(F.min(x).cast("double").alias("a"), F.max(x).cast("double").alias("b")).alias("s")
     ).scalar()
     wide = (bounds["b"] - bounds["a"]) / SLOTS
-    return F.when(wide > 0, F.floor((x.cast("double") - bounds["a"]) / wide)).otherwise(F.lit(0))
+    slot = F.when(wide > 0, F.floor((x.cast("double") - bounds["a"]) / wide)).otherwise(F.lit(0))
+    return F.coalesce(slot, F.lit(-1))
 
 
 def bounds(

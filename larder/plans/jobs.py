@@ -55,21 +55,32 @@ def dated(events: DataFrame, ts: str = "ts") -> DataFrame:
     return events.withColumn("event_date", F.col(ts).cast("date"))
 
 
-def job_backfill(events: DataFrame, start: date, end: date, output: str, ts: str = "ts") -> str:
+#: Partition column that names the source of rows without a time; rows of a day hold ``BY_DAY`` there.
+UNDATED_OF, BY_DAY = "undated_of", "-"
+
+
+def job_backfill(
+    events: DataFrame, start: date, end: date, output: str, ts: str = "ts", source: str = "events"
+) -> str:
     """Load the days start..end; a repeated run replaces just those days.
 
     A day is one partition and is replaced as a whole; a day the source has no rows for keeps what
-    it had. Rows without a time belong to no day: every load puts those of its source into the
-    partition without a date, so none is lost unseen. The range is tested on the timestamp itself, so
+    it had. Rows without a time belong to no day: every load puts all those of its source into a partition that
+    bears the source's name, so a load replaces only its own and none is lost. ``source`` names what is loaded, such as a
+    file of a daily delivery; two sources must not share a name. The range is tested on the timestamp itself, so
     it reaches the scan of the source.
     """
+    if source == BY_DAY:
+        raise ValueError(f"a source can't be named {BY_DAY!r}")
     wanted = events.filter(
         F.col(ts).isNull()
         | ((F.col(ts) >= F.lit(start).cast("date")) & (F.col(ts) < F.date_add(F.lit(end), 1)))
     )
-    return write_partitions(dated(wanted, ts), output, ["event_date"])
+    of = F.when(F.col(ts).isNull(), F.lit(source)).otherwise(F.lit(BY_DAY))
+    rows = dated(wanted, ts).withColumn(UNDATED_OF, of)
+    return write_partitions(rows, output, ["event_date", UNDATED_OF])
 
 
-def job_daily(events: DataFrame, day: date, output: str, ts: str = "ts") -> str:
+def job_daily(events: DataFrame, day: date, output: str, ts: str = "ts", source: str = "events") -> str:
     """Load one day."""
-    return job_backfill(events, day, day, output, ts)
+    return job_backfill(events, day, day, output, ts, source)

@@ -59,3 +59,9 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that nothing reads any more."""
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; none where it doesn't exist. Opens no file."""
+    fs, p = _fs(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()] if fs.exists(p) else []
