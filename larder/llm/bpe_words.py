@@ -75,33 +75,21 @@ class _Known:
         return out
 
 
-class WordBpe:
-    """Ids of texts and texts of ids, by a file of word-end byte-pair merges."""
+class MergeTable:
+    """Ranked merges of a byte-pair file, and words merged side by side. ``end`` is what a word's last part ends with."""
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        with open(path, encoding="utf-8") as f:
-            said = json.load(f)
-        model, tokenizer = said["model"], Tokenizer.from_file(path)
-        vocab, end = model["vocab"], model["end_of_word_suffix"] or ""
-        self.normalize, self.cut = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
-        self.byte_of = {c: b for b, c in enumerate(byte_names())}
+    def __init__(self, model: dict, end: str = ""):
+        vocab = model["vocab"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         #: Two ids as one number to rank; rank to new id.
         self.merges = {vocab[a] << 32 | vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
         self.made = np.asarray([vocab[a + b] for a, b in pairs], np.int64)
         keys = np.fromiter(self.merges, np.int64, len(self.merges))
-        self.order = np.argsort(keys)
-        self.keys = keys[self.order]
-        self.order = np.fromiter(self.merges.values(), np.int64, len(keys))[self.order]
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.order = np.fromiter(self.merges.values(), np.int64, len(keys))[order]
         self.inner = np.asarray([vocab[c] for c in byte_names()], np.int64)
         self.last = np.asarray([vocab[c + end] for c in byte_names()], np.int64)
-        self.special = {t["content"]: t["id"] for t in said["added_tokens"]}
-        names = {i: s for s, i in vocab.items()} | {i: s for s, i in self.special.items()}
-        self.names = np.asarray([names.get(i) for i in range(max(names) + 1)], object)
-        self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.pieces = _Known()
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The ranks at which ids merge with the ids next to them."""
@@ -172,6 +160,26 @@ class WordBpe:
                 out[i] = ids
         return out
 
+
+class WordBpe(MergeTable):
+    """Ids of texts and texts of ids, by a file of word-end byte-pair merges."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as f:
+            said = json.load(f)
+        model, tokenizer = said["model"], Tokenizer.from_file(path)
+        vocab, end = model["vocab"], model["end_of_word_suffix"] or ""
+        self.normalize, self.cut = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
+        super().__init__(model, end)
+        self.byte_of = {c: b for b, c in enumerate(byte_names())}
+        self.special = {t["content"]: t["id"] for t in said["added_tokens"]}
+        names = {i: s for s, i in vocab.items()} | {i: s for s, i in self.special.items()}
+        self.names = np.asarray([names.get(i) for i in range(max(names) + 1)], object)
+        self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.pieces = _Known()
+
     def parts(self, piece: str) -> list[bytes | int]:
         """The words of a piece, as bytes, and its special tokens, as ids."""
         if "<|" not in piece and not BEYOND.search(piece):

@@ -146,19 +146,25 @@ class Scanner:
         folded = b" " + b" ".join(words) + b" "
         places, levels, labels, tags, word, read = [], [], set(), [], -1, 0
         for end, (phrase, base, more, size) in self.automaton.iter(folded.decode("latin-1")):
+            # Words before the match, counted on (or back, by a phrase's length at most) from the match before.
+            start = end - size + 2
+            word += folded.count(b" ", read, start) - folded.count(b" ", start, read)
+            read = start
             if phrase == TAG:
-                word, read = word + folded.count(b" ", read, end - size + 2), end - size + 2
                 tags.append(word)
             if base or more:
                 labels.add(base or more)
                 levels.append(FREEDOM.get(base or more, UNKNOWN))
-                places.append((phrase, base or more, base is not None, folded.count(b" ", 0, end - size + 2) - 1))
+                places.append((phrase, base or more, base is not None, word))
         if tags:
             spans = [m.span() for m in _PLACE.finditer(plain)]
             first, last = [spans[w][0] for w in tags], [spans[w + TAG.count(" ")][1] for w in tags]
             for lo, hi in zip(last, [*first[1:], len(text)]):
-                level, names = evaluate(text[lo:hi].decode("utf-8", "replace"))
-                if level is not None:
+                said = text[lo:hi].decode("utf-8", "replace")
+                level, names = evaluate(said)
+                # Without its colon a tag is prose, unless licences follow that are known or declared.
+                declared = said.lstrip().startswith(":") or all(n in FREEDOM or n.startswith("licenseref-") for n in names)
+                if level is not None and declared:
                     levels.append(level)
                     labels |= names
         return len(words), places, sorted(labels), min(levels, default=0.0)

@@ -171,14 +171,20 @@ def signatures(docs: DataFrame, k: int, at_least, width: int, doc_id: str, text:
 FOUND = "kind string, id bigint, n bigint, class bigint, sketch binary, keys binary, classes binary"
 
 
-def _met(pdf: pd.DataFrame) -> pd.DataFrame:
+def _found(n: int, **columns) -> pa.Table:
+    """``n`` rows of FOUND; columns that aren't given are null. Class numbers stay whole: pandas would round them where nulls stand beside."""
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
+    wanted = [c.split() for c in FOUND.split(", ")]
+    return pa.table({name: pa.array(columns[name], kinds[kind]) if name in columns else pa.nulls(n, kinds[kind]) for name, kind in wanted})
+
+
+def _met(here: pa.Table) -> pa.Table:
     """In one bucket: document rows as they are; the members of every key that two classes share, packed; each with its group's least one as a pair."""
-    docs = pdf[pdf["keys"].isna()]
-    packed = pdf[pdf["keys"].notna()]
-    out = [docs.assign(kind="doc")]
+    docs, packed = here.filter(here["keys"].is_null()), here.filter(here["keys"].is_valid())
+    out = [_found(0), pa.table({c.split()[0]: pa.array(["doc"] * len(docs), pa.string()) if c.startswith("kind") else docs[c.split()[0]] for c in FOUND.split(", ")})]
     if len(packed):
-        keys = np.concatenate([np.frombuffer(x, np.uint64) for x in packed["keys"]])
-        own = np.concatenate([np.frombuffer(x, np.int64) for x in packed["classes"]])
+        keys = np.concatenate([np.frombuffer(x, np.uint64) for x in packed["keys"].to_pylist()])
+        own = np.concatenate([np.frombuffer(x, np.int64) for x in packed["classes"].to_pylist()])
         order = np.lexsort((own, keys))
         keys, own = keys[order], own[order]
         once = np.r_[True, (keys[1:] != keys[:-1]) | (own[1:] != own[:-1])]  # a class comes once from each batch
@@ -189,15 +195,13 @@ def _met(pdf: pd.DataFrame) -> pd.DataFrame:
         low = np.repeat(own[first], size)[shared]
         keys, own = keys[shared], own[shared]
         for at in range(0, len(keys), CHUNK):
-            out.append(pd.DataFrame({"kind": ["group"], "keys": [keys[at : at + CHUNK].tobytes()], "classes": [own[at : at + CHUNK].tobytes()]}))
+            out.append(_found(1, kind=["group"], keys=[keys[at : at + CHUNK].tobytes()], classes=[own[at : at + CHUNK].tobytes()]))
         a, b = low[own != low], own[own != low]
         order = np.lexsort((b, a))
         a, b = a[order], b[order]
-        new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.empty(0, bool)
-        out.append(pd.DataFrame({"kind": "pair", "id": a[new], "class": b[new]}))
-    columns = [c.split()[0] for c in FOUND.split(", ")]
-    done = pd.concat([x.reindex(columns=columns) for x in out], ignore_index=True)
-    return done.astype({c: "Int64" for c in ("id", "n", "class")})
+        new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
+        out.append(_found(int(new.sum()), **{"kind": ["pair"] * int(new.sum()), "id": a[new], "class": b[new]}))
+    return pa.concat_tables(out)
 
 
 def _unpacked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,7 +217,7 @@ class Join:
         self.docs, self.k, self.at_least, self.doc_id, self.text = docs, k, at_least, doc_id, text
         self.width = shuffle_width(docs.sparkSession)
         made = signatures(docs, k, at_least, self.width, doc_id, text)
-        self.found = materialize(made.groupBy("bucket").applyInPandas(_met, FOUND), "ngram-signatures")
+        self.found = materialize(made.groupBy("bucket").applyInArrow(_met, FOUND), "ngram-signatures")
         self.rows = self.found.where("kind = 'doc'").select("id", "n", "class", "sketch")
         #: One row per class: its number, its least document, size and sketch.
         named = self.rows.where(f"n > 0 and id > {NO_ID}").withColumnRenamed("class", "rep")
@@ -246,8 +250,11 @@ class Join:
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = worker_state().setdefault("words", WordHashes())
             for batch in batches:
-                made = [shingles(words_of(x.as_py() or b""), k, hashes).tobytes() for x in batch.column(1)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "members"])
+                made = [shingles(words_of(x.as_py() or b""), k, hashes) for x in batch.column(1)]
+                # An id with several texts stands for the class of each; only the text of this class counts.
+                mine = [i for i, (s, rep) in enumerate(zip(made, batch.column(0).to_pylist())) if set_hash(s) == rep]
+                of = batch.column(0).take(pa.array(mine, pa.int64()))
+                yield pa.RecordBatch.from_arrays([of, pa.array([made[i].tobytes() for i in mine], pa.binary())], names=["id", "members"])
             worker_state().pop("words", None)
 
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(self.reps.select("rep", "least"), "rep")

@@ -14,8 +14,10 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,41 +26,80 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.llm.bpe_words import LETTERS, MergeTable
 from larder.llm.common import drop_written, materialize, worker_state
 
 WINDOW = 2048
 END_ID = 1
-#: Chunks of text that a worker remembers; then it starts anew.
-REMEMBERED, LONGEST = 250_000, 48
+#: Chunks of text that a worker remembers in each of two generations, and the longest of them.
+REMEMBERED, LONGEST = 400_000, 48
+#: Characters of texts whose chunks are learned together.
+TOGETHER = 1_000_000
 #: Left-over pieces for each bucket of the greedy packer.
 BUCKET_PIECES = 20_000
 #: Combinations tried for each length, and sweeps of the fit.
 PER_LENGTH, SWEEPS = 8, 24
 
 
+#: Letters below U+0300, with the space before them, are one word to the tokenizer: their merges are taken side by side.
+ONE_WORD = re.compile(f"[{LETTERS}]+")
+#: A sign after a letter and before a space begins with no space of its own; marked, it is a chunk for itself.
+MARK, LONE_SIGN, MARKED = "\x01", re.compile("(?<=[A-Za-z])([.,|])(?= )"), " \x01\\1"
+
+
 class _Chunks(dict):
-    """Chunk of text to its ids as bytes; None for a chunk that can't be cut off where it ends."""
+    """Chunk of text to its ids as bytes; None for a chunk that can't be cut off where it ends. ``old`` holds the generation before."""
 
-    def __init__(self, encode, lead: str, start: _Chunks | None):
-        self.encode, self.lead, self.line_end = encode, lead, encode("\n")
+    def __init__(self, encode, merge, lead: str, start: _Chunks | None):
+        self.merge = merge
+        self.encode, self.lead, self.line_end = encode, lead, encode(["\n"])[0]
         self.start = self if start is None else start
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, chunk: str):
-        if not chunk or chunk[-1].isspace():
-            return None
-        if chunk[-1] in ".,|" and chunk[:-1].isalpha():  # letters end where a sign begins
-            return self[chunk[:-1]] + self.start[chunk[-1]]
-        if "\n" in chunk:
-            lines = chunk.split("\n")
-            if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
-                return self.line_end.join([self[lines[0]], *(self.start[x] for x in lines[1:])])
-        ids = self.encode(self.lead + chunk)
+    def keep(self, chunk: str, ids: bytes) -> bytes:
         if len(chunk) <= LONGEST:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
             self[chunk] = ids
         return ids
 
+    def parts(self, chunk: str) -> list[tuple[_Chunks, str]] | None:
+        """Chunks that make up this one, where it can be taken apart: letters end where a sign begins, lines where they end."""
+        if chunk[-1] in ".,|" and chunk[:-1].isalpha():
+            return [(self, chunk[:-1]), (self.start, chunk[-1])]
+        if "\n" in chunk:
+            lines = chunk.split("\n")
+            if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+                return [(self, lines[0]), *((self.start, x) for x in lines[1:])]
+        return None
+
+    def __missing__(self, chunk: str):
+        if chunk in self.old:
+            return self.keep(chunk, self.old[chunk])
+        if not chunk or chunk[-1].isspace():
+            return None
+        if parts := self.parts(chunk):
+            joint = b"" if chunk[-1] in ".,|" and "\n" not in chunk else self.line_end
+            return self.keep(chunk, joint.join([of[x] for of, x in parts]))
+        return self.keep(chunk, self.encode([self.lead + chunk])[0])
+
+    def learn(self, chunks: set[str]) -> None:
+        """Encode together what isn't known yet; chunks to be taken apart wait until they are asked for."""
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        old, new = self.old, []
+        for c in chunks.difference(self):
+            if c in old:
+                self[c] = old[c]
+            elif c and len(c) <= LONGEST and c[-1] not in ".,| \n\t" and "\n" not in c and not c[-1].isspace():
+                new.append(c)
+        words = [c for c in new if ONE_WORD.fullmatch(c)]
+        self.update(zip(words, self.merge([(self.lead + c).encode() for c in words])))
+        rest = [c for c in new if c not in self]
+        self.update(zip(rest, self.encode([self.lead + c for c in rest])))
+
 
 class WordwiseTokenizer:
     """The ids of a byte-level BPE tokenizer, chunk by chunk.
@@ -76,15 +117,48 @@ class WordwiseTokenizer:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
 
-        def encode(s: str) -> bytes:
-            return np.asarray(tokenizer.encode(s, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-        self.encode = encode
-        self.start = _Chunks(encode, "", None)
-        self.rest = _Chunks(encode, " ", self.start)
+        def encode(texts: list[str]) -> list[bytes]:
+            return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        self.encode = lambda s: encode([s])[0]
+        with open(path, encoding="utf-8") as f:
+            merge = MergeTable(json.load(f)["model"]).encode_words
+        self.start = _Chunks(encode, merge, "", None)
+        self.rest = _Chunks(encode, merge, " ", self.start)
+        self.signs = {MARK + sign: encode([sign])[0] for sign in ".,|"}
+
+    def ids_of(self, texts: list[str]) -> Iterator[bytes]:
+        """:meth:`ids` of each text; chunks that are new to all of them are encoded in one call of the library."""
+        first: set[str] = set()
+        rest: set[str] = set()
+        split = []
+        for text in texts:
+            if MARK in text:
+                split.append(None)
+                continue
+            chunks = LONE_SIGN.sub(MARKED, text).split(" ")
+            first.add(chunks[0])
+            rest.update(chunks[1:])
+            split.append(chunks)
+        self.start.learn(first)
+        rest.difference_update(self.signs)
+        self.rest.learn(rest)
+        known = self.rest
+        known.update(self.signs)
+        for text, chunks in zip(texts, split):
+            if chunks is None:
+                yield self.ids(text)
+                continue
+            head = self.start[chunks[0]] if chunks[0] else b""
+            try:
+                yield b"".join([head, *map(known.__getitem__, chunks[1:])])
+            except TypeError:  # white space next to white space somewhere
+                yield self.ids(text)
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        if MARK in text:  # the mark's own chunks are taken
+            return self.encode(text)
         first, *rest = text.split(" ")
         try:
             head = self.start[first] if first else b""
@@ -102,6 +176,18 @@ def tokenizer_at(path: str) -> WordwiseTokenizer:
     return kept[path]
 
 
+def _together(texts: list[str]) -> Iterator[list[str]]:
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text) > TOGETHER:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
+
+
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every document's pieces: whole windows, then the rest. No shuffle."""
 
@@ -109,8 +195,9 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
         tokenizer, end = tokenizer_at(path), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for i, cell in enumerate(batch.column(1)):
-                ids = tokenizer.ids(cell.as_py() or "") + end
+            texts = [text or "" for text in batch.column(1).to_pylist()]
+            for i, ids in enumerate(x for part in _together(texts) for x in tokenizer.ids_of(part)):
+                ids += end
                 n = len(ids) // 4
                 for start in range(0, n, window):
                     part = ids[4 * start : 4 * (start + window)]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm.bpe_words import encode
-from larder.llm.common import table
+from larder.llm.common import fresh, table
 from larder.llm.embedding_dedup import near_vectors
 from larder.llm.exact_dedup import exact_duplicates
 from larder.llm.licenses import license_report, scan_licenses
@@ -41,8 +41,10 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = with_copies(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", (F.col("_mix.copies") * F.col("_mix.size")).alias("taken"))
+    docs = table(spark, sf_dir, "documents")
+    mix = fresh(docs, "mix")
+    taken = (F.col(f"{mix}.copies") * F.col(f"{mix}.size")).alias("taken")
+    return with_copies(docs, out=mix).select("doc_id", f"{mix}.size", f"{mix}.source_size", f"{mix}.target", taken)
 
 
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -288,3 +288,79 @@ def test_minres():
     a, b = a + a.T, rng.standard_normal((30, 4))
     x = whitening.minres(lambda t: a @ t, b, 200, 1e-13)
     assert np.abs(a @ x - b).max() < 1e-8
+
+
+# Cases that went wrong before ---------------------------------------------------------------------------
+
+
+def test_a_tag_in_prose_is_no_licence():
+    from larder.llm.licenses import BASE_PHRASES, NOTICE_PHRASES, Scanner
+
+    scanner = Scanner(dict(BASE_PHRASES), dict(NOTICE_PHRASES))
+    for text, labels in [
+        (b"this file carries an SPDX-License-Identifier of its own", []),
+        (b"SPDX-License-Identifier MIT", ["mit"]),
+        (b"SPDX-License-Identifier: Own-1.0", ["own-1"]),
+        (b"SPDX-License-Identifier LicenseRef-Mine", ["licenseref-mine"]),
+    ]:
+        assert scanner.scan(text)[2] == labels, text
+
+
+def test_places_are_counted_on_from_match_to_match():
+    from larder.llm.licenses import Scanner
+
+    rng = np.random.default_rng(6)
+    phrases_ = {"a b": "x", "b": "y", "a b c d": "z", "c d a": "w", "d": "v"}
+    scanner = Scanner(phrases_, {})
+    words = rng.choice(list("abcde"), 2000).tolist()
+    got = sorted((p, w) for p, _, _, w in scanner.scan(" ".join(words).encode())[1])
+    want = sorted((p, i) for p in phrases_ for i in range(len(words)) if words[i : i + len(p.split())] == p.split())
+    assert got == want
+
+
+def test_mixing_beside_a_column_of_the_name_it_wanted(spark, tmp_path):
+    rows = [(i, "a b c", "en", "s", 5, "m", "n") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, _mix string, mix string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op3_mixing"](spark, str(tmp_path)).collect()
+    assert sum(r.taken for r in got) == 90 and {r.target for r in got} == {90.0}
+
+
+def test_one_id_with_two_texts_links_with_both(spark):
+    from larder.llm.ngram_join import ngram_classes
+
+    base = [f"w{i}" for i in range(60)]
+    other = [f"v{i}" for i in range(60)]
+    rows = [(1, " ".join(base)), (1, " ".join(other)), (2, " ".join([*base[:-1], "x"])), (3, " ".join([*other[:-1], "y"])), (4, "alone at last with some words")]
+    got = {r.doc_id: r.component_id for r in ngram_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_ids_of_many_texts_are_those_of_the_library(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from larder.llm import packing
+
+    monkeypatch.setattr(packing, "REMEMBERED", 40)
+    path = tokenizer_file()
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    ours, rng = packing.WordwiseTokenizer(path), np.random.default_rng(12)
+    vocabulary = ["word,", "word", "Another.", "l'eau", "it's", "naïve,", "naïve", "a|", "||", "3rd,", "x\x01,", "\x01,", "", "\n", "end.\nnext", "tab\t", "日本", "İs", "<|endoftext|>", "don't.", "é.", ",", " ", "z" * 60]
+    texts = ["", " ", ", ", "a, ", "a,  b"] + [" ".join(rng.choice(vocabulary, int(rng.integers(1, 30)))) for _ in range(400)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    got = [np.frombuffer(x, "<u4").tolist() for part in np.array_split(np.arange(len(texts)), 9) for x in ours.ids_of([texts[i] for i in part])]
+    assert got == want
+    assert [np.frombuffer(ours.ids(t), "<u4").tolist() for t in texts] == want
+
+
+def test_class_numbers_stay_whole(spark):
+    """Class numbers pass 2 ** 53 and stand beside nulls; pairs, documents and groups must name the same ones."""
+    from larder.llm.ngram_join import Join
+
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*base[: 50 + i], "x", *base[51 + i :]])) for i in range(6)]
+    join = Join(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    known = {r.rep for r in join.reps.collect()}
+    pairs = join.first_pairs().collect()
+    assert len(known) == 6 and pairs and {x for p in pairs for x in p} <= known
+    assert any(abs(x) > 2**53 and x % 512 for x in known)
