@@ -27,6 +27,6 @@ def query(key: str, sql: str | None = None):
 
 
 def load() -> tuple[dict[str, Run], dict[str, str]]:
-    from larder.catalog import generator, layers, lineage, quality, reports, streams, warehouse  # noqa: F401
+    from larder.catalog import generator, layers, lineage, quality, reports, stores, streams, warehouse  # noqa: F401
 
     return dict(QUERIES), dict(ORACLES)
