@@ -3,11 +3,12 @@
 The tree's symbols are the bytes of a text's tokens: words in lower case, one space between them, one
 end sign. That spelling and the token sequence determine each other, so the score is the log
 probability of the same tokens that the unigram base score counts. Contexts are the preceding bytes,
-up to ``depth`` of them. A context is kept if it is frequent enough to be a state (a share of all
-training symbols, so there are at most depth / share of them, whatever the corpus) and if its
-next-symbol distribution diverges from that of the next shorter context: share times divergence above
-a threshold. Distributions are smoothed towards the shorter context's. Kept contexts and their
-prefixes form an automaton, so scoring reads one transition for each byte: always the longest suffix.
+up to ``depth`` of them. A context is kept if it is seen often enough (``scale`` times the square root of all
+training symbols, so the tree grows with the corpus while the evidence for each state grows too) and if its
+next-symbol distribution diverges from that of the longest kept shorter one: count times divergence of at
+least ``gain`` nats. Distributions are smoothed towards the shorter context's. Levels are tested one after the other on the
+executors, against the levels before; kept contexts alone come to the driver. A symbol is scored in its
+longest kept context.
 
 Counts cover all training texts. Tasks count their own (context, next) runs and deal them out by
 context; word counts and postings are dealt out by word, so no word's documents meet in one row.
@@ -33,15 +34,14 @@ from pyspark.sql import functions as F
 from larder.llm.common import WordHashes, drop_written, fold, materialize, shuffle_width, words_of, worker_state
 
 DEPTH = 5
-#: Least share of training symbols for a state; least share times divergence (in nats) to keep it.
-SHARE, DIVERGENCE = 4e-6, 5e-8
+#: Least sightings of a context, over the square root of all training symbols; least count times divergence (in nats).
+SCALE, GAIN = 0.02, 8.0
 #: Weight of the shorter context's distribution, in symbols.
 PRIOR = 8.0
 #: Neither byte occurs in a token: what stands before a text, and its end sign.
 START, END = 9, 10
-#: Bytes scored side by side in one lane.
-LANE = 2048
-ONE = np.uint64(1)
+#: Symbols scored at once.
+SLAB = 1 << 20
 
 
 def spelled(words: list[bytes]) -> bytes:
@@ -91,111 +91,66 @@ def count_runs(docs: DataFrame, depth: int, width: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket int, runs binary, counts binary")
 
 
+def _last(run: np.ndarray, n: int) -> np.ndarray:
+    """The last ``n`` bytes of runs."""
+    return run & np.uint64((1 << 8 * n) - 1)
+
+
+def _find(sorted_: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of ``x`` stands, and whether it is there."""
+    at = np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)
+    return at, sorted_[at] == x
+
+
 class Tree:
-    """States of the automaton: transitions and smoothed log10 probabilities, by state and symbol."""
-
-    def __init__(self, step: np.ndarray, logp: np.ndarray, symbol: np.ndarray, start: int):
-        self.step, self.logp, self.symbol, self.start = step, logp, symbol, start
-
-    def scores(self, texts: list[bytes], depth: int) -> np.ndarray:
-        """The log10 probability of each spelled text.
-
-        Texts are cut into lanes that are run side by side; a lane first reads the ``depth`` bytes before
-        it, which settle its state.
-        """
-        size = np.asarray([len(t) for t in texts], np.int64)
-        flat = self.symbol[np.frombuffer(b"".join(texts), np.uint8)]
-        begin = np.cumsum(size) - size
-        lanes = (size + LANE - 1) // LANE
-        owner = np.repeat(np.arange(len(texts)), lanes)
-        k = np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        lo = begin[owner] + k * LANE
-        hi = np.minimum(lo + LANE, begin[owner] + size[owner])
-        warm = np.where(k > 0, depth, 0)
-        order = np.argsort(-(hi - lo + warm), kind="stable")
-        at, end, warm, owner, first = (lo - warm)[order], hi[order], warm[order], owner[order], lo[order]
-        a = self.logp.shape[1]
-        step, logp = self.step.ravel(), self.logp.ravel()
-        state = np.full(len(order), self.start, np.int64)
-        state[warm > 0] = 0
-        total = np.zeros(len(order))
-        live = len(order)
-        length = end - at
-        for t in range(int(length.max(initial=0))):
-            live = int(np.searchsorted(-length[:live], -t, "left"))
-            cell = state[:live] * a + flat[at[:live] + t]
-            gain = logp[cell]
-            if t < depth:
-                gain = np.where(t >= warm[:live], gain, 0.0)
-            total[:live] += gain
-            state[:live] = step[cell]
-        return np.bincount(owner, total, len(texts))
-
-
-def grow(run: np.ndarray, n: np.ndarray, total: int, depth: int, share: float, divergence: float, prior: float) -> Tree:
-    """The tree from counted runs whose contexts are frequent at full depth, and all shorter ones.
-
-    ``run`` holds (level, context, symbol) as three columns; at most depth / share contexts and 256 symbols.
-    """
-    level, context, symbol = run
-    base = np.zeros(256)
-    root = level == 0
-    np.add.at(base, symbol[root].astype(np.int64), n[root].astype(float))
-    used = np.unique(np.concatenate([symbol.astype(np.int64), [END]]))
-    index = np.full(256, len(used), np.int64)  # the last column: a byte that training texts lack
-    index[used] = np.arange(len(used))
-    width = len(used) + 1
-    root_p = (np.append(base[used], 0.0) + prior / 256) / (base.sum() + prior)
-    root_p[-1] = prior / 256 / (base.sum() + prior)
-    states: dict[tuple[int, int], int] = {(0, 0): 0}
-    probs, kept_probs = [root_p], {(0, 0): root_p}
-    for d in range(1, depth + 1):
-        own = np.flatnonzero(level == d)
-        own = own[np.argsort(context[own], kind="stable")]
-        first = np.flatnonzero(np.r_[True, context[own][1:] != context[own][:-1]]) if len(own) else np.empty(0, int)
-        for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(own)]):
-            at = own[lo:hi]
-            c, seen = int(context[at[0]]), float(n[at].sum())
-            for shorter in range(d - 1, -1, -1):
-                parent = kept_probs.get((shorter, c & ((1 << 8 * shorter) - 1)))
-                if parent is not None:
-                    break
-            cols, f = index[symbol[at].astype(np.int64)], n[at] / seen
-            gain = seen / total * float((f * np.log(f / parent[cols])).sum())
-            if seen >= share * total and gain >= divergence:
-                p = parent * (prior / (seen + prior))
-                p[cols] += n[at] / (seen + prior)
-                kept_probs[(d, c)] = p
-    # Prefixes of kept contexts are states too, so that the automaton can get to each.
-    for d, c in sorted(kept_probs):
-        for cut in range(1, d + 1):
-            states.setdefault((cut, c >> 8 * (d - cut)), -1)
-    start = (depth, int.from_bytes(bytes([START]) * depth, "big"))
-    ordered = sorted(states)
-    states = {s: i for i, s in enumerate(ordered)}
-    step = np.zeros((len(ordered), width), np.int32)
-    probs = np.empty((len(ordered), width), np.float32)
-
-    def longest(d: int, c: int, table) -> tuple[int, int]:
-        while (d, c) not in table:
-            d -= 1
-            c &= (1 << 8 * d) - 1
-        return d, c
-
-    children: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for d, c in ordered[1:]:
-        children.setdefault((d - 1, c >> 8), []).append((d, c))
-    for i, (d, c) in enumerate(ordered):
-        if d:
-            step[i] = step[states[longest(d - 1, c & ((1 << 8 * (d - 1)) - 1), states)]]
-        for q in children.get((d, c), ()):
-            step[i, index[q[1] & 255]] = states[q]
-        probs[i] = np.log10(kept_probs[longest(d, c, kept_probs)])
-    return Tree(step, probs, index, states[longest(*start, states)])
-
-
-def learn_tree(train: DataFrame, depth: int, share: float, divergence: float, prior: float, width: int) -> Tree:
-    """Counts all runs of ``train`` (one binary column) and grows the tree on the driver, which gets frequent contexts alone."""
+    """Kept contexts by length: sorted (context, symbol) cells with their counts, and contexts with theirs."""
+
+    def __init__(self, root: np.ndarray, levels: list[tuple[np.ndarray, ...]], prior: float):
+        self.root, self.levels, self.prior = root, levels, prior
+
+    def add_level(self, cells: np.ndarray, n: np.ndarray) -> None:
+        order = np.argsort(cells)
+        cells, n = cells[order], n[order]
+        contexts, first = np.unique(cells >> np.uint64(8), return_index=True)
+        self.levels.append((contexts, np.add.reduceat(n, first) if len(n) else n, cells, n))
+
+    def chances(self, run: np.ndarray, top: int) -> np.ndarray:
+        """The probability of each run's last byte after the ``top`` bytes before it; shorter runs are shared."""
+        if not top:
+            return self.root[run.astype(np.int64)]
+        shorter, at = np.unique(_last(run, top), return_inverse=True)
+        p = self.chances(shorter, top - 1)[at]
+        contexts, seen, cells, n = self.levels[top - 1]
+        if len(contexts):
+            i, there = _find(contexts, run >> np.uint64(8))
+            hit = np.flatnonzero(there)
+            j, known = _find(cells, run[hit])
+            p[hit] = (np.where(known, n[j], 0) + self.prior * p[hit]) / (seen[i[hit]] + self.prior)
+        return p
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        """The log10 probability of each spelled text, a slab of symbols at a time."""
+        depth = len(self.levels)
+        flat = np.frombuffer(b"".join(bytes([START]) * depth + t for t in texts), np.uint8)
+        end = np.cumsum([len(t) + depth for t in texts])
+        begin = np.r_[0, end[:-1]]
+        total = np.zeros(len(texts))
+        for lo in range(0, len(flat) - depth, SLAB):
+            part = flat[lo : lo + SLAB + depth].astype(np.uint64)
+            size = len(part) - depth
+            run = np.zeros(size, np.uint64)
+            for j in range(depth + 1):
+                run = (run << np.uint64(8)) | part[j : j + size]
+            place = np.arange(lo + depth, lo + depth + size)
+            owner = np.searchsorted(end, place, "right")
+            own = np.flatnonzero(place - begin[owner] >= depth)  # not what stands before a text
+            every, at = np.unique(run[own], return_inverse=True)
+            total += np.bincount(owner[own], np.log10(self.chances(every, depth))[at], len(texts))
+        return total
+
+
+def learn_tree(train: DataFrame, depth: int, scale: float, gain: float, prior: float, width: int) -> Tree:
+    """Counts all runs of ``train`` (one binary column) and grows the tree level by level."""
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         run = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["runs"]])
@@ -204,32 +159,61 @@ def learn_tree(train: DataFrame, depth: int, share: float, divergence: float, pr
         n = np.bincount(at, n, len(every)).astype(np.int64)
         return pd.DataFrame({"runs": [every.tobytes()], "counts": [n.tobytes()], "total": [int(n.sum())]})
 
+    spark = train.sparkSession
     counted = materialize(count_runs(train, depth, width).groupBy("bucket").applyInPandas(merge, "runs binary, counts binary, total bigint"), "runs")
     total = counted.agg(F.sum("total")).first()[0] or 0
-    least = share * total
+    least = max(2.0, scale * math.sqrt(total))
 
     def shorten(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Counts of shorter contexts by task, and full-depth ones that are frequent."""
-        sums: list[dict] = []
+        """Counts of shorter contexts by task, and full-depth ones that are frequent (a bucket holds all of those)."""
         for pdf in frames:
             for runs_, counts in zip(pdf["runs"], pdf["counts"]):
                 run, n = np.frombuffer(runs_, np.uint64), np.frombuffer(counts, np.int64)
                 for d in range(depth + 1):
-                    cut = run & np.uint64((1 << 8 * (d + 1)) - 1)
-                    every, at = np.unique(cut, return_inverse=True)
+                    every, at = np.unique(_last(run, d + 1), return_inverse=True)
                     m = np.bincount(at, n, len(every)).astype(np.int64)
+                    if d == depth:
+                        _, context = np.unique(every >> np.uint64(8), return_inverse=True)
+                        often = np.bincount(context, m)[context] >= least if len(m) else np.empty(0, bool)
+                        every, m = every[often], m[often]
                     yield pd.DataFrame({"level": d, "context": (every >> np.uint64(8)).astype(np.int64), "symbol": (every & np.uint64(255)).astype(np.int32), "n": m})
 
     parts = counted.mapInPandas(shorten, "level int, context bigint, symbol int, n bigint")
-    cells = materialize(parts.groupBy("level", "context", "symbol").agg(F.sum("n").alias("n")), "run-cells")
-    often = cells.groupBy("level", "context").agg(F.sum("n").alias("seen")).where(F.col("seen") >= least).drop("seen")
-    got = cells.join(often, ["level", "context"]).toArrow()
-    drop_written(counted, cells)
-    *run, n = (got.column(c).to_numpy() for c in ("level", "context", "symbol", "n"))
-    return grow(tuple(run), n, max(1, total), depth, share, divergence, prior)
-
-
-def _postings(tree, depth: int, width: int):
+    cells = parts.groupBy("level", "context", "symbol").agg(F.sum("n").alias("n"))
+    # A context has 256 next symbols at most, so it fits one row.
+    whole = cells.groupBy("level", "context").agg(F.sum("n").alias("seen"), F.collect_list("symbol").alias("symbols"), F.collect_list("n").alias("counts"))
+    frequent = materialize(whole.where((F.col("seen") >= least) | (F.col("level") == 0)), "contexts")
+    drop_written(counted)
+
+    root = np.full(256, prior / 256)
+    for r in frequent.where("level = 0").collect():
+        root[r["symbols"]] += r["counts"]
+    tree = Tree(root / (total + prior), [], prior)
+    for d in range(1, depth + 1):
+        shorter = spark.sparkContext.broadcast((tree.root, tree.levels, prior))
+
+        def diverging(frames: Iterator[pd.DataFrame], d: int = d, shorter=shorter) -> Iterator[pd.DataFrame]:
+            """Cells of the contexts that tell more than the longest kept shorter ones."""
+            known = Tree(*shorter.value)
+            for pdf in frames:
+                size = pdf["symbols"].map(len).to_numpy()
+                if not len(size):
+                    continue
+                n = np.concatenate(pdf["counts"].to_numpy()).astype(np.int64)
+                run = np.repeat(pdf["context"].to_numpy().astype(np.uint64) << np.uint64(8), size) | np.concatenate(pdf["symbols"].to_numpy()).astype(np.uint64)
+                owner = np.repeat(np.arange(len(size)), size)
+                told = np.bincount(owner, n * np.log(n / pdf["seen"].to_numpy()[owner] / known.chances(_last(run, d), d - 1)))
+                keep = told[owner] >= gain
+                yield pd.DataFrame({"cells": [run[keep].tobytes()], "counts": [n[keep].tobytes()]})
+
+        kept = frequent.where(F.col("level") == d).mapInPandas(diverging, "cells binary, counts binary").toArrow()
+        tree.add_level(*(np.frombuffer(b"".join(kept.column(c).to_pylist()), kind) for c, kind in (("cells", np.uint64), ("counts", np.int64))))
+        shorter.unpersist()
+    drop_written(frequent)
+    return tree
+
+
+def _postings(tree, width: int):
     """A task's documents: their rows, and words with training counts and postings, dealt out by word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +225,7 @@ def _postings(tree, depth: int, width: int):
                 key, number = (task << 32) + number, number + 1
                 held = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
                 words = [words_of(x.as_py() or b"") for x in part.column(2)]
-                score = Tree(*tree.value).scores([spelled(w) for w in words], depth)
+                score = Tree(*tree.value).scores([spelled(w) for w in words])
                 size = np.asarray([len(w) for w in words], np.int64)
                 h = hashes.of([x for w in words for x in w])
                 doc = np.repeat(np.arange(len(words), dtype=np.uint16), size)
@@ -297,16 +281,16 @@ def _base(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([*out, stats], ignore_index=True)
 
 
-def suffix_scores(docs: DataFrame, parts: int = 10, depth: int = DEPTH, share: float = SHARE, divergence: float = DIVERGENCE, prior: float = PRIOR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def suffix_scores(docs: DataFrame, parts: int = 10, depth: int = DEPTH, scale: float = SCALE, gain: float = GAIN, prior: float = PRIOR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     width = shuffle_width(spark)
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), (fold(doc_id, parts) == 0).alias("held_out"), F.col(text).cast("binary").alias("text")
     )
-    tree = learn_tree(rows.where("not held_out").select("text"), depth, share, divergence, prior, width)
-    tree = spark.sparkContext.broadcast((tree.step, tree.logp, tree.symbol, tree.start))
-    posted = rows.mapInArrow(_postings(tree, depth, width), POSTINGS)
+    tree = learn_tree(rows.where("not held_out").select("text"), depth, scale, gain, prior, width)
+    tree = spark.sparkContext.broadcast((tree.root, tree.levels, tree.prior))
+    posted = rows.mapInArrow(_postings(tree, width), POSTINGS)
     # Document rows and word rows leave one scan; where they go apart both read the same written table.
     posted = materialize(posted, "postings")
     own = posted.where("bucket is null").select("part", "place", "doc_id", "held_out", "n_tokens", "score")
