@@ -10,8 +10,9 @@ blocks is a group of its own.
 
 Defined cases: vectors that are null, empty or zero or hold null or non-finite components link with
 nothing; so does a row without an id. Equal vectors are compared once and counted as often as they
-occur. Rows repeated with one id are one vector. Vectors of different lengths don't link. An empty
-table gives an empty result. Columns other than the id and the vector are ignored.
+occur. Rows repeated with one id and one vector are one vector; an id with several vectors names several, each with
+links, a component and rows of its own. Vectors of different lengths don't link. An empty table gives an empty result.
+Columns other than the id and the vector are ignored.
 """
 
 from __future__ import annotations
@@ -79,10 +80,13 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.98,
     v = F.col(embedding).cast("array<double>")
     bad = F.exists(v, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     good = F.coalesce(F.col(vec_id).isNotNull() & ~bad & F.exists(v, lambda c: c != 0.0), F.lit(False))
-    rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.when(good, v).alias("v"))
+    rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.when(good, F.transform(v, lambda c: c + 0.0)).alias("v"))
     distinct = rows.where("v is not null").distinct()
-    groups = materialize(distinct.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "vectors")
-    members = materialize(distinct.join(groups, "v").select("vec_id", "rep", "n"), "vector-members")
+    # A class is a distinct vector; its number holds from the written table on.
+    classes = distinct.groupBy("v").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+    groups = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "vectors")
+    own_hash = F.xxhash64("v").alias("own_hash")  # tells the vectors of one id apart
+    members = materialize(distinct.join(groups, "v").select("vec_id", own_hash, "rep", "n"), "vector-members")
 
     k, tables = tables_for(groups.count(), cosine, recall)
 
@@ -144,10 +148,12 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.98,
     drop_written(points)
     counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b is not null"))
+    placed = groups.select("rep", "least").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     named = (
-        members.join(counts, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("vec_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
+        members.join(counts, "rep", "left").join(placed.join(least, "root").select("rep", "component_id"), "rep")
+        .select("vec_id", "own_hash", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     )
-    linked = rows.where("v is not null").select("vec_id").join(named, "vec_id")
+    linked = rows.where("v is not null").select("vec_id", own_hash).join(named, ["vec_id", "own_hash"]).drop("own_hash")
     alone = rows.where("v is null").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
