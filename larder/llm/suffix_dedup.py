@@ -40,7 +40,7 @@ SHARD = 1 << 17
 #: Strings of one minimizer beyond which their windows are compared one by one, and how many of those are held.
 HOT, HELD = 1 << 14, 500_000
 #: Marks a run whose windows may equal each other, and one of a hot minimizer.
-SELF, WIDE = 128, 256
+SELF, WIDE = 1 << 20, 1 << 21
 #: ``first`` is a start in the lower bits and the number of the text among those of its id above them.
 VERSION = 31
 START = (1 << VERSION) - 1
@@ -354,6 +354,8 @@ def with_versions(rows: DataFrame) -> DataFrame:
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """(doc, version, first, size): packed starts and numbers of the windows of each text that also start earlier."""
+    if window % WORD or not GRAM <= window < SELF:
+        raise ValueError(f"a window has {GRAM} to {SELF - WORD} bytes, a multiple of {WORD}, not {window}")
     width = shuffle_width(rows.sparkSession)
     rows = rows.where(F.col("doc").isNotNull() & (F.octet_length("text") >= window))
     found = materialize(runs(rows, window, width).groupBy("bucket").applyInPandas(_split(width, hot), PACKED), "runs")

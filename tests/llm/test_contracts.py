@@ -198,6 +198,24 @@ def test_repeats_of_one_id(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("window", [32, 200, 400])
+def test_windows_of_other_lengths(spark, window):
+    a, b = (" ".join(words(120, 980 + i)) for i in range(2))
+    texts = [(1, a), (2, b[:90] + a + b), (3, b), (4, a[:150] + b[:300]), (5, a[3:] + a)]
+    least, want = {}, {}
+    for i, t in texts:
+        gone = set()
+        for s in range(len(t) - window + 1):
+            if t[s : s + window] in least:
+                gone.update(range(s, s + window))
+            least.setdefault(t[s : s + window], (i, s))
+        want[i] = len(gone)
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    assert {r.doc_id: r.n_removed for r in without_repeats(df, window=window).collect()} == want
+    with pytest.raises(ValueError, match="window"):
+        without_repeats(df, window=window + 1)
+
+
 def test_repeats_of_a_hot_passage(spark, docs):
     # One passage in many texts whose edges all differ, and a text that repeats itself: groups of over three strings are dealt out.
     passage = " ".join(words(60, 950))
@@ -329,6 +347,58 @@ def test_suffix_scores(docs, empty):
     assert all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in nothing)
 
 
+def tree_scores(train, texts, depth, scale, gain, prior):
+    """Scores of spelled texts by a tree made with plain dicts."""
+    seen, follow = Counter(), Counter()
+    for t in train:
+        t = b"\t" * depth + t
+        for i in range(depth, len(t)):
+            for d in range(depth + 1):
+                seen[t[i - d : i]] += 1
+                follow[t[i - d : i], t[i]] += 1
+    total = seen[b""]
+    least, kept = max(2, scale * math.sqrt(total)), {b""}
+
+    def chance(context, x):
+        if not context:
+            return (follow[b"", x] + prior / 256) / (total + prior)
+        p = chance(context[1:], x)
+        return (follow[context, x] + prior * p) / (seen[context] + prior) if context in kept else p
+
+    for d in range(1, depth + 1):
+        for c in [c for c in seen if len(c) == d and seen[c] >= least]:
+            nexts = [(x, n) for (k, x), n in follow.items() if k == c]
+            if sum(n * math.log(n / seen[c] / chance(c[1:], x)) for x, n in nexts) >= gain:
+                kept.add(c)
+    out = []
+    for t in texts:
+        t = b"\t" * depth + t
+        out.append(sum(math.log10(chance(t[i - depth : i], t[i])) for i in range(depth, len(t))))
+    return out, len(kept) - 1
+
+
+def test_suffix_tree_against_plain_dicts(spark, monkeypatch):
+    from larder.llm import suffix_lm as lm
+
+    train = [lm.spelled([w.encode() for w in words(25, 700 + i)]) for i in range(12)] + [lm.spelled([])]
+    texts = [lm.spelled([w.encode() for w in words(30, 800 + i)]) for i in range(4)] + [b"\n", "\u00fc\u00df zz\n".encode()]
+    for depth, scale, gain in ((3, 0.05, 2.0), (4, 0.2, 6.0)):
+        df = spark.createDataFrame([(bytes(t[:-1]),) for t in train], "text binary").repartition(3)
+        tree = lm.learn_tree(df, depth, scale, gain, 8.0, 5)
+        want, states = tree_scores(train, texts, depth, scale, gain, 8.0)
+        monkeypatch.setattr(lm, "SLAB", 57)
+        assert tree.scores(texts) == pytest.approx(want)
+        assert sum(len(level[0]) for level in tree.levels) == states > 10
+
+
+def test_the_suffix_tree_grows_with_the_corpus(spark, sf_dir):
+    from larder.llm import suffix_lm as lm
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("cast(coalesce(text, '') as binary) as text", "doc_id")
+    sizes = [sum(len(x[0]) for x in lm.learn_tree(docs.where(f"doc_id % 5 < {k}").select("text"), 5, lm.SCALE, lm.GAIN, lm.PRIOR, 8).levels) for k in (1, 5)]
+    assert sizes[1] > 1.3 * sizes[0]
+
+
 def test_token_counts(spark, docs, empty):
     from tokenizers import Tokenizer
 
@@ -396,3 +466,11 @@ def test_vectors(spark):
     assert np.mean([r.component_id == root[r.vec_id] for r in got if r.vec_id is not None and r.vec_id < 5000]) > 0.95
     assert all(r.n_links == 0 and r.component_id == r.vec_id and r.kept for r in got if r.vec_id is None or r.vec_id >= 5000)
     assert near_vectors(df.limit(0)).collect() == []
+
+
+def test_vectors_of_one_id(spark):
+    # Id 7 names two unlike vectors, each near another one; -0.0 is 0.0.
+    x, y = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    data = [(7, x), (7, y), (7, y), (3, [1.0, 0.1, -0.0]), (9, [0.1, 1.0, 0.0]), (8, [1.0, -0.0, 0.0])]
+    got = sorted(tuple(r) for r in near_vectors(spark.createDataFrame(data, "vec_id bigint, embedding array<double>"), recall=0.999999).collect())
+    assert got == [(3, 2, 3, True), (7, 1, 7, True), (7, 1, 7, True), (7, 2, 3, False), (8, 2, 3, False), (9, 1, 7, False)]
