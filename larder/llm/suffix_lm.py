@@ -22,6 +22,7 @@ length; columns other than id and text don't matter.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ from larder.llm.common import WordHashes, drop_written, fold, materialize, shuff
 
 DEPTH = 5
 #: Least sightings of a context, over the square root of all training symbols; least count times divergence (in nats).
-SCALE, GAIN = 0.02, 8.0
+SCALE, GAIN = 0.005, 3.0
 #: Weight of the shorter context's distribution, in symbols.
 PRIOR = 8.0
 #: Neither byte occurs in a token: what stands before a text, and its end sign.
@@ -149,6 +150,17 @@ class Tree:
         return total
 
 
+def _packed(sorted_cells: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+    """Cells as steps from one to the next, and their counts, both compressed."""
+    return zlib.compress(np.diff(sorted_cells, prepend=np.uint64(0)).tobytes()), zlib.compress(n.tobytes())
+
+
+def _unpacked(cells: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    steps = [np.frombuffer(zlib.decompress(x), np.uint64) for x in cells]
+    n = b"".join(map(zlib.decompress, counts))
+    return np.concatenate([np.empty(0, np.uint64), *map(np.cumsum, steps)]), np.frombuffer(n, np.int64)
+
+
 def learn_tree(train: DataFrame, depth: int, scale: float, gain: float, prior: float, width: int) -> Tree:
     """Counts all runs of ``train`` (one binary column) and grows the tree level by level."""
 
@@ -203,11 +215,13 @@ def learn_tree(train: DataFrame, depth: int, scale: float, gain: float, prior: f
                 run = np.repeat(pdf["context"].to_numpy().astype(np.uint64) << np.uint64(8), size) | np.concatenate(pdf["symbols"].to_numpy()).astype(np.uint64)
                 owner = np.repeat(np.arange(len(size)), size)
                 told = np.bincount(owner, n * np.log(n / pdf["seen"].to_numpy()[owner] / known.chances(_last(run, d), d - 1)))
-                keep = told[owner] >= gain
-                yield pd.DataFrame({"cells": [run[keep].tobytes()], "counts": [n[keep].tobytes()]})
+                keep = np.flatnonzero(told[owner] >= gain)
+                keep = keep[np.argsort(run[keep])]
+                cells, counts = _packed(run[keep], n[keep])
+                yield pd.DataFrame({"cells": [cells], "counts": [counts]})
 
         kept = frequent.where(F.col("level") == d).mapInPandas(diverging, "cells binary, counts binary").toArrow()
-        tree.add_level(*(np.frombuffer(b"".join(kept.column(c).to_pylist()), kind) for c, kind in (("cells", np.uint64), ("counts", np.int64))))
+        tree.add_level(*_unpacked(kept.column("cells").to_pylist(), kept.column("counts").to_pylist()))
         shorter.unpersist()
     drop_written(frequent)
     return tree
