@@ -6,7 +6,8 @@ one run. Runs that are equal as a whole need no comparison: all but the first go
 whose minimizer other runs share, is split once more by a second minimizer. Of those strings each bucket
 builds transforms shard by shard and merges them by interleave refinement: every round sorts the merged
 rows, stably, by the symbol before them, which refines the order by one symbol; rows that no round up to the
-window's length tells apart begin with one common string. No suffixes of different shards are ever sorted
+window's length tells apart begin with one common string. A row that is alone with its symbols has its place; it
+and, round by round, those before it are merged no further. No suffixes of different shards are ever sorted
 against each other. Symbols are four bytes, so a window of 100 bytes takes 25 rounds. Where more than ``hot``
 different strings share a minimizer, their windows are dealt out one by one by 128 bits of hashes instead, and
 all but the least place of each hash go: such a group spreads over all buckets.
@@ -234,69 +235,91 @@ def strings(docs: DataFrame, window: int, width: int) -> DataFrame:
     return docs.mapInArrow(run, PACKED)
 
 
+def by_symbol(symbol: np.ndarray) -> np.ndarray:
+    """The stable order by 32-bit symbols: two radix passes of 16 bits."""
+    order = np.argsort(symbol.astype(np.uint16), kind="stable")
+    return order[np.argsort((symbol >> np.uint32(16)).astype(np.uint16)[order], kind="stable")]
+
+
 def shard_rows(word: np.ndarray, base: np.ndarray, word_bytes: int, longest: int) -> np.ndarray:
-    """A shard's suffixes in order: by their words, those that end first by place. By doubling."""
+    """A shard's suffixes in order: by their words, those that end first by place. By doubling; a suffix that is
+    alone with its beginning has its place and is sorted no more."""
     n = len(word)
-    rank = np.where(base, np.cumsum(base) - 1, word.astype(np.int64) + base.sum())
-    order = np.argsort(rank, kind="stable")
+    inner = np.flatnonzero(~base)
+    inner = inner[by_symbol(word[inner])]
+    ends = n - len(inner)
+    order = np.concatenate([np.flatnonzero(base), inner])
+    new = np.ones(n, bool)
+    new[ends + 1 :] = word[inner[1:]] != word[inner[:-1]]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     step = word_bytes
-    while True:
-        sorted_rank = rank[order]
-        new = np.r_[False, sorted_rank[1:] != sorted_rank[:-1]]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        if step >= longest or rank[order[-1]] == n - 1:
-            return order
-        ahead = np.zeros(n, np.int64)
-        ahead[: n - step] = rank[step:] + 1
-        pair = rank * (n + 2) + ahead
-        order = np.argsort(pair, kind="stable")
-        rank = pair
+    slots = np.arange(n)
+    while step < longest:
+        slots = slots[~(new[slots] & np.r_[new, True][slots + 1])]
+        if not len(slots):
+            break
+        rows = order[slots]  # equal in ``step`` bytes, so none of them ends before that
+        pair = rank[rows] * n + rank[rows + step]
+        turn = np.argsort(pair, kind="stable")
+        rows, pair = rows[turn], pair[turn]
+        order[slots], new[slots] = rows, changes(pair)
+        rank[rows] = np.maximum.accumulate(np.where(new[slots], slots, 0))
         step *= 2
+    return order
 
 
-def merged_blocks(text: np.ndarray, length: np.ndarray, window: int = WINDOW, word_bytes: int = WORD, shard: int = SHARD) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``text`` (strings one after another) in merged order, and a block number for each: equal
-    numbers, equal strings of ``window`` bytes from there on. ``window`` is a multiple of ``word_bytes``."""
+def shared_blocks(text: np.ndarray, length: np.ndarray, window: int = WINDOW, word_bytes: int = WORD, shard: int = SHARD) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``text`` (strings one after another) whose ``window`` bytes stand at other places too, in merged
+    order, and a block number for each: equal numbers, equal strings. ``window`` is a multiple of ``word_bytes``."""
     # Each string gets one more word, so that a window at its end is followed by a suffix too.
     own = np.repeat(np.arange(len(length)), length)
     padded = np.zeros(len(text) + word_bytes * len(length), np.uint8)
     padded[np.arange(len(text)) + word_bytes * own] = text
     length = length + word_bytes
-    own = np.repeat(np.arange(len(length)), length)
+    own = np.repeat(np.arange(len(length), dtype=np.int32), length)
     n = len(padded)
     start = np.cumsum(length) - length
-    offset = np.arange(n) - start[own]
+    offset = (np.arange(n) - start[own]).astype(np.int32)
     base = offset + word_bytes >= length[own]
-    word = np.zeros(n, np.uint64)
+    word = np.zeros(n, np.uint32)
     for j in range(word_bytes):
-        word[: n - j] = (word[: n - j] << np.uint64(8)) | padded[j:]
-    code = np.unique(word, return_inverse=True)[1]
-    code = code.astype(np.uint16 if code.max() < 65536 else np.uint32)
+        word[: n - j] = (word[: n - j] << np.uint32(8)) | padded[j:]
     # Shards are runs of whole strings; their transforms stand one after another.
-    owner = (start // shard).astype(np.int64)
-    owner = np.unique(owner, return_inverse=True)[1]
-    cut = np.r_[start[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])], n]
-    rows = np.concatenate([a + shard_rows(code[a:b], base[a:b], word_bytes, int(length.max()) + word_bytes) for a, b in zip(cut[:-1], cut[1:])])
-    source = np.repeat(np.arange(len(cut) - 1), np.diff(cut)).astype(np.uint8 if len(cut) < 256 else np.uint16 if len(cut) < 65536 else np.int64)
+    owner = start // shard
+    cut = np.r_[start[changes(owner)], n]
+    rows = np.concatenate([a + shard_rows(word[a:b], base[a:b], word_bytes, int(length.max()) + word_bytes) for a, b in zip(cut[:-1], cut[1:])])
+    # Of each row the symbol before it, and the row of the suffix that begins there.
+    row_at = np.empty(n, np.int64)
+    row_at[rows] = np.arange(n)
     has_before = offset[rows] >= word_bytes
-    before = np.where(has_before, code[rows - np.where(has_before, word_bytes, 0)], 0).astype(code.dtype)
-    ends = source[base[rows]]  # of each shard, the suffixes too short for a word: always first
-    merged, block = np.arange(n), np.zeros(n, np.int64)
+    at = rows - np.where(has_before, word_bytes, 0)
+    before, back = word[at], row_at[at]
+    merged = np.arange(n)
+    block = np.zeros(n, np.int64)
     for _ in range(window // word_bytes):
         live = has_before[merged]
-        now = merged[live]
-        symbol = before[now]
-        order = np.argsort(symbol, kind="stable")
-        symbol, held = symbol[order], block[live][order]
-        turn = np.concatenate([ends, source[now[order]]])
-        place = np.empty(n, np.int64)
-        place[np.argsort(turn, kind="stable")] = np.arange(n)
-        new = np.r_[True, (symbol[1:] != symbol[:-1]) | (held[1:] != held[:-1])] if len(symbol) else np.empty(0, bool)
-        merged, block = place, np.concatenate([np.arange(len(ends)), len(ends) - 1 + np.cumsum(new)])
+        merged, block = merged[live], block[live]
+        if not len(merged):
+            break
+        symbol = before[merged]
+        order = by_symbol(symbol)
+        symbol, merged = symbol[order], back[merged[order]]
+        new = changes(symbol, block[order])
+        # A row alone in its block is settled, and so is, a round later, the one before it: both leave.
+        met = ~(new & np.r_[new[1:], True])
+        merged, block = merged[met], np.cumsum(new)[met]
     rows = rows[merged]
-    inner = ~base[rows]
-    return rows[inner] - word_bytes * own[rows[inner]], block[inner]
+    return rows - word_bytes * own[rows], block
+
+
+def merged_blocks(text: np.ndarray, length: np.ndarray, window: int = WINDOW, word_bytes: int = WORD, shard: int = SHARD) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`shared_blocks`, and after them all other places, each in a block of its own."""
+    at, block = shared_blocks(text, length, window, word_bytes, shard)
+    alone = np.ones(len(text), bool)
+    alone[at] = False
+    alone = np.flatnonzero(alone)
+    return np.concatenate([at, alone]), np.concatenate([block, len(text) + 1 + np.arange(len(alone))])
 
 
 def _repeats(window: int, width: int):
@@ -320,7 +343,7 @@ def _repeats(window: int, width: int):
         need = order[lead & (many | (size[order] >= SELF))]
         if len(need):
             n = length[need]
-            at, block = merged_blocks(text[spread(start[need], n)], n, window)
+            at, block = shared_blocks(text[spread(start[need], n)], n, window)
             string = np.repeat(np.arange(len(need)), n)[at]
             offset = at - (np.cumsum(n) - n)[string]
             full = offset + window <= n[string]
