@@ -60,9 +60,27 @@ def worker_state() -> dict:
     return sys.modules.setdefault("_larder_llm_state", types.ModuleType("_larder_llm_state")).__dict__
 
 
-def shuffle_width(spark: SparkSession, least: int = 48) -> int:
-    """How many buckets an operator deals its packed rows to."""
-    return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+#: Bytes of text for each bucket, and buckets beyond which a bucket's share grows as the number does.
+BUCKET_BYTES, MANY = 4 << 20, 1 << 15
+
+
+def text_bytes(docs: DataFrame, text: str = "text") -> int:
+    return docs.agg(F.sum(F.octet_length(text).cast("bigint"))).first()[0] or 0
+
+
+def shuffle_width(spark: SparkSession, size: int = 0, least: int = 48) -> int:
+    """How many buckets an operator deals the packed rows of ``size`` bytes of text to: one for each 4 MB up to 128 GB;
+    of more text both the buckets and what one holds grow with the square root (110 MB at 100 TB)."""
+    wanted = size // BUCKET_BYTES
+    if wanted > MANY:
+        wanted = int((wanted * MANY) ** 0.5)
+    return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+
+
+def dealt(packed: DataFrame, width: int, bucket: str = "bucket") -> DataFrame:
+    """Rows by bucket, to a task for each where there are more buckets than the session's shuffle partitions."""
+    few = width <= max(48, int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return packed if few else packed.repartition(width, bucket)
 
 
 #: A-Z in lower case, every other byte as it is.

@@ -27,17 +27,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import materialize, mix64, shuffle_width
+from larder.llm.common import dealt, materialize, mix64, shuffle_width, text_bytes
 from larder.llm.windows import minimizer_runs, window_hashes
 
 WINDOW = 100
 #: Bytes of the two minimizers, and of one symbol of a transform.
 GRAM, SECOND_GRAM, WORD = 32, 16, 4
-#: Bytes of strings in one shard of a bucket.
-SHARD = 1 << 17
+#: Bytes of strings in one shard of a bucket, and of those merged at once (one key's are never parted).
+SHARD, AT_ONCE = 1 << 16, 1 << 18
+#: Bytes of texts that are hashed side by side.
+SIDE_BY_SIDE = 1 << 15
 #: Strings of one minimizer beyond which their windows are compared one by one, and how many of those are held.
 HOT, HELD = 1 << 14, 500_000
 #: Marks a run whose windows may equal each other, and one of a hot minimizer.
@@ -107,16 +110,38 @@ def first_of_equal(key, whole, doc, first):
     return order, changes(k), at_least_place(changes(k, w), doc[order], first[order])
 
 
+def together(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray]]:
+    """(doc, text, version) rows by the handful: short texts are hashed side by side."""
+    ids, versions = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
+    size = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size, dtype=np.int64) // SIDE_BY_SIDE
+    cut = np.flatnonzero(changes(part)).tolist() if len(part) else []
+    for a, b in zip(cut, [*cut[1:], len(part)]):
+        yield ids[a:b], batch.column(1).slice(a, b - a).to_pylist(), versions[a:b]
+
+
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts one after another, where each starts (and the last one ends), and of each byte its text's number."""
+    length = np.asarray([len(t) for t in texts], np.int64)
+    start = np.r_[0, np.cumsum(length)]
+    return np.frombuffer(b"".join(texts), np.uint8), start, np.repeat(np.arange(len(texts)), length)
+
+
 def runs(docs: DataFrame, window: int, width: int) -> DataFrame:
     """All runs, dealt out by minimizer; of equal runs in one batch only the first, the others are gone already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[list[np.ndarray]] = [[], [], [], [], []]
-            for doc, cell, version in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                v, first, size, whole, own = minimizer_runs(np.frombuffer(cell.as_py(), np.uint8), window, GRAM)
-                for column, x in zip(made, (v, whole, np.full(len(v), doc, np.int64), first | version << VERSION, size | SELF * own)):
-                    column.append(x)
+            for docs_, texts, versions in together(batch):
+                x, start, within = joined(texts)
+                if len(within) >= window:  # windows over an edge belong to no text
+                    edge = start[1:, None] - np.arange(1, window)
+                    within[edge.ravel()] = -1
+                v, first, size, whole, own = minimizer_runs(x, window, GRAM, 1, within[: len(x) - window + 1])
+                of = within[first]
+                for column, y in zip(made, (v, whole, docs_[of], first - start[of] | versions[of] << VERSION, size | SELF * own)):
+                    column.append(y)
             if made[0]:
                 key, whole, doc, first, size = map(np.concatenate, made)
                 order, _, lead = first_of_equal(key, whole, doc, first)
@@ -185,11 +210,30 @@ def strings(docs: DataFrame, window: int, width: int) -> DataFrame:
         rows += pack_rows(GONE, doc_bucket(doc[tail], width), doc=doc[tail], first=first[tail], size=np.ones(len(tail), np.int64))
         return arrow(rows)
 
+    def split(near: list[tuple], made: list[list]) -> None:
+        doc, version = (np.asarray([t[i] for t in near], np.int64) for i in (0, 1))
+        texts = [t[2] for t in near]
+        x, start, _ = joined(texts)
+        key, length = (np.concatenate([t[i] for t in near]) for i in (3, 5))
+        at = np.concatenate([t[4] + a for t, a in zip(near, start.tolist())])
+        within = np.full(max(0, len(x) - window + 1), -1, np.int32)
+        plain = length & ~SELF
+        within[spread(at, plain)] = np.repeat(np.arange(len(at), dtype=np.int32), plain)
+        v, first, size, whole, own = minimizer_runs(x, window, SECOND_GRAM, 2, within)
+        parent = within[first]
+        own = own | (length[parent] >= SELF)
+        of = np.searchsorted(start, first, "right") - 1
+        for column, y in zip(made, (mix64(key[parent] + mix64(v)), whole, doc[of], first - start[of] | version[of] << VERSION, size | SELF * own)):
+            column.append(y)
+        whole_text = b"".join(texts)
+        made[5] += [whole_text[a:b] for a, b in zip(first.tolist(), (first + size + window - 1).tolist())]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[list] = [[], [], [], [], [], []]
             held: list[list[np.ndarray]] = [[], [], [], []]
-            holds = 0
+            near: list[tuple] = []
+            holds = size_near = 0
             for doc, version, text, *cells in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 key, at, length = (np.frombuffer(c, t) for c, t in zip(cells, (np.uint64, np.int64, np.int64)))
                 fits = at + (length & SELF - 1) + window - 1 <= len(text)
@@ -206,18 +250,13 @@ def strings(docs: DataFrame, window: int, width: int) -> DataFrame:
                             yield alone(held)
                             held, holds = [[], [], [], []], 0
                 fits &= ~wide
-                key, at, length = key[fits], at[fits], length[fits]
-                within = np.full(max(0, len(text) - window + 1), -1, np.int32)
-                plain = length & ~SELF
-                slots = spread(at, plain)
-                within[slots] = np.repeat(np.arange(len(at), dtype=np.int32), plain)
-                v, first, size, whole, own = minimizer_runs(np.frombuffer(text, np.uint8), window, SECOND_GRAM, 2, within)
-                parent = within[first]
-                own = own | (length[parent] >= SELF)
-                both = mix64(key[parent] + mix64(v))
-                for column, x in zip(made, (both, whole, np.full(len(v), doc, np.int64), first | version << VERSION, size | SELF * own)):
-                    column.append(x)
-                made[5] += [text[a:b] for a, b in zip(first.tolist(), (first + size + window - 1).tolist())]
+                near.append((doc, version, text, key[fits], at[fits], length[fits]))
+                size_near += len(text)
+                if size_near >= SIDE_BY_SIDE:
+                    split(near, made)
+                    near, size_near = [], 0
+            if near:
+                split(near, made)
             if holds:
                 yield alone(held)
             if made[0]:
@@ -273,26 +312,25 @@ def shared_blocks(text: np.ndarray, length: np.ndarray, window: int = WINDOW, wo
     """Places of ``text`` (strings one after another) whose ``window`` bytes stand at other places too, in merged
     order, and a block number for each: equal numbers, equal strings. ``window`` is a multiple of ``word_bytes``."""
     # Each string gets one more word, so that a window at its end is followed by a suffix too.
-    own = np.repeat(np.arange(len(length)), length)
-    padded = np.zeros(len(text) + word_bytes * len(length), np.uint8)
-    padded[np.arange(len(text)) + word_bytes * own] = text
-    length = length + word_bytes
-    own = np.repeat(np.arange(len(length), dtype=np.int32), length)
-    n = len(padded)
-    start = np.cumsum(length) - length
-    offset = (np.arange(n) - start[own]).astype(np.int32)
-    base = offset + word_bytes >= length[own]
+    n = len(text) + word_bytes * len(length)
+    ends = np.cumsum(length + word_bytes)
+    start = ends - length - word_bytes
+    base, begins = np.zeros(n, bool), np.zeros(n, bool)
+    for j in range(word_bytes):
+        base[ends - j - 1] = begins[start + j] = True
+    padded = np.zeros(n + word_bytes - 1, np.uint8)
+    padded[:n][~base] = text
     word = np.zeros(n, np.uint32)
     for j in range(word_bytes):
-        word[: n - j] = (word[: n - j] << np.uint32(8)) | padded[j:]
+        word = word << np.uint32(8) | padded[j : j + n]
     # Shards are runs of whole strings; their transforms stand one after another.
     owner = start // shard
     cut = np.r_[start[changes(owner)], n]
-    rows = np.concatenate([a + shard_rows(word[a:b], base[a:b], word_bytes, int(length.max()) + word_bytes) for a, b in zip(cut[:-1], cut[1:])])
+    rows = np.concatenate([a + shard_rows(word[a:b], base[a:b], word_bytes, int(length.max()) + 2 * word_bytes) for a, b in zip(cut[:-1], cut[1:])])
     # Of each row the symbol before it, and the row of the suffix that begins there.
     row_at = np.empty(n, np.int64)
     row_at[rows] = np.arange(n)
-    has_before = offset[rows] >= word_bytes
+    has_before = ~begins[rows]
     at = rows - np.where(has_before, word_bytes, 0)
     before, back = word[at], row_at[at]
     merged = np.arange(n)
@@ -310,7 +348,7 @@ def shared_blocks(text: np.ndarray, length: np.ndarray, window: int = WINDOW, wo
         met = ~(new & np.r_[new[1:], True])
         merged, block = merged[met], np.cumsum(new)[met]
     rows = rows[merged]
-    return rows - word_bytes * own[rows], block
+    return rows - word_bytes * np.searchsorted(ends, rows, "right"), block
 
 
 def merged_blocks(text: np.ndarray, length: np.ndarray, window: int = WINDOW, word_bytes: int = WORD, shard: int = SHARD) -> tuple[np.ndarray, np.ndarray]:
@@ -341,14 +379,18 @@ def _repeats(window: int, width: int):
         gone = order[~lead]
         out += pack_rows(GONE, doc_bucket(doc[gone], width), doc=doc[gone], first=first[gone], size=size[gone] & ~SELF)
         need = order[lead & (many | (size[order] >= SELF))]
-        if len(need):
+        # Equal windows have one key, so strings are merged some keys at a time: what fits a processor's cache.
+        begin = changes(key[need])
+        part = (np.cumsum(length[need])[begin][np.cumsum(begin) - 1] // AT_ONCE) if len(need) else need
+        marked: list[list[np.ndarray]] = [[], [], []]
+        for need in np.split(need, np.flatnonzero(changes(part))[1:]) if len(need) else ():
             n = length[need]
             at, block = shared_blocks(text[spread(start[need], n)], n, window)
-            string = np.repeat(np.arange(len(need)), n)[at]
-            offset = at - (np.cumsum(n) - n)[string]
-            full = offset + window <= n[string]
-            string, offset, block = string[full], offset[full], block[full]
-            d, p = doc[need][string], first[need][string] + offset
+            ends = np.cumsum(n)
+            string = np.searchsorted(ends, at, "right")
+            full = at + window <= ends[string]
+            at, string, block = at[full], string[full], block[full]
+            d, p = doc[need][string], first[need][string] + at - (ends - n)[string]
             order = np.lexsort((p, p & START, d, block))
             later = order[~at_least_place(changes(block[order]), d[order], p[order])]
             d, p = d[later], p[later]
@@ -356,7 +398,11 @@ def _repeats(window: int, width: int):
             d, p = d[order], p[order]
             if len(d):
                 a = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1)])
-                out += pack_rows(GONE, doc_bucket(d[a], width), doc=d[a], first=p[a], size=np.diff(np.r_[a, len(d)]))
+                for column, y in zip(marked, (d[a], p[a], np.diff(np.r_[a, len(d)]))):
+                    column.append(y)
+        if marked[0]:
+            d, p, n = map(np.concatenate, marked)
+            out += pack_rows(GONE, doc_bucket(d, width), doc=d, first=p, size=n)
         return frame(out)
 
     return repeats
@@ -379,15 +425,15 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> Dat
     """(doc, version, first, size): packed starts and numbers of the windows of each text that also start earlier."""
     if window % WORD or not GRAM <= window < SELF:
         raise ValueError(f"a window has {GRAM} to {SELF - WORD} bytes, a multiple of {WORD}, not {window}")
-    width = shuffle_width(rows.sparkSession)
     rows = rows.where(F.col("doc").isNotNull() & (F.octet_length("text") >= window))
-    found = materialize(runs(rows, window, width).groupBy("bucket").applyInPandas(_split(width, hot), PACKED), "runs")
+    width = shuffle_width(rows.sparkSession, text_bytes(rows))
+    found = materialize(dealt(runs(rows, window, width), width).groupBy("bucket").applyInPandas(_split(width, hot), PACKED), "runs")
     by_doc = "doc bigint, version bigint, key binary, first binary, size binary"
-    wanted = found.where(f"kind = {OPEN}").groupBy("bucket").applyInPandas(_by_doc, by_doc)
+    wanted = dealt(found.where(f"kind = {OPEN}"), width).groupBy("bucket").applyInPandas(_by_doc, by_doc)
     sent = strings(rows.join(wanted, ["doc", "version"]).select("doc", "version", "text", "key", "first", "size"), window, width)
-    more = materialize(sent.groupBy("bucket").applyInPandas(_repeats(window, width), PACKED), "repeats")
+    more = materialize(dealt(sent, width).groupBy("bucket").applyInPandas(_repeats(window, width), PACKED), "repeats")
     gone = found.where(f"kind = {GONE}").unionByName(more)
-    return gone.groupBy("bucket").applyInPandas(_by_doc, by_doc).drop("key")
+    return dealt(gone, width).groupBy("bucket").applyInPandas(_by_doc, by_doc).drop("key")
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False, doc_id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
