@@ -20,7 +20,8 @@ def join_valid(
 
     ``on`` maps fact columns to key columns. Versions are spread over the time buckets they touch, within the days that facts have,
     so key and bucket are an equi-key and the days are compared only inside: the work is linear in facts and in
-    touched buckets, and adaptive execution splits the facts of a hot key. A fact without a valid version, or with a NULL key
+    touched buckets, and adaptive execution splits the facts of a hot key. The spread versions are merged and never broadcast:
+    they are many times what their files' size makes Spark expect. A fact without a valid version, or with a NULL key
     or time, keeps NULLs; a fact in several overlapping versions is repeated, which histories of this package never cause.
     """
     taken = {c.lower() for c in facts.columns}
@@ -44,4 +45,4 @@ def join_valid(
     same = [F.col(f) == F.col(f"_key{i}") for i, f in enumerate(on)]
     same += [F.col("_at_bucket") == F.col("_bucket"), F.col("_day") >= F.col("_from")]
     same.append(F.col("_to").isNull() | (F.col("_day") < F.col("_to")))
-    return here.join(spread, same, "left").select(*facts.columns, *columns)
+    return here.join(spread.hint("merge"), same, "left").select(*facts.columns, *columns)
