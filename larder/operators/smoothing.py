@@ -2,29 +2,88 @@
 
 A product's weeks are one array, folded in order; nothing but that array per product is shuffled, and an array
 has one entry per week of ``demand.FIRST_DAY`` to ``demand.LAST_DAY`` at most. In each week the one-step forecast is level + trend + season; its
-error moves the level by ``alpha``, the trend by ``beta`` and the week's place in the season by ``gamma`` of it.
+error moves the level by ``alpha``, the trend by ``beta`` and the week's place in the season by ``gamma`` of it. The products of an Arrow
+batch take each week side by side, some thousands at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from larder.operators.demand import HORIZON_WEEKS, SEASON_WEEKS
 
+# Executors need not have this repository.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Parameters tried for every product: alpha, beta, gamma.
 GRID = ((0.02, 0.0, 0.0), (0.1, 0.0, 0.0), (0.1, 0.01, 0.0), (0.02, 0.0, 0.05))
 #: Weeks that share a place in the season, weeks of the backtest at most, and the share of a product's weeks it takes at most.
 SEASON_STEP, TEST_WEEKS, TEST_SHARE = 4, 26, 4
 
 
-def _place(week: str) -> str:
-    return f"cast(({week}) % {SEASON_WEEKS} div {SEASON_STEP} as int)"
+#: Products folded side by side, and entries of their arrays at most.
+SIDE_BY_SIDE, ENTRIES = 4096, 2_000_000
+
+
+def _place(week: np.ndarray) -> np.ndarray:
+    return week % SEASON_WEEKS // SEASON_STEP
 
 
-def _double(x: float) -> str:
-    return f"cast({x!r} as double)"
+def _fold(first: np.ndarray, n: np.ndarray, cents: np.ndarray, grid, horizon: int, test_weeks: int) -> dict[str, np.ndarray]:
+    """The fit of some products, sorted by falling ``n``. ``cents``: a row per week, a column per product, 0 beyond its last week.
+
+    Products with more weeks have as many to train on and to test on, so those still running are always the first ones.
+    """
+    y = cents / 100.0
+    train = n - np.minimum(test_weeks, n // TEST_SHARE)
+    every = np.arange(len(n))
+    known = np.minimum(SEASON_WEEKS, train)
+    start = np.where(np.arange(min(SEASON_WEEKS, len(y)))[:, None] < known, cents[:SEASON_WEEKS], 0).sum(axis=0) / 100.0 / known
+
+    def running(weeks: np.ndarray) -> Iterator[tuple[int, int]]:
+        counts = np.searchsorted(-weeks, -np.arange(weeks.max(initial=0)), side="left")
+        return enumerate(counts.tolist())
+
+    def step(k: int, t: np.ndarray, v: np.ndarray, level, trend, season, ahead, alpha, beta, gamma) -> np.ndarray:
+        """Takes the week ``t`` into the state of the first k products; returns what the forecast missed."""
+        missed = v - ahead[:k]
+        level[:k] = level[:k] + trend[:k] + alpha * missed
+        trend[:k] = trend[:k] + beta * missed
+        season[every[:k], _place(first[:k] + t)] += gamma * missed
+        ahead[:k] = level[:k] + trend[:k] + season[every[:k], _place(first[:k] + t + 1)]
+        return missed
+
+    parameters = np.asarray(grid, np.float64).T
+    shape = (len(n), len(grid))
+    level = np.repeat(start[:, None], len(grid), axis=1)
+    trend, season, ahead, fit = np.zeros(shape), np.zeros((len(n), SEASON_WEEKS // SEASON_STEP, len(grid))), level.copy(), np.zeros(shape)
+    for t, k in running(train):
+        missed = step(k, t, y[t, :k, None], level, trend, season, ahead, *parameters)
+        fit[:k] += missed * missed
+    best = fit.argmin(axis=1)
+    level, trend, season, ahead = level[every, best], trend[every, best], season[every, :, best], ahead[every, best]
+    alpha, beta, gamma = parameters[:, best]
+    ae, se, nae, nse = np.zeros((4, len(n)))
+    for j, k in running(n - train):
+        t = train[:k] + j
+        v = y[t, every[:k]]
+        off = v - np.maximum(ahead[:k], 0.0)
+        naive = v - np.where(t >= SEASON_WEEKS, y[np.maximum(t - SEASON_WEEKS, 0), every[:k]], y[t - 1, every[:k]])
+        for total, x in ((ae, np.abs(off)), (se, off * off), (nae, np.abs(naive)), (nse, naive * naive)):
+            total[:k] += x
+        step(k, t, v, level, trend, season, ahead, alpha[:k], beta[:k], gamma[:k])
+    h = np.arange(1, horizon + 1)
+    week = (first + n - 1)[:, None] + h
+    forecast = np.maximum(level[:, None] + h * trend[:, None] + season[every[:, None], _place(week)], 0.0)
+    whole = {"n_weeks": n, "n_tested": n - train, "alpha": alpha, "beta": beta, "gamma": gamma, "ae": ae, "se": se, "nae": nae, "nse": nse}
+    return {"week": week.ravel(), "forecast": forecast.ravel()} | {c: np.repeat(x, horizon) for c, x in whole.items()}
 
 
 def fitted_forecast(
@@ -38,51 +97,32 @@ def fitted_forecast(
     from all weeks before it. ``naive_*`` are the errors of last season's same week there, or of the week before
     where a product is younger than a season. A product with fewer than four weeks has no errors (NULL). No forecast is below 0.
     """
-    season = SEASON_WEEKS // SEASON_STEP
-    parameters = ", ".join(
-        f"named_struct('alpha', {_double(a)}, 'beta', {_double(b)}, 'gamma', {_double(c)})" for a, b, c in grid
-    )
-    facts = arrays.selectExpr("l_partkey", "first_week", "transform(sold, x -> x / 100D) as y", "sold", "size(sold) as n")
-    facts = facts.selectExpr("*", f"n - cast(least({test_weeks}, n div {TEST_SHARE}) as int) as train")
-    first = f"slice(sold, 1, least({SEASON_WEEKS}, train))"
-    # A week as the fold sees it: what was sold, its place in the season and that of the week after.
-    week = f"named_struct('y', v, 'p', {_place('first_week + t')}, 'q', {_place('first_week + t + 1')})"
-    facts = facts.selectExpr(
-        "*", f"aggregate({first}, 0L, (a, x) -> a + x) / 100D / size({first}) as start",
-        f"transform(y, (v, t) -> {week}) as weeks",
-        f"""transform(slice(sequence(0, n - 1), train + 1, n - train),
-              t -> y[t] - if(t >= {SEASON_WEEKS}, get(y, t - {SEASON_WEEKS}), get(y, t - 1))) as naive""",
-    )
+    whole = ("week", "n_weeks", "n_tested")
+    columns = ["week", "forecast", "n_weeks", "n_tested", "alpha", "beta", "gamma", "ae", "se", "nae", "nse"]
+    fields = [StructField(c, IntegerType() if c in whole else DoubleType()) for c in columns]
 
-    def step(g: str, *more: str) -> str:
-        """The state after week ``x``: level, trend, season and the forecast ``f`` of the week after."""
-        missed = "(x.y - st.f)"
-        level, trend = f"(st.l + st.b + {g}.alpha * {missed})", f"(st.b + {g}.beta * {missed})"
-        moved = f"transform(st.s, (v, j) -> if(j = x.p, v + {g}.gamma * {missed}, v))"
-        place = f"if(x.q = x.p, st.s[x.q] + {g}.gamma * {missed}, st.s[x.q])"
-        fields = [f"'l', {level}, 'b', {trend}, 's', if({g}.gamma = 0D, st.s, {moved}), 'f', {level} + {trend} + {place}", *more]
-        return f"named_struct({', '.join(fields)})"
-
-    begin = f"named_struct('l', start, 'b', 0D, 's', array_repeat(0D, {season}), 'f', start, 'fit', 0D)"
-    fit = f"aggregate(slice(weeks, 1, train), {begin}, (st, x) -> {step('g', "'fit', st.fit + (x.y - st.f) * (x.y - st.f)")})"
-    tried = f"transform(transform(array({parameters}), (g, i) -> named_struct('i', i, 'g', g, 'r', {fit})), m -> named_struct('fit', m.r.fit, 'i', m.i, 'g', m.g, 'r', m.r))"
-    best = facts.selectExpr("*", f"array_min({tried}) as fitted")
-    off = "(x.y - greatest(st.f, 0D))"
-    tested = step("fitted.g", f"'ae', st.ae + abs{off}", f"'se', st.se + {off} * {off}")
-    begin = "named_struct('l', fitted.r.l, 'b', fitted.r.b, 's', fitted.r.s, 'f', fitted.r.f, 'ae', 0D, 'se', 0D)"
-    best = best.selectExpr(
-        "*", f"named_struct('g', fitted.g, 'r', aggregate(slice(weeks, train + 1, n - train), {begin}, (st, x) -> {tested})) as best"
-    )
-    ahead = f"""explode(transform(sequence(1, {horizon}), h -> named_struct('week', first_week + n + h - 1,
-        'forecast', greatest(best.r.l + h * best.r.b + best.r.s[{_place("first_week + n + h - 1")}], 0D)))) as w"""
-    out = best.selectExpr(
-        "l_partkey", "n as n_weeks", "n - train as n_tested", "best", ahead,
-        "aggregate(naive, 0D, (a, x) -> a + abs(x)) as nae", "aggregate(naive, 0D, (a, x) -> a + x * x) as nse",
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            weeks = batch.column(2).value_lengths().to_numpy().astype(np.int64)
+            sold, begin = batch.column(2).flatten().to_numpy(), np.cumsum(weeks) - weeks
+            order = np.argsort(-weeks, kind="stable")
+            at = 0
+            while at < len(order):
+                some = order[at : at + max(1, min(SIDE_BY_SIDE, ENTRIES // max(1, int(weeks[order[at]]))))]
+                at += len(some)
+                n = weeks[some]
+                t = np.arange(n[0])[:, None]
+                cents = np.where(t < n, sold[np.minimum(begin[some] + t, len(sold) - 1)], 0)
+                first = batch.column(1).take(pa.array(some)).to_numpy().astype(np.int64)
+                made = _fold(first, n, cents, grid, horizon, test_weeks)
+                made = [pa.array(made[c], pa.int32() if c in whole else pa.float64()) for c in columns]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(some, horizon))), *made], names=["l_partkey", *columns])
+
+    facts = arrays.select("l_partkey", "first_week", "sold")
+    out = facts.mapInArrow(run, StructType([StructField("l_partkey", arrays.schema["l_partkey"].dataType), *fields]))
     per = "nullif(n_tested, 0)"
     return out.selectExpr(
-        "l_partkey", "w.week", "w.forecast", "n_weeks", "n_tested",
-        "best.g.alpha", "best.g.beta", "best.g.gamma",
-        f"best.r.ae / {per} as mae", f"sqrt(best.r.se / {per}) as rmse",
+        "l_partkey", "week", "forecast", "n_weeks", "n_tested", "alpha", "beta", "gamma",
+        f"ae / {per} as mae", f"sqrt(se / {per}) as rmse",
         f"nae / {per} as naive_mae", f"sqrt(nse / {per}) as naive_rmse",
     )

@@ -193,3 +193,15 @@ def test_versions_valid_at_a_time(spark):
         join_valid(f, v.withColumnRenamed("name", "K"), {"k": "key"}, "at", ["K"])
     assert join_valid(f.where("false"), v, {"k": "key"}, "at", ["name"]).collect() == []
     assert join_valid(f, v.where("false"), {"k": "key"}, "at", ["name"]).where("name is null").count() == len(facts)
+
+
+def test_fitted_weeks_side_by_side(spark, demand_series, monkeypatch):
+    """Weeks are folded for many products at once, not one by one in an interpreted function; slabs don't show."""
+    lines = sales(spark, [(p, first + t, q) for p, (first, y) in demand_series.items() for t, q in enumerate(y) if q])
+    arrays = DM.weekly_arrays(DM.weekly_demand(lines))
+    whole = SM.fitted_forecast(arrays)
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "aggregate(" not in plan
+    want = sorted(whole.collect())
+    monkeypatch.setattr(SM, "ENTRIES", 400)
+    assert sorted(SM.fitted_forecast(arrays).collect()) == want
