@@ -205,3 +205,13 @@ def test_fitted_weeks_side_by_side(spark, demand_series, monkeypatch):
     want = sorted(whole.collect())
     monkeypatch.setattr(SM, "ENTRIES", 400)
     assert sorted(SM.fitted_forecast(arrays).collect()) == want
+
+
+def test_lags_without_an_object_per_week(spark):
+    """Weeks become rows before their lags are looked up; a week that only has missing quantities sold 0."""
+    weekly = spark.createDataFrame([(1, 1400, 3), (1, 1401, None), (1, 1402, 4)], "l_partkey bigint, week int, qty int")
+    weekly = weekly.withColumn("qty", F.col("qty").cast("decimal(22,2)"))
+    got = DM.seasonal_naive_forecast(weekly, season=2, horizon=1)
+    assert "named_struct" not in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = {r.week: tuple(None if x is None else float(x) for x in r[2:]) for r in got.collect()}
+    assert rows == {1400: (3, None, 0), 1401: (0, None, 0.75), 1402: (4, 3, 0.75), 1403: (None, 0, 1.75)}
