@@ -29,12 +29,12 @@ def _read(spark, sf_dir, name):
           from lineitem left join orders on l_orderkey = o_orderkey) group by all""",
 )
 def supplier_lead_times(spark, sf_dir):
-    """Summaries of days, stored by month, merged per supplier. Exact up to 4096 lines of a supplier, within 0.05 % in rank beyond."""
-    daily = LT.daily_summaries(LT.lead_days(_read(spark, sf_dir, "lineitem"), _read(spark, sf_dir, "orders")))
+    """Counts of days by lead, stored by month, merged per supplier. Exact at any size."""
+    daily = LT.daily_counts(LT.lead_days(_read(spark, sf_dir, "lineitem"), _read(spark, sf_dir, "orders")))
     daily = daily.withColumn("ship_month", F.date_format("ship_day", "yyyy-MM"))
     stored = write_partitions(daily, scratch(spark, "lead-times"), ["ship_month"])
     days = read_partitions(spark, stored, daily.schema)
-    return LT.lead_quantiles(LT.merged_summaries(days, ["l_suppkey"]), {"p50_days": 0.5, "p90_days": 0.9})
+    return LT.count_quantiles(LT.merged_counts(days, ["l_suppkey"]), ["l_suppkey"], {"p50_days": 0.5, "p90_days": 0.9})
 
 
 @query(

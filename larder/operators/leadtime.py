@@ -4,13 +4,18 @@ A summary is a quantile sketch (KLL) of the days from order to shipment, kept pe
 merge into those of any span without going back to the facts. With ``k`` items a quantile's rank is off by
 at most 0.05 % of the rows at the default (with 99 % confidence), and not at all up to ``k`` rows. Sketches drop items at random, so
 a repeated task may give another summary within the same error.
+
+A sketch takes memory for all its ``k`` items however few rows it has seen, so where most days have a line or two, counts by lead
+are the lighter summary: they merge by addition and their quantiles are exact at any size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 K = 4096
@@ -50,3 +55,30 @@ def lead_quantiles(summaries: DataFrame, quantiles: dict[str, float]) -> DataFra
     known = F.col("n_lines") > F.col("n_undated")
     found = [F.when(known, F.kll_sketch_get_quantile_bigint("sketch", F.lit(q))).alias(c) for c, q in quantiles.items()]
     return summaries.select(*[c for c in summaries.columns if c != "sketch"], *found)
+
+
+def daily_counts(leads: DataFrame) -> DataFrame:
+    """One row per supplier, shipping day and days from order to shipment (NULL: undated): n_lines. Summed up in every task first."""
+    return leads.groupBy("l_suppkey", "ship_day", "lead").agg(F.count("*").alias("n_lines"))
+
+
+def merged_counts(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Counts of days (or of spans) as one row per ``by`` and lead."""
+    return counts.groupBy(*by, "lead").agg(F.sum("n_lines").alias("n_lines"))
+
+
+def count_quantiles(counts: DataFrame, by: Sequence[str], quantiles: dict[str, float]) -> DataFrame:
+    """Per ``by``: n_lines, n_undated, n_early and for each quantile q the least lead that q of the dated lines do not exceed.
+
+    ``counts`` comes from :func:`merged_counts`, so what is sorted per group are its different leads, not its lines.
+    """
+    dated = F.when(F.col("lead").isNotNull(), F.col("n_lines")).otherwise(0)
+    group = W.partitionBy(*by)
+    upto = group.orderBy("lead").rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = counts.withColumns({"_upto": F.sum(dated).over(upto), "_known": F.sum(dated).over(group)})
+    return placed.groupBy(*by).agg(
+        F.sum("n_lines").alias("n_lines"),
+        F.sum(F.when(F.col("lead").isNull(), F.col("n_lines")).otherwise(0)).alias("n_undated"),
+        F.sum(F.when(F.col("lead") < 0, F.col("n_lines")).otherwise(0)).alias("n_early"),
+        *[F.min(F.when(F.col("_upto") >= F.col("_known") * F.lit(Decimal(str(q))), F.col("lead"))).alias(c) for c, q in quantiles.items()],
+    )

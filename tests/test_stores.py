@@ -58,6 +58,20 @@ def test_a_hot_supplier_is_summed_up_in_every_task(spark):
     assert "partial_kll_sketch_agg_bigint" in plan
 
 
+def test_counted_lead_times(spark):
+    """Exact beyond the items of a sketch, and no sketch for each supplier and day."""
+    n = 30_000
+    leads = leads_of(spark, n, 2).unionByName(spark.sql("select 5L l_suppkey, date'2024-01-01' ship_day, explode(array(-2L, null, 3L)) lead"), allowMissingColumns=True)
+    daily = LT.daily_counts(leads)
+    assert "kll" not in daily._jdf.queryExecution().executedPlan().toString()
+    rows = LT.count_quantiles(LT.merged_counts(daily, ["l_suppkey"]), ["l_suppkey"], {"p50": 0.5, "p90": 0.9}).collect()
+    got = {r.l_suppkey: tuple(r)[1:] for r in rows}
+    assert got.pop(5) == (3, 1, 1, -2, 3) and set(got) == {0, 1}
+    for s, r in got.items():
+        mine = sorted((i * 7919) % n for i in range(n) if i % 2 == s)
+        assert r == (len(mine), 0, 0, mine[len(mine) // 2 - 1], mine[len(mine) * 9 // 10 - 1])
+
+
 def test_lead_times_of_an_empty_table(spark):
     assert LT.lead_quantiles(LT.merged_summaries(LT.daily_summaries(leads_of(spark, 10).where("false")), ["l_suppkey"]), {"p": 0.5}).count() == 0
 
