@@ -8,11 +8,13 @@ segments that hold most members (an order both sides share, so the fullest agree
 among them), and pairs meet where a segment's key is equal. A second sketch, of single bits, gives
 a Hamming distance that rules out most pairs that met by chance; the rest are verified by their sets.
 
-Components need no pair twice: first every member of a key's group meets the group's least document, and
-pairs that the sketches allow make rough components; then only pairs from different rough components are
-compared, in blocks. All these are verified. Where a rough component falls apart, its parts are compared
-again. So groups of thousands of near copies never become all their pairs, no link between two components
-is lost, and texts are shuffled once.
+Pairs are compared where they meet and never written as such. First every member of a key's group meets the
+group's least document, and pairs that the sketches allow make rough components; then pairs from different rough
+components are compared, in blocks of a key, and of those that the sketches allow a block hands on a spanning
+forest. The wide components of both hold every link. Each is settled by its sets in one task, which compares all
+its pairs that aren't linked yet. A wide component too large for a task is cut into blocks: its forest is verified
+first, and every pair of blocks then hands on a spanning forest of links between what is still apart. So what
+is written grows with the members of a group, not with its pairs, and no link is lost.
 
 Defined cases: a document with fewer words than n is one shingle, its whole sequence; one without
 words has an empty set and links with nothing; equal sets are one class and are compared once; a row
@@ -37,6 +39,10 @@ WORDS = 5
 #: The similarity as a fraction.
 AT_LEAST = (75, 100)
 BLOCK = 2048
+#: Members of sets that a component settled in one task, or a block of a larger one, may hold.
+MEMBERS = 1 << 20
+#: Documents of a component from which bit sketches are asked before sets.
+SKETCHED = 64
 #: Stands for a missing id inside the join.
 NO_ID = -(2**63)
 #: Entries of groups in one written row.
@@ -210,6 +216,73 @@ def _unpacked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"key": np.frombuffer(keys, np.int64), "rep": np.frombuffer(own, np.int64)})
 
 
+def spanning(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Which of the edges u - v make a spanning forest: every node's edge to its least neighbour, over and over."""
+    names, flat = np.unique(np.r_[u, v], return_inverse=True)
+    x, y = flat[: len(u)], flat[len(u) :]
+    label, left, kept = np.arange(len(names)), np.arange(len(u)), [np.empty(0, np.int64)]
+    while True:
+        high, low = np.maximum(label[x[left]], label[y[left]]), np.minimum(label[x[left]], label[y[left]])
+        apart = high != low
+        left, high, low = left[apart], high[apart], low[apart]
+        if not len(left):
+            return np.concatenate(kept)
+        order = np.lexsort((low, high))
+        first = order[np.r_[True, high[order][1:] != high[order][:-1]]]
+        kept.append(left[first])
+        parent = np.arange(len(names))
+        parent[high[first]] = low[first]
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        label = parent[label]
+
+
+class Sets:
+    """Sets side by side, their members numbered, for counting what one shares with many."""
+
+    def __init__(self, packed, at_least):
+        sets = [np.frombuffer(x, np.uint64) for x in packed]
+        self.at_least, self.packed = at_least, sets
+        self.size = np.asarray([len(s) for s in sets], np.int64)
+        members, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        self.ids = np.split(flat, np.cumsum(self.size)[:-1])
+        self.mark = np.zeros(len(members), np.uint8)
+
+    def shared(self, i: int, others: np.ndarray) -> np.ndarray:
+        """How many members set i has in common with each of the others."""
+        self.mark[self.ids[i]] = 1
+        first = np.cumsum(self.size[others]) - self.size[others]
+        both = np.add.reduceat(self.mark[np.concatenate([self.ids[j] for j in others])], first, dtype=np.int64)
+        self.mark[self.ids[i]] = 0
+        return both
+
+    def links(self, left: np.ndarray, right: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+        """A spanning forest of the links between ``left`` and ``right``; sets of one label count as linked, and labels are brought up to date."""
+        (up, down), same, out = self.at_least, left is right, []
+        nodes = left if same else np.concatenate([left, right])
+        bits = None
+        if len(right) > SKETCHED:
+            sketches = {j: bit_sketch(self.packed[j]) for j in {*left.tolist(), *right.tolist()}}
+            short = min(map(len, sketches.values()))
+            bits = {j: folded(x, short) for j, x in sketches.items()}
+            columns = np.stack([bits[j] for j in right.tolist()])
+        for at, i in enumerate(left.tolist()):
+            open_ = np.flatnonzero(label[right] != label[i])
+            if same:
+                open_ = open_[open_ > at]
+            apart = 0 if bits is None else np.bitwise_count(columns[open_] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            n, m = self.size[i], self.size[right[open_]]
+            others = right[open_[may_link(n, m, apart, self.at_least)]]
+            if not len(others):
+                continue
+            both = self.shared(i, others)
+            for j in others[down * both >= up * (n + self.size[others] - both)].tolist():
+                if label[j] != label[i]:
+                    out.append((i, j))
+                    label[nodes[label[nodes] == label[j]]] = label[i]
+        return out
+
+
 class Join:
     """The steps between the written signatures and the components."""
 
@@ -243,24 +316,27 @@ class Join:
             pairs = pairs.join(own, side)
         return pairs.mapInPandas(run, "a bigint, b bigint")
 
-    def sets_of(self, pairs: DataFrame) -> DataFrame:
-        """(id, members): the sets of all classes in ``pairs``, made again from the texts of their documents."""
+    def sets_of(self, members: DataFrame) -> DataFrame:
+        """(rep, root, members): the sets of the classes in ``members`` (rep, root), made again from the texts of their documents.
+        Where rows repeat a document, so do its sets."""
         k = self.k
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = worker_state().setdefault("words", WordHashes())
             for batch in batches:
-                made = [shingles(words_of(x.as_py() or b""), k, hashes) for x in batch.column(1)]
+                made = [shingles(words_of(x.as_py() or b""), k, hashes) for x in batch.column(2)]
                 # An id with several texts stands for the class of each; only the text of this class counts.
                 mine = [i for i, (s, rep) in enumerate(zip(made, batch.column(0).to_pylist())) if set_hash(s) == rep]
-                of = batch.column(0).take(pa.array(mine, pa.int64()))
-                yield pa.RecordBatch.from_arrays([of, pa.array([made[i].tobytes() for i in mine], pa.binary())], names=["id", "members"])
+                of = pa.array(mine, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(of), batch.column(1).take(of), pa.array([made[i].tobytes() for i in mine], pa.binary())],
+                    names=["rep", "root", "members"],
+                )
             worker_state().pop("words", None)
 
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(self.reps.select("rep", "least"), "rep")
+        wanted = members.join(self.reps.select("rep", "least"), "rep")
         rows = self.docs.select(F.col(self.doc_id).cast("bigint").alias("least"), F.col(self.text).cast("binary").alias("text"))
-        made = rows.join(wanted, "least").select("rep", "text").mapInArrow(sets, "id bigint, members binary").dropDuplicates(["id"])
-        return materialize(made, "ngram-sets")
+        return rows.join(wanted, "least").select("rep", "root", "text").mapInArrow(sets, "rep bigint, root bigint, members binary")
 
     def verified(self, pairs: DataFrame, made: DataFrame) -> DataFrame:
         """The pairs whose sets reach the similarity."""
@@ -276,11 +352,12 @@ class Join:
                 yield pdf.loc[linked, ["a", "b"]]
 
         for side in ("a", "b"):
-            pairs = pairs.join(made.select(F.col("id").alias(side), F.col("members").alias(f"members_{side}")), side)
+            pairs = pairs.join(made.select(F.col("rep").alias(side), F.col("members").alias(f"members_{side}")), side)
         return pairs.mapInPandas(check, "a bigint, b bigint")
 
     def open_pairs(self, entries: DataFrame) -> DataFrame:
-        """Pairs of different roots that share a key and that sizes and bit sketches allow. ``entries``: key, rep, root."""
+        """Of the pairs of different roots that share a key and that sizes and bit sketches allow: a spanning forest of
+        the roots, for every bucket of blocks. ``entries``: key, rep, root."""
         at_least, width = self.at_least, self.width * 4
         size = F.count("*").alias("size")
         mixed = entries.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), size).where("low < high")
@@ -297,7 +374,7 @@ class Join:
         def compare(pdf: pd.DataFrame) -> pd.DataFrame:
             rep, root, n = (pdf[c].to_numpy() for c in ("rep", "root", "n"))
             own, sketch = pdf["own"].to_numpy(), pdf["sketch"].to_numpy()
-            got: list[tuple[np.ndarray, np.ndarray]] = []
+            got: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))]
             for (_, lo, hi), where in pdf.groupby(["key", "lo", "hi"], sort=False).indices.items():
                 where = np.asarray(where)
                 short = min(len(sketch[i]) for i in where)
@@ -309,13 +386,71 @@ class Join:
                     apart = np.bitwise_count(bits[left[at : at + slab], None] ^ bits[None, right]).sum(axis=2, dtype=np.int64)
                     ok = may_link(n[l][:, None], n[r][None], apart, at_least) & (root[l][:, None] != root[r][None])
                     i, j = np.nonzero(ok)
-                    got.append((np.minimum(rep[l[i]], rep[r[j]]), np.maximum(rep[l[i]], rep[r[j]])))
-            a = np.concatenate([x for x, _ in got]) if got else np.empty(0, np.int64)
-            b = np.concatenate([x for _, x in got]) if got else np.empty(0, np.int64)
-            return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+                    i, j = l[i], r[j]
+                    if len(i) > len(where):
+                        few = spanning(root[i], root[j])
+                        i, j = i[few], j[few]
+                    got.append((i, j))
+            i, j = (np.concatenate(x) for x in zip(*got))
+            few = spanning(root[i], root[j])
+            i, j = rep[i[few]], rep[j[few]]
+            return pd.DataFrame({"a": np.minimum(i, j), "b": np.maximum(i, j)})
 
         return work.groupBy("bucket").applyInPandas(compare, "a bigint, b bigint").distinct()
 
+    def settled(self, members: DataFrame, buckets: int) -> DataFrame:
+        """(node, root) by verified links, of wide components that one task can hold. ``members``: rep, root."""
+        at_least = self.at_least
+
+        def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.drop_duplicates("rep").sort_values(["root", "rep"])
+            sets, label, rep = Sets(pdf["members"], at_least), np.arange(len(pdf)), pdf["rep"].to_numpy()
+            for own in np.split(label.copy(), np.flatnonzero(np.diff(pdf["root"].to_numpy())) + 1):
+                sets.links(own, own, label)
+            _, first, which = np.unique(label, return_index=True, return_inverse=True)
+            root = rep[first][which]
+            return pd.DataFrame({"node": rep, "root": root})[root != rep]
+
+        dealt = self.sets_of(members).withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(buckets)))
+        return dealt.groupBy("bucket").applyInPandas(settle, "node bigint, root bigint")
+
+    def settled_in_blocks(self, members: DataFrame, forest: DataFrame) -> DataFrame:
+        """(node, root) by verified links, of wide components beyond that. ``forest``: pairs a, b that hold them together."""
+        at_least = self.at_least
+        made = materialize(self.sets_of(members).dropDuplicates(["rep"]), "ngram-sets")
+        inside = forest.join(members.select(F.col("rep").alias("a")), "a", "left_semi")
+        links = materialize(self.verified(inside, made), "ngram-links")
+        exact = components(links).select(F.col("node").alias("rep"), F.col("root").alias("exact"))
+        placed = members.join(exact, "rep", "left").select("rep", "root", F.coalesce("exact", "rep").alias("exact"))
+        placed = materialize(placed.join(self.reps.select("rep", "n"), "rep"), "ngram-members")
+        # The largest part of a component is not compared in itself; blocks are numbered on from its own.
+        parts = placed.groupBy("root", "exact").agg(F.count("*").alias("size"), F.sum("n").alias("n"))
+        parts = parts.groupBy("root").agg(F.max_by("exact", F.struct("size", "exact")).alias("main"), F.max_by(F.struct("size", "n"), F.struct("size", "exact")).alias("most"), F.sum("size").alias("size"), F.sum("n").alias("n"))
+
+        def blocks(size, n):
+            return F.greatest(F.ceil(size / BLOCK), F.ceil(n / MEMBERS)).cast("int")
+
+        parts = parts.where("most.size < size").select(
+            "root", "main", blocks(F.col("most.size"), F.col("most.n")).alias("whole"), blocks(F.col("size") - F.col("most.size"), F.col("n") - F.col("most.n")).alias("rest")
+        )
+        own = placed.join(parts, "root").withColumn("hash", F.xxhash64("rep")).withColumn("is_main", F.expr("exact = main"))
+        own = own.withColumn("own", F.expr("cast(if(is_main, pmod(hash, whole), whole + pmod(hash, rest)) as int)"))
+        others = F.expr("if(is_main, sequence(whole, whole + rest - 1), sequence(0, whole + rest - 1))")
+        spread = own.withColumn("other", F.explode(others)).select("root", "rep", "exact", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+
+        def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+            sets, rep, own = Sets(pdf["members"], at_least), pdf["rep"].to_numpy(), pdf["own"].to_numpy()
+            label = np.unique(pdf["exact"].to_numpy(), return_inverse=True)[1]
+            left, right = np.flatnonzero(own == pdf["lo"].iloc[0]), np.flatnonzero(own == pdf["hi"].iloc[0])
+            found = sets.links(left, left if pdf["lo"].iloc[0] == pdf["hi"].iloc[0] else right, label) if len(left) and len(right) else []
+            return pd.DataFrame({"a": rep[[i for i, _ in found]], "b": rep[[j for _, j in found]]}) if found else pd.DataFrame({"a": rep[:0], "b": rep[:0]})
+
+        work = spread.join(made.drop("root"), "rep")
+        more = materialize(work.groupBy("root", "lo", "hi").applyInPandas(compare, "a bigint, b bigint"), "ngram-more")
+        roots = components(links.unionByName(more))
+        drop_written(made, links, placed, more)
+        return roots
+
     def classes(self) -> DataFrame:
         """One row per row of the documents: doc_id, n_shingles, component_id."""
         tried = materialize(self.likely(self.first_pairs()), "ngram-likely")
@@ -323,24 +458,19 @@ class Join:
         entries = self.found.where("kind = 'group'").select("keys", "classes").mapInPandas(_unpacked, "key bigint, rep bigint")
         placed = entries.join(rough.withColumnRenamed("node", "rep"), "rep", "left")
         placed = materialize(placed.select("key", "rep", F.coalesce("root", "rep").alias("root")), "ngram-entries")
-        pairs = materialize(tried.unionByName(self.open_pairs(placed)), "ngram-pairs")
-        made = self.sets_of(pairs)
-        links = materialize(self.verified(pairs, made), "ngram-links")
-        # Rough components that likely pairs held together, but not all of them linked: inside these, compare again.
-        roots = materialize(components(links), "ngram-roots")
-        exact = roots.select(F.col("node").alias("rep"), F.col("root").alias("exact"))
-        members = rough.select(F.col("node").alias("rep"), "root").unionByName(rough.select(F.col("root").alias("rep"), "root").distinct())
-        members = members.join(exact, "rep", "left").select("rep", "root", F.coalesce("exact", "rep").alias("exact"))
-        members = materialize(members, "ngram-members")
-        apart = members.groupBy("root").agg(F.min("exact").alias("low"), F.max("exact").alias("high")).where("low < high")
-        if not apart.isEmpty():
-            again = placed.join(members.join(apart.select("root"), "root").select("rep", "exact"), "rep")
-            again = again.select(F.xxhash64("key", "root").alias("key"), "rep", F.col("exact").alias("root"))
-            more = materialize(self.open_pairs(again).join(pairs, ["a", "b"], "left_anti"), "ngram-more")
-            if not more.isEmpty():
-                links = links.unionByName(materialize(self.verified(more, made), "ngram-links"))
-                roots = components(links)
-        drop_written(tried, rough, placed, pairs, made, members)
+        more = materialize(self.open_pairs(placed), "ngram-pairs")
+        wide = materialize(components(rough.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "ngram-components")
+        members = wide.select(F.col("node").alias("rep"), "root").unionByName(wide.select(F.col("root").alias("rep"), "root").distinct())
+        sizes = members.join(self.reps.select("rep", "n"), "rep").groupBy("root").agg(F.count("*").alias("size"), F.sum("n").alias("n"))
+        sizes = materialize(sizes.select("root", "n", ((F.col("size") > BLOCK) | (F.col("n") > MEMBERS)).alias("large")), "ngram-wide")
+        members = materialize(members.join(sizes.select("root", "large"), "root").select("rep", "root", "large"), "ngram-members")
+        n = sizes.groupBy("large").agg(F.sum("n").alias("n"))
+        n = {r.large: r.n for r in n.collect()}
+        roots = self.settled(members.where("not large").drop("large"), max(self.width * 4, n.get(False, 0) // MEMBERS))
+        if True in n:
+            roots = roots.unionByName(self.settled_in_blocks(members.where("large").drop("large"), tried.unionByName(more)))
+        roots = materialize(roots, "ngram-roots")
+        drop_written(tried, rough, placed, more, wide, sizes, members)
         place = self.reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "least", F.coalesce("root", "rep").alias("root"))
         names = place.join(place.groupBy("root").agg(F.min("least").alias("name")), "root").select(F.col("rep").alias("class"), "name")
         out = self.rows.select("id", "n", "class").join(names, "class", "left")

@@ -364,3 +364,58 @@ def test_class_numbers_stay_whole(spark):
     pairs = join.first_pairs().collect()
     assert len(known) == 6 and pairs and {x for p in pairs for x in p} <= known
     assert any(abs(x) > 2**53 and x % 512 for x in known)
+
+
+def near_copies(count, edits, seed=3, size=120):
+    rng = np.random.default_rng(seed)
+    base, out = [f"w{i}" for i in range(size)], []
+    for i in range(count):
+        w = list(base)
+        for at in rng.choice(size, edits, replace=False):
+            w[at] = f"e{rng.integers(10**9)}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+def linked_roots(rows):
+    sets = [frozenset(tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)) for _, t in rows]
+    root = list(range(len(sets)))
+    for i, s in enumerate(sets):
+        for j, t in enumerate(sets[:i]):
+            if root[i] != root[j] and 100 * len(s & t) >= 75 * len(s | t):
+                low, high = sorted((root[i], root[j]))
+                root = [low if x == high else x for x in root]
+    return dict(enumerate(root))
+
+
+def test_near_copies_hand_on_a_forest_not_their_pairs(spark):
+    from larder.llm import ngram_join
+
+    rows = near_copies(200, 1)
+    join = ngram_join.Join(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    groups = join.found.where("kind = 'group'").select("keys", "classes").mapInPandas(ngram_join._unpacked, "key bigint, rep bigint")
+    found = [(r.a, r.b) for r in join.open_pairs(groups.selectExpr("key", "rep", "rep as root")).collect()]
+    assert len(found) < 5 * len(rows)
+    first = ngram_join.spanning(*np.asarray(found).T)
+    assert len(first) == len(rows) - 1
+    tree = {frozenset(found[i]) for i in first}
+    assert len(tree) == len(rows) - 1
+
+
+def test_near_copies_beyond_one_block(spark, monkeypatch):
+    """Groups about the threshold, as one component in a task and as one in blocks, by members and by documents."""
+    from larder.llm import ngram_join
+
+    rows = near_copies(90, 2)
+    rows += [(len(rows) + i, t) for i, t in near_copies(20, 1, size=40)]
+    df, want = spark.createDataFrame(rows, "doc_id bigint, text string"), linked_roots(rows)
+    ours = lambda: {r.doc_id: r.component_id for r in ngram_join.ngram_classes(df).collect()}
+    assert ours() == want and 1 < len({*want.values()}) < len(rows)
+    in_blocks, calls = ngram_join.Join.settled_in_blocks, []
+    monkeypatch.setattr(ngram_join.Join, "settled_in_blocks", lambda *x: calls.append(1) or in_blocks(*x))
+    monkeypatch.setattr(ngram_join, "SKETCHED", 4)
+    for block, members in ((16, 1 << 20), (2048, 900)):
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        monkeypatch.setattr(ngram_join, "MEMBERS", members)
+        assert ours() == want
+    assert len(calls) == 2
