@@ -97,21 +97,19 @@ class MergeTable:
         at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
         return np.where(self.keys[at] == asked, self.order[at], NONE)
 
-    def short_words(self, raw: np.ndarray) -> list[bytes]:
-        """Ids of words of one length, given as rows of bytes."""
+    def merged(self, raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Words of one length, given as rows of bytes: which of them have come to so many ids, and those, row by row."""
         ids = self.inner[raw]
         ids[:, -1] = self.last[raw[:, -1]]
         ranks = np.full(ids.shape, NONE, np.int64)  # the last part merges with nothing
         ranks[:, :-1] = self.ranks(ids[:, :-1], ids[:, 1:])
-        word, out = np.arange(len(ids)), [b""] * len(ids)
+        word = np.arange(len(ids))
         while len(ids):
             i = ranks.argmin(axis=1)
             least = ranks[np.arange(len(i)), i]
             done = least == NONE
             if done.any():
-                size, flat = 4 * ids.shape[1], ids[done].astype("<i4").tobytes()
-                for j, w in enumerate(word[done].tolist()):
-                    out[w] = flat[j * size : (j + 1) * size]
+                yield word[done], ids[done].astype("<i4")
                 ids, ranks, word, i, least = (x[~done] for x in (ids, ranks, word, i, least))
             row, width = np.arange(len(i)), ids.shape[1] - 1
             ids[row, i] = self.made[least]
@@ -122,6 +120,14 @@ class MergeTable:
             ranks[row[has], i[has]] = self.ranks(ids[row[has], i[has]], ids[row[has], i[has] + 1])
             has = i > 0
             ranks[row[has], i[has] - 1] = self.ranks(ids[row[has], i[has] - 1], ids[row[has], i[has]])
+
+    def short_words(self, raw: np.ndarray) -> list[bytes]:
+        """Ids of words of one length, given as rows of bytes."""
+        out = [b""] * len(raw)
+        for words, ids in self.merged(raw):
+            size, flat = 4 * ids.shape[1], ids.tobytes()
+            for j, w in enumerate(words.tolist()):
+                out[w] = flat[j * size : (j + 1) * size]
         return out
 
     def long_word(self, raw: bytes) -> bytes:

@@ -23,35 +23,42 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.bpe_words import LETTERS, MergeTable
+from larder.llm.bpe_words import LETTERS, SHORT, MergeTable
 from larder.llm.common import drop_written, materialize, worker_state
 
 WINDOW = 2048
 END_ID = 1
 #: Chunks of text that a worker remembers in each of two generations, and the longest of them.
 REMEMBERED, LONGEST = 400_000, 48
-#: Characters of texts whose chunks are learned together.
-TOGETHER = 1_000_000
+#: Bytes of texts whose chunks are encoded together.
+TOGETHER = 8_000_000
 #: Left-over pieces for each bucket of the greedy packer.
 BUCKET_PIECES = 20_000
 #: Combinations tried for each length, and sweeps of the fit.
 PER_LENGTH, SWEEPS = 8, 24
 
 
-#: Letters below U+0300, with the space before them, are one word to the tokenizer: their merges are taken side by side.
-ONE_WORD = re.compile(f"[{LETTERS}]+")
-#: A sign after a letter and before a space begins with no space of its own; marked, it is a chunk for itself.
-MARK, LONE_SIGN, MARKED = "\x01", re.compile("(?<=[A-Za-z])([.,|])(?= )"), " \x01\\1"
+#: Letters below U+0300, with the space before them, are one word to the tokenizer: so many words take their merges side by side.
+SIDE_BY_SIDE = 8192
+#: Begins a chunk that has no space before it in the text; alone and twice, it stands for a text's begin and a line's end.
+MARK = "\x01"
+#: A space beside other white space, where no chunk ends.
+INNER = "\x02"
+_SPACE = f"[{INNER}\t-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Spaces to be kept inside chunks: two side by side, then those after and before other white space.
+KEPT = ("  ", INNER * 2), (f"({_SPACE}) ", f"\\1{INNER}"), (f" ({_SPACE})", f"{INNER}\\1")
+#: Cut off besides: a line's end between two signs or letters, and a sign after a letter at the end of a chunk.
+CUT_OFF = (f"([!-~{LETTERS}])\n([!-~{LETTERS}])", f"\\1 {MARK}{MARK} {MARK}\\2"), (f"([{LETTERS}])([.,|])( |\\z)", f"\\1 {MARK}\\2\\3")
 
 
 class _Chunks(dict):
     """Chunk of text to its ids as bytes; None for a chunk that can't be cut off where it ends. ``old`` holds the generation before."""
 
-    def __init__(self, encode, merge, lead: str, start: _Chunks | None):
-        self.merge = merge
+    def __init__(self, encode, lead: str, start: _Chunks | None):
         self.encode, self.lead, self.line_end = encode, lead, encode(["\n"])[0]
         self.start = self if start is None else start
         self.old: dict[str, bytes] = {}
@@ -84,22 +91,6 @@ class _Chunks(dict):
             return self.keep(chunk, joint.join([of[x] for of, x in parts]))
         return self.keep(chunk, self.encode([self.lead + chunk])[0])
 
-    def learn(self, chunks: set[str]) -> None:
-        """Encode together what isn't known yet; chunks to be taken apart wait until they are asked for."""
-        if len(self) >= REMEMBERED:
-            self.old = dict(self)
-            self.clear()
-        old, new = self.old, []
-        for c in chunks.difference(self):
-            if c in old:
-                self[c] = old[c]
-            elif c and len(c) <= LONGEST and c[-1] not in ".,| \n\t" and "\n" not in c and not c[-1].isspace():
-                new.append(c)
-        words = [c for c in new if ONE_WORD.fullmatch(c)]
-        self.update(zip(words, self.merge([(self.lead + c).encode() for c in words])))
-        rest = [c for c in new if c not in self]
-        self.update(zip(rest, self.encode([self.lead + c for c in rest])))
-
 
 class WordwiseTokenizer:
     """The ids of a byte-level BPE tokenizer, chunk by chunk.
@@ -120,45 +111,64 @@ class WordwiseTokenizer:
         def encode(texts: list[str]) -> list[bytes]:
             return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-        self.encode = lambda s: encode([s])[0]
+        self.encode, self.encode_all = lambda s: encode([s])[0], encode
         with open(path, encoding="utf-8") as f:
-            merge = MergeTable(json.load(f)["model"]).encode_words
-        self.start = _Chunks(encode, merge, "", None)
-        self.rest = _Chunks(encode, merge, " ", self.start)
-        self.signs = {MARK + sign: encode([sign])[0] for sign in ".,|"}
-
-    def ids_of(self, texts: list[str]) -> Iterator[bytes]:
-        """:meth:`ids` of each text; chunks that are new to all of them are encoded in one call of the library."""
-        first: set[str] = set()
-        rest: set[str] = set()
-        split = []
-        for text in texts:
-            if MARK in text:
-                split.append(None)
-                continue
-            chunks = LONE_SIGN.sub(MARKED, text).split(" ")
-            first.add(chunks[0])
-            rest.update(chunks[1:])
-            split.append(chunks)
-        self.start.learn(first)
-        rest.difference_update(self.signs)
-        self.rest.learn(rest)
-        known = self.rest
-        known.update(self.signs)
-        for text, chunks in zip(texts, split):
-            if chunks is None:
-                yield self.ids(text)
-                continue
-            head = self.start[chunks[0]] if chunks[0] else b""
-            try:
-                yield b"".join([head, *map(known.__getitem__, chunks[1:])])
-            except TypeError:  # white space next to white space somewhere
-                yield self.ids(text)
+            self.merges = MergeTable(json.load(f)["model"])
+        self.start = _Chunks(encode, "", None)
+        self.rest = _Chunks(encode, " ", self.start)
+
+    def words(self, chunks: pa.Array, chosen: np.ndarray, lead: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Chunks of letters, merged side by side: which ones have come to so many ids, and those. With ``lead`` a space comes before each, else the mark is dropped."""
+        begin, raw = np.frombuffer(chunks.buffers()[1], np.int64, len(chunks) + 1), np.frombuffer(chunks.buffers()[2], np.uint8)
+        size = np.diff(begin)[chosen]
+        for n in np.unique(size).tolist():
+            own = chosen[size == n]
+            for at in range(0, len(own), SIDE_BY_SIDE):
+                block = own[at : at + SIDE_BY_SIDE]
+                rows = raw[begin[block][:, None] + np.arange(n)]
+                rows = np.c_[np.full(len(rows), 32, np.uint8), rows] if lead else rows[:, 1:]
+                yield from ((block[w], ids) for w, ids in self.merges.merged(rows))
+
+    def chunk_ids(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The ids of different chunks, in another order, and each chunk's place there."""
+        letters = pc.match_substring_regex(chunks, f"^{MARK}?[{LETTERS}]+$").to_numpy(zero_copy_only=False)
+        letters = letters & (pc.binary_length(chunks).to_numpy(zero_copy_only=False) <= SHORT)
+        marked = pc.starts_with(chunks, MARK).to_numpy(zero_copy_only=False)
+        done = [x for lead in (True, False) for x in self.words(chunks, np.flatnonzero(letters & (marked != lead)), lead)]
+        others = np.flatnonzero(~letters)
+        texts = [("\n" if c == MARK * 2 else c[1:] if c[:1] == MARK else " " + c).replace(INNER, " ") for c in chunks.take(pa.array(others)).to_pylist()]
+
+        place, order = np.empty(len(chunks), np.int64), np.concatenate([*(w for w, _ in done), others])
+        place[order] = np.arange(len(order))
+        ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *(np.full(len(ids), 4 * ids.shape[1]) for _, ids in done)]))
+        flat = np.concatenate([np.empty(0, "<i4"), *(ids.ravel() for _, ids in done)])
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+        return pa.concat_arrays([words, pa.array(self.encode_all(texts), pa.large_binary())]), place
+
+    def ids_of(self, texts: list[str | None] | pa.Array) -> Iterator[bytes]:
+        """:meth:`ids` of each text. Arrow cuts the texts and numbers their chunks; each different chunk is encoded once and not kept."""
+        texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "").cast(pa.large_string())
+        alone = pc.match_substring_regex(texts, f"[{MARK}{INNER}]")  # our own marks are taken there
+        none, mark = pa.scalar("", pa.large_string()), pa.scalar(MARK, pa.large_string())
+        cut = pc.if_else(alone, none, texts)
+        for pattern, by in KEPT:
+            cut = pc.replace_substring_regex(cut, pattern, by)
+        cut = pc.binary_join_element_wise(mark, cut, none)
+        for pattern, by in CUT_OFF:
+            cut = pc.replace_substring_regex(cut, pattern, by)
+        cut = pc.split_pattern(cut, " ")
+        first = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        chunks = cut.flatten().dictionary_encode()
+        del cut
+        ids, place = self.chunk_ids(chunks.dictionary)
+        found = ids.take(pa.array(place[chunks.indices.to_numpy()]))
+        at = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1)[first].tolist()
+        data = memoryview(found.buffers()[2] or b"")
+        for i, whole in enumerate(alone.to_pylist()):
+            yield self.encode(texts[i].as_py()) if whole else data[at[i] : at[i + 1]].tobytes()
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if MARK in text:  # the mark's own chunks are taken
-            return self.encode(text)
         first, *rest = text.split(" ")
         try:
             head = self.start[first] if first else b""
@@ -176,16 +186,13 @@ def tokenizer_at(path: str) -> WordwiseTokenizer:
     return kept[path]
 
 
-def _together(texts: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for text in texts:
-        if part and size + len(text) > TOGETHER:
-            yield part
-            part, size = [], 0
-        part.append(text)
-        size += len(text)
-    if part:
-        yield part
+def _together(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of about so many bytes of text, one row at least."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(size // TOGETHER)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield texts.slice(a, b - a)
 
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -195,8 +202,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
         tokenizer, end = tokenizer_at(path), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            for i, ids in enumerate(x for part in _together(texts) for x in tokenizer.ids_of(part)):
+            for i, ids in enumerate(x for part in _together(batch.column(1)) for x in tokenizer.ids_of(part)):
                 ids += end
                 n = len(ids) // 4
                 for start in range(0, n, window):

@@ -419,3 +419,37 @@ def test_near_copies_beyond_one_block(spark, monkeypatch):
         monkeypatch.setattr(ngram_join, "MEMBERS", members)
         assert ours() == want
     assert len(calls) == 2
+
+
+def test_new_chunks_of_many_texts_take_one_call_of_the_library(monkeypatch):
+    """Words with a sign, at a line's end or beside white space too; nothing is kept for texts to come."""
+    import tokenizers
+
+    from larder.llm import packing
+
+    library, calls = tokenizers.Tokenizer.from_file(tokenizer_file()), []
+
+    class Counted:
+        from_file = staticmethod(lambda path: Counted())
+
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return library.encode_batch_fast(texts, **options)
+
+    library.encode_special_tokens = True
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    ours, rng = packing.WordwiseTokenizer(tokenizer_file()), np.random.default_rng(4)
+    letters = list("abcdefgéïß")
+    words = ["".join(rng.choice(letters, int(rng.integers(3, 12)))) for _ in range(2000)]
+    ends = [" ", ". ", ", ", "\n", ".\n", "  ", " \n ", "\t", "$$$. ", "\xa0 ", "é, ", "\n\n"]
+    texts = ["".join(w + str(rng.choice(ends)) for w in words[i : i + 40]) for i in range(0, 2000, 40)] + ["", "\x01 a", "\x02"]
+    calls.clear()
+    got = [np.frombuffer(x, "<u4").tolist() for x in ours.ids_of(texts)]
+    assert len(calls) <= 3 and sum(calls) < 1200
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not ours.start and not ours.rest
+    monkeypatch.setattr(packing, "TOGETHER", 100)
+    import pyarrow as pa
+
+    parts = [x for part in packing._together(pa.array([None, *texts])) for x in ours.ids_of(part)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in parts] == [[], *got]
