@@ -247,7 +247,7 @@ class WordBpe(MergeTable):
 
 def word_bpe_at(path: str) -> WordBpe:
     """One for each worker process and file."""
-    kept = worker_state().setdefault("word_bpe", {})
+    kept = worker_state("word_bpe")
     if path not in kept:
         kept[path] = WordBpe(path)
     return kept[path]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,9 +58,24 @@ def fold(doc_id: str | Column, parts: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit(""))) % parts
 
 
-def worker_state() -> dict:
-    """A dict that lives as long as the worker process, for what is costly to build."""
-    return sys.modules.setdefault("_larder_llm_state", types.ModuleType("_larder_llm_state")).__dict__
+def worker_state(owner: str) -> dict:
+    """A dict that lives in the worker process, for what is costly to build. There is one: an operator that asks for its own
+    frees what another one left behind, since Spark hands a worker on from one operator to the next."""
+    kept = sys.modules.setdefault("_larder_llm_state", types.ModuleType("_larder_llm_state")).__dict__
+    if kept.get("owner") != owner:
+        kept.update(owner=owner, state={})
+        gc.collect()
+    return kept["state"]
+
+
+def handing_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that gives back the memory Arrow holds in reserve when it ends: its worker lives on beside those of the next stage."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return whole
 
 
 #: Bytes of text for each bucket, and buckets beyond which a bucket's share grows as the number does.

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import LOWER, fold, mix64
+from larder.llm.common import LOWER, fold, handing_back, mix64, worker_state
 
 PASSAGE = 64
 HASHED = 64
@@ -207,11 +207,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, parts: int = 5, cut: floa
         place = docs.columns.index(text)
 
         def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            worker_state("quality")
             for batch in batches:
-                texts = batch.column(place).cast(pa.binary()).to_pylist()
-                yield batch.filter(pa.array(score(texts) >= cut))
+                texts = batch.column(place).cast(pa.binary())
+                good = [score(texts.slice(lo, 256).to_pylist()) >= cut for lo in range(0, len(texts), 256)]
+                yield batch.filter(pa.array(np.concatenate([np.empty(0, bool), *good])))
 
-        return docs.mapInArrow(filtered, docs.schema)
+        return docs.mapInArrow(handing_back(filtered), docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import WordHashes, drop_written, fresh, materialize, mix64, shuffle_width, words_of, worker_state
+from larder.llm.common import WordHashes, drop_written, fresh, handing_back, materialize, mix64, shuffle_width, words_of, worker_state
 from larder.llm.components import components
 
 WORDS = 5
@@ -47,6 +47,8 @@ SKETCHED = 64
 NO_ID = -(2**63)
 #: Entries of groups in one written row.
 CHUNK = 100_000
+#: Documents whose keys a task holds at once, and sets that it knows to have written.
+ROWS, MOST_SEEN = 2048, 100_000
 
 
 def shingles(words: list[bytes], k: int, hashes: WordHashes) -> np.ndarray:
@@ -137,10 +139,13 @@ def signatures(docs: DataFrame, k: int, at_least, width: int, doc_id: str, text:
     """Document rows, and packed rows of segment keys with classes for each bucket of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = worker_state().setdefault("words", WordHashes())
-        for batch in batches:
+        hashes = worker_state("ngrams").setdefault("words", WordHashes())
+        seen: set[int] = set()
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            meta, keys, owner, seen = [], [], [], set()
+            meta, keys, owner = [], [], []
+            if len(seen) > MOST_SEEN:
+                seen.clear()
             for doc, cell in zip(ids.tolist(), batch.column(1)):
                 s = shingles(words_of(cell.as_py() or b""), k, hashes)
                 n, own = len(s), set_hash(s)
@@ -168,10 +173,10 @@ def signatures(docs: DataFrame, k: int, at_least, width: int, doc_id: str, text:
             columns = [pa.array(x + (packed[0] if i == 0 else blank), t) for i, (x, t) in enumerate(zip(rows, types))]
             columns += [pa.array(none + x, pa.binary()) for x in packed[1:]]
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "id", "n", "class", "sketch", "keys", "classes"])
-        worker_state().pop("words", None)  # later stages of a job need the memory more than the words
+        worker_state("ngrams").pop("words", None)  # later stages of a job need the memory more than the words
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "bucket int, id bigint, n bigint, class bigint, sketch binary, keys binary, classes binary")
+    return rows.mapInArrow(handing_back(run), "bucket int, id bigint, n bigint, class bigint, sketch binary, keys binary, classes binary")
 
 
 FOUND = "kind string, id bigint, n bigint, class bigint, sketch binary, keys binary, classes binary"
@@ -322,7 +327,7 @@ class Join:
         k = self.k
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = worker_state().setdefault("words", WordHashes())
+            hashes = worker_state("ngrams").setdefault("words", WordHashes())
             for batch in batches:
                 made = [shingles(words_of(x.as_py() or b""), k, hashes) for x in batch.column(2)]
                 # An id with several texts stands for the class of each; only the text of this class counts.
@@ -332,11 +337,11 @@ class Join:
                     [batch.column(0).take(of), batch.column(1).take(of), pa.array([made[i].tobytes() for i in mine], pa.binary())],
                     names=["rep", "root", "members"],
                 )
-            worker_state().pop("words", None)
+            worker_state("ngrams").pop("words", None)
 
         wanted = members.join(self.reps.select("rep", "least"), "rep")
         rows = self.docs.select(F.col(self.doc_id).cast("bigint").alias("least"), F.col(self.text).cast("binary").alias("text"))
-        return rows.join(wanted, "least").select("rep", "root", "text").mapInArrow(sets, "rep bigint, root bigint, members binary")
+        return rows.join(wanted, "least").select("rep", "root", "text").mapInArrow(handing_back(sets), "rep bigint, root bigint, members binary")
 
     def verified(self, pairs: DataFrame, made: DataFrame) -> DataFrame:
         """The pairs whose sets reach the similarity."""

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.bpe_words import LETTERS, SHORT, MergeTable
-from larder.llm.common import drop_written, materialize, worker_state
+from larder.llm.common import drop_written, handing_back, materialize, worker_state
 
 WINDOW = 2048
 END_ID = 1
@@ -180,7 +180,7 @@ class WordwiseTokenizer:
 
 def tokenizer_at(path: str) -> WordwiseTokenizer:
     """One for each worker process and file."""
-    kept = worker_state().setdefault("tokenizers", {})
+    kept = worker_state("tokenizers")
     if path not in kept:
         kept[path] = WordwiseTokenizer(path)
     return kept[path]
@@ -216,7 +216,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
             )
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    found = rows.mapInArrow(run, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary")
+    found = rows.mapInArrow(handing_back(run), "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary")
     return found if with_ids else found.drop("ids")
 
 

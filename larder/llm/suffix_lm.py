@@ -231,7 +231,7 @@ def _postings(tree, width: int):
     """A task's documents: their rows, and words with training counts and postings, dealt out by word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = worker_state().setdefault("words", WordHashes())
+        hashes = worker_state("suffix_lm").setdefault("words", WordHashes())
         task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):

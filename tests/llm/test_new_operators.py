@@ -453,3 +453,39 @@ def test_new_chunks_of_many_texts_take_one_call_of_the_library(monkeypatch):
 
     parts = [x for part in packing._together(pa.array([None, *texts])) for x in ours.ids_of(part)]
     assert [np.frombuffer(x, "<u4").tolist() for x in parts] == [[], *got]
+
+
+def test_workers_hold_little_between_and_inside_tasks(spark, monkeypatch):
+    """An operator frees what another one kept in the worker; documents' keys are held for some documents at a time, whatever a batch holds."""
+    import tracemalloc
+    import weakref
+
+    import pyarrow as pa
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from larder.llm import common, ngram_join
+
+    df = spark.createDataFrame([], "doc_id bigint, text string")
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(120)).encode()) for i in range(1600)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([i for i, _ in part]), pa.array([t for _, t in part])], names=["doc_id", "text"]) for part in (rows[:200], rows)]
+    monkeypatch.setattr(ngram_join, "ROWS", 200, raising=False)
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda self, run, schema: run)
+    run = ngram_join.signatures(df, 5, (75, 100), 8, "doc_id", "text")
+    monkeypatch.setattr(common.WordHashes, "most", 1000)
+    peaks, found = [], []
+    for batch in batches:
+        tracemalloc.start()
+        found.append(sum(out.filter(out["keys"].is_null()).num_rows for out in map(lambda b: pa.Table.from_batches([b]), run(iter([batch])))))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert found == [200, 1600] and peaks[1] < 2 * peaks[0]
+
+    class Costly:
+        pass
+
+    common.worker_state("one")["x"] = x = Costly()
+    gone = weakref.ref(x)
+    del x
+    assert len(common.worker_state("one")) == 1
+    assert len(common.worker_state("other")) == 0
+    assert gone() is None
